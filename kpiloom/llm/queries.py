@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontaminate, quality, secrets
+from kpiloom.llm import decontaminate, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, _table(spark, sf_dir, "labels"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.classify(docs, _table(spark, sf_dir, "labels"))
@@ -30,6 +35,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": op6_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }
 
