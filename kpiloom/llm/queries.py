@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontaminate, quality, secrets, toxicity
+from kpiloom.llm import decontaminate, quality, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -33,6 +37,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
