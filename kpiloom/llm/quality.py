@@ -18,6 +18,7 @@ score; texts are used whole.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from kpiloom.llm._labels import fold, sample, training_labels
 from kpiloom.llm._tokens import slices
 
 #: At most so many labelled documents are fitted on.
-SAMPLE = 3000
+SAMPLE = 2000
 BUCKETS = 1 << 16
 DIMENSION = 12
 NGRAMS = (3, 4)
@@ -145,7 +146,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             parts = [f for f, _ in features([text])]
             buckets, n = np.unique(np.concatenate(parts or [np.zeros(0, np.uint32)]), return_counts=True)
             if len(buckets):
-                rows.append((label, buckets.astype(np.int32), (n / (n.sum() + DAMPING)).astype(np.float32)))
+                share = n / (n.sum() + DAMPING)
+                rows.append((label, buckets.astype(np.uint16).tobytes(), share.astype(np.float32).tobytes()))
         if rows:
             yield pd.DataFrame(rows, columns=["label", "buckets", "share"])
 
@@ -157,12 +159,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
         docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "key")
         .select("text", "label")
-        .mapInPandas(_counted, "label int, buckets array<int>, share array<float>")
+        .mapInPandas(_counted, "label int, buckets binary, share binary")
         .limit(4 * rows)  # repeated documents aside, never more than rows
-        .toPandas()
+        .toArrow()
     )
-    triples = [(np.asarray(b), np.asarray(s, dtype=np.float64), int(y)) for y, b, s in found.itertuples(index=False)]
-    triples.sort(key=lambda t: (t[2], len(t[0]), t[0].tobytes(), t[1].tobytes()))  # as rows come in any order
+    triples = [
+        (np.frombuffer(b.as_buffer(), dtype=np.uint16), np.frombuffer(s.as_buffer(), dtype=np.float32), y.as_py())
+        for y, b, s in zip(*(found.column(c) for c in ("label", "buckets", "share")), strict=True)
+    ]
+    triples.sort(key=lambda t: (t[2], len(t[0]), zlib.crc32(t[0]), zlib.crc32(t[1])))  # as rows come in any order
     return train(triples)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontaminate, quality, secrets, simhash, toxicity
+from kpiloom.llm import decontaminate, quality, secrets, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
@@ -39,9 +44,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op6_secret_scan": op6_secret_scan,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op7_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
