@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontaminate, quality, secrets, simhash, topk, toxicity
+from kpiloom.llm import decontaminate, pieces, quality, secrets, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -43,6 +47,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
