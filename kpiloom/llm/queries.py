@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontaminate, pieces, quality, secrets, simhash, topk, toxicity
+from kpiloom.llm import decontaminate, langid, pieces, quality, secrets, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("text", "lang")
+    return langid.identify_pages(_table(spark, sf_dir, "pages"), docs)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -47,6 +52,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op4_language_id": op4_language_id,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_top_k": op7_exact_top_k,
