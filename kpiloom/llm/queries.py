@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontaminate, langid, pieces, quality, secrets, simhash, topk, toxicity
+from kpiloom.llm import decontaminate, langid, pieces, quality, secrets, simhash, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.flat(warc.resolve(warc.crawl_log(pages)))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("text", "lang")
     return langid.identify_pages(_table(spark, sf_dir, "pages"), docs)
@@ -52,6 +57,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_warc_revisits": op2_warc_revisits,
     "op4_language_id": op4_language_id,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_secret_scan": op6_secret_scan,
@@ -79,3 +85,46 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+ORACLE_SQL["op2_warc_revisits"] = r"""
+WITH parts AS (
+  SELECT page_id, html, regexp_replace(coalesce(url, ''), '#.*$', '') AS u FROM pages WHERE page_id IS NOT NULL
+), cut AS (
+  SELECT page_id, html,
+         regexp_replace(regexp_replace(lower(regexp_extract(u, '^[A-Za-z]+://([^/?]*)', 1)), '^www[0-9]*\.', ''), ':(80|443)$', '') AS host,
+         regexp_extract(u, '^[A-Za-z]+://[^/?]*(.*)$', 1) AS rest
+  FROM parts
+), canon AS (
+  SELECT page_id, html, host || regexp_replace(regexp_extract(rest, '^([^?]*)', 1), '/+$', '') ||
+         CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url
+  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+               lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|fbclid|gclid|ref)='))) AS q FROM cut)
+), page AS (
+  SELECT page_id, url, 1700000000 + (page_id * 7919) % 2592000 AS t, '"' || md5(html) || '"' AS tag,
+         'day ' || (page_id % 9) AS mod, md5(coalesce(html, '')) AS digest FROM canon
+), response AS (
+  SELECT page_id * 4 AS response_id, url, t, tag, mod, digest FROM page WHERE url <> ''
+), latest AS (
+  SELECT * FROM response QUALIFY row_number() OVER (PARTITION BY url, t ORDER BY response_id DESC) = 1
+), revisit AS (
+  SELECT page_id * 4 + step AS record_id, url, t + days * 86400 AS t,
+         CASE page_id % 4 WHEN 0 THEN tag WHEN 2 THEN '"stale"' END AS tag,
+         CASE page_id % 4 WHEN 0 THEN 'W/' || tag WHEN 2 THEN '"stale"' END AS sent,
+         CASE page_id % 4 WHEN 1 THEN mod END AS mod
+  FROM page, (VALUES (1, 1), (2, -1)) AS s(step, days) WHERE step = 1 OR page_id % 5 = 0
+), judged AS (
+  SELECT v.record_id, v.url, v.t, v.sent, r.response_id, r.t AS r_at, r.tag AS r_tag, r.mod AS r_mod, r.digest,
+         CASE WHEN r.response_id IS NULL THEN 'orphan'
+              WHEN v.tag IS NOT NULL AND r.tag IS NOT NULL THEN CASE WHEN v.tag = r.tag THEN 'resolved' ELSE 'mismatch' END
+              WHEN v.mod IS NOT NULL THEN CASE WHEN v.mod = r.mod THEN 'resolved' ELSE 'mismatch' END
+              ELSE 'unvalidated' END AS status
+  FROM revisit v ASOF LEFT JOIN latest r ON v.url = r.url AND v.t > r.t
+)
+SELECT record_id, url, status, response_id, CAST(t - r_at AS BIGINT) AS age_s,
+       CASE WHEN status = 'resolved' THEN
+         'cache-control: max-age=60' || chr(10) || 'content-type: text/html' || chr(10) ||
+         'date: ' || strftime(make_timestamp(t * 1000000), '%Y-%m-%d %H:%M:%S') || chr(10) ||
+         'etag: ' || coalesce(sent, r_tag) || chr(10) || 'last-modified: ' || r_mod || chr(10) || 'server: a' END AS headers,
+       CASE WHEN status = 'resolved' THEN digest END AS payload_digest
+FROM judged
+"""
