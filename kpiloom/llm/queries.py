@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import decontaminate, langid, pieces, quality, secrets, simhash, topk, toxicity, warc
+from kpiloom.llm import decontaminate, langid, pieces, pii, quality, secrets, simhash, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.flat(warc.resolve(warc.crawl_log(pages)))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("text", "lang")
     return langid.identify_pages(_table(spark, sf_dir, "pages"), docs)
@@ -58,6 +62,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc_revisits": op2_warc_revisits,
+    "op3_pii": op3_pii,
     "op4_language_id": op4_language_id,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_secret_scan": op6_secret_scan,
@@ -128,3 +133,70 @@ SELECT record_id, url, status, response_id, CAST(t - r_at AS BIGINT) AS age_s,
        CASE WHEN status = 'resolved' THEN digest END AS payload_digest
 FROM judged
 """
+
+
+def _sql_matches(kind: str, pattern: str, valid: str) -> str:
+    """DuckDB: (row, kind, start, end, m) of a pattern's valid matches in ``d``."""
+    return f"""
+  SELECT row, '{kind}' AS kind, s AS start, s + length(m) AS stop, m FROM (
+    SELECT row, unnest(list_transform(range(1, len(found) + 1), lambda i:
+             CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) AS BIGINT)
+             + coalesce(CAST(list_sum(list_transform(found[1:i - 1], lambda x: length(x))) AS BIGINT), 0))) AS s,
+           unnest(found) AS m
+    FROM (SELECT row, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS gaps FROM d)
+  ) WHERE {valid}"""
+
+
+_LUHN = """list_sum(list_transform(range(1, len(x) + 1), lambda i:
+    CASE WHEN i % 2 = 1 THEN CAST(x[len(x) - i + 1] AS INT)
+         ELSE CAST(x[len(x) - i + 1] AS INT) * 2 - CASE WHEN CAST(x[len(x) - i + 1] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+
+ORACLE_SQL["op3_pii"] = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS row, doc_id, coalesce(text, '') AS text FROM documents
+), m AS MATERIALIZED (
+  {_sql_matches("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+", "TRUE")}
+  UNION ALL {_sql_matches("ip", "[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+", "len(list_filter(string_split(m, '.'), lambda p: CAST(p AS HUGEINT) > 255)) = 0")}
+  UNION ALL {_sql_matches("card", "[0-9](?:[ -]?[0-9])+", f"length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 14 AND 19 AND (SELECT {_LUHN} FROM (SELECT regexp_replace(m, '[^0-9]', '', 'g') AS x))")}
+  UNION ALL {_sql_matches("phone", "[+][0-9][ ().0-9-]+[0-9]", "length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 10 AND 15")}
+), held AS MATERIALIZED (
+  SELECT DISTINCT row, kind || ':' || CASE WHEN kind = 'email' THEN lower(m) WHEN kind = 'ip' THEN m
+         ELSE regexp_replace(m, '[^0-9]', '', 'g') END AS entity FROM m
+), recurring AS MATERIALIZED (
+  SELECT entity, count(*) AS n_c FROM held GROUP BY 1 HAVING count(*) >= {pii.SUPPORT}
+), terms AS MATERIALIZED (
+  SELECT row, unnest(list_distinct(regexp_extract_all(lower(text), '\\p{{L}}{{3,}}'))) AS term FROM d
+), n AS (SELECT count(*) AS n FROM d), counts AS (SELECT term, count(*) AS n_t FROM terms GROUP BY 1
+), both_ AS MATERIALIZED (
+  SELECT h.row, h.entity, r.n_c, t.term FROM held h JOIN recurring r USING (entity) JOIN terms t USING (row)
+), joint AS (
+  SELECT entity, term, any_value(n_c) AS n_c, count(*) AS n_ct FROM both_ GROUP BY 1, 2 HAVING count(*) >= {pii.SUPPORT}
+), reveals AS MATERIALIZED (
+  SELECT entity, term FROM joint JOIN counts USING (term), n
+  WHERE ln(n_ct * n / (n_c * CAST(n_t AS DOUBLE))) >= ln(n / CAST(n_c AS DOUBLE)) / {pii.ALPHA} - 1e-9
+), revealing AS MATERIALIZED (
+  SELECT DISTINCT row, term FROM both_ JOIN reveals USING (entity, term)
+), w AS MATERIALIZED (
+  SELECT row, lower(m) AS term, s AS start, s + length(m) AS stop FROM (
+    SELECT row, unnest(list_transform(range(1, len(found) + 1), lambda i:
+             CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) AS BIGINT)
+             + coalesce(CAST(list_sum(list_transform(found[1:i - 1], lambda x: length(x))) AS BIGINT), 0))) AS s,
+           unnest(found) AS m
+    FROM (SELECT row, regexp_extract_all(text, '\\p{{L}}{{3,}}') AS found, string_split_regex(text, '\\p{{L}}{{3,}}') AS gaps
+          FROM d WHERE row IN (SELECT row FROM revealing)))
+), t AS (
+  SELECT w.row, 'term' AS kind, w.start, w.stop FROM w JOIN revealing USING (row, term)
+  WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.row = w.row AND w.start < m.stop AND m.start < w.stop)
+), every_ AS (SELECT row, kind, start, stop FROM m UNION ALL SELECT * FROM t
+), s AS (
+  SELECT row, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone, count(*) FILTER (kind = 'term') AS n_term,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['email', 'ip', 'card', 'phone', 'term'], kind))
+           FILTER (kind <> 'term') AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['email', 'ip', 'card', 'phone', 'term'], kind)) AS spans
+  FROM every_ GROUP BY row
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_term, 0) AS n_term
+FROM d LEFT JOIN s USING (row)
+"""
