@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from kpiloom.llm._store import stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
-SUPPORT, ALPHA, REMOVE = 3, 1.1, 0.9
+SUPPORT, ALPHA, REMOVE = 2, 1.1, 0.9
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: kind -> (cheap test, pattern)
