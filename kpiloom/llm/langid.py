@@ -133,28 +133,15 @@ def _normal(logs: Column) -> Column:
     return F.transform(shifted, lambda x: x / total)
 
 
-def _sums(n: int) -> list[Column]:
-    return [F.sum(F.col("soft")[i]).alias(f"s{i}") for i in range(n)]
+#: The column that holds a row's evidence while it is weighed; no input column may have this name.
+EVIDENCE = "_langid_evidence"
+VALUES = ("declared", "suffix", "domain", "host")
 
 
-def identify(
-    rows: DataFrame,
-    model: Model,
-    key: str,
-    text: Column,
-    declared: Column | None = None,
-    address: Column | None = None,
-    host: Column | None = None,
-) -> DataFrame:
-    """key, lang, confidence, text_lang and trigrams of every row of ``rows``.
-
-    ``declared`` is the markup's language, ``address`` a host name whose last
-    label is the suffix and last two the domain, ``host`` what shares a prior
-    (``address`` if not given).  Whatever is missing gives no evidence.
-    """
-    spark = rows.sparkSession
-    held = spark.sparkContext.broadcast(model)
-    languages, n = model.languages, len(model.languages)
+def _with_evidence(rows: DataFrame, model: Model, text: Column, declared: Column | None, address: Column | None, host: Column | None) -> DataFrame:
+    """``rows`` with the values it is grouped by and the text's log-likelihoods and posterior."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+    n = len(model.languages)
 
     @F.pandas_udf("logs array<double>, trigrams long")
     def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -164,74 +151,87 @@ def identify(
 
     empty = F.lit("")
     address = F.lower(F.coalesce(address, empty)) if address is not None else empty
-    host = F.coalesce(host, empty) if host is not None else address
-    base = stored(
-        rows.select(
-            F.col(key).alias("key"),
-            F.coalesce(declared, empty).alias("declared") if declared is not None else empty.alias("declared"),
+    known = np.log((1 - UNKNOWN_PRIOR) / max(1, n - 1))
+    flat = F.array(*[F.lit(float(known if i < n - 1 else np.log(UNKNOWN_PRIOR))) for i in range(n)])
+    text_part = f"{EVIDENCE}_text"
+    found = rows.withColumn(text_part, evidence(F.coalesce(text, empty)))
+    logs = F.col(f"{text_part}.logs")
+    return found.withColumn(
+        EVIDENCE,
+        F.struct(
+            (F.coalesce(declared, empty) if declared is not None else empty).alias("declared"),
             F.substring_index(address, ".", -1).alias("suffix"),
             F.substring_index(address, ".", -2).alias("domain"),
-            host.alias("host"),
-            evidence(F.coalesce(text, empty)).alias("e"),
-        )
-        .select("key", "declared", "suffix", "domain", "host", "e.*")
-        .withColumn("flat", F.array(*[F.lit(float(np.log((1 - UNKNOWN_PRIOR) / max(1, n - 1)) if i < n - 1 else np.log(UNKNOWN_PRIOR))) for i in range(n)]))
-        .withColumn("soft", _normal(F.zip_with("logs", "flat", lambda a, b: a + b)))
-        .drop("flat")
-    )
-    whole = base.agg(*_sums(n)).first()
-    total = [float(x or 0.0) for x in whole]
-    prior = [(t + 1.0) / (sum(total) + n) for t in total]
-    share = F.array(*map(F.lit, prior))
-
-    def grouped(by: str) -> DataFrame:
-        sums = base.groupBy(by).agg(*_sums(n))
-        return sums.select(by, F.array(*[F.col(f"s{i}") for i in range(n)]).alias(f"of_{by}"))
-
-    out = base
-    for by in ("declared", "suffix", "domain", "host"):
-        out = out.join(grouped(by), by)
-
-    def without_own(sums: str) -> Column:
-        return F.zip_with(sums, "soft", lambda a, x: F.greatest(a - x, F.lit(0.0)))
-
-    def smoothed(sums: Column, towards: Column, weight: float) -> Column:
-        size = F.aggregate(sums, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(sums, towards, lambda s, p: (s + F.lit(weight) * p) / (size + F.lit(weight)))
-
-    def given(sums: str) -> Column:
-        """log P(value | l), up to what is equal for all l: how much more often than in the corpus l is seen with the value."""
-        return F.zip_with(smoothed(without_own(sums), share, SMOOTH_VALUE), share, lambda p, q: F.log(p / q))
-
-    def added(*logs: Column) -> Column:
-        first, *rest = logs
-        for x in rest:
-            first = F.zip_with(first, x, lambda a, b: a + b)
-        return first
-
-    domain = smoothed(without_own("of_domain"), share, SMOOTH_DOMAIN)
-    prior_of_host = F.transform(smoothed(without_own("of_host"), domain, SMOOTH_HOST), lambda p: F.log(p))
-    none = F.array(*[F.lit(0.0)] * n)
-    fused = _normal(
-        added(
-            prior_of_host,
-            F.col("logs"),
-            F.when(F.col("declared") != "", given("of_declared")).otherwise(none),
-            F.when(F.col("suffix") != "", given("of_suffix")).otherwise(none),
-        )
-    )
+            (F.coalesce(host, empty) if host is not None else address).alias("host"),
+            logs.alias("logs"),
+            F.col(f"{text_part}.trigrams").alias("trigrams"),
+            _normal(F.zip_with(logs, flat, lambda a, b: a + b)).alias("soft"),
+        ),
+    ).drop(text_part)
+
+
+def _weighed(rows: DataFrame, seen: DataFrame, languages: Sequence[str]) -> DataFrame:
+    """``rows`` with the fused decision in place of the evidence; sums are taken over ``seen``'s evidence."""
+    n, e = len(languages), EVIDENCE
+    sums = [F.sum(F.col(f"{e}.soft")[i]).alias(f"s{i}") for i in range(n)]
+    total = [float(x or 0.0) for x in seen.agg(*sums).first()]
+    share = F.array(*[F.lit((t + 1.0) / (sum(total) + n)) for t in total])
+    out = rows
+    for by in VALUES:
+        name = f"{e}_{by}"
+        grouped = seen.groupBy(F.col(f"{e}.{by}").alias(name)).agg(*sums)
+        grouped = grouped.select(name, F.array(*[f"s{i}" for i in range(n)]).alias(f"{name}_sums"))
+        out = out.join(grouped, F.col(f"{e}.{by}") == F.col(name)).drop(name)
+
+    def without_own(by: str) -> Column:
+        return F.zip_with(f"{e}_{by}_sums", f"{e}.soft", lambda a, x: F.greatest(a - x, F.lit(0.0)))
+
+    def smoothed(counts: Column, towards: Column, weight: float) -> Column:
+        size = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+        return F.zip_with(counts, towards, lambda s, p: (s + F.lit(weight) * p) / (size + F.lit(weight)))
+
+    def given(by: str) -> Column:
+        """log P(value | l), less what is equal for all l: how much likelier l is with the value than in the corpus."""
+        ratio = F.zip_with(smoothed(without_own(by), share, SMOOTH_VALUE), share, lambda p, q: F.log(p / q))
+        return F.when(F.col(f"{e}.{by}") != "", ratio).otherwise(F.array(*[F.lit(0.0)] * n))
+
+    domain = smoothed(without_own("domain"), share, SMOOTH_DOMAIN)
+    fused = F.transform(smoothed(without_own("host"), domain, SMOOTH_HOST), lambda p: F.log(p))
+    for logs in (F.col(f"{e}.logs"), given("declared"), given("suffix")):
+        fused = F.zip_with(fused, logs, lambda a, b: a + b)
     names = F.array(*map(F.lit, languages))
 
     def top(p: Column) -> Column:
         return F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))
 
-    return out.withColumn("p", fused).select(
-        F.col("key").alias(key),
-        top(F.col("p")).alias("lang"),
-        F.round(F.array_max("p"), 6).alias("confidence"),
-        F.when(F.col("trigrams") > 0, top(F.col("soft"))).otherwise(UNKNOWN).alias("text_lang"),
-        F.col("trigrams").alias("trigrams"),
+    p, trigrams = F.col(f"{e}_p"), F.col(f"{e}.trigrams")
+    decision = F.struct(
+        top(p).alias("lang"),
+        F.round(F.array_max(p), 6).alias("confidence"),
+        F.when(trigrams > 0, top(F.col(f"{e}.soft"))).otherwise(UNKNOWN).alias("text_lang"),
+        trigrams.alias("trigrams"),
     )
+    done = out.withColumn(f"{e}_p", _normal(fused)).withColumn(e, decision)
+    return done.drop(f"{e}_p", *[f"{e}_{by}_sums" for by in VALUES])
+
+
+def identify(
+    rows: DataFrame,
+    model: Model,
+    key: str,
+    text: Column,
+    declared: Column | None = None,
+    address: Column | None = None,
+    host: Column | None = None,
+) -> DataFrame:
+    """key, lang, confidence, text_lang and trigrams of every row of ``rows``.
+
+    ``declared`` is the markup's language, ``address`` a host name whose last
+    label is the suffix and last two the domain, ``host`` what shares a prior
+    (``address`` if not given).  Whatever is missing gives no evidence.
+    """
+    seen = stored(_with_evidence(rows, model, text, declared, address, host).select(key, EVIDENCE))
+    return _weighed(seen, seen, model.languages).select(key, f"{EVIDENCE}.*")
 
 
 def identify_pages(pages: DataFrame, docs: DataFrame, key: str = "page_id") -> DataFrame:
@@ -250,10 +250,10 @@ def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     its language's posterior is below ``least``; its ``lang`` is its declared
     language and its ``source`` shares a prior.
     """
-    tag = docs.withColumn("_row_of_langid", F.monotonically_increasing_id())
-    tagged = stored(tag)
-    found = identify(tagged, fit(docs, text, lang), "_row_of_langid", F.col(text), F.col(lang), None, F.col(source))
-    kept = found.where((F.col("lang") != UNKNOWN) & (F.col("confidence") >= least) & (F.col("trigrams") > 0))
-    kept = kept.select("_row_of_langid", F.col("lang").alias("_lang_of_langid"))
-    joined = tagged.join(kept, "_row_of_langid")
-    return joined.select(*[F.col("_lang_of_langid").alias(c) if c == lang else F.col(f"`{c}`") for c in docs.columns])
+    model = fit(docs, text, lang)
+    marked = _with_evidence(docs, model, F.col(text), F.col(lang), None, F.col(source))
+    seen = stored(marked.select(EVIDENCE))  # the texts are weighed again below, and not kept
+    found = _weighed(marked, seen, model.languages)
+    decided = F.col(f"{EVIDENCE}.lang")
+    kept = found.where((decided != UNKNOWN) & (F.col(f"{EVIDENCE}.confidence") >= least) & (F.col(f"{EVIDENCE}.trigrams") > 0))
+    return kept.select(*[decided.alias(c) if c == lang else F.col(f"`{c}`") for c in docs.columns])
