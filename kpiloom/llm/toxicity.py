@@ -107,6 +107,18 @@ def _vectors(terms: np.ndarray):
     return run
 
 
+def _document_counts(n: int):
+    """How many of a partition's documents hold each of ``n`` terms."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(n, dtype=np.int64)
+        for b in batches:
+            total += np.bincount(np.concatenate([np.zeros(0, np.int64), *b["terms"]]).astype(np.int64), minlength=n)
+        yield pd.DataFrame({"t": np.flatnonzero(total).astype(np.int32), "n": total[total > 0]})
+
+    return run
+
+
 @dataclass
 class BlockMaxIndex:
     """Unit TF-IDF vectors of the examples in blocks, with each term's maximum in each block."""
@@ -224,7 +236,8 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: in
     vectors = stored(own.mapInPandas(_vectors(terms), f"key {kind}, terms array<int>, tf array<int>"))
     n = vectors.count()
     df = np.zeros(len(terms))
-    for t, c in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # at most TERMS rows
+    counted = vectors.select("terms").mapInPandas(_document_counts(len(terms)), "t int, n long")
+    for t, c in counted.groupBy("t").agg(F.sum("n")).collect():  # at most TERMS rows
         df[t] = c
     idf = np.log((1 + n) / (1 + df)) + 1e-3
     rows = [
