@@ -104,8 +104,7 @@ def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = No
     with_series = parsed(handled)
     malformed = with_series.where("parse_error IS NOT NULL").select("record_id", "namespace", *SOURCE, "timestamp", F.col("parse_error").alias("reason"))
 
-    def base(p: Column) -> Column:
-        hits = matched(F.col("series"), p)
+    def base(p: Column, hits: Column) -> Column:
         value = combined(hits, p)
         return F.struct(
             p["kpi"].alias("kpi"), p["unit"].alias("unit"), p["spec_ref"].alias("spec_ref"),
@@ -115,7 +114,8 @@ def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = No
             F.when(p["mapped"], extracted(hits, p)).alias("labels"),
         )
 
-    good = with_series.where("parse_error IS NULL").withColumn("base", F.transform("plan", base)).drop("series", "plan")
+    good = with_series.where("parse_error IS NULL").withColumn("hits", F.transform("plan", lambda p: matched(F.col("series"), p)))
+    good = good.withColumn("base", F.zip_with("plan", "hits", base)).drop("series", "plan", "hits")
     source = Window.partitionBy(*SOURCE).orderBy(*order)
     before, before_at = F.lag("base").over(source), F.lag("timestamp").over(source)
     if ttl_seconds is not None:
