@@ -15,8 +15,10 @@ from kpiloom.operators.counters import with_deltas
 from kpiloom.operators.normalize import combined, normalize, split_handled
 from kpiloom.plans.views import SCRAPES, SERIES, WINDOWS, scrapes, seconds, series, window_samples
 from kpiloom.registry import Registry
-from kpiloom.sources import exposition
+from kpiloom.sources import exposition, gnmi
 from kpiloom.sources.scrape import COLLECTORS, error_class
+from kpiloom.streaming.counters import stream_deltas
+from kpiloom.streaming.drain import drained
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -557,3 +559,43 @@ def sorted_collectors(spark, sf_dir):
 @query("distinct_vendors", f"WITH {SERIES} SELECT count(DISTINCT vendor) AS vendors FROM series")
 def distinct_vendors(spark, sf_dir):
     return series(spark, sf_dir).agg(F.count_distinct("vendor").alias("vendors"))
+
+
+# -- streams -------------------------------------------------------------------------
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    e = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    return e.select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 8).cast("string").alias("inst"),
+        F.when(F.col("user_id") % 2 == 0, "310-260").otherwise("311-480").alias("plmn"), F.col("event_type").alias("metric"), (F.round(F.col("value") * 100) % 1000).alias("v"),
+    )
+
+
+_STREAM = "e AS (SELECT event_id, ts, CAST(user_id % 8 AS VARCHAR) AS inst, CASE WHEN user_id % 2 = 0 THEN '310-260' ELSE '311-480' END AS plmn, event_type AS metric, round(value * 100) % 1000 AS v FROM events)"
+
+
+@query("stream_counter_state", f"""WITH {_STREAM}, l AS (SELECT *, lag(v) OVER (PARTITION BY inst, metric ORDER BY ts, event_id) AS p FROM e)
+SELECT event_id, CASE WHEN p IS NULL OR v < p THEN v ELSE v - p END AS delta, coalesce(v < p, FALSE) AS reset FROM l""")
+def stream_counter_state(spark, sf_dir):
+    rows = _event_stream(spark, sf_dir).select(F.col("inst").alias("source"), F.col("metric").alias("kpi"), "ts", F.col("event_id").alias("seq"), F.col("v").alias("value"))
+    return drained(stream_deltas(rows)).select(F.col("seq").alias("event_id"), "delta", "reset")
+
+
+@query("stream_sliding_rules", f"""WITH {_STREAM}, m AS (SELECT e.*, w.w FROM e, LATERAL (SELECT unnest(range(CAST(floor(epoch(ts) / 3600) AS BIGINT) - 23, CAST(floor(epoch(ts) / 3600) AS BIGINT) + 1)) AS w) w)
+SELECT plmn, w, count(*) FILTER (metric = 'signup') AS att_n, round(avg(v) FILTER (metric = 'signup'), 4) AS att_mean, max(v) FILTER (metric = 'click') AS gnb_peak FROM m GROUP BY 1, 2""")
+def stream_sliding_rules(spark, sf_dir):
+    names = F.create_map(*map(F.lit, ("signup", "att", "error", "reg_rate", "purchase", "sess", "click", "gnb", "view", "upf")))
+    rows = _event_stream(spark, sf_dir).select("plmn", F.lit("").alias("slice_id"), "ts", F.col("event_id").alias("seq"), names[F.col("metric")].alias("metric"), F.col("v").alias("value"))
+    stats = correlate.sliding(rows, "24 hours", "1 hour", watermark="1 day")
+    hour = F.floor(seconds("window_start") / 3600).cast("bigint").alias("w")
+    return drained(stats, "complete").select("plmn", hour, "att_n", F.round("att_mean", 4).alias("att_mean"), "gnb_peak")
+
+
+@query("gnmi_decode", "SELECT event_id, '/gnb/' || event_type AS path, CAST(user_id % 8 AS VARCHAR) AS id, value FROM events")
+def gnmi_decode(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    encode = F.pandas_udf(lambda m, i, v: m.combine(i, lambda a, b: (a, b)).combine(v, lambda a, b: gnmi.encode([(a[0], {"id": a[1]}, b)], prefix="/gnb")), "binary")
+    rows = e.select("event_id", encode("event_type", (F.col("user_id") % 8).cast("string"), "value").alias("payload"))
+    found = rows.select("event_id", F.explode(gnmi.series(F.col("payload"))["series"]).alias("s"))
+    return found.select("event_id", F.col("s.name").alias("path"), F.col("s.labels")["id"].alias("id"), F.col("s.value").alias("value"))
