@@ -30,18 +30,23 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kpiloom.llm._tokens import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
-#: Parts kept with their ids in each Python worker.
-KEPT = 400_000
+#: Parts kept with their ids, and pairs kept with their weights, in each Python worker.
+KEPT, KEPT_PAIRS = 150_000, 200_000
 
 
 def _fields(buffer: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -120,8 +125,12 @@ class Transducer:
             elif kind == UNKNOWN:
                 self.unknown = i
         self.bytes = [byte_ids.get(b, self.unknown) for b in range(256)] if spec.byte_fallback else None
-        self.longest = max(map(len, self.ids), default=1)
-        self.text = [p if k in (NORMAL, USER) else "" for p, _, k in spec.pieces]
+        self.covered = {p for p in self.ids if len(p) == 1}
+        #: Finds every piece that an input spells.
+        self.lexicon = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            self.lexicon.add_word(piece, (piece, i))
+        self.lexicon.make_automaton()
         self.raw = [
             bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode() if k in (NORMAL, USER) else b" \xe2\x81\x87 " if k == UNKNOWN else b""
             for p, _, k in spec.pieces
@@ -164,7 +173,7 @@ class Transducer:
         pair = (left, right)
         found = self.fits.get(pair)
         if found is None:
-            if len(self.fits) >= 2 * KEPT:
+            if len(self.fits) >= KEPT_PAIRS:
                 self.fits.clear()
             found = self.fits[pair] = self.merged(left + right) == [p for p in pair if p]
         return found
@@ -173,32 +182,32 @@ class Transducer:
     def shortest(self, part: str) -> list[str]:
         """Pieces, or uncovered characters, along the shortest path through ``part``.
 
-        One state survives at each end: of a BPE model no other has finite cost,
-        of a unigram model pairs cost nothing, so only the cheapest matters.
+        Arcs are relaxed in order of the place where they end, and one state
+        survives at each place: of a BPE model no other has finite cost, of a
+        unigram model pairs cost nothing, so only the cheapest matters.
         """
-        bpe, ids, longest, n = self.spec.kind == BPE, self.ids, self.longest, len(part)
-        fits, pair_fits = self.fits, self.pair_fits
+        n = len(part)
+        arcs = self.lexicon.iter(part)
+        if not self.covered.issuperset(part):
+            bare = [(k, (c, -1)) for k, c in enumerate(part) if c not in self.covered]
+            arcs = sorted([*arcs, *bare], key=lambda arc: arc[0])
         last: list[str | None] = [None] * (n + 1)
-        cost = [INFINITE] * (n + 1)
-        last[0], cost[0] = "", 0.0
-        for end in range(1, n + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                before = last[start]
-                if before is None:
-                    continue
-                piece = part[start:end]
-                i = ids.get(piece)
-                if i is None and end - start > 1:
-                    continue
-                if bpe:
-                    fit = fits.get((before, piece))
-                    if pair_fits(before, piece) if fit is None else fit:
-                        last[end], cost[end] = piece, 0.0
-                        break
-                else:
-                    step = cost[start] + (-self.least if i is None else self.cost[i])
-                    if step < cost[end]:
-                        last[end], cost[end] = piece, step
+        last[0] = ""
+        if self.spec.kind == BPE:
+            fits, pair_fits = self.fits, self.pair_fits
+            for at, (piece, _) in arcs:
+                if last[at + 1] is None:
+                    before = last[at + 1 - len(piece)]
+                    if before is not None:
+                        fit = fits.get((before, piece))
+                        if pair_fits(before, piece) if fit is None else fit:
+                            last[at + 1] = piece
+        else:
+            cost = [0.0] + [INFINITE] * n
+            for at, (piece, i) in arcs:
+                step = cost[at + 1 - len(piece)] + (-self.least if i < 0 else self.cost[i])
+                if step < cost[at + 1]:
+                    last[at + 1], cost[at + 1] = piece, step
         out, end = [], n
         while end:
             out.append(last[end])
@@ -264,19 +273,6 @@ def _transducer(content: bytes) -> Transducer:
     return _worker[key]
 
 
-def encoded(text: Column, spark: SparkSession, model: str = MODEL) -> Column:
-    """Piece ids of a text column, as an array of ints."""
-    held = _compiled(model, spark)
-
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        t = _transducer(held.value)
-        for texts in batches:
-            yield pd.Series([t.encode(x) for x in texts])
-
-    return run(F.coalesce(text, F.lit("")))
-
-
 def decoded(ids: Column, spark: SparkSession, model: str = MODEL) -> Column:
     """The text of an array of piece ids; null stays null."""
     held = _compiled(model, spark)
@@ -290,9 +286,25 @@ def decoded(ids: Column, spark: SparkSession, model: str = MODEL) -> Column:
     return run(ids)
 
 
-def encode_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL) -> DataFrame:
-    """key and ids of every row of ``docs``."""
-    return docs.select(F.col(key), encoded(F.col(text), docs.sparkSession, model).alias("ids"))
+def encode_documents(docs: DataFrame, text: str = "text", ids: str = "ids", model: str = MODEL) -> DataFrame:
+    """``docs`` with column ``ids``, an array of ints, in place of ``text``.
+
+    Results leave in slices of about a million characters, so that a worker
+    holds no more ids than that at once.
+    """
+    kept = docs.withColumn(text, F.coalesce(F.col(text), F.lit("")))
+    held = _compiled(model, docs.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t = _transducer(held.value)
+        for b in batches:
+            for lo, hi in slices(b[text].tolist()):
+                part = b.iloc[lo:hi]
+                found = [np.frombuffer(t.encode_packed(x), dtype="<i4") for x in part[text]]
+                yield part.drop(columns=[text]).assign(**{ids: found})
+
+    schema = T.StructType([f for f in docs.schema if f.name not in (text, ids)] + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    return kept.drop(ids).mapInPandas(run, schema)
 
 
 def digest(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL) -> DataFrame:
