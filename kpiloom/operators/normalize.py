@@ -134,9 +134,9 @@ def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = No
 
 def _with_derived(staged: DataFrame, registry: Registry, failures: DataFrame) -> Normalized:
     ok = F.filter("base", lambda b: b["mapped"] & b["value"].isNotNull())
-    staged = staged.withColumn("values", F.map_from_entries(F.transform(ok, lambda b: F.struct(b["kpi"].alias("key"), b["value"].alias("value")))))
     bad = F.transform(F.filter("base", lambda b: ~b["mapped"] | b["value"].isNull()), lambda b: F.struct(b["kpi"].alias("key"), (~b["mapped"]).alias("value")))
-    staged = staged.withColumn("failed", F.map_from_entries(bad))
+    held = F.map_from_entries(F.transform(ok, lambda b: F.struct(b["kpi"].alias("key"), b["value"].alias("value"))))
+    staged = staged.withColumns({"values": held, "failed": F.map_from_entries(bad)})
     results = []
     for ns, kpi, tree in registry.formulas():
         here = F.col("namespace") == ns
@@ -160,7 +160,7 @@ def _with_derived(staged: DataFrame, registry: Registry, failures: DataFrame) ->
         extra = F.when(here & F.col(f"{name}.value").isNotNull(), F.create_map(F.lit(kpi.name), F.col(f"{name}.value")))
         lost = F.when(here & F.col(f"{name}.value").isNull(), F.create_map(F.lit(kpi.name), F.col(f"{name}.unsupported")))
         none_v, none_f = F.create_map().cast("map<string,double>"), F.create_map().cast("map<string,boolean>")
-        staged = staged.withColumn("values", F.map_concat("values", F.coalesce(extra, none_v))).withColumn("failed", F.map_concat("failed", F.coalesce(lost, none_f)))
+        staged = staged.withColumns({"values": F.map_concat("values", F.coalesce(extra, none_v)), "failed": F.map_concat("failed", F.coalesce(lost, none_f))})
         results.append(F.col(name))
     base = F.transform(
         "base",
