@@ -36,7 +36,7 @@ TERMS = 512
 PREFIXES = (6, 7, 8, 9)
 MIN_DF = 3
 MIN_CHI2 = 30.0
-LEAST_TERMS = 64
+LEAST_TERMS = 8
 NEIGHBOURS = 15
 BLOCK = 64
 PRIOR_WEIGHT = 0.5
