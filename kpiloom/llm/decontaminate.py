@@ -228,6 +228,10 @@ def contaminated(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows whose text overlaps a benchmark item; clean rows stay as they are."""
-    found = contaminated(docs, benchmark, key, **options).select(F.col(key)).distinct()
+    """``docs`` without the rows whose text overlaps a benchmark item; clean rows stay as they are.
+
+    Rows are told apart by ``key``: a row that repeats a contaminated one's key goes too.
+    """
+    # written out, its size is known when the join is planned: a short list is broadcast and the texts stay where they are
+    found = stored(contaminated(docs, benchmark, key, **options).select(F.col(key)).distinct())
     return docs.join(found, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

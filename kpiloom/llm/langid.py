@@ -180,7 +180,8 @@ def _weighed(rows: DataFrame, seen: DataFrame, languages: Sequence[str]) -> Data
     for by in VALUES:
         name = f"{e}_{by}"
         grouped = seen.groupBy(F.col(f"{e}.{by}").alias(name)).agg(*sums)
-        grouped = grouped.select(name, F.array(*[f"s{i}" for i in range(n)]).alias(f"{name}_sums"))
+        # written out, its size is known when the join is planned: small sums are broadcast and the texts stay where they are
+        grouped = stored(grouped.select(name, F.array(*[f"s{i}" for i in range(n)]).alias(f"{name}_sums")))
         out = out.join(grouped, F.col(f"{e}.{by}") == F.col(name)).drop(name)
 
     def without_own(by: str) -> Column:
