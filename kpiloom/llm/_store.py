@@ -28,3 +28,19 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/kpiloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows in a batch of texts that goes to Python.
+TEXT_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to TEXT_BATCH rows.
+
+    The default of 10,000 suits rows of numbers; of texts it is tens of
+    megabytes, which the executor and its Python worker each hold more than once.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > TEXT_BATCH:
+        spark.conf.set(name, str(TEXT_BATCH))

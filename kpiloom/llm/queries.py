@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.llm import decontaminate, langid, pieces, pii, quality, secrets, simhash, topk, toxicity, warc
+from kpiloom.llm._store import small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name in ("documents", "pages"):
+        small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
