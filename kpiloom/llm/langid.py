@@ -43,6 +43,8 @@ UNKNOWN = "und"
 UNKNOWN_PRIOR = 0.01
 #: Trigram evidence counts as n / (1 + n / TEMPER) independent trigrams.
 TEMPER = 60.0
+#: A text with fewer trigrams is not rejected for what it resembles.
+ENOUGH = 20
 SMOOTH_DOMAIN, SMOOTH_HOST, SMOOTH_VALUE = 20.0, 10.0, 2.0
 
 _SKIP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
@@ -247,14 +249,18 @@ def identify_pages(pages: DataFrame, docs: DataFrame, key: str = "page_id") -> D
 def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", least: float = 0.5) -> DataFrame:
     """``docs`` in an identified language, with ``lang`` set to it.
 
-    A document goes if it has no letters, resembles no language (``und``) or
-    its language's posterior is below ``least``; its ``lang`` is its declared
-    language and its ``source`` shares a prior.
+    A document goes if it has no letters, or if it resembles no language
+    (``und``) or its language's posterior is below ``least``.  Fewer than
+    ``ENOUGH`` trigrams are too little to reject a text on: undecided, it keeps
+    its declared language.  ``lang`` is the declared language, and ``source``
+    shares a prior.
     """
     model = fit(docs, text, lang)
     marked = _with_evidence(docs, model, F.col(text), F.col(lang), None, F.col(source))
     seen = stored(marked.select(EVIDENCE))  # the texts are weighed again below, and not kept
     found = _weighed(marked, seen, model.languages)
-    decided = F.col(f"{EVIDENCE}.lang")
-    kept = found.where((decided != UNKNOWN) & (F.col(f"{EVIDENCE}.confidence") >= least) & (F.col(f"{EVIDENCE}.trigrams") > 0))
-    return kept.select(*[decided.alias(c) if c == lang else F.col(f"`{c}`") for c in docs.columns])
+    decided, trigrams = F.col(f"{EVIDENCE}.lang"), F.col(f"{EVIDENCE}.trigrams")
+    sure = (decided != UNKNOWN) & (F.col(f"{EVIDENCE}.confidence") >= least)
+    kept = found.where((trigrams > 0) & (sure | (trigrams < ENOUGH)))
+    named = F.when(sure, decided).otherwise(F.col(lang))
+    return kept.select(*[named.alias(c) if c == lang else F.col(f"`{c}`") for c in docs.columns])

@@ -189,9 +189,9 @@ LANGUAGES = {"aa": "the and of to in is that for with was", "bb": "der die und d
 def test_language_evidence_is_fused(spark):
     rng = random.Random(1)
     docs = [(i, " ".join(rng.choices(LANGUAGES[x].split(), k=40)), x, f"src-{x}") for i, x in enumerate(["aa", "bb"] * 60)]
-    df = spark.createDataFrame([*docs, (900, None, "aa", None), (901, "", "bb", "s"), (902, "77 88 !!", "aa", "s"), (903, "the", "aa", "src-aa"), (904, "қҗғ " * 99, None, "s")], "doc_id long, text string, lang string, source string")
+    df = spark.createDataFrame([*docs, (900, None, "aa", None), (901, "", "bb", "s"), (902, "77 88 !!", "aa", "s"), (903, "the", "aa", "src-aa"), (904, "қҗғ " * 99, None, "s"), (905, "zqx", "bb", "s")], "doc_id long, text string, lang string, source string")
     kept = {r.doc_id: r.lang for r in langid.keep_identified(df).collect()}
-    assert kept == {i: x for i, _, x, _ in docs} | {903: "aa"}
+    assert kept == {i: x for i, _, x, _ in docs} | {903: "aa", 905: "bb"}
     assert langid.keep_identified(df.limit(0)).count() == 0
     pages = spark.createDataFrame([(i, f"http://www.{x}.example.{x}/p", f'<html lang="{x}"><script>und</script><p>{t}</p>') for i, t, x, _ in docs] + [(800, "http://bb.example.bb/q", "<html><p>zq</p>"), (801, None, None)], "page_id long, url string, html string")
     found = {r.page_id: r for r in langid.identify_pages(pages, df).collect()}
