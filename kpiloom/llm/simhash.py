@@ -146,7 +146,7 @@ WIDE, SEGMENTS, WEAKEST = 256, 10, 3
 WIDE_DISTANCE = 40
 #: Of the first 64 bits, pairs within WIDE_DISTANCE differ in more than this with probability below 0.001.
 SKETCH_DISTANCE = 20
-CROWD = 512
+CROWD = 1024
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 
