@@ -138,196 +138,189 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     )
 
 
-# -- similar documents: five-word shingles, similarity of 0.8 or more -----------
-
-WIDE, SEGMENTS, WEAKEST = 256, 10, 3
-#: Sets of Jaccard similarity 0.8 have cosine 8/9, so a bit differs with
-#: probability acos(8/9) / pi = 0.151: 39 of 256.
-WIDE_DISTANCE = 40
-#: Of the first 64 bits, pairs within WIDE_DISTANCE differ in more than this with probability below 0.001.
-SKETCH_DISTANCE = 20
+# -- similar documents: sets of five-word shingles with a Jaccard similarity of 0.8 or more -----------
+
+WIDE = 256
+#: Sets of Jaccard similarity 0.8 have cosine 8/9, so a bit differs with probability acos(8/9) / pi = 0.151
+#: (up to 0.19 in sets of a few shingles).  Pairs of that similarity are within this distance but for one in 10,000.
+WIDE_DISTANCE = 72
+#: Pairs meet if all minima of one of the bands agree: at similarity 0.8 with probability 1 - (1 - 0.8**4)**20 = 0.99997.
+BANDS, BAND = 20, 4
 CROWD = 1024
+#: Rounds in which each full bucket's members are compared with one of them, before all that are still apart are compared.
+ROUNDS = 3
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+_FACTORS = mixed(np.arange(1, BANDS * BAND + 1, dtype=np.uint64)) | np.uint64(1)
+_W = [f"w{i}" for i in range(4)]
 
 
-def wide_fingerprint(text: str, words: int) -> tuple[np.ndarray, bytes]:
-    """(256 bits as four words, the weakest bits of each segment) of the set of shingles."""
-    hashes = np.unique(shingle_hashes(text, words))
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """Sorted hashes of the text's distinct shingles."""
+    return np.unique(shingle_hashes(text, words))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """256 bits of a set of shingles as four words."""
     counts = np.zeros(WIDE, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 12):
         h = mixed(hashes[at : at + (1 << 12), None] ^ _SALTS)
         counts += np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    margin = 2 * counts - len(hashes)
-    bits = np.packbits(margin > 0, bitorder="little").view(np.uint64)
-    inside = np.abs(margin[: SEGMENTS * golay.LENGTH]).reshape(SEGMENTS, golay.LENGTH)
-    return bits, np.argsort(inside, axis=1, kind="stable")[:, :WEAKEST].astype(np.uint8).tobytes()
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)
 
 
-def _wide_keys(bits: np.ndarray, weak: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(place, bucket key): codeword indices of a pair of segments, each with every choice of its weak bits flipped.
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band of minima over a set of shingles; an empty set has none."""
+    if not len(hashes):
+        return np.zeros(0, dtype=np.uint64)
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 1 << 10):
+        np.minimum(least, (_FACTORS[:, None] * hashes[at : at + (1 << 10)]).min(axis=1), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, BAND).T:
+        keys = mixed(keys ^ column) + column
+    return keys
 
-    The bits that near copies disagree on are those with the smallest margins,
-    so flipping them decodes to the codewords that a near copy decodes to.
-    """
-    flat = np.unpackbits(bits.view(np.uint8).reshape(len(bits), -1), axis=1, bitorder="little")
-    power = 1 << np.arange(golay.LENGTH)
-    choices = np.array([[c >> j & 1 for j in range(WEAKEST)] for c in range(1 << WEAKEST)])
-    found = []
-    for s in range(SEGMENTS):
-        word = flat[:, s * golay.LENGTH : (s + 1) * golay.LENGTH] @ power
-        flips = (1 << weak[:, s, :].astype(np.int64)) @ choices.T
-        keys = np.sort(golay.nearest(word[:, None] ^ flips), axis=1)
-        first = np.ones(keys.shape, dtype=bool)
-        first[:, 1:] = keys[:, 1:] != keys[:, :-1]
-        found.append((keys, first))
-    for s in range(0, SEGMENTS, 2):
-        (a, a_first), (b, b_first) = found[s], found[s + 1]
-        place, i, j = np.nonzero(a_first[:, :, None] & b_first[:, None, :])
-        yield place, (s // 2) << 24 | a[place, i] << 12 | b[place, j]
-
-
-def _wide_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        for at in range(0, len(b), 1000):
-            c = b.iloc[at : at + 1000]
-            bits = np.stack([c[f"w{i}"].to_numpy(dtype=np.int64) for i in range(4)], axis=1).view(np.uint64)
-            weak = np.frombuffer(b"".join(c["weak"]), dtype=np.uint8).reshape(len(c), SEGMENTS, WEAKEST)
-            node, sketch = c["node"].to_numpy(), c["w0"].to_numpy(dtype=np.int64)
-            for place, key in _wide_keys(np.ascontiguousarray(bits), weak):
-                yield pd.DataFrame({"k": key.astype(np.int32), "node": node[place], "sketch": sketch[place]})
-
-
-def _in_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """From rows in order of key: (a, b) of pairs with near sketches in small buckets, (k, a) of each row of a full one."""
-    held = pd.DataFrame({"k": [], "node": [], "sketch": []}).astype("int64")
-    full_key = None
-
-    def complete(rows: pd.DataFrame) -> pd.DataFrame:
-        k, node = rows["k"].to_numpy(), rows["node"].to_numpy()
-        sketch = rows["sketch"].to_numpy(dtype=np.int64).view(np.uint64)
-        starts = np.flatnonzero(np.diff(k, prepend=-1) != 0)
-        size = np.repeat(np.diff([*starts, len(k)]), np.diff([*starts, len(k)]))
-        full = size > BUCKET
-        out = [pd.DataFrame({"k": k[full], "a": node[full], "b": None})]
-        for d in range(1, BUCKET):
-            i = np.flatnonzero((k[:-d] == k[d:]) & ~full[:-d])
-            if not len(i):
-                break
-            i = i[np.bitwise_count(sketch[i] ^ sketch[i + d]) <= SKETCH_DISTANCE]
-            out.append(pd.DataFrame({"k": k[i], "a": node[i], "b": node[i + d]}))
-        return pd.concat(out).astype({"b": "Int64"})
 
-    for b in batches:
-        b = b.astype("int64")
-        if full_key is not None:
-            same = int(np.searchsorted(b["k"].to_numpy(), full_key, side="right"))
-            if same:
-                yield pd.DataFrame({"k": full_key, "a": b["node"].iloc[:same], "b": None}).astype({"b": "Int64"})
-                b = b.iloc[same:]
-            full_key = full_key if not len(b) else None
-        held = pd.concat([held, b])
-        if not len(held):
-            continue
-        last = held["k"].iloc[-1]
-        cut = int(np.searchsorted(held["k"].to_numpy(), last))
-        if cut:
-            yield complete(held.iloc[:cut])
-        held = held.iloc[cut:]
-        if len(held) > BUCKET:
-            yield pd.DataFrame({"k": last, "a": held["node"], "b": None}).astype({"b": "Int64"})
-            full_key, held = last, held.iloc[:0]
-    if len(held):
-        yield complete(held)
-
-
-def _forest(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links that connect what all near pairs of two blocks connect, at most one less than there are rows."""
-    rows = rows.drop_duplicates("node")
-    node = rows["node"].to_numpy()
-    bits = np.stack([rows[f"w{i}"].to_numpy(dtype=np.int64) for i in range(4)], axis=1).view(np.uint64)
-    near = np.zeros((len(node), len(node)), dtype=bool)
-    for i in range(0, len(node), 128):
-        near[i : i + 128] = np.bitwise_count(bits[i : i + 128, None, :] ^ bits[None, :, :]).sum(axis=2) <= WIDE_DISTANCE
-    out, rest = [], np.ones(len(node), dtype=bool)
-    while rest.any():
-        root = int(np.argmax(rest))
-        rest[root] = False
-        todo = [root]
-        while todo:
-            i = todo.pop()
-            reached = np.flatnonzero(near[i] & rest)
-            rest[reached] = False
-            out += [(node[i], node[j]) for j in reached]
-            todo += reached.tolist()
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-
-def _crowd_links(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links inside full buckets: members fall into blocks of about CROWD, and each two blocks are compared once.
-
-    A block meets the others as rows, so no task holds more than two blocks, and
-    each comparison returns a forest, not its pairs.
-    """
-    size = crowded.groupBy("k").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("blocks"))
-    placed = crowded.join(size, "k").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = placed.withColumn("other", other).select(
-        "k", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-    return paired.join(nodes.select("node", "w0", "w1", "w2", "w3"), "node").groupBy("k", "i", "j").applyInPandas(_forest, "a long, b long")
+def set_name(hashes: np.ndarray) -> int:
+    """A hash of a set of shingles."""
+    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
 
 
-def wide_links(nodes: DataFrame) -> DataFrame:
-    """(a, b) of nodes whose 256 bits differ in at most WIDE_DISTANCE."""
-    met = stored(
-        nodes.mapInPandas(_wide_rows, "k int, node long, sketch long")
-        .repartition("k")
-        .sortWithinPartitions("k")
-        .mapInPandas(_in_buckets, "k long, a long, b long")
-    )
-    bits = [f"w{i}" for i in range(4)]
-    words = nodes.select("node", F.array(*bits).alias("w"))
-    pairs = met.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def wide_prints(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(key, content, node, w0..w3, keys) of every row; content is a hash of the text, node one of its set of shingles."""
+
+    @F.pandas_udf("node long, w0 long, w1 long, w2 long, w3 long, keys array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            nodes, bits, keys = [], [], []
+            for t in texts:
+                found = shingle_set(t, words)
+                nodes.append(set_name(found))
+                bits.append(wide_fingerprint(found))
+                keys.append(band_keys(found).view(np.int64))
+            w = np.array(bits, dtype=np.uint64).reshape(-1, 4).view(np.int64)
+            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), **{f"w{i}": w[:, i] for i in range(4)}, "keys": keys})
+
+    t = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(key).alias("key"), F.xxhash64(t).alias("content"), run(t).alias("p")).select("key", "content", "p.*")
+
+
+def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct (a, b) of ``pairs`` with near fingerprints, the smaller node first."""
+    words = nodes.select("node", F.array(*_W).alias("w"))
     apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = (
-        pairs.join(words.select(F.col("node").alias("a"), F.col("w").alias("wa")), "a")
+    return (
+        pairs.where("a <> b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+        .join(words.select(F.col("node").alias("a"), F.col("w").alias("wa")), "a")
         .join(words.select(F.col("node").alias("b"), F.col("w").alias("wb")), "b")
         .where(apart <= WIDE_DISTANCE)
         .select("a", "b")
     )
-    crowded = met.where("b IS NULL").select("k", F.col("a").alias("node"))
-    return near.unionByName(_crowd_links(crowded, nodes)).distinct()
 
 
-def wide_prints(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(key, content, w0..w3, weak) of every row; content is a hash of the text."""
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of ``pairs`` whose sets have a Jaccard similarity of 0.8 or more: 9 times what they share is 4 times both sizes."""
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return (
+        pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+        .where(9 * shared >= 4 * (F.size("sa") + F.size("sb")))
+        .select("a", "b")
+    )
 
-    @F.pandas_udf("w0 long, w1 long, w2 long, w3 long, weak binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            found = [wide_fingerprint(t, words) for t in texts]
-            bits = np.array([b for b, _ in found], dtype=np.uint64).reshape(-1, 4).view(np.int64)
-            yield pd.DataFrame({**{f"w{i}": bits[:, i] for i in range(4)}, "weak": [w for _, w in found]})
 
-    t = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(key).alias("key"), F.xxhash64(t).alias("content"), run(t).alias("p")).select("key", "content", "p.*")
+def _across(rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of two blocks with near fingerprints that are in different components so far."""
+    rows = rows.drop_duplicates("node")
+    node, root = rows["node"].to_numpy(), rows["root"].to_numpy()
+    block, i, j = rows["block"].to_numpy(), rows["i"].iloc[0], rows["j"].iloc[0]
+    bits = np.stack([rows[w].to_numpy(dtype=np.int64) for w in _W], axis=1).view(np.uint64)
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    out = []
+    for at in range(0, len(left), 128):
+        x = left[at : at + 128]
+        near = np.bitwise_count(bits[x, None, :] ^ bits[None, right, :]).sum(axis=2) <= WIDE_DISTANCE
+        p, q = np.nonzero(near & (root[x, None] != root[None, right]) & (node[x, None] != node[None, right]))
+        out.append(pd.DataFrame({"a": node[x][p], "b": node[right][q]}))
+    return pd.concat(out).astype("int64") if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+
+
+def _blocks(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b) of near fingerprints in full buckets that are still apart: blocks of about CROWD members meet as rows, each two once."""
+    size = crowded.groupBy("k").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("blocks"))
+    placed = crowded.join(size, "k").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    paired = placed.withColumn("other", other).select(
+        "k", "node", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    )
+    return paired.join(nodes.select("node", *_W), "node").groupBy("k", "i", "j").applyInPandas(_across, "a long, b long")
+
+
+def wide_components(nodes: DataFrame, shingles) -> DataFrame:
+    """(node, root) of nodes that pairs of Jaccard similarity 0.8 or more connect; ``shingles`` gives the sets of a table's nodes.
+
+    Pairs of small buckets are all compared.  In full ones, members are first
+    compared with one member at a time, which puts copies of one text into one
+    component; then all that are still in different ones are compared.
+    """
+    keyed = nodes.select("node", F.explode("keys").alias("k"))
+    size = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    keyed = stored(keyed.join(size, "k"))
+    sets = stored(shingles(keyed.select("node").distinct()))
+    light = keyed.where(F.col("n") <= BUCKET)
+    pairs = (
+        light.select("k", F.col("node").alias("a")).join(light.select("k", F.col("node").alias("b")), "k").where("a < b").select("a", "b")
+    )
+    links = stored(_similar(_close(pairs, nodes), sets))
+    roots = stored(components(links))
+    crowded = keyed.where(F.col("n") > BUCKET).select("k", "node")
+    for round in range(ROUNDS + 1):
+        placed = crowded.join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root"))
+        apart = placed.groupBy("k").agg(
+            (F.min("root") < F.max("root")).alias("apart"), F.min_by("node", F.xxhash64("k", "node", F.lit(round))).alias("one")
+        )
+        crowded = stored(placed.join(apart.where("apart").select("k", "one"), "k"))
+        if crowded.isEmpty():
+            break
+        if round < ROUNDS:
+            pairs = crowded.select(F.col("node").alias("a"), F.col("one").alias("b"))
+        else:
+            pairs = _blocks(crowded, nodes)
+        more = stored(_similar(_close(pairs, nodes), sets))
+        links = links.unionByName(more)
+        roots = stored(components(links))
+        crowded = crowded.select("k", "node")
+    return roots
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
     """``docs`` with one row of each group of similar texts: the one with the smallest key.
 
-    Texts are linked if their 256-bit fingerprints over sets of ``words``-word
-    shingles differ in at most WIDE_DISTANCE bits (similarity of about 0.8 or
-    more), and groups are connected.  A null key counts as larger than any;
-    of rows with equal key and text one stays.
+    Texts are linked if their sets of ``words``-word shingles have a Jaccard
+    similarity of 0.8 or more, and groups are connected.  Bands of minima and
+    256-bit fingerprints only choose the pairs whose sets are compared.  A null
+    key counts as larger than any; of rows with equal key and text one stays.
     """
-    bits = [f"w{i}" for i in range(4)]
     prints = stored(wide_prints(docs, key, text, words))
     order = F.struct(F.col("key").isNull().alias("last"), "key", "content")
     nodes = stored(
-        prints.groupBy(*bits).agg(F.min(order).alias("first"), F.min("weak").alias("weak")).withColumn("node", F.xxhash64(*bits))
+        prints.groupBy("node").agg(F.min(order).alias("first"), *[F.min(w).alias(w) for w in _W], F.min("keys").alias("keys"))
     )
-    roots = components(wide_links(nodes.drop("first")))
+
+    def shingles(wanted: DataFrame) -> DataFrame:
+        @F.pandas_udf("array<long>")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series([shingle_set(t, words).view(np.int64) for t in texts])
+
+        first = nodes.join(wanted, "node").select("node", "first.content")
+        t = F.coalesce(F.col(text), F.lit(""))
+        texts = docs.select(F.xxhash64(t).alias("content"), t.alias("t")).join(first, "content")
+        return texts.groupBy("node").agg(F.min("t").alias("t")).select("node", run("t").alias("s"))
+
+    roots = wide_components(nodes, shingles)
     rooted = nodes.select("node", "first").join(roots, "node", "left")
     chosen = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("f")).select("f.key", "f.content")
     kept = stored(chosen.select(F.col("key").alias("_kept_key"), F.col("content").alias("_kept_content")))

@@ -94,6 +94,27 @@ def test_one_of_each_group_stays(spark, monkeypatch, bucket):
     assert sorted(r.doc_id for r in out) == list(range(12))
 
 
+@pytest.mark.parametrize("bucket, crowd", [(16, 1024), (2, 8)])
+def test_similar_texts_are_linked_by_exact_similarity(spark, monkeypatch, bucket, crowd):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rng = random.Random(8)
+    rows, want = [], set()
+    for g in range(40):
+        words = prose(rng, 104).split()  # 100 shingles, of which a changed end of m words changes m
+        rows.append((10 * g, " ".join(words)))
+        want.add(10 * g)
+        for at, m in ((1, 11), (2, 12)):  # similarities 89/111 and 88/112
+            rows.append((10 * g + at, " ".join([*words[:-m], *prose(rng, m).split()])))
+        want.add(10 * g + 2)
+    line = prose(rng, 30)
+    for i in range(1000, 1040):  # alike in one line, never similar
+        rows.append((i, f"{line} {prose(rng, 12)}"))
+        want.add(i)
+    out = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in out} == want and len(out) == len(want)
+
+
 def test_decontamination_tolerates_substitutions_and_spares_the_rest(spark):
     rng = random.Random(6)
     items = [(i, prose(rng, 20 + i)) for i in range(10)] + [(10, "six words make one short item"), (11, "too short"), (12, None)]
