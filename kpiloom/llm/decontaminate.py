@@ -11,14 +11,20 @@ lets more through to the join and never loses a hit.  The join itself carries
 no hint: Spark broadcasts the benchmark side only when its measured size allows
 and otherwise shuffles, splitting hot hashes.
 
+Items of fewer than ``LONG`` tokens are too short for the masks to hit every
+passage the check accepts.  An overlap that the check accepts lacks at most so
+many of their tokens; cut into one part more, the item has a part that it holds
+whole, so each part is a seed.
+
 Defined results: null and empty texts hold no tokens and match nothing; items
-of fewer than ``SHORTEST`` tokens are no evidence and match nothing; repeated
+of fewer than five tokens match their exact copies only; repeated
 documents each get their rows, except that rows with the same id and item are
 merged into one; ties between overlaps go to the earliest in the document.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -32,7 +38,8 @@ from kpiloom.llm._tokens import mixed, slices, token_hashes
 #: Fixed masks: 1 reads a token, 0 ignores it.  Together they hit every passage
 #: of 15 tokens with one substitution and of 16 tokens with two.
 MASKS = ("111101001011", "111100110011", "101111000111", "100110101111")
-SHORTEST = 5
+#: Items of fewer tokens are sought by their parts.
+LONG = 15
 CONTEXT = 48
 BLOOM_BITS = 1 << 23
 MIN_MATCHED = 12
@@ -56,14 +63,20 @@ def seeds(hashes: np.ndarray, offsets: np.ndarray, mask: str, salt: int) -> tupl
     return mixed(h[inside]), at[inside]
 
 
-def _all_masks(masks: Sequence[str]) -> list[str]:
-    """The given masks and, for items too short for them, solid ones of each shorter length."""
-    widest = max(map(len, masks))
-    return [*masks, *("1" * n for n in range(SHORTEST, widest))]
+def needed(n: int, min_matched: int, min_overlap: float) -> int:
+    """Tokens of an item of ``n`` that an overlap has to match."""
+    return min(min_matched, math.ceil(min_overlap * n - 1e-9))
+
+
+def parts(n: int, min_matched: int, min_overlap: float) -> list[tuple[int, int]]:
+    """(start, length) of consecutive parts, one more than the tokens that an overlap with ``n`` tokens may lack."""
+    count = n - needed(n, min_matched, min_overlap) + 1
+    cuts = [n * i // count for i in range(count + 1)]
+    return [(x, y - x) for x, y in zip(cuts, cuts[1:], strict=False)]
 
 
-def _item_rows(masks: Sequence[str]):
-    every, widest = _all_masks(masks), max(map(len, masks))
+def _item_rows(masks: Sequence[str], min_matched: int, min_overlap: float):
+    long = max(LONG, *map(len, masks))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -71,13 +84,16 @@ def _item_rows(masks: Sequence[str]):
             rows = []
             for i, item in enumerate(b["item"]):
                 own = hashes[offsets[i] : offsets[i + 1]]
-                if len(own) < SHORTEST:
+                if not len(own):
                     continue
-                use = range(len(masks)) if len(own) >= widest else [every.index("1" * len(own), len(masks))]
+                if len(own) >= long:
+                    sought = [(0, len(own), mask, k + 1) for k, mask in enumerate(masks)]
+                else:
+                    sought = [(at, n, "1" * n, -n) for at, n in parts(len(own), min_matched, min_overlap)]
                 found = [
-                    (int(h), int(p))
-                    for k in use
-                    for h, p in zip(*seeds(own, np.array([0, len(own)]), every[k], k + 1), strict=True)
+                    (int(h), int(p) + at)
+                    for at, n, mask, salt in sought
+                    for h, p in zip(*seeds(own[at : at + n], np.array([0, n]), mask, salt), strict=True)
                 ]
                 rows.append((item, own.view(np.int64), [h - (1 << 64) if h >> 63 else h for h, _ in found], [p for _, p in found]))
             yield pd.DataFrame(rows, columns=["item", "item_tokens", "h", "off"])
@@ -110,10 +126,9 @@ def _in_bloom(words: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _regions(masks: Sequence[str], lengths: Sequence[int], words, bits: int):
-    """Per document, token regions around seeds that pass the filter."""
-    every = _all_masks(masks)
-    use = [*range(len(masks)), *(i for i in range(len(masks), len(every)) if len(every[i]) in lengths)]
-    widest = max(len(every[i]) for i in use)
+    """Per document, token regions around seeds (masks, and parts of ``lengths``) that pass the filter."""
+    use = [*((mask, k + 1) for k, mask in enumerate(masks)), *(("1" * n, -n) for n in lengths)]
+    widest = max(len(mask) for mask, _ in use)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bloom = words.value
@@ -123,8 +138,8 @@ def _regions(masks: Sequence[str], lengths: Sequence[int], words, bits: int):
             for lo, hi in slices(texts):
                 hashes, offsets = token_hashes(texts[lo:hi])
                 hs, ps = [], []
-                for k in use:
-                    h, p = seeds(hashes, offsets, every[k], k + 1)
+                for mask, salt in use:
+                    h, p = seeds(hashes, offsets, mask, salt)
                     hit = _in_bloom(bloom, h, bits)
                     hs.append(h[hit])
                     ps.append(p[hit])
@@ -155,14 +170,32 @@ def best_overlap(same: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(same[start:end].sum())
 
 
-def _overlaps(tokens: pd.Series, region_at: pd.Series, item: pd.Series, diagonal: pd.Series) -> pd.DataFrame:
-    rows = []
-    for t, at, it, d in zip(tokens, region_at, item, diagonal, strict=True):
-        lo, hi = max(at, d), min(at + len(t), d + len(it))
-        same = np.asarray(t)[lo - at : hi - at] == np.asarray(it)[lo - d : hi - d]
-        s, e, m = best_overlap(same) if hi > lo else (0, 0, 0)
-        rows.append((lo + s, e - s, m))
-    return pd.DataFrame(rows, columns=["start", "length", "matched"])
+def longest_overlap(same: np.ndarray, min_overlap: float) -> tuple[int, int, int]:
+    """(start, end, matches) of the segment with the most matches of those that match ``min_overlap`` of their length."""
+    sums = np.concatenate([[0.0], np.cumsum(same - min_overlap)])
+    low = np.minimum.accumulate(sums)
+    start = np.minimum(np.searchsorted(-low, -sums - 1e-9), np.arange(len(sums)))
+    count = np.concatenate([[0], np.cumsum(same)])
+    matched = count - count[start]
+    end = int(np.argmax(matched))
+    return int(start[end]), end, int(matched[end])
+
+
+def _overlaps(min_matched: int, min_overlap: float):
+    @F.pandas_udf("start int, length int, matched int")
+    def run(tokens: pd.Series, region_at: pd.Series, item: pd.Series, diagonal: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, at, it, d in zip(tokens, region_at, item, diagonal, strict=True):
+            lo, hi = max(at, d), min(at + len(t), d + len(it))
+            same = np.asarray(t)[lo - at : hi - at] == np.asarray(it)[lo - d : hi - d]
+            s, e, m = best_overlap(same) if hi > lo else (0, 0, 0)
+            if m < needed(len(it), min_matched, min_overlap) and hi > lo:
+                # the best score may leave out matches behind a substitution that the check would accept
+                s, e, m = longest_overlap(same, min_overlap)
+            rows.append((lo + s, e - s, m))
+        return pd.DataFrame(rows, columns=["start", "length", "matched"])
+
+    return run
 
 
 def contaminated(
@@ -178,20 +211,21 @@ def contaminated(
 ) -> DataFrame:
     """A row per (document, item) that overlap: key, item, start, length, matched, spans.
 
-    An overlap counts if it matches ``min_matched`` tokens, or 80 % of a shorter
-    item's, and at least ``min_overlap`` of its length.  ``start`` and ``length``
+    An overlap counts if it matches ``min_matched`` tokens, or ``min_overlap`` of
+    a shorter item's, and at least ``min_overlap`` of its length.  ``start`` and ``length``
     are of the document's longest overlap with the item, in tokens.
     """
     spark = docs.sparkSession
     items = stored(
         benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text")).mapInPandas(
-            _item_rows(masks),
+            _item_rows(masks, min_matched, min_overlap),
             f"item {benchmark.schema[item].dataType.simpleString()}, item_tokens array<long>, h array<long>, off array<int>",
         )
     )
     item_seeds = items.select("item", F.explode(F.arrays_zip("h", "off")).alias("s")).select("item", "s.h", "s.off")
-    widest = max(map(len, masks))
-    lengths = [r[0] for r in items.select(F.size("item_tokens").alias("n")).where(F.col("n") < widest).distinct().collect()]
+    long = max(LONG, *map(len, masks))
+    short = [r[0] for r in items.select(F.size("item_tokens").alias("n")).where(F.col("n") < long).distinct().collect()]
+    lengths = sorted({n for x in short for _, n in parts(x, min_matched, min_overlap)})
     words = spark.sparkContext.broadcast(_bloom_words(item_seeds, BLOOM_BITS))
     regions = stored(
         docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -208,15 +242,15 @@ def contaminated(
         .select("rid", "item", (F.col("pos") - F.col("off")).alias("diagonal"))
         .distinct()
     )
-    verified = F.pandas_udf(_overlaps, "start int, length int, matched int")
+    verified = _overlaps(min_matched, min_overlap)
+    least = F.least(F.lit(min_matched), F.ceil(F.lit(min_overlap) * F.col("n") - 1e-9))
     checked = (
         hits.join(regions.select("rid", "key", "region_at", "tokens"), "rid")
         .join(items.select("item", "item_tokens"), "item")
         .select("key", "item", F.size("item_tokens").alias("n"), verified("tokens", "region_at", "item_tokens", "diagonal").alias("v"))
         .select("key", "item", "n", "v.*")
         .where(
-            (F.col("matched") >= F.least(F.lit(min_matched), F.ceil(F.lit(0.8) * F.col("n"))))
-            & (F.col("matched") >= F.lit(min_overlap) * F.col("length"))
+            (F.col("matched") >= least) & (F.col("matched") >= F.lit(min_overlap) * F.col("length") - 1e-9)
         )
     )
     best = F.max_by(F.struct("start", "length", "matched"), F.struct("matched", -F.col("start"))).alias("b")

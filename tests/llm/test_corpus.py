@@ -137,6 +137,27 @@ def test_decontamination_tolerates_substitutions_and_spares_the_rest(spark):
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_short_items_are_found_with_every_substitution(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(2000)]
+    items, rows, want = [], [], set()
+    for n in range(1, 15):
+        item = [words.pop() for _ in range(n)]
+        items.append((n, " ".join(item)))
+        need = min(12, -(-4 * n // 5))
+        lacks = [(), *((i,) for i in range(n)), *((i, j) for i in range(n) for j in range(i))]
+        for places in [*lacks, "head", "tail"]:
+            copy = item[:need] if places == "head" else item[-need:] if places == "tail" else ["swapped" if i in places else x for i, x in enumerate(item)]
+            d = len(rows)
+            rows.append((d, f"{prose(rng, 20)} {' '.join(copy)} {prose(rng, 20)}"))
+            same = [x == y for x, y in zip(copy, item if places != "tail" else item[-need:])]
+            if any(sum(same[a:z]) >= max(need, 0.8 * (z - a)) for a in range(len(same)) for z in range(a + 1, len(same) + 1)):
+                want.add((d, n))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == want
+
+
 def brute_top(rows, ids, k):
     vs = {i: [int(np.floor(256 * float(x))) for x in v] for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     out = set()
