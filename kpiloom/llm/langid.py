@@ -37,8 +37,6 @@ from kpiloom.llm._store import stored
 from kpiloom.llm._tokens import slices
 
 BUCKETS = 1 << 14
-#: The model holds the languages with the most labelled documents, at most so many.
-MAX_LANGUAGES = 64
 UNKNOWN = "und"
 UNKNOWN_PRIOR = 0.01
 #: Trigram evidence counts as n / (1 + n / TEMPER) independent trigrams.
@@ -75,14 +73,18 @@ def _counts(languages: Sequence[str]):
     place = {x: i for i, x in enumerate(languages)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((len(languages), BUCKETS), dtype=np.int64)
+        totals: dict[int, np.ndarray] = {}  # of the languages that the task meets
         for b in batches:
             texts, of = b["text"].tolist(), np.array([place[x] for x in b["label"]], dtype=np.int64)
             for lo, hi in slices(texts):
                 bucket, text = trigrams(texts[lo:hi])
-                total += np.bincount(of[lo:hi][text] * BUCKETS + bucket, minlength=total.size).reshape(total.shape)
-        lang, bucket = np.nonzero(total)
-        yield pd.DataFrame({"lang": lang.astype(np.int32), "bucket": bucket.astype(np.int32), "n": total[lang, bucket]})
+                met, at = np.unique(of[lo:hi], return_inverse=True)
+                found = np.bincount(at[text] * BUCKETS + bucket, minlength=len(met) * BUCKETS).reshape(len(met), BUCKETS)
+                for i, n in zip(met.tolist(), found, strict=True):
+                    totals[i] = totals[i] + n if i in totals else n.copy()
+        for i, n in totals.items():
+            bucket = np.flatnonzero(n)
+            yield pd.DataFrame({"lang": np.int32(i), "bucket": bucket.astype(np.int32), "n": n[bucket]})
 
     return run
 
@@ -109,30 +111,27 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> Model:
-    """Trigram counts over all documents with a label."""
+    """Trigram counts over all documents with a label, of every label."""
     labelled = docs.select(F.col(label).alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(
         F.col("label").isNotNull() & (F.col("label") != UNKNOWN)
     )
-    top = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["label"] for r in top)
+    languages = sorted(r["label"] for r in labelled.select("label").distinct().collect())
     counts = np.zeros((len(languages), BUCKETS))
     if languages:
         rows = (
-            labelled.where(F.col("label").isin(languages))
-            .mapInPandas(_counts(languages), "lang int, bucket int, n long")
+            labelled.mapInPandas(_counts(languages), "lang int, bucket int, n long")
             .groupBy("lang", "bucket")
             .agg(F.sum("n").alias("n"))
-            .toPandas()  # at most MAX_LANGUAGES * BUCKETS rows
+            .toPandas()  # at most BUCKETS rows a language
         )
         counts[rows["lang"], rows["bucket"]] = rows["n"]
     return Model(languages, counts)
 
 
-def _normal(logs: Column) -> Column:
-    """Probabilities of an array of logarithms."""
-    shifted = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(shifted, lambda x: x / total)
+def _normal(logs: np.ndarray) -> np.ndarray:
+    """Probabilities of rows of logarithms."""
+    p = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
 
 
 #: The column that holds a row's evidence while it is weighed; no input column may have this name.
@@ -145,19 +144,19 @@ def _with_evidence(rows: DataFrame, model: Model, text: Column, declared: Column
     held = rows.sparkSession.sparkContext.broadcast(model)
     n = len(model.languages)
 
-    @F.pandas_udf("logs array<double>, trigrams long")
+    flat = np.full(n, np.log((1 - UNKNOWN_PRIOR) / max(1, n - 1)))
+    flat[-1] = np.log(UNKNOWN_PRIOR)
+
+    @F.pandas_udf("logs array<double>, trigrams long, soft array<double>")
     def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             logs, count = held.value.evidence(texts.tolist())
-            yield pd.DataFrame({"logs": list(logs), "trigrams": count})
+            yield pd.DataFrame({"logs": list(logs), "trigrams": count, "soft": list(_normal(logs + flat))})
 
     empty = F.lit("")
     address = F.lower(F.coalesce(address, empty)) if address is not None else empty
-    known = np.log((1 - UNKNOWN_PRIOR) / max(1, n - 1))
-    flat = F.array(*[F.lit(float(known if i < n - 1 else np.log(UNKNOWN_PRIOR))) for i in range(n)])
     text_part = f"{EVIDENCE}_text"
     found = rows.withColumn(text_part, evidence(F.coalesce(text, empty)))
-    logs = F.col(f"{text_part}.logs")
     return found.withColumn(
         EVIDENCE,
         F.struct(
@@ -165,9 +164,7 @@ def _with_evidence(rows: DataFrame, model: Model, text: Column, declared: Column
             F.substring_index(address, ".", -1).alias("suffix"),
             F.substring_index(address, ".", -2).alias("domain"),
             (F.coalesce(host, empty) if host is not None else address).alias("host"),
-            logs.alias("logs"),
-            F.col(f"{text_part}.trigrams").alias("trigrams"),
-            _normal(F.zip_with(logs, flat, lambda a, b: a + b)).alias("soft"),
+            *[F.col(f"{text_part}.{c}").alias(c) for c in ("logs", "trigrams", "soft")],
         ),
     ).drop(text_part)
 
@@ -176,8 +173,8 @@ def _weighed(rows: DataFrame, seen: DataFrame, languages: Sequence[str]) -> Data
     """``rows`` with the fused decision in place of the evidence; sums are taken over ``seen``'s evidence."""
     n, e = len(languages), EVIDENCE
     sums = [F.sum(F.col(f"{e}.soft")[i]).alias(f"s{i}") for i in range(n)]
-    total = [float(x or 0.0) for x in seen.agg(*sums).first()]
-    share = F.array(*[F.lit((t + 1.0) / (sum(total) + n)) for t in total])
+    total = np.array([float(x or 0.0) for x in seen.agg(*sums).first()])
+    share = (total + 1.0) / (total.sum() + n)
     out = rows
     for by in VALUES:
         name = f"{e}_{by}"
@@ -186,36 +183,35 @@ def _weighed(rows: DataFrame, seen: DataFrame, languages: Sequence[str]) -> Data
         grouped = stored(grouped.select(name, F.array(*[f"s{i}" for i in range(n)]).alias(f"{name}_sums")))
         out = out.join(grouped, F.col(f"{e}.{by}") == F.col(name)).drop(name)
 
-    def without_own(by: str) -> Column:
-        return F.zip_with(f"{e}_{by}_sums", f"{e}.soft", lambda a, x: F.greatest(a - x, F.lit(0.0)))
-
-    def smoothed(counts: Column, towards: Column, weight: float) -> Column:
-        size = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(counts, towards, lambda s, p: (s + F.lit(weight) * p) / (size + F.lit(weight)))
-
-    def given(by: str) -> Column:
-        """log P(value | l), less what is equal for all l: how much likelier l is with the value than in the corpus."""
-        ratio = F.zip_with(smoothed(without_own(by), share, SMOOTH_VALUE), share, lambda p, q: F.log(p / q))
-        return F.when(F.col(f"{e}.{by}") != "", ratio).otherwise(F.array(*[F.lit(0.0)] * n))
+    def smoothed(counts: np.ndarray, towards: np.ndarray, weight: float) -> np.ndarray:
+        return (counts + weight * towards) / (counts.sum(axis=1, keepdims=True) + weight)
+
+    @F.pandas_udf("place int, p double, text_place int")
+    def decide(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for logs, soft, *values in batches:
+            if not len(logs):
+                continue
+            fused, soft = np.stack(logs), np.stack(soft)
+            named, counts = dict(zip(VALUES[:2], values, strict=False)), dict(zip(VALUES, values[2:], strict=True))
+            rest = {by: np.maximum(np.stack(c) - soft, 0.0) for by, c in counts.items()}
+            fused = fused + np.log(smoothed(rest["host"], smoothed(rest["domain"], share, SMOOTH_DOMAIN), SMOOTH_HOST))
+            for by, given in named.items():
+                # log P(value | l), less what is equal for all l: how much likelier l is with the value than in the corpus
+                fused += np.where(given.to_numpy(dtype=bool)[:, None], np.log(smoothed(rest[by], share, SMOOTH_VALUE) / share), 0.0)
+            p = _normal(fused)
+            yield pd.DataFrame({"place": p.argmax(axis=1), "p": p.max(axis=1), "text_place": soft.argmax(axis=1)})
 
-    domain = smoothed(without_own("domain"), share, SMOOTH_DOMAIN)
-    fused = F.transform(smoothed(without_own("host"), domain, SMOOTH_HOST), lambda p: F.log(p))
-    for logs in (F.col(f"{e}.logs"), given("declared"), given("suffix")):
-        fused = F.zip_with(fused, logs, lambda a, b: a + b)
     names = F.array(*map(F.lit, languages))
-
-    def top(p: Column) -> Column:
-        return F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))
-
-    p, trigrams = F.col(f"{e}_p"), F.col(f"{e}.trigrams")
+    decided = decide(f"{e}.logs", f"{e}.soft", *[F.col(f"{e}.{by}") != "" for by in VALUES[:2]], *[f"{e}_{by}_sums" for by in VALUES])
+    p, trigrams = f"{e}_p", F.col(f"{e}.trigrams")
     decision = F.struct(
-        top(p).alias("lang"),
-        F.round(F.array_max(p), 6).alias("confidence"),
-        F.when(trigrams > 0, top(F.col(f"{e}.soft"))).otherwise(UNKNOWN).alias("text_lang"),
+        F.get(names, F.col(f"{p}.place")).alias("lang"),
+        F.round(F.col(f"{p}.p"), 6).alias("confidence"),
+        F.when(trigrams > 0, F.get(names, F.col(f"{p}.text_place"))).otherwise(UNKNOWN).alias("text_lang"),
         trigrams.alias("trigrams"),
     )
-    done = out.withColumn(f"{e}_p", _normal(fused)).withColumn(e, decision)
-    return done.drop(f"{e}_p", *[f"{e}_{by}_sums" for by in VALUES])
+    done = out.withColumn(p, decided).withColumn(e, decision)
+    return done.drop(p, *[f"{e}_{by}_sums" for by in VALUES])
 
 
 def identify(

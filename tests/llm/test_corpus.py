@@ -241,6 +241,17 @@ def test_language_evidence_is_fused(spark):
     assert found[800].lang == "bb" and len(found) == len(docs) + 2
 
 
+def test_every_labelled_language_is_kept(spark):
+    rng = random.Random(10)
+    docs = []
+    for i in range(70):  # two letters of its own each
+        a, b = chr(0x4E00 + 2 * i), chr(0x4E01 + 2 * i)
+        for j in range(2 if i == 69 else 4):
+            docs.append((len(docs), " ".join("".join(rng.choice((a, b)) for _ in range(4)) for _ in range(20)), f"l{i:02d}", f"s{i}"))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id: r.lang for r in langid.keep_identified(df).collect()} == {i: x for i, _, x, _ in docs}
+
+
 def labelled(rng, n=400):
     docs, labels = [], []
     for i in range(n):
