@@ -232,30 +232,40 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of two blocks with near fingerprints that are in different components so far."""
+    """Links by exact similarity that connect what all pairs of two blocks connect, each joining two components so far."""
     rows = rows.drop_duplicates("node")
-    node, root = rows["node"].to_numpy(), rows["root"].to_numpy()
-    block, i, j = rows["block"].to_numpy(), rows["i"].iloc[0], rows["j"].iloc[0]
-    bits = np.stack([rows[w].to_numpy(dtype=np.int64) for w in _W], axis=1).view(np.uint64)
-    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    out = []
-    for at in range(0, len(left), 128):
-        x = left[at : at + 128]
-        near = np.bitwise_count(bits[x, None, :] ^ bits[None, right, :]).sum(axis=2) <= WIDE_DISTANCE
-        p, q = np.nonzero(near & (root[x, None] != root[None, right]) & (node[x, None] != node[None, right]))
-        out.append(pd.DataFrame({"a": node[x][p], "b": node[right][q]}))
-    return pd.concat(out).astype("int64") if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-
-def _blocks(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b) of near fingerprints in full buckets that are still apart: blocks of about CROWD members meet as rows, each two once."""
+    node, sets = rows["node"].to_numpy(), rows["s"].tolist()
+    group = np.unique(rows["root"].to_numpy(), return_inverse=True)[1]
+    size = np.array([len(x) for x in sets])
+    ends = np.cumsum(size)
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    owners = np.repeat(np.arange(len(node)), size)[order]
+    starts = np.searchsorted(place[order], np.arange(place.max() + 2))
+    step, out = max(1, (1 << 22) // len(node)), []
+    for i in range(len(node)):
+        shared = np.zeros(len(node), dtype=np.int64)
+        for lo in range(ends[i] - size[i], ends[i], step):
+            of = place[lo : min(lo + step, ends[i])]
+            n = starts[of + 1] - starts[of]
+            at = np.repeat(starts[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            shared += np.bincount(owners[at], minlength=len(node))
+        for j in np.flatnonzero((9 * shared >= 4 * (size[i] + size)) & (group != group[i])):
+            if group[j] != group[i]:
+                out.append((node[i], node[j]))
+                group[group == group[j]] = group[i]
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def _blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links in full buckets whose members are still apart: blocks of about CROWD members meet as rows, each two once."""
     size = crowded.groupBy("k").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("blocks"))
     placed = crowded.join(size, "k").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = placed.withColumn("other", other).select(
-        "k", "node", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+        "k", "node", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
-    return paired.join(nodes.select("node", *_W), "node").groupBy("k", "i", "j").applyInPandas(_across, "a long, b long")
+    return paired.join(sets, "node").groupBy("k", "i", "j").applyInPandas(_across, "a long, b long")
 
 
 def wide_components(nodes: DataFrame, shingles) -> DataFrame:
@@ -285,10 +295,10 @@ def wide_components(nodes: DataFrame, shingles) -> DataFrame:
         if crowded.isEmpty():
             break
         if round < ROUNDS:
-            pairs = crowded.select(F.col("node").alias("a"), F.col("one").alias("b"))
+            more = _similar(_close(crowded.select(F.col("node").alias("a"), F.col("one").alias("b")), nodes), sets)
         else:
-            pairs = _blocks(crowded, nodes)
-        more = stored(_similar(_close(pairs, nodes), sets))
+            more = _blocks(crowded, sets)
+        more = stored(more)
         links = links.unionByName(more)
         roots = stored(components(links))
         crowded = crowded.select("k", "node")
