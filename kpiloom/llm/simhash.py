@@ -146,9 +146,8 @@ WIDE = 256
 WIDE_DISTANCE = 72
 #: Pairs meet if all minima of one of the bands agree: at similarity 0.8 with probability 1 - (1 - 0.8**4)**20 = 0.99997.
 BANDS, BAND = 20, 4
-CROWD = 1024
-#: Rounds in which each full bucket's members are compared with one of them, before all that are still apart are compared.
-ROUNDS = 3
+#: Rounds of peeling at most; each only spares comparisons.
+PEELS = 6
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _FACTORS = mixed(np.arange(1, BANDS * BAND + 1, dtype=np.uint64)) | np.uint64(1)
 _W = [f"w{i}" for i in range(4)]
@@ -187,19 +186,20 @@ def set_name(hashes: np.ndarray) -> int:
 
 
 def wide_prints(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(key, content, node, w0..w3, keys) of every row; content is a hash of the text, node one of its set of shingles."""
+    """(key, content, node, n, w0..w3, keys) of every row; content is a hash of the text, node one of its set of n shingles."""
 
-    @F.pandas_udf("node long, w0 long, w1 long, w2 long, w3 long, keys array<long>")
+    @F.pandas_udf("node long, n long, w0 long, w1 long, w2 long, w3 long, keys array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            nodes, bits, keys = [], [], []
+            nodes, sizes, bits, keys = [], [], [], []
             for t in texts:
                 found = shingle_set(t, words)
                 nodes.append(set_name(found))
+                sizes.append(len(found))
                 bits.append(wide_fingerprint(found))
                 keys.append(band_keys(found).view(np.int64))
             w = np.array(bits, dtype=np.uint64).reshape(-1, 4).view(np.int64)
-            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), **{f"w{i}": w[:, i] for i in range(4)}, "keys": keys})
+            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "n": sizes, **{f"w{i}": w[:, i] for i in range(4)}, "keys": keys})
 
     t = F.coalesce(F.col(text), F.lit(""))
     return docs.select(F.col(key).alias("key"), F.xxhash64(t).alias("content"), run(t).alias("p")).select("key", "content", "p.*")
@@ -231,78 +231,84 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links by exact similarity that connect what all pairs of two blocks connect, each joining two components so far."""
-    rows = rows.drop_duplicates("node")
-    node, sets = rows["node"].to_numpy(), rows["s"].tolist()
-    group = np.unique(rows["root"].to_numpy(), return_inverse=True)[1]
-    size = np.array([len(x) for x in sets])
-    ends = np.cumsum(size)
-    _, place = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(place, kind="stable")
-    owners = np.repeat(np.arange(len(node)), size)[order]
-    starts = np.searchsorted(place[order], np.arange(place.max() + 2))
-    step, out = max(1, (1 << 22) // len(node)), []
-    for i in range(len(node)):
-        shared = np.zeros(len(node), dtype=np.int64)
-        for lo in range(ends[i] - size[i], ends[i], step):
-            of = place[lo : min(lo + step, ends[i])]
-            n = starts[of + 1] - starts[of]
-            at = np.repeat(starts[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            shared += np.bincount(owners[at], minlength=len(node))
-        for j in np.flatnonzero((9 * shared >= 4 * (size[i] + size)) & (group != group[i])):
-            if group[j] != group[i]:
-                out.append((node[i], node[j]))
-                group[group == group[j]] = group[i]
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-
-def _blocks(crowded: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links in full buckets whose members are still apart: blocks of about CROWD members meet as rows, each two once."""
-    size = crowded.groupBy("k").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("blocks"))
-    placed = crowded.join(size, "k").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = placed.withColumn("other", other).select(
-        "k", "node", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+def _several_roots(members: DataFrame) -> DataFrame:
+    """(k) of the buckets whose members lie in different components."""
+    return members.groupBy("k").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").select("k")
+
+
+def _peeled(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (k, node, root, n, c) that may yet be similar to one of another component, and their contested shingles (node, s).
+
+    A shingle is contested if sets of two components hold it.  A set of n
+    shingles, c of them contested, has a similarity below 0.8 with all larger
+    than 9/4 c - n, so it leaves the buckets that hold only such.  What leaves
+    makes other shingles uncontested: this is repeated while it removes much.
+    """
+    live = members.select("node", "root").distinct().join(sets, "node").select("node", "root", "s")
+    before = None
+    for _ in range(PEELS):
+        one = live.select("node", "root", F.explode("s").alias("h"))
+        contested = one.groupBy("h").agg((F.min("root") < F.max("root")).alias("contested")).where("contested").select("h")
+        left = stored(one.join(contested, "h").groupBy("node", "root").agg(F.collect_list("h").alias("s")))
+        counted = members.drop("c").join(left.select("node", F.size("s").alias("c")), "node")
+        bounded = counted.join(counted.groupBy("k").agg(F.min("n").alias("least")), "k")
+        may = bounded.where(9 * F.col("c") >= 4 * (F.col("n") + F.col("least"))).drop("least")
+        members = stored(may.join(_several_roots(may), "k"))
+        live = left.join(members.select("node").distinct(), "node", "left_semi")
+        now = members.count()
+        if not now or before is not None and now > 0.8 * before:
+            break
+        before = now
+    return members, live.select("node", "s")
+
+
+def _across(members: DataFrame, contested: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one bucket and different components that the bucket's pivot does not tell apart.
+
+    Of what two sets share, at most the lesser of their shares with the pivot
+    lies inside it, and at most the lesser of their other contested shingles
+    outside.
+    """
+    pivot = pivots.join(sets.select(F.col("node").alias("one"), F.col("s").alias("p")), "one").select("k", "p")
+    inside = F.size(F.array_intersect("s", "p")).alias("inside")
+    measured = stored(
+        members.join(contested, "node").join(pivot, "k").select("k", "node", "root", "n", inside, (F.col("c") - F.size(F.array_intersect("s", "p"))).alias("outside"))
     )
-    return paired.join(sets, "node").groupBy("k", "i", "j").applyInPandas(_across, "a long, b long")
+    count = measured.groupBy("k", "root").count()
+    main = count.groupBy("k").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    minority = measured.join(main, "k").where("root <> main").drop("main")
+    x, y = (t.select("k", *[F.col(c).alias(f"{c}_{i}") for c in ("node", "root", "n", "inside", "outside")]) for i, t in enumerate((minority, measured)))
+    bound = F.least("inside_0", "inside_1") + F.least("outside_0", "outside_1")
+    met = x.join(y, "k").where((F.col("root_0") != F.col("root_1")) & (9 * bound >= 4 * (F.col("n_0") + F.col("n_1"))))
+    return met.select(F.col("node_0").alias("a"), F.col("node_1").alias("b"))
 
 
 def wide_components(nodes: DataFrame, shingles) -> DataFrame:
     """(node, root) of nodes that pairs of Jaccard similarity 0.8 or more connect; ``shingles`` gives the sets of a table's nodes.
 
-    Pairs of small buckets are all compared.  In full ones, members are first
-    compared with one member at a time, which puts copies of one text into one
-    component; then all that are still in different ones are compared.
+    In each bucket the member that shares its keys with the most others is the
+    pivot, and is compared with all: of a group of near copies this connects
+    nearly all members, in one comparison each.  Among the rest, sets that no
+    set of another component can resemble are peeled off, and the pairs that
+    neither this nor the distances from the pivot rule out are compared.  So no
+    pair that shares a key and is similar stays apart, and no bucket forms all
+    pairs of its members.
     """
-    keyed = nodes.select("node", F.explode("keys").alias("k"))
-    size = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    keyed = nodes.select("node", "n", F.explode("keys").alias("k"))
+    size = keyed.groupBy("k").agg(F.count("*").alias("held")).where("held > 1")
     keyed = stored(keyed.join(size, "k"))
     sets = stored(shingles(keyed.select("node").distinct()))
-    light = keyed.where(F.col("n") <= BUCKET)
-    pairs = (
-        light.select("k", F.col("node").alias("a")).join(light.select("k", F.col("node").alias("b")), "k").where("a < b").select("a", "b")
-    )
-    links = stored(_similar(_close(pairs, nodes), sets))
+    met = keyed.groupBy("node").agg(F.sum("held").alias("met"))
+    pivots = stored(keyed.join(met, "node").groupBy("k").agg(F.max_by("node", F.struct("met", "node")).alias("one")))
+    members = keyed.select("k", "node", "n").join(pivots, "k").where("node <> one")
+    links = stored(_similar(_close(members.select(F.col("node").alias("a"), F.col("one").alias("b")), nodes), sets))
     roots = stored(components(links))
-    crowded = keyed.where(F.col("n") > BUCKET).select("k", "node")
-    for round in range(ROUNDS + 1):
-        placed = crowded.join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root"))
-        apart = placed.groupBy("k").agg(
-            (F.min("root") < F.max("root")).alias("apart"), F.min_by("node", F.xxhash64("k", "node", F.lit(round))).alias("one")
-        )
-        crowded = stored(placed.join(apart.where("apart").select("k", "one"), "k"))
-        if crowded.isEmpty():
-            break
-        if round < ROUNDS:
-            more = _similar(_close(crowded.select(F.col("node").alias("a"), F.col("one").alias("b")), nodes), sets)
-        else:
-            more = _blocks(crowded, sets)
-        more = stored(more)
-        links = links.unionByName(more)
-        roots = stored(components(links))
-        crowded = crowded.select("k", "node")
-    return roots
+    placed = members.drop("one").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members, contested = _peeled(placed.join(_several_roots(placed), "k"), sets)
+    if members.isEmpty():
+        return roots
+    more = _similar(_close(_across(members, contested, pivots, sets), nodes), sets)
+    return stored(components(links.unionByName(stored(more))))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
@@ -316,7 +322,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     prints = stored(wide_prints(docs, key, text, words))
     order = F.struct(F.col("key").isNull().alias("last"), "key", "content")
     nodes = stored(
-        prints.groupBy("node").agg(F.min(order).alias("first"), *[F.min(w).alias(w) for w in _W], F.min("keys").alias("keys"))
+        prints.groupBy("node").agg(F.min(order).alias("first"), F.min("n").alias("n"), *[F.min(w).alias(w) for w in _W], F.min("keys").alias("keys"))
     )
 
     def shingles(wanted: DataFrame) -> DataFrame:

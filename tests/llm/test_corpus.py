@@ -79,9 +79,7 @@ def test_components_of_chains_and_stars(spark):
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(5, 40)} == {5} and got[900] == 900
 
 
-@pytest.mark.parametrize("bucket", [16, 2])
-def test_one_of_each_group_stays(spark, monkeypatch, bucket):
-    monkeypatch.setattr(simhash, "BUCKET", bucket)
+def test_one_of_each_group_stays(spark):
     rng = random.Random(3)
     base = [prose(rng, 200) for _ in range(12)]
     near = []
@@ -94,10 +92,9 @@ def test_one_of_each_group_stays(spark, monkeypatch, bucket):
     assert sorted(r.doc_id for r in out) == list(range(12))
 
 
-@pytest.mark.parametrize("bucket, crowd", [(16, 1024), (2, 8)])
-def test_similar_texts_are_linked_by_exact_similarity(spark, monkeypatch, bucket, crowd):
-    monkeypatch.setattr(simhash, "BUCKET", bucket)
-    monkeypatch.setattr(simhash, "CROWD", crowd)
+@pytest.mark.parametrize("peels", [6, 1])
+def test_similar_texts_are_linked_by_exact_similarity(spark, monkeypatch, peels):
+    monkeypatch.setattr(simhash, "PEELS", peels)
     rng = random.Random(8)
     rows, want = [], set()
     for g in range(40):
@@ -115,6 +112,42 @@ def test_similar_texts_are_linked_by_exact_similarity(spark, monkeypatch, bucket
     assert {r.doc_id for r in out} == want and len(out) == len(want)
 
 
+def clouds(rng):
+    """Texts that differ from a few base texts in anything from one word to a third of all; some clouds share half a text."""
+    shared = prose(rng, 70).split()
+    texts = []
+    for g in range(5):
+        base = [*shared, *prose(rng, 50).split()] if g < 3 else prose(rng, 120).split()
+        for _ in range(70):
+            words = list(base)
+            for _ in range(rng.randint(0, 9)):
+                at = rng.randrange(len(words))
+                words[at : at + 1] = rng.choice([[], ["swapped" + str(rng.randint(0, 3))], [words[at], prose(rng, 1)]])
+            texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize("peels", [6, 1])
+def test_clouds_of_near_copies_equal_all_pairs_by_true_similarity(spark, monkeypatch, peels):
+    monkeypatch.setattr(simhash, "PEELS", peels)
+    texts = clouds(random.Random(11))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    kept = simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({find(i) for i in range(len(texts))})
+
+
 def test_decontamination_tolerates_substitutions_and_spares_the_rest(spark):
     rng = random.Random(6)
     items = [(i, prose(rng, 20 + i)) for i in range(10)] + [(10, "six words make one short item"), (11, "too short"), (12, None)]
