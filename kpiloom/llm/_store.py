@@ -9,13 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset and Spark runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    own = tempfile.mkdtemp(prefix="kpiloom-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if spark not in _own:
+        _own[spark] = tempfile.mkdtemp(prefix="kpiloom-")
+    return _own[spark]
+
+
+_own: dict[SparkSession, str] = {}
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -30,17 +35,20 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows in a batch of texts that goes to Python.
-TEXT_BATCH = 1000
+#: Rows and bytes at most in a batch of texts that goes to Python.
+TEXT_BATCH, TEXT_BYTES = 1000, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to TEXT_BATCH rows.
+    """Lowers the session's Arrow batches to TEXT_BATCH rows and TEXT_BYTES bytes, for this query and later ones.
 
-    The default of 10,000 suits rows of numbers; of texts it is tens of
-    megabytes, which the executor and its Python worker each hold more than once.
+    Spark reads these settings when a query is planned, so they belong to the
+    session.  The default of 10,000 rows suits numbers; of texts it is tens of
+    megabytes and more, which the executor and its Python worker each hold more
+    than once.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    if now <= 0 or now > TEXT_BATCH:
-        spark.conf.set(name, str(TEXT_BATCH))
+    for name, most in (("maxRecordsPerBatch", TEXT_BATCH), ("maxBytesPerBatch", TEXT_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = int(spark.conf.get(name).removesuffix("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))

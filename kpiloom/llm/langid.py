@@ -19,7 +19,9 @@ with a third of all pages costs a row a task.
 Defined results: null and empty texts have no text evidence; a missing host,
 declaration or suffix is an empty string and counts like any value; ties go to
 the alphabetically first language; without labelled documents every text is
-``und``; rows are never dropped here.
+``und``; ``identify`` never drops a row, and repeated rows are each decided;
+texts are used whole, in pieces of about a million characters; an empty table
+gives an empty result; other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm._store import stored
@@ -45,13 +47,31 @@ TEMPER = 60.0
 ENOUGH = 20
 SMOOTH_DOMAIN, SMOOTH_HOST, SMOOTH_VALUE = 20.0, 10.0, 2.0
 
-_SKIP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
-_TAG = re.compile(r"(?s)<[^>]*>")
+_OPEN = re.compile(r"(?i)<(script|style)\b|<!--")
+_CLOSE = {"script": re.compile(r"(?i)</script\s*>"), "style": re.compile(r"(?i)</style\s*>"), "--": re.compile("-->")}
+_TAG = re.compile(r"<[^>]*>")
 
 
 def page_text(page: str) -> str:
-    """A page without scripts, styles, comments and tags, entities resolved."""
-    return html.unescape(_TAG.sub(" ", _SKIP.sub(" ", page)))
+    """A page without scripts, styles, comments and tags, entities resolved.
+
+    What is opened and never closed is no block, and is sought no further after
+    the first failure, so the time is linear in the page's length.
+    """
+    out, at, unclosed = [], 0, set()
+    opened = _OPEN.search(page)
+    while opened:
+        kind, look = (opened[1] or "--").lower(), opened.end()
+        closed = None if kind in unclosed else _CLOSE[kind].search(page, look)
+        if closed:
+            out.append(page[at : opened.start()])
+            at = look = closed.end()
+        else:
+            unclosed.add(kind)
+        opened = None if len(unclosed) == len(_CLOSE) else _OPEN.search(page, look)
+    kept = " ".join([*out, page[at:]])
+    last = kept.rfind(">") + 1
+    return html.unescape(_TAG.sub(" ", kept[:last]) + kept[last:])
 
 
 def trigrams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,84 +154,119 @@ def _normal(logs: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-#: The column that holds a row's evidence while it is weighed; no input column may have this name.
-EVIDENCE = "_langid_evidence"
 VALUES = ("declared", "suffix", "domain", "host")
 
 
-def _with_evidence(rows: DataFrame, model: Model, text: Column, declared: Column | None, address: Column | None, host: Column | None) -> DataFrame:
-    """``rows`` with the values it is grouped by and the text's log-likelihoods and posterior."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
-    n = len(model.languages)
+def _grouped_by(declared: Column | None, address: Column | None, host: Column | None) -> Column:
+    """A struct of the values whose sums are evidence."""
+    empty = F.lit("")
+    address = F.lower(F.coalesce(address, empty)) if address is not None else empty
+    return F.struct(
+        (F.coalesce(declared, empty) if declared is not None else empty).alias("declared"),
+        F.substring_index(address, ".", -1).alias("suffix"),
+        F.substring_index(address, ".", -2).alias("domain"),
+        (F.coalesce(host, empty) if host is not None else address).alias("host"),
+    )
+
 
+def _flat_prior(n: int) -> np.ndarray:
     flat = np.full(n, np.log((1 - UNKNOWN_PRIOR) / max(1, n - 1)))
     flat[-1] = np.log(UNKNOWN_PRIOR)
+    return flat
+
+
+def _evidence(model: Model, spark: SparkSession, text: Column) -> Column:
+    """A struct of the text's log-likelihoods, trigrams and posterior under the flat prior."""
+    held = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("logs array<double>, trigrams long, soft array<double>")
-    def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        flat = _flat_prior(len(held.value.languages))
         for texts in batches:
             logs, count = held.value.evidence(texts.tolist())
             yield pd.DataFrame({"logs": list(logs), "trigrams": count, "soft": list(_normal(logs + flat))})
 
-    empty = F.lit("")
-    address = F.lower(F.coalesce(address, empty)) if address is not None else empty
-    text_part = f"{EVIDENCE}_text"
-    found = rows.withColumn(text_part, evidence(F.coalesce(text, empty)))
-    return found.withColumn(
-        EVIDENCE,
-        F.struct(
-            (F.coalesce(declared, empty) if declared is not None else empty).alias("declared"),
-            F.substring_index(address, ".", -1).alias("suffix"),
-            F.substring_index(address, ".", -2).alias("domain"),
-            (F.coalesce(host, empty) if host is not None else address).alias("host"),
-            *[F.col(f"{text_part}.{c}").alias(c) for c in ("logs", "trigrams", "soft")],
-        ),
-    ).drop(text_part)
-
-
-def _weighed(rows: DataFrame, seen: DataFrame, languages: Sequence[str]) -> DataFrame:
-    """``rows`` with the fused decision in place of the evidence; sums are taken over ``seen``'s evidence."""
-    n, e = len(languages), EVIDENCE
-    sums = [F.sum(F.col(f"{e}.soft")[i]).alias(f"s{i}") for i in range(n)]
-    total = np.array([float(x or 0.0) for x in seen.agg(*sums).first()])
+    return run(F.coalesce(text, F.lit("")))
+
+
+def _smoothed(counts: np.ndarray, towards: np.ndarray, weight: float) -> np.ndarray:
+    return (counts + weight * towards) / (counts.sum(axis=1, keepdims=True) + weight)
+
+
+def _fused(logs: np.ndarray, soft: np.ndarray, given: dict[str, np.ndarray], sums: dict[str, np.ndarray], share: np.ndarray) -> np.ndarray:
+    """Posteriors by row and language; a row's own share is taken out of the sums first."""
+    rest = {by: np.maximum(c - soft, 0.0) for by, c in sums.items()}
+    fused = logs + np.log(_smoothed(rest["host"], _smoothed(rest["domain"], share, SMOOTH_DOMAIN), SMOOTH_HOST))
+    for by, there in given.items():
+        # log P(value | l), less what is equal for all l: how much likelier l is with the value than in the corpus
+        fused += np.where(there[:, None], np.log(_smoothed(rest[by], share, SMOOTH_VALUE) / share), 0.0)
+    return _normal(fused)
+
+
+def _free(name: str, columns: Sequence[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _weighed(rows: DataFrame, values: Column, seen: DataFrame, model: Model, evidence: Sequence[Column], decision: str) -> DataFrame:
+    """``rows`` with a struct ``decision``: lang, confidence, text_lang, trigrams.
+
+    ``values`` are the row's, ``seen`` (values, soft) gives the sums.
+    ``evidence`` is either the text or what ``_evidence`` has made of it: the
+    text is then weighed where the decision is made, in one Python step.
+    """
+    spark, n = rows.sparkSession, len(model.languages)
+    totals = [F.sum(F.get("soft", F.lit(i))).alias(f"s{i}") for i in range(n)]
+    total = np.array([float(x or 0.0) for x in seen.agg(*totals).first()])
     share = (total + 1.0) / (total.sum() + n)
-    out = rows
-    for by in VALUES:
-        name = f"{e}_{by}"
-        grouped = seen.groupBy(F.col(f"{e}.{by}").alias(name)).agg(*sums)
+    mark = _free("langid_values", rows.columns)
+    out = rows.withColumn(mark, values)
+    names = {by: _free(f"langid_{by}_sums", rows.columns) for by in VALUES}
+    for by, name in names.items():
+        grouped = seen.groupBy(F.col(f"values.{by}").alias("langid_by")).agg(*totals)
         # written out, its size is known when the join is planned: small sums are broadcast and the texts stay where they are
-        grouped = stored(grouped.select(name, F.array(*[f"s{i}" for i in range(n)]).alias(f"{name}_sums")))
-        out = out.join(grouped, F.col(f"{e}.{by}") == F.col(name)).drop(name)
+        grouped = stored(grouped.select("langid_by", F.array(*[f"s{i}" for i in range(n)]).alias(name)))
+        by_name = _free("langid_by", out.columns)
+        grouped = grouped.withColumnRenamed("langid_by", by_name)
+        out = out.join(grouped, F.col(f"{mark}.{by}") == F.col(by_name)).drop(by_name)
+    held = spark.sparkContext.broadcast(model)
+
+    def decided(batches: Iterator[tuple[pd.Series, ...]], take: int, weigh) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            if not len(columns[0]):
+                continue
+            logs, count, soft = weigh(*columns[:take])
+            given = {by: c.to_numpy(dtype=bool) for by, c in zip(VALUES[:2], columns[take:], strict=False)}
+            sums = {by: np.stack(c) for by, c in zip(VALUES, columns[take + 2 :], strict=True)}
+            p = _fused(logs, soft, given, sums, share)
+            yield pd.DataFrame({"place": p.argmax(axis=1), "p": p.max(axis=1), "text_place": soft.argmax(axis=1), "trigrams": count})
+
+    def from_text(texts: pd.Series):
+        logs, count = held.value.evidence(texts.tolist())
+        return logs, count, _normal(logs + _flat_prior(n))
+
+    def from_evidence(logs: pd.Series, count: pd.Series, soft: pd.Series):
+        return np.stack(logs), count.to_numpy(), np.stack(soft)
 
-    def smoothed(counts: np.ndarray, towards: np.ndarray, weight: float) -> np.ndarray:
-        return (counts + weight * towards) / (counts.sum(axis=1, keepdims=True) + weight)
+    take, weigh = len(evidence), from_text if len(evidence) == 1 else from_evidence
 
-    @F.pandas_udf("place int, p double, text_place int")
+    @F.pandas_udf("place int, p double, text_place int, trigrams long")
     def decide(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for logs, soft, *values in batches:
-            if not len(logs):
-                continue
-            fused, soft = np.stack(logs), np.stack(soft)
-            named, counts = dict(zip(VALUES[:2], values, strict=False)), dict(zip(VALUES, values[2:], strict=True))
-            rest = {by: np.maximum(np.stack(c) - soft, 0.0) for by, c in counts.items()}
-            fused = fused + np.log(smoothed(rest["host"], smoothed(rest["domain"], share, SMOOTH_DOMAIN), SMOOTH_HOST))
-            for by, given in named.items():
-                # log P(value | l), less what is equal for all l: how much likelier l is with the value than in the corpus
-                fused += np.where(given.to_numpy(dtype=bool)[:, None], np.log(smoothed(rest[by], share, SMOOTH_VALUE) / share), 0.0)
-            p = _normal(fused)
-            yield pd.DataFrame({"place": p.argmax(axis=1), "p": p.max(axis=1), "text_place": soft.argmax(axis=1)})
-
-    names = F.array(*map(F.lit, languages))
-    decided = decide(f"{e}.logs", f"{e}.soft", *[F.col(f"{e}.{by}") != "" for by in VALUES[:2]], *[f"{e}_{by}_sums" for by in VALUES])
-    p, trigrams = f"{e}_p", F.col(f"{e}.trigrams")
-    decision = F.struct(
-        F.get(names, F.col(f"{p}.place")).alias("lang"),
+        return decided(batches, take, weigh)
+
+    inputs = [*evidence, *[F.col(f"{mark}.{by}") != "" for by in VALUES[:2]], *[F.col(names[by]) for by in VALUES]]
+    languages = F.array(*map(F.lit, model.languages))
+    p = _free("langid_p", out.columns)
+    found = F.struct(
+        F.get(languages, F.col(f"{p}.place")).alias("lang"),
         F.round(F.col(f"{p}.p"), 6).alias("confidence"),
-        F.when(trigrams > 0, F.get(names, F.col(f"{p}.text_place"))).otherwise(UNKNOWN).alias("text_lang"),
-        trigrams.alias("trigrams"),
+        F.when(F.col(f"{p}.trigrams") > 0, F.get(languages, F.col(f"{p}.text_place"))).otherwise(UNKNOWN).alias("text_lang"),
+        F.col(f"{p}.trigrams").alias("trigrams"),
     )
-    done = out.withColumn(p, decided).withColumn(e, decision)
-    return done.drop(p, *[f"{e}_{by}_sums" for by in VALUES])
+    return out.withColumn(p, decide(*inputs)).withColumn(decision, found).drop(p, mark, *names.values())
 
 
 def identify(
@@ -229,15 +284,19 @@ def identify(
     label is the suffix and last two the domain, ``host`` what shares a prior
     (``address`` if not given).  Whatever is missing gives no evidence.
     """
-    seen = stored(_with_evidence(rows, model, text, declared, address, host).select(key, EVIDENCE))
-    return _weighed(seen, seen, model.languages).select(key, f"{EVIDENCE}.*")
+    seen = stored(
+        rows.select(F.col(key).alias("key"), _grouped_by(declared, address, host).alias("values"), _evidence(model, rows.sparkSession, text).alias("e")).select("key", "values", "e.*")
+    )
+    found = _weighed(seen.select("key", "values", "logs", "trigrams", "soft"), F.col("values"), seen, model, [F.col("logs"), F.col("trigrams"), F.col("soft")], "found")
+    return found.select(F.col("key").alias(key), "found.*")
 
 
 def identify_pages(pages: DataFrame, docs: DataFrame, key: str = "page_id") -> DataFrame:
     """``identify`` for raw pages (url, html), with trigrams learned from labelled documents."""
     strip = F.pandas_udf(lambda s: s.map(page_text), "string")
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(?:www\.)?([^/:?#]*)", 1)
-    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]{2,3})\b", 1))
+    opened = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html\b([^>]*+)", 1)
+    declared = F.lower(F.regexp_extract(opened, r"(?i)\slang\s*=\s*[\"']?([a-z]{2,3})\b", 1))
     rows = pages.select(F.col(key), "url", "html")
     return identify(rows, fit(docs), key, strip(F.coalesce("html", F.lit(""))), declared, host)
 
@@ -252,11 +311,13 @@ def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     shares a prior.
     """
     model = fit(docs, text, lang)
-    marked = _with_evidence(docs, model, F.col(text), F.col(lang), None, F.col(source))
-    seen = stored(marked.select(EVIDENCE))  # the texts are weighed again below, and not kept
-    found = _weighed(marked, seen, model.languages)
-    decided, trigrams = F.col(f"{EVIDENCE}.lang"), F.col(f"{EVIDENCE}.trigrams")
-    sure = (decided != UNKNOWN) & (F.col(f"{EVIDENCE}.confidence") >= least)
+    values = _grouped_by(F.col(lang), None, F.col(source))
+    # the texts are weighed again for the decision: their evidence is longer than many of them, and is not kept
+    seen = stored(docs.select(values.alias("values"), _evidence(model, docs.sparkSession, F.col(text)).alias("e")).select("values", "e.soft"))
+    mark = _free("langid_found", docs.columns)
+    found = _weighed(docs, values, seen, model, [F.coalesce(F.col(text), F.lit(""))], mark)
+    decided, trigrams = F.col(f"{mark}.lang"), F.col(f"{mark}.trigrams")
+    sure = (decided != UNKNOWN) & (F.col(f"{mark}.confidence") >= least)
     kept = found.where((trigrams > 0) & (sure | (trigrams < ENOUGH)))
     named = F.when(sure, decided).otherwise(F.col(lang))
     return kept.select(*[named.alias(c) if c == lang else F.col(f"`{c}`") for c in docs.columns])

@@ -46,7 +46,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
 #: Parts kept with their ids, and pairs kept with their weights, in each Python worker.
-KEPT, KEPT_PAIRS = 150_000, 200_000
+KEPT, KEPT_PAIRS = 60_000, 100_000
 
 
 def _fields(buffer: bytes) -> Iterator[tuple[int, int | bytes]]:

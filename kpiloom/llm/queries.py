@@ -168,17 +168,17 @@ WITH d AS MATERIALIZED (
 ), recurring AS MATERIALIZED (
   SELECT entity, count(*) AS n_c FROM held GROUP BY 1 HAVING count(*) >= {pii.SUPPORT}
 ), terms AS MATERIALIZED (
-  SELECT row, unnest(list_distinct(regexp_extract_all(lower(text), '\\p{{L}}{{3,}}'))) AS term FROM d
+  SELECT row, unnest(list_distinct(list_transform(regexp_extract_all(text, '\\p{{L}}{{3,}}'), lambda m: lower(m)))) AS term FROM d
 ), n AS (SELECT count(*) AS n FROM d), counts AS (SELECT term, count(*) AS n_t FROM terms GROUP BY 1
 ), both_ AS MATERIALIZED (
   SELECT h.row, h.entity, r.n_c, t.term FROM held h JOIN recurring r USING (entity) JOIN terms t USING (row)
 ), joint AS (
   SELECT entity, term, any_value(n_c) AS n_c, count(*) AS n_ct FROM both_ GROUP BY 1, 2 HAVING count(*) >= {pii.SUPPORT}
 ), reveals AS MATERIALIZED (
-  SELECT entity, term FROM joint JOIN counts USING (term), n
+  SELECT entity, term, n_ct >= {pii.REMOVE} * n_t AS removed FROM joint JOIN counts USING (term), n
   WHERE ln(n_ct * n / (n_c * CAST(n_t AS DOUBLE))) >= ln(n / CAST(n_c AS DOUBLE)) / {pii.ALPHA} - 1e-9
 ), revealing AS MATERIALIZED (
-  SELECT DISTINCT row, term FROM both_ JOIN reveals USING (entity, term)
+  SELECT row, term, max(removed) AS removed FROM both_ JOIN reveals USING (entity, term) GROUP BY 1, 2
 ), w AS MATERIALIZED (
   SELECT row, lower(m) AS term, s AS start, s + length(m) AS stop FROM (
     SELECT row, unnest(list_transform(range(1, len(found) + 1), lambda i:
@@ -188,18 +188,26 @@ WITH d AS MATERIALIZED (
     FROM (SELECT row, regexp_extract_all(text, '\\p{{L}}{{3,}}') AS found, string_split_regex(text, '\\p{{L}}{{3,}}') AS gaps
           FROM d WHERE row IN (SELECT row FROM revealing)))
 ), t AS (
-  SELECT w.row, 'term' AS kind, w.start, w.stop FROM w JOIN revealing USING (row, term)
+  SELECT w.row, 'term' AS kind, w.start, w.stop, removed FROM w JOIN revealing USING (row, term)
   WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.row = w.row AND w.start < m.stop AND m.start < w.stop)
-), every_ AS (SELECT row, kind, start, stop FROM m UNION ALL SELECT * FROM t
+), every_ AS (SELECT row, kind, start, stop, false AS removed FROM m UNION ALL SELECT * FROM t
+), edit AS (
+  SELECT *, CASE WHEN removed THEN '' ELSE '[' || upper(kind) || ']' END AS by_, coalesce(max(stop) OVER (PARTITION BY row ORDER BY start, stop,
+           CASE WHEN removed THEN '' ELSE '[' || upper(kind) || ']' END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM every_
+), cleaned AS (
+  SELECT row, sha256(string_agg(CASE WHEN start < at THEN '' ELSE substr(text, at + 1, start - at) || by_ END, '' ORDER BY start, stop, by_)
+           || substr(any_value(text), max(stop) + 1)) AS sanitised_sha256 FROM edit JOIN d USING (row) GROUP BY row
 ), s AS (
   SELECT row, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
          count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone, count(*) FILTER (kind = 'term') AS n_term,
+         count(*) FILTER (removed) AS n_removed,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['email', 'ip', 'card', 'phone', 'term'], kind))
            FILTER (kind <> 'term') AS base,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['email', 'ip', 'card', 'phone', 'term'], kind)) AS spans
   FROM every_ GROUP BY row
 )
 SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_term, 0) AS n_term
-FROM d LEFT JOIN s USING (row)
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_term, 0) AS n_term,
+       coalesce(n_removed, 0) AS n_removed, sanitised_sha256
+FROM d LEFT JOIN s USING (row) LEFT JOIN cleaned USING (row)
 """

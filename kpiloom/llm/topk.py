@@ -2,20 +2,26 @@
 
 Components x become floor(256 * x).  Candidates are sorted by length into
 buckets of at most ``BUCKET`` vectors, queries into blocks of at most
-``BLOCK``; every query block meets every bucket once, as one equi-join on the
-bucket's number, so no task holds more than a block and a bucket.
-
-The k-th score of a query within the bucket of longest vectors bounds its
-answer from below.  In every other bucket that bound, divided by the lengths,
-is the cosine a candidate must reach: above 1 the bucket is skipped; above
-``COORDINATE`` candidates are pruned by the query's strongest coordinate, whose
-value must lie in a range that the cosine allows; otherwise by length alone.
-The products of what remains are computed and verified exactly.
+``BLOCK``.  Buckets are numbered as they are written, so their number need not
+be known beforehand.
+
+The k-th score of a query within the buckets of longest vectors bounds its
+answer from below.  That bound, divided by the query's length, is the length a
+candidate must have.  Tables of one row a block and one row a bucket are joined
+on classes of that length, and only pairs of block and bucket that may hold an
+answer get their vectors.  In a bucket, the bound divided by the lengths is the
+cosine a candidate must reach: above ``COORDINATE`` candidates are pruned by the
+query's strongest coordinate, whose value must lie in a range that the cosine
+allows; otherwise by length alone.  The products of what remains are computed
+and verified exactly.
 
 Defined results: vectors that are null, or hold a null, NaN or infinite
-component, take no part; a missing component of a shorter vector counts as 0;
-ties go to the smaller vec_id; rows with the query's vec_id are its own and no
-candidates; queries with fewer candidates return them all.
+component, take no part, nor do rows without vec_id; a missing component of a
+shorter vector counts as 0; ties go to the smaller vec_id; rows with the query's
+vec_id are its own and no candidates; queries with fewer candidates return them
+all; repeated rows are candidates each, and a repeated query is answered once;
+components beyond a long's range count as its limits, and so do scores; empty
+tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm._store import stored
@@ -35,6 +41,7 @@ BLOCK = 1024
 COORDINATE = 0.8
 #: Up to this product of lengths float64 sums of integers are exact.
 EXACT = float(1 << 52)
+LONG = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -50,8 +57,17 @@ def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     )
 
 
-def _unpacked(ids: bytes, m: bytes, norms: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(m, np.float64).reshape(n, -1), np.frombuffer(norms, np.float64)
+#: Buckets and blocks are told apart by classes of length, eight to each doubling.
+_CLASSES = 8
+
+
+def _class(norm: Column) -> Column:
+    """A whole number that grows with the length; all lengths below 1 share one."""
+    return F.when(norm > 1, F.floor(F.log2(norm) * _CLASSES)).otherwise(0).cast("int")
+
+
+def _matrix(m: bytes, kind: str, n: int) -> np.ndarray:
+    return np.frombuffer(m, np.dtype(kind)).reshape(n, -1).astype(np.float64)
 
 
 def _blocks(size: int):
@@ -64,13 +80,20 @@ def _blocks(size: int):
                 m = np.zeros((len(c), max(map(len, c["v"]))))
                 for row, v in zip(m, c["v"], strict=True):
                     row[: len(v)] = v
+                kind = "<i2" if not m.size or np.abs(m).max() < 1 << 15 else "<f8"
                 packed = [c[x].to_numpy(dtype=t).tobytes() for x, t in (("vec_id", np.int64), ("norm", np.float64), ("least", np.float64))]
-                yield pd.DataFrame([(packed[0], m.tobytes(), packed[1], packed[2], len(c))], columns=["ids", "m", "norms", "least", "n"])
+                norm, least = c["norm"].to_numpy(dtype=float), c["least"].to_numpy(dtype=float)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    need = np.where((least > 0) & (norm > 0), least / norm, np.where(least > 0, np.inf, 0.0)).min()
+                yield pd.DataFrame(
+                    [(packed[0], m.astype(kind).tobytes(), kind, packed[1], packed[2], len(c), norm.max(), need)],
+                    columns=["ids", "m", "kind", "norms", "least", "n", "longest", "need"],
+                )
 
     return run
 
 
-_PACKED = "ids binary, m binary, norms binary, least binary, n int"
+_PACKED = "ids binary, m binary, kind string, norms binary, least binary, n int, longest double, need double"
 
 
 def best(q: np.ndarray, q_id: int, q_norm: float, m: np.ndarray, ids: np.ndarray, norms: np.ndarray, k: int, least: float) -> list[tuple[int, int]]:
@@ -105,7 +128,8 @@ def best(q: np.ndarray, q_id: int, q_norm: float, m: np.ndarray, ids: np.ndarray
         scores = m @ q
     else:
         whole = [int(c) for c in q]
-        scores = np.array([sum(a * int(b) for a, b in zip(whole, row, strict=True)) for row in m], dtype=object)
+        exact = (sum(a * int(b) for a, b in zip(whole, row, strict=True)) for row in m)
+        scores = np.array([min(max(x, -LONG - 1), LONG) for x in exact], dtype=object)
     keep = ids != q_id
     scores, ids = scores[keep], ids[keep]
     if len(ids) > k:
@@ -124,8 +148,8 @@ def _searched(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples(index=False):
-                q_ids, q, q_norms = _unpacked(r.q_ids, r.q_m, r.q_norms, r.q_n)
-                ids, m, norms = _unpacked(r.ids, r.m, r.norms, r.n)
+                q_ids, q, q_norms = np.frombuffer(r.q_ids, np.int64), _matrix(r.q_m, r.q_kind, r.q_n), np.frombuffer(r.q_norms, np.float64)
+                ids, m, norms = np.frombuffer(r.ids, np.int64), _matrix(r.m, r.kind, r.n), np.frombuffer(r.norms, np.float64)
                 rows = [
                     (int(i), vec_id, score)
                     for i, v, norm, low in zip(q_ids, q, q_norms, np.frombuffer(r.q_least, np.float64), strict=True)
@@ -140,7 +164,7 @@ def _searched(k: int):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows of ``vectors`` for every row of ``queries``."""
     rows = stored(quantised(vectors, key, vector))
-    asked = stored(quantised(queries, key, vector))
+    asked = stored(quantised(queries, key, vector).dropDuplicates(["vec_id"]))
     parts = max(1, -(-rows.count() // BUCKET))
     query_parts = max(1, -(-asked.count() // BLOCK))
     no_bound = F.lit(float("-inf")).alias("least")
@@ -149,23 +173,39 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
         .sortWithinPartitions(F.desc("norm"), "vec_id")
         .select("*", no_bound)
         .mapInPandas(_blocks(BUCKET), _PACKED)
-        .drop("least")
-        .withColumn("bucket", F.spark_partition_id())
+        .drop("least", "need")
+        .withColumn("bucket", F.monotonically_increasing_id())
     )
+    sizes = buckets.select("bucket", "n", "longest")
 
-    def search(bounded: DataFrame, at: range) -> DataFrame:
-        blocks = bounded.repartition(query_parts, "vec_id").mapInPandas(_blocks(BLOCK), _PACKED)
-        blocks = blocks.select(*[F.col(c).alias(f"q_{c}") for c in blocks.columns])
-        meet = F.explode(F.sequence(F.lit(at.start), F.lit(at.stop - 1)))
-        met = blocks.withColumn("bucket", meet).join(buckets, "bucket")
+    def search(bounded: DataFrame, pairs) -> DataFrame:
+        blocks = stored(bounded.mapInPandas(_blocks(BLOCK), _PACKED).withColumn("block", F.monotonically_increasing_id()))
+        held = blocks.select(*[F.col(c).alias(f"q_{c}") for c in ("ids", "m", "kind", "norms", "least", "n")], "block")
+        met = pairs(blocks.select("block", "need")).join(held, "block").join(buckets, "bucket")
         return met.mapInPandas(_searched(k), "query_id long, vec_id long, score long")
 
-    found = stored(search(asked.select("*", no_bound), range(1)))
-    if parts > 1:
-        kth = found.groupBy("query_id").agg(F.min("score").alias("s"), F.count("*").alias("found"))
-        bound = F.when(F.col("found") >= k, F.col("s").cast("double")).otherwise(F.lit(float("-inf")))
-        bounded = asked.join(kth.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").select(*asked.columns, bound.alias("least"))
-        found = found.unionByName(search(bounded, range(1, parts)))
+    # the longest buckets that hold k candidates besides the query itself: each has one vector or more, so k + 1 are enough
+    top, held = [], 0
+    for r in sizes.orderBy(F.desc("longest"), "bucket").limit(k + 1).collect():
+        if held <= k:
+            top.append(r["bucket"])
+            held += r["n"]
+    first = F.explode(F.array(*map(F.lit, top)) if top else F.array().cast("array<long>"))
+    found = stored(search(asked.select("*", no_bound).repartition(query_parts, "vec_id"), lambda b: b.select("block", first.alias("bucket"))))
+    kth = found.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))  # k of each of k + 1 buckets at most
+    bound = F.coalesce(F.get("s", F.lit(k - 1)).cast("double"), F.lit(float("-inf")))
+    bounded = asked.join(kth.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").select(*asked.columns, bound.alias("least"))
+    ordered = bounded.repartitionByRange(query_parts, F.col("least") / F.greatest("norm", F.lit(1.0)), "vec_id")
+    rest = sizes.where(~F.col("bucket").isin(top)).withColumn("class", _class(F.col("longest")))
+    classes = sorted(r["class"] for r in rest.select("class").distinct().collect())  # a few hundred at most: the range of doubles
+
+    def surviving(blocks: DataFrame) -> DataFrame:
+        reached = F.filter(F.array(*map(F.lit, classes)), lambda c: c >= _class(F.col("need")))
+        met = blocks.select("block", "need", F.explode(reached).alias("class")).join(rest, "class")
+        return met.where(F.col("longest") >= F.col("need") * (1 - 1e-9)).select("block", "bucket")
+
+    if classes:
+        found = found.unionByName(search(ordered, surviving))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

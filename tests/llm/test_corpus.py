@@ -201,20 +201,32 @@ def brute_top(rows, ids, k):
     return out
 
 
-@pytest.mark.parametrize("bucket", [4096, 32])
-def test_top_k_equals_brute_force(spark, monkeypatch, bucket):
+@pytest.mark.parametrize("bucket, parts", [(4096, 0), (32, 0), (32, 97)])
+def test_top_k_equals_brute_force(spark, monkeypatch, bucket, parts):
     monkeypatch.setattr(topk, "BUCKET", bucket)
+    if parts:  # a cluster may deal out more partitions than asked for
+        monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", lambda self, n, *cols, f=type(spark.range(0)).repartitionByRange: f(self, max(n, parts), *cols))
     monkeypatch.setattr(topk, "BLOCK", 8)
     rng = np.random.default_rng(8)
     rows = [(i, [float(x) for x in rng.normal(size=8) * rng.choice([0.05, 1, 6])]) for i in range(300)]
     rows += [(1000 + i, rows[7][1]) for i in range(20)] + [(2000, None), (2050, [1.0, None]), (2100, [float("nan")] * 8), (2150, [float("inf")] * 8), (2200, [0.0] * 8), (2250, [3.0, 1.0])]
     rows += [(2300, [1e9] * 8), (2350, [-1e9] * 8)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, embedding array<double>, norm string")
     got = {tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), 5).select("query_id", "rank", "vec_id", "score").collect()}
     assert got == brute_top(rows, [i for i, _ in rows if i % 50 == 0], 5)
     assert topk.top_k(df.limit(0), df.limit(0), 5).count() == 0
 
 
+def test_top_k_of_repeated_rows_few_rows_and_huge_components(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [1e20, 0.0]), (3, [-1e20, 0.0]), (None, [9.0, 9.0]), (50, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), 5).select("query_id", "rank", "vec_id", "score").collect())
+    top, low = (1 << 63) - 1, -(1 << 63)
+    assert got == [(0, 1, 2, top), (0, 2, 1, 131072), (0, 3, 1, 131072), (0, 4, 50, 0), (0, 5, 3, low), (50, 1, 0, 0), (50, 2, 0, 0), (50, 3, 1, 0), (50, 4, 1, 0), (50, 5, 2, 0)]
+    one = df.where("vec_id = 50")
+    assert topk.top_k(one, one, 5).count() == 0
+
+
 def test_revisits_equal_a_plain_search(spark, monkeypatch):
     monkeypatch.setattr(warc, "SLICES", 5)
     rng = random.Random(9)
@@ -274,6 +286,108 @@ def test_language_evidence_is_fused(spark):
     assert found[800].lang == "bb" and len(found) == len(docs) + 2
 
 
+def trigrams_by_hand(text):
+    low = [ord(c) for c in (text or "").lower()]
+    codes = [32, *(c if 97 <= c <= 122 or c >= 0xC0 else 32 for c in low), 32]
+    out = []
+    for i in range(1, len(codes) - 1):
+        if codes[i] != 32:
+            h = 0
+            for c, k in zip(codes[i - 1 : i + 2], (0x9E3779B1, 0x85EBCA77, 1)):
+                h = (h + c) * k & 0xFFFFFFFF
+            h = (h ^ h >> 15) * 0xC2B2AE3D & 0xFFFFFFFF
+            out.append((h ^ h >> 13) & (langid.BUCKETS - 1))
+    return out
+
+
+def language_by_hand(docs, rows):
+    """docs: (text, lang); rows: (key, text, declared, suffix, domain, host).  Returns key -> (lang, confidence, text_lang)."""
+    import math
+    from collections import Counter, defaultdict
+
+    names = sorted({x for _, x in docs})
+    counts = {x: Counter() for x in names}
+    for t, x in docs:
+        counts[x].update(trigrams_by_hand(t))
+    names.append("und")
+    logs, soft = [], []
+    for _, t, *_ in rows:
+        grams = trigrams_by_hand(t)
+        v = []
+        for x in names:
+            if x == "und":
+                v.append(-len(grams) * math.log(langid.BUCKETS))
+            else:
+                total = sum(counts[x].values()) + 0.5 * langid.BUCKETS
+                v.append(sum(math.log((counts[x][g] + 0.5) / total) for g in grams))
+        v = [y / (1 + len(grams) / langid.TEMPER) for y in v]
+        logs.append(v)
+        w = [y + math.log(0.01 if x == "und" else 0.99 / (len(names) - 1)) for x, y in zip(names, v)]
+        e = [math.exp(y - max(w)) for y in w]
+        soft.append([y / sum(e) for y in e])
+    n = range(len(names))
+    total = [sum(s[i] for s in soft) for i in n]
+    share = [(total[i] + 1) / (sum(total) + len(names)) for i in n]
+    sums = [defaultdict(lambda: [0.0] * len(names)) for _ in range(4)]
+    for row, s in zip(rows, soft):
+        for by in range(4):
+            sums[by][row[2 + by]] = [a + b for a, b in zip(sums[by][row[2 + by]], s)]
+    out = {}
+    for row, v, s in zip(rows, logs, soft):
+        rest = [[max(a - b, 0) for a, b in zip(sums[by][row[2 + by]], s)] for by in range(4)]
+
+        def smooth(c, towards, w):
+            return [(x + w * y) / (sum(c) + w) for x, y in zip(c, towards)]
+
+        fused = [a + math.log(b) for a, b in zip(v, smooth(rest[3], smooth(rest[2], share, 20), 10))]
+        for by in (0, 1):
+            if row[2 + by]:
+                fused = [a + math.log(b / c) for a, b, c in zip(fused, smooth(rest[by], share, 2), share)]
+        e = [math.exp(y - max(fused)) for y in fused]
+        best = max(n, key=lambda i: (round(e[i], 12), -i))
+        text_best = max(n, key=lambda i: (round(s[i], 12), -i))
+        out[row[0]] = (names[best], e[best] / sum(e), names[text_best] if trigrams_by_hand(row[1]) else "und")
+    return out
+
+
+def test_page_languages_equal_plain_dictionaries(spark):
+    rng = random.Random(12)
+    words = {x: w.split() for x, w in LANGUAGES.items()} | {"cc": "el la los que en un por con una las".split()}
+    docs = [(" ".join(rng.choices(words[x], k=rng.randint(1, 30))), x) for x in words for _ in range(30)] + [("", "aa"), ("the the", "bb")]
+    pages, rows = [], []
+    for i in range(200):
+        x, y = rng.choice(list(words)), rng.choice(list(words))
+        text = " ".join(rng.choices(words[x], k=rng.choice([0, 1, 2, 5, 40]))) if rng.random() < 0.9 else "zq" * rng.randint(0, 60)
+        declared = rng.choice(["", x, x, y])
+        suffix, site = rng.choice(["", x, "com"]), rng.choice(["hot", "b", "c"])
+        host = f"{rng.choice(['www.', 'a.', ''])}{site}.{suffix}" if suffix else ""
+        url = f"https://{host.upper()}:80/p?q={i}" if suffix else rng.choice([None, "", "no address"])
+        host = host.removeprefix("www.")
+        pages.append((i, url, f"<HTML class=x lang='{declared}'>" * bool(declared) + f"<script>der die das</script><!-- the --><p>{text}</p> &eacute;<", "clash"))
+        rows.append((i, text + " é", declared, suffix, f"{site}.{suffix}" if suffix else "", host))
+    rows = [(k, t, d, s, ".".join(h.split(".")[-2:]), h) for k, t, d, s, _, h in rows]
+    pages += [(500, None, None, None), (0, pages[0][1], pages[0][2], None)]
+    rows += [(500, "", "", "", "", ""), rows[0]]
+    want = language_by_hand(docs, rows)
+    df = spark.createDataFrame(docs, "text string, lang string")
+    found = langid.identify_pages(spark.createDataFrame(pages, "page_id long, url string, html string, langid_values string"), df).collect()
+    assert len(found) == len(pages)
+    for r in found:
+        lang, p, text_lang = want[r.page_id]
+        assert (r.lang, r.text_lang) == (lang, text_lang) and abs(r.confidence - p) < 1e-3, r
+
+
+def test_a_page_with_unclosed_tags_takes_linear_time():
+    import time
+
+    began = time.time()
+    for piece in ("<script ", "<!-- ", "<style><p", "<", "<a ", "</script", "<script></script"):
+        langid.page_text(piece * 200_000)
+    assert time.time() - began < 10
+    assert langid.page_text("a<script>x</SCRIPT >b<!-- c -->d<p>e<b f &amp; g") == "a b d e<b f & g"
+    assert langid.page_text("a<script>x<style>y</style>z") == "a x z"
+
+
 def test_every_labelled_language_is_kept(spark):
     rng = random.Random(10)
     docs = []

@@ -162,3 +162,33 @@ def test_pii_odd_rows(spark):
     assert pii.report(docs).count() == len(ODD)
     assert pii.report(docs.limit(0)).count() == 0
     assert pii.report(spark.createDataFrame([(1, "1" * 50000), (2, "a" * 50000 + "@b.c")], "doc_id long, text string")).count() == 2
+
+
+def test_sanitising_tells_rows_apart_by_content(spark):
+    rows = [(None, "mail bob@x.org now"), (1, "aaaa bob@x.org bbb"), (1, "nothing personal here"), (1, "ring +1 555 123 4567 😀 é"), (2, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in pii.sanitised(docs).collect()]
+    want = [(None, "mail [EMAIL] now"), (1, "aaaa [EMAIL] bbb"), (1, "nothing personal here"), (1, "ring [PHONE] 😀 é"), (2, None), (2, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert pii.sanitised(docs.limit(0)).count() == 0
+
+
+def test_very_many_matches_in_one_text_take_seconds(spark):
+    n = 100_000
+    docs = spark.createDataFrame([(1, " é ".join(f"u{i}@x.org" for i in range(n)))], "doc_id long, text string")
+    import time
+
+    began = time.time()
+    row = docs.select(pii.base_matches(docs["text"], "email").alias("m")).first()
+    assert time.time() - began < 10 and len(row.m) == n
+    text = docs.first().text
+    assert all(text[x.start : x.end] == x.m for x in row.m)
+
+
+def test_terms_never_overlap_base_spans(spark):
+    rows = [(i, "Zorbax zorbax@zorbax.org Zorbax 10.1.2.3 zorbaxİ") for i in range(3)] + [(i, f"other words {i}") for i in range(10, 60)]
+    for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        spans = [(k, int(a), int(z)) for k, a, z in (x.split(":") for x in r.spans.split(",") if x)]
+        base = [s for s in spans if s[0] != "term"]
+        assert not [1 for k, a, z in spans if k == "term" for _, s, e in base if a < e and s < z]
+        assert r.n_term == (3 if r.doc_id < 3 else 0)
