@@ -193,9 +193,9 @@ WITH d AS MATERIALIZED (
 ), every_ AS (SELECT row, kind, start, stop, false AS removed FROM m UNION ALL SELECT * FROM t
 ), edit AS (
   SELECT *, CASE WHEN removed THEN '' ELSE '[' || upper(kind) || ']' END AS by_, coalesce(max(stop) OVER (PARTITION BY row ORDER BY start, stop,
-           CASE WHEN removed THEN '' ELSE '[' || upper(kind) || ']' END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM every_
+           CASE WHEN removed THEN '' ELSE '[' || upper(kind) || ']' END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reached FROM every_
 ), cleaned AS (
-  SELECT row, sha256(string_agg(CASE WHEN start < at THEN '' ELSE substr(text, at + 1, start - at) || by_ END, '' ORDER BY start, stop, by_)
+  SELECT row, sha256(string_agg(CASE WHEN start < reached THEN '' ELSE substr(text, reached + 1, start - reached) || by_ END, '' ORDER BY start, stop, by_)
            || substr(any_value(text), max(stop) + 1)) AS sanitised_sha256 FROM edit JOIN d USING (row) GROUP BY row
 ), s AS (
   SELECT row, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
