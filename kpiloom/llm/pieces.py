@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
 The model file gives the pieces, their scores, the normaliser's switches and
-byte fallback.  Compiled together they are one transducer: it reads normalised
-characters, writes piece ids, and a state is the last piece written.  An
-arc's weight in the tropical semiring is the piece's cost plus the cost of the
-pair (last piece, piece).
+byte fallback.  Compiled together they are one transducer: it reads characters,
+writes piece ids, and a state is the last piece written.  Its arcs are the
+pieces and, for characters that no piece covers, their bytes' pieces (or the
+unknown piece).  An arc's weight in the tropical semiring is the piece's cost
+plus the cost of the pair (last piece, piece):
 
 * unigram model: a piece costs minus its score and a pair nothing, so the
   shortest path is the most probable segmentation;
@@ -13,14 +14,23 @@ pair (last piece, piece).
   has one path of finite cost, the BPE segmentation, since a segmentation is
   the one that merging yields exactly if all its neighbours are.
 
-A character that no piece covers is written as its bytes' pieces.  Composing the
-transducer with an input and relaxing states from left to right takes the
-shortest path.  No piece has a space mark after another character, so an input
-is cut before each run of marks, and equal parts are looked up.
+The normaliser is the transducer's first stage; as the model's character map is
+the identity, all that it does is to squeeze, prefix and mark spaces, which is
+compiled to string operations.  A user-defined piece is always one arc: nothing
+else passes its place.  Composing the rest with an input and relaxing arcs from
+left to right takes the shortest path.  No piece has a space mark after another
+character, so an input is cut before each run of marks, and equal parts are
+looked up.
 
 Defined results: a null or empty text has no tokens and decodes to an empty
-text; decoding gives back the text (the dummy prefix is taken off again); runs
-of spaces are kept or squeezed as the model's normaliser says.
+text; decoding gives back the text (the dummy prefix is taken off again), except
+that the mark U+2581, which the model does not tell from a space, comes back as
+one, and lone surrogates, which are no text, as what their bytes decode to; runs
+of spaces are kept or squeezed as the model's normaliser says; of paths that
+cost the same the one with the longer last piece is taken; repeated rows are
+each encoded; texts are used whole; an empty table gives an empty result;
+``encode_documents`` keeps all columns but ``text``, and replaces one named as
+its result.
 """
 
 from __future__ import annotations
@@ -126,11 +136,14 @@ class Transducer:
                 self.unknown = i
         self.bytes = [byte_ids.get(b, self.unknown) for b in range(256)] if spec.byte_fallback else None
         self.covered = {p for p in self.ids if len(p) == 1}
-        #: Finds every piece that an input spells.
+        self.dear = 10.0 - min((s for _, s, k in spec.pieces if k == NORMAL), default=0.0)  # what an uncovered character costs
+        #: Finds every arc (text read, its cost, ids written) that an input spells.
         self.lexicon = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.lexicon.add_word(piece, (piece, i))
+            self.lexicon.add_word(piece, (piece, 0.0 if spec.kind == BPE else self.cost[i], (i,)))
         self.lexicon.make_automaton()
+        whole = sorted((p for p, _, k in spec.pieces if k == USER), key=len, reverse=True)
+        self.whole = re.compile("(" + "|".join(map(re.escape, whole)) + ")") if whole else None
         self.raw = [
             bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode() if k in (NORMAL, USER) else b" \xe2\x81\x87 " if k == UNKNOWN else b""
             for p, _, k in spec.pieces
@@ -138,7 +151,6 @@ class Transducer:
         split = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.part = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if split else re.compile(r"(?s).+")
         self.fits: dict[tuple[str, str], bool] = {}
-        self.least = min((s for p, s, k in spec.pieces if k == NORMAL), default=0.0) - 10.0
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -179,57 +191,70 @@ class Transducer:
         return found
 
     # -- shortest path ------------------------------------------------------
-    def shortest(self, part: str) -> list[str]:
-        """Pieces, or uncovered characters, along the shortest path through ``part``.
+    def fallback(self, char: str) -> tuple[str, float, tuple[int, ...]]:
+        """The arc of a character that no piece covers."""
+        ids = [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")] if self.bytes else [self.unknown]
+        return char, 0.0 if self.spec.kind == BPE else self.dear, tuple(ids)
+
+    def shortest(self, part: str) -> list[tuple[str, float, tuple[int, ...]]]:
+        """Arcs along the shortest path through ``part``.
 
         Arcs are relaxed in order of the place where they end, and one state
         survives at each place: of a BPE model no other has finite cost, of a
-        unigram model pairs cost nothing, so only the cheapest matters.
+        unigram model pairs cost nothing, so only the cheapest matters.  No
+        weight is negative in a BPE model, so an arc from a place that costs as
+        much as its end is not weighed.
         """
         n = len(part)
         arcs = self.lexicon.iter(part)
         if not self.covered.issuperset(part):
-            bare = [(k, (c, -1)) for k, c in enumerate(part) if c not in self.covered]
+            bare = [(k, self.fallback(c)) for k, c in enumerate(part) if c not in self.covered]
             arcs = sorted([*arcs, *bare], key=lambda arc: arc[0])
-        last: list[str | None] = [None] * (n + 1)
-        last[0] = ""
-        if self.spec.kind == BPE:
-            fits, pair_fits = self.fits, self.pair_fits
-            for at, (piece, _) in arcs:
-                if last[at + 1] is None:
-                    before = last[at + 1 - len(piece)]
-                    if before is not None:
-                        fit = fits.get((before, piece))
-                        if pair_fits(before, piece) if fit is None else fit:
-                            last[at + 1] = piece
-        else:
-            cost = [0.0] + [INFINITE] * n
-            for at, (piece, i) in arcs:
-                step = cost[at + 1 - len(piece)] + (-self.least if i < 0 else self.cost[i])
-                if step < cost[at + 1]:
-                    last[at + 1], cost[at + 1] = piece, step
+        pairs = self.spec.kind == BPE
+        fits, pair_fits = self.fits, self.pair_fits
+        cost: list[float] = [0.0] + [INFINITE] * n
+        best: list = [None] * (n + 1)
+        for at, arc in arcs:
+            text, weight, _ = arc
+            start, end = at + 1 - len(text), at + 1
+            step = cost[start] + weight
+            if step < cost[end]:
+                if pairs:
+                    before = best[start][0] if start else ""
+                    fit = fits.get((before, text))
+                    if not (pair_fits(before, text) if fit is None else fit):
+                        continue
+                cost[end], best[end] = step, arc
         out, end = [], n
         while end:
-            out.append(last[end])
-            end -= len(last[end])
+            out.append(best[end])
+            end -= len(best[end][0])
         return out[::-1]
 
     def part_ids(self, part: str) -> list[int]:
+        if self.whole and self.whole.fullmatch(part):
+            return [self.ids[part]]
         out: list[int] = []
-        for piece in self.shortest(part):
-            i = self.ids.get(piece)
-            if i is not None:
-                out.append(i)
-            elif self.bytes:
-                out += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
-            elif not out or out[-1] != self.unknown:
-                out.append(self.unknown)
+        for _, _, ids in self.shortest(part):
+            if ids != (self.unknown,) or not out or out[-1] != self.unknown:
+                out += ids
         return out
 
+    def parts(self, text: str) -> Iterator[str]:
+        """User-defined pieces, and what lies between them cut before each run of marks."""
+        if self.whole is None:
+            yield from self.part.findall(text)
+            return
+        for k, between in enumerate(self.whole.split(text)):
+            if k % 2:
+                yield between
+            else:
+                yield from self.part.findall(between)
+
     def encode_packed(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
         known, out = self.known, []
-        for part in self.part.findall(self.normalise(text)):
+        for part in self.parts(self.normalise(text)):
             packed = known.get(part)
             if packed is None:
                 packed = self.older.get(part)
