@@ -2,14 +2,16 @@
 
 A mask marks which of a window's tokens a seed reads; the others may differ.
 Seed hashes of benchmark and training texts are equi-joined; each hit fixes a
-diagonal (document position minus item position), along which the best
-substitution-tolerant overlap around the hits is found and checked.
+diagonal (document position minus item position), along which the longest
+substitution-tolerant overlap is found and checked.  A hit carries the tokens
+around it as far as the longest item reaches, so overlaps are never cut.
 
-Training hashes meet a Bloom filter of the benchmark's first.  Its size is
-fixed, so it can be broadcast whatever the benchmark's size; a fuller filter
-lets more through to the join and never loses a hit.  The join itself carries
-no hint: Spark broadcasts the benchmark side only when its measured size allows
-and otherwise shuffles, splitting hot hashes.
+Training hashes meet a Bloom filter of the benchmark's first.  Its size follows
+the number of seeds, up to ``MAX_BLOOM_BITS``, so it can be broadcast whatever
+the benchmark's size; a fuller filter lets more through to the join and never
+loses a hit.  The join itself carries no hint: Spark broadcasts the benchmark
+side only when its measured size allows and otherwise shuffles, splitting hot
+hashes.
 
 Items of fewer than ``LONG`` tokens are too short for the masks to hit every
 passage the check accepts.  An overlap that the check accepts lacks at most so
@@ -17,9 +19,12 @@ many of their tokens; cut into one part more, the item has a part that it holds
 whole, so each part is a seed.
 
 Defined results: null and empty texts hold no tokens and match nothing; items
-of fewer than five tokens match their exact copies only; repeated
-documents each get their rows, except that rows with the same id and item are
-merged into one; ties between overlaps go to the earliest in the document.
+of fewer than five tokens match their exact copies only; repeated documents each
+get their rows, except that rows with the same id and item are merged into one;
+a repeated item is one item, and of items with one id and different texts each
+is sought; of several overlaps the one with most matches counts, then the
+earliest; texts are used whole, in pieces of about a million characters; empty
+tables give no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,19 +37,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm._store import stored
+from kpiloom.llm._store import free_name, stored
 from kpiloom.llm._tokens import mixed, slices, token_hashes
 
-#: Fixed masks: 1 reads a token, 0 ignores it.  Together they hit every passage
-#: of 15 tokens with one substitution and of 16 tokens with two.
-MASKS = ("111101001011", "111100110011", "101111000111", "100110101111")
+#: Fixed masks: 1 reads a token, 0 ignores it.  Chosen by enumeration: together they hit every passage of 14 tokens with
+#: two substitutions and of 15 and 16 with three, and 99.9 % of those of 20 with four.
+MASKS = ("111011011", "111000010111", "11110111", "11011000111", "1101010111", "11101101001")
 #: Items of fewer tokens are sought by their parts.
 LONG = 15
-CONTEXT = 48
-BLOOM_BITS = 1 << 23
+#: Bits of the filter for each seed, and limits of its size (a power of two): at most 32 MB are broadcast.
+BLOOM_RATIO, MIN_BLOOM_BITS, MAX_BLOOM_BITS = 16, 1 << 20, 1 << 28
 MIN_MATCHED = 12
 MIN_OVERLAP = 0.8
-MISMATCH = 3.0
 
 
 def seeds(hashes: np.ndarray, offsets: np.ndarray, mask: str, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,8 +129,8 @@ def _in_bloom(words: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     return found[probe(h[found] >> np.uint64(32))]
 
 
-def _regions(masks: Sequence[str], lengths: Sequence[int], words, bits: int):
-    """Per document, token regions around seeds (masks, and parts of ``lengths``) that pass the filter."""
+def _regions(masks: Sequence[str], lengths: Sequence[int], words, bits: int, context: int):
+    """Per document, token regions around seeds (masks, and parts of ``lengths``) that pass the filter, ``context`` tokens wide on each side."""
     use = [*((mask, k + 1) for k, mask in enumerate(masks)), *(("1" * n, -n) for n in lengths)]
     widest = max(len(mask) for mask, _ in use)
 
@@ -149,11 +153,11 @@ def _regions(masks: Sequence[str], lengths: Sequence[int], words, bits: int):
                 order = np.argsort(p, kind="stable")
                 h, p = h[order], p[order]
                 text = np.searchsorted(offsets, p, side="right") - 1
-                new = np.flatnonzero((np.diff(p, prepend=-1 - 4 * CONTEXT) > 2 * CONTEXT) | (np.diff(text, prepend=-1) != 0))
+                new = np.flatnonzero((np.diff(p, prepend=-1 - 4 * context) > 2 * context) | (np.diff(text, prepend=-1) != 0))
                 for s, e in zip(new, [*new[1:], len(p)], strict=True):
                     t = text[s]
-                    a = max(offsets[t], p[s] - CONTEXT)
-                    z = min(offsets[t + 1], p[e - 1] + widest + CONTEXT)
+                    a = max(offsets[t], p[s] - context)
+                    z = min(offsets[t + 1], p[e - 1] + widest + context)
                     rows.append((keys[lo + t], int(a - offsets[t]), hashes[a:z].view(np.int64), h[s:e].view(np.int64), (p[s:e] - offsets[t]).astype(np.int32)))
             if rows:
                 yield pd.DataFrame(rows, columns=["key", "region_at", "tokens", "h", "pos"])
@@ -161,24 +165,19 @@ def _regions(masks: Sequence[str], lengths: Sequence[int], words, bits: int):
     return run
 
 
-def best_overlap(same: np.ndarray) -> tuple[int, int, int]:
-    """(start, end, matches) of the segment with the best score: +1 a match, -MISMATCH a substitution."""
-    sums = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -MISMATCH))])
-    low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - low))
-    start = int(np.argmin(sums[: end + 1])) if end else 0
-    return start, end, int(same[start:end].sum())
-
-
 def longest_overlap(same: np.ndarray, min_overlap: float) -> tuple[int, int, int]:
-    """(start, end, matches) of the segment with the most matches of those that match ``min_overlap`` of their length."""
+    """(start, end, matches) of the segment with the most matches of those that match ``min_overlap`` of their length.
+
+    It begins and ends with a match.
+    """
     sums = np.concatenate([[0.0], np.cumsum(same - min_overlap)])
     low = np.minimum.accumulate(sums)
     start = np.minimum(np.searchsorted(-low, -sums - 1e-9), np.arange(len(sums)))
     count = np.concatenate([[0], np.cumsum(same)])
     matched = count - count[start]
     end = int(np.argmax(matched))
-    return int(start[end]), end, int(matched[end])
+    inside = np.flatnonzero(same[start[end] : end]) + start[end]
+    return (int(inside[0]), int(inside[-1]) + 1, len(inside)) if len(inside) else (0, 0, 0)
 
 
 def _overlaps(min_matched: int, min_overlap: float):
@@ -188,10 +187,7 @@ def _overlaps(min_matched: int, min_overlap: float):
         for t, at, it, d in zip(tokens, region_at, item, diagonal, strict=True):
             lo, hi = max(at, d), min(at + len(t), d + len(it))
             same = np.asarray(t)[lo - at : hi - at] == np.asarray(it)[lo - d : hi - d]
-            s, e, m = best_overlap(same) if hi > lo else (0, 0, 0)
-            if m < needed(len(it), min_matched, min_overlap) and hi > lo:
-                # the best score may leave out matches behind a substitution that the check would accept
-                s, e, m = longest_overlap(same, min_overlap)
+            s, e, m = longest_overlap(same, min_overlap) if hi > lo else (0, 0, 0)
             rows.append((lo + s, e - s, m))
         return pd.DataFrame(rows, columns=["start", "length", "matched"])
 
@@ -211,26 +207,29 @@ def contaminated(
 ) -> DataFrame:
     """A row per (document, item) that overlap: key, item, start, length, matched, spans.
 
-    An overlap counts if it matches ``min_matched`` tokens, or ``min_overlap`` of
+    An overlap is a stretch of one diagonal.  It counts if it matches ``min_matched`` tokens, or ``min_overlap`` of
     a shorter item's, and at least ``min_overlap`` of its length.  ``start`` and ``length``
     are of the document's longest overlap with the item, in tokens.
     """
     spark = docs.sparkSession
     items = stored(
-        benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text")).mapInPandas(
+        benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text")).distinct().mapInPandas(
             _item_rows(masks, min_matched, min_overlap),
             f"item {benchmark.schema[item].dataType.simpleString()}, item_tokens array<long>, h array<long>, off array<int>",
         )
+        .withColumn("iid", F.monotonically_increasing_id())
     )
-    item_seeds = items.select("item", F.explode(F.arrays_zip("h", "off")).alias("s")).select("item", "s.h", "s.off")
+    item_seeds = items.select("iid", F.explode(F.arrays_zip("h", "off")).alias("s")).select("iid", "s.h", "s.off")
     long = max(LONG, *map(len, masks))
     short = [r[0] for r in items.select(F.size("item_tokens").alias("n")).where(F.col("n") < long).distinct().collect()]
     lengths = sorted({n for x in short for _, n in parts(x, min_matched, min_overlap)})
-    words = spark.sparkContext.broadcast(_bloom_words(item_seeds, BLOOM_BITS))
+    size = items.agg(F.sum(F.size("h")).alias("seeds"), F.max(F.size("item_tokens")).alias("longest")).first()
+    bits = min(MAX_BLOOM_BITS, max(MIN_BLOOM_BITS, 1 << (BLOOM_RATIO * (size["seeds"] or 1)).bit_length()))
+    words = spark.sparkContext.broadcast(_bloom_words(item_seeds, bits))
     regions = stored(
         docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         .mapInPandas(
-            _regions(masks, lengths, words, BLOOM_BITS),
+            _regions(masks, lengths, words, bits, size["longest"] or 1),
             f"key {docs.schema[key].dataType.simpleString()}, region_at int, tokens array<long>, h array<long>, pos array<int>",
         )
         .withColumn("rid", F.monotonically_increasing_id())
@@ -239,14 +238,14 @@ def contaminated(
         regions.select("rid", F.explode(F.arrays_zip("h", "pos")).alias("s"))
         .select("rid", "s.h", "s.pos")
         .join(item_seeds, "h")
-        .select("rid", "item", (F.col("pos") - F.col("off")).alias("diagonal"))
+        .select("rid", "iid", (F.col("pos") - F.col("off")).alias("diagonal"))
         .distinct()
     )
     verified = _overlaps(min_matched, min_overlap)
     least = F.least(F.lit(min_matched), F.ceil(F.lit(min_overlap) * F.col("n") - 1e-9))
     checked = (
         hits.join(regions.select("rid", "key", "region_at", "tokens"), "rid")
-        .join(items.select("item", "item_tokens"), "item")
+        .join(items.select("iid", "item", "item_tokens"), "iid")
         .select("key", "item", F.size("item_tokens").alias("n"), verified("tokens", "region_at", "item_tokens", "diagonal").alias("v"))
         .select("key", "item", "n", "v.*")
         .where(
@@ -261,11 +260,15 @@ def contaminated(
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` without the rows whose text overlaps a benchmark item; clean rows stay as they are.
 
-    Rows are told apart by ``key``: a row that repeats a contaminated one's key goes too.
+    Rows are told apart by their text alone (a 64-bit hash of it), so null and
+    repeated ids do no harm, and a text that many rows hold is sought once.
     """
+    content = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    mark = free_name("contaminated_content", docs.columns)
+    texts = docs.select(content.alias(mark), F.col(text))
     # written out, its size is known when the join is planned: a short list is broadcast and the texts stay where they are
-    found = stored(contaminated(docs, benchmark, key, **options).select(F.col(key)).distinct())
-    return docs.join(found, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = stored(contaminated(texts, benchmark, mark, text, **options).select(mark).distinct())
+    return docs.join(found, content == F.col(mark), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm._store import stored
+from kpiloom.llm._store import free_name, stored
 from kpiloom.llm._tokens import slices
 
 BUCKETS = 1 << 14
@@ -203,14 +203,6 @@ def _fused(logs: np.ndarray, soft: np.ndarray, given: dict[str, np.ndarray], sum
     return _normal(fused)
 
 
-def _free(name: str, columns: Sequence[str]) -> str:
-    """``name``, lengthened until no column has it."""
-    taken = {c.lower() for c in columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def _weighed(rows: DataFrame, values: Column, seen: DataFrame, model: Model, evidence: Sequence[Column], decision: str) -> DataFrame:
     """``rows`` with a struct ``decision``: lang, confidence, text_lang, trigrams.
 
@@ -222,14 +214,14 @@ def _weighed(rows: DataFrame, values: Column, seen: DataFrame, model: Model, evi
     totals = [F.sum(F.get("soft", F.lit(i))).alias(f"s{i}") for i in range(n)]
     total = np.array([float(x or 0.0) for x in seen.agg(*totals).first()])
     share = (total + 1.0) / (total.sum() + n)
-    mark = _free("langid_values", rows.columns)
+    mark = free_name("langid_values", rows.columns)
     out = rows.withColumn(mark, values)
-    names = {by: _free(f"langid_{by}_sums", rows.columns) for by in VALUES}
+    names = {by: free_name(f"langid_{by}_sums", rows.columns) for by in VALUES}
     for by, name in names.items():
         grouped = seen.groupBy(F.col(f"values.{by}").alias("langid_by")).agg(*totals)
         # written out, its size is known when the join is planned: small sums are broadcast and the texts stay where they are
         grouped = stored(grouped.select("langid_by", F.array(*[f"s{i}" for i in range(n)]).alias(name)))
-        by_name = _free("langid_by", out.columns)
+        by_name = free_name("langid_by", out.columns)
         grouped = grouped.withColumnRenamed("langid_by", by_name)
         out = out.join(grouped, F.col(f"{mark}.{by}") == F.col(by_name)).drop(by_name)
     held = spark.sparkContext.broadcast(model)
@@ -259,7 +251,7 @@ def _weighed(rows: DataFrame, values: Column, seen: DataFrame, model: Model, evi
 
     inputs = [*evidence, *[F.col(f"{mark}.{by}") != "" for by in VALUES[:2]], *[F.col(names[by]) for by in VALUES]]
     languages = F.array(*map(F.lit, model.languages))
-    p = _free("langid_p", out.columns)
+    p = free_name("langid_p", out.columns)
     found = F.struct(
         F.get(languages, F.col(f"{p}.place")).alias("lang"),
         F.round(F.col(f"{p}.p"), 6).alias("confidence"),
@@ -314,7 +306,7 @@ def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     values = _grouped_by(F.col(lang), None, F.col(source))
     # the texts are weighed again for the decision: their evidence is longer than many of them, and is not kept
     seen = stored(docs.select(values.alias("values"), _evidence(model, docs.sparkSession, F.col(text)).alias("e")).select("values", "e.soft"))
-    mark = _free("langid_found", docs.columns)
+    mark = free_name("langid_found", docs.columns)
     found = _weighed(docs, values, seen, model, [F.coalesce(F.col(text), F.lit(""))], mark)
     decided, trigrams = F.col(f"{mark}.lang"), F.col(f"{mark}.trigrams")
     sure = (decided != UNKNOWN) & (F.col(f"{mark}.confidence") >= least)
