@@ -7,9 +7,14 @@ class inside the candidate; its Shannon entropy is kept by incremental counts
 (one character enters, one leaves).  Windows at or over the class's threshold
 are merged into a span, unless the allow-list suppresses it.
 
+Runs of ``MIN_CANDIDATE`` characters up to a window's length are one window,
+with the threshold lowered in proportion to what their length can reach.
+
 Defined results: a null text is an empty text and has no spans; a repeated row
-is scanned again and kept; whole texts are scanned, whatever their length.
-Spans are in code points, end exclusive.
+is scanned again and kept; whole texts are scanned, whatever their length; equal
+spans of one kind count once, and spans with one start are ordered by kind; an
+empty table gives an empty result; other columns stay as they are, whatever
+their names.  Spans are in code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -17,13 +22,17 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.llm._store import free_name
+
 KINDS = ("assign", "access", "hex", "entropy")
 
 _ASSIGN = re.compile(
@@ -44,6 +53,12 @@ class CharClass:
     window: int
     threshold: float
 
+    def fitted(self, length: int) -> tuple[int, float]:
+        """Window and threshold for a run: one shorter than the window is one window, and can reach log2 of its length."""
+        if length >= self.window:
+            return self.window, self.threshold
+        return length, self.threshold * math.log2(length) / math.log2(self.window)
+
 
 #: Sixteen symbols can reach 4 bits and 64 symbols 6 bits, but a window of n
 #: characters reaches log2(n) at most; thresholds sit below a random window's mean.
@@ -115,7 +130,8 @@ class Scanner:
         if "AKIA" in text:
             out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
         out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-        base = list(out)
+        base = sorted((s, e) for s, _, e in out)
+        starts, reach = [s for s, _ in base], list(accumulate((e for _, e in base), max))
         found: set[tuple[int, int, int]] = set()
         for m in _CANDIDATE.finditer(text):
             if self.allowed(m[0]):
@@ -124,9 +140,13 @@ class Scanner:
                 for r in run.finditer(m[0]):
                     if self.allowed(r[0]):
                         continue
-                    for a, b in entropy_runs(r[0], c.window, c.threshold):
+                    if len(r[0]) < MIN_CANDIDATE:
+                        continue
+                    window, threshold = c.fitted(len(r[0]))
+                    for a, b in entropy_runs(r[0], window, threshold):
                         s, e = m.start() + r.start() + a, m.start() + r.start() + b
-                        if not any(x <= s and e <= y for x, _, y in base):
+                        earlier = bisect_right(starts, s)
+                        if not earlier or reach[earlier - 1] < e:  # no base span holds it
                             found.add((s, 3, e))
         return sorted(out + list(found))
 
@@ -173,8 +193,8 @@ def scan(text: Column, classes: Iterable[CharClass] = CLASSES, allow: Iterable[s
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, counts by kind, base digest and all spans."""
-    out = docs.select(F.col(key).alias(key), scan(F.col(text)).alias("_scan"))
-    return out.select(key, "_scan.*").drop("redacted")
+    out = docs.select(F.col(key).alias("key"), scan(F.col(text)).alias("scan"))
+    return out.select(F.col("key").alias(key), "scan.*").drop("redacted")
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -182,7 +202,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A text without secrets stays as it is, null included.
     """
-    mark = "_scan_of_secrets"
+    mark = free_name("scan_of_secrets", docs.columns)
     out = docs.withColumn(mark, scan(F.col(text)))
     changed = F.coalesce(F.col(f"{mark}.redacted"), F.col(text))
     return out.withColumn(text, changed).drop(mark).select(*[F.col(f"`{c}`") for c in docs.columns])

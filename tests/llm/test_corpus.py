@@ -191,6 +191,53 @@ def test_short_items_are_found_with_every_substitution(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == want
 
 
+def overlap_by_hand(doc, item):
+    """Matches of the best stretch over all diagonals that the stated rule accepts, 0 if none."""
+    need, best = min(12, -(-4 * len(item) // 5)), 0
+    for d in range(1 - len(item), len(doc)):
+        same = [0 <= d + i < len(doc) and doc[d + i] == x for i, x in enumerate(item)]
+        if sum(same) < need:
+            continue
+        at = [i for i, x in enumerate(same) if x]
+        for a in range(len(at)):
+            for z in range(a, len(at)):
+                if z - a + 1 >= need and 5 * (z - a + 1) >= 4 * (at[z] - at[a] + 1):
+                    best = max(best, z - a + 1)
+    return best
+
+
+def test_overlaps_equal_all_diagonals_by_the_stated_rule(spark):
+    rng = random.Random(13)
+    items = [(i, prose(rng, rng.choice([5, 8, 12, 14, 15, 16, 20, 40, 150]))) for i in range(40)]
+    rows = []
+    for d in range(250):
+        words = prose(rng, rng.choice([0, 10, 60])).split()
+        item = items[rng.randrange(40)][1].split()
+        a = rng.randrange(max(1, len(item) - 11)) if rng.random() < 0.5 else 0
+        z = rng.randint(a + 1, len(item)) if rng.random() < 0.3 else len(item)
+        part = item[a:z]
+        for i in rng.sample(range(len(part)), int(len(part) * rng.choice([0, 0.1, 0.2, 0.25]))):
+            part[i] = "swapped"
+        rows.append((d, " ".join([*words, *part, *prose(rng, 10).split()])))
+    want = {}
+    for d, t in rows:
+        for i, x in items:
+            if n := overlap_by_hand(t.split(), x.split()):
+                want[d, i] = n
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) <= set(want) and len(got) >= 0.99 * len(want) and len(want) > 100
+    assert all(r.matched == want[k] and 5 * r.matched >= 4 * r.length for k, r in got.items())
+
+
+def test_decontamination_tells_rows_apart_by_text(spark):
+    rng = random.Random(14)
+    item = prose(rng, 30)
+    rows = [(None, f"{prose(rng, 20)} {item}"), (1, prose(rng, 50)), (1, f"{item} {prose(rng, 20)}"), (None, prose(rng, 20)), (2, prose(rng, 60_000) + " " + item), (3, None)]
+    docs = spark.createDataFrame([(*r, "x", i) for i, r in enumerate(rows)], "doc_id long, text string, contaminated_content string, iid int")
+    bench = spark.createDataFrame([(7, item, "y"), (7, item, "y"), (7, prose(rng, 30), "y"), (8, None, "y")], "item_id long, text string, doc_id string")
+    assert sorted(r.iid for r in decontaminate.decontaminate(docs, bench).collect()) == [1, 3, 5]
+
+
 def brute_top(rows, ids, k):
     vs = {i: [int(np.floor(256 * float(x))) for x in v] for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     out = set()

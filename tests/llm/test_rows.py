@@ -99,10 +99,28 @@ def test_long_runs_of_spaces_and_letters(both):
 def test_unigram_paths_are_the_cheapest(both):
     spec = pieces.Spec((("<unk>", 0.0, 2), ("▁", -3.0, 1), ("a", -2.0, 1), ("b", -2.0, 1), ("ab", -3.0, 1), ("▁ab", -3.5, 1), ("bb", -5.0, 1)), pieces.UNIGRAM, False, True, False, True)
     t = pieces.Transducer(spec)
-    assert t.shortest("▁abb") == ["▁ab", "b"] and t.encode("ab") == [5] and t.encode("abb") == [5, 3]
+    assert [text for text, *_ in t.shortest("▁abb")] == ["▁ab", "b"] and t.encode("ab") == [5] and t.encode("abb") == [5, 3]
     assert t.encode("az") == [1, 2, 0]
 
 
+def test_user_pieces_are_kept_whole():
+    with open(pieces.MODEL, "rb") as f:
+        model = f.read()
+    for name in (b"<sep>", b"the<sep>q"):
+        field = b"\x0a" + bytes([len(name)]) + name + b"\x15\x00\x00\x00\x00\x18\x04"
+        model += b"\x0a" + bytes([len(field)]) + field
+    ours, theirs = pieces.Transducer(pieces.Spec.parse(model)), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for text in ("a<sep>b", "<sep>", "x <sep><sep> y", "the<sep>quick the<sep> quick", "<se p>"):
+        assert ours.encode(text) == theirs.encode(text), text
+        assert ours.decode(ours.encode(text)) == text
+
+
+def test_the_mark_comes_back_as_a_space(both):
+    ours, theirs = both
+    for text in ("a▁b", "▁", "▁▁ x"):
+        assert ours.encode(text) == theirs.encode(text) and ours.decode(ours.encode(text)) == text.replace("▁", " ")
+
+
 def test_piece_digest_keeps_every_row(spark):
     docs = spark.createDataFrame(ODD, DOCS)
     rows = pieces.digest(docs).collect()
