@@ -49,17 +49,13 @@ def _pieces(words: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def token_hashes(texts: Sequence[str], prefixes: Sequence[int] = ()) -> tuple[np.ndarray, ...]:
-    """(hashes of all texts' tokens in order, offsets: text i has [offsets[i]:offsets[i+1]]).
-
-    For each of ``prefixes``, an array more: the hash of each token's first
-    bytes of that number, 0 for tokens that are no longer than it.
-    """
+def token_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all texts' tokens in order, offsets: text i has [offsets[i]:offsets[i+1]])."""
     encoded = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
     buffer = np.frombuffer(b"\n".join(encoded) + b"\n", dtype=np.uint8)
     ends_of_texts = np.cumsum([len(e) + 1 for e in encoded])
     words = _WORD[buffer]
-    hashes, starts, heads = [], [], [[] for _ in prefixes]
+    hashes, starts = [], []
     for a, b in _pieces(words):
         inside = words[a:b].astype(np.int8)
         edge = np.diff(inside, prepend=np.int8(0), append=np.int8(0))
@@ -72,14 +68,11 @@ def token_hashes(texts: Sequence[str], prefixes: Sequence[int] = ()) -> tuple[np
         h = (sums[e] - sums[s]) * _power(_INVERSE, b - a)[s]
         hashes.append(mixed(h + (e - s).astype(np.uint64)))
         starts.append(s + a)
-        for n, head in zip(prefixes, heads, strict=True):
-            h = (sums[np.minimum(s + n, e)] - sums[s]) * _power(_INVERSE, b - a)[s]
-            head.append(np.where(e - s > n, mixed(h + np.uint64(n + (1 << 32))), np.uint64(0)))
     if not hashes:
         none = np.zeros(0, dtype=np.uint64)
-        return none, np.zeros(len(texts) + 1, dtype=np.int64), *(none for _ in prefixes)
+        return none, np.zeros(len(texts) + 1, dtype=np.int64)
     offsets = np.searchsorted(np.concatenate(starts), np.concatenate([[0], ends_of_texts]))
-    return np.concatenate(hashes), offsets, *map(np.concatenate, heads)
+    return np.concatenate(hashes), offsets
 
 
 def slices(texts: Sequence[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
