@@ -1,19 +1,20 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the average of the vectors of its hashed words and character
-n-grams, among them word pairs by how they relate (a word that repeats one of
-the two before it); a softmax layer over that average gives its class.  Vectors and layer
-are learned together by stochastic gradient descent in numpy on a bounded
-sample of labelled documents (``SAMPLE`` rows).  The output layer is linear in
-the average, so for scoring each vector is folded with the layer into one
-number a bucket, and a document's logit is the mean of its features' numbers.
+A document is the average of the vectors of its hashed words, word pairs and
+character n-grams; a softmax layer over that average gives its class.  Vectors
+and layer are learned together by stochastic gradient descent in numpy on a
+bounded sample of labelled documents (``SAMPLE`` rows).  The output layer is
+linear in the average, so for scoring each vector is folded with the layer into
+one number a bucket, and a document's logit is the mean of its features' numbers.
 
 The average is damped by ``DAMPING`` empty features, so that a few words cannot
 outweigh the bias.
 
 Defined results: null and empty texts have no features and get the bias's
 score; without labelled rows every score is 0.5; repeated rows each get their
-score; texts are used whole.
+score; of several documents with one labelled id the smallest text is fitted;
+texts are used whole, in pieces of about a million characters; an empty table
+gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -52,7 +53,10 @@ def _bucket(h: np.ndarray, order: int) -> np.ndarray:
 
 
 def features(texts: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, text of each) in groups: words, word relations, n-grams of each length.
+    """(buckets, text of each) in groups: words, word pairs, pairs of equal words, n-grams of each length.
+
+    A word that follows itself, at once or after one other, is a feature
+    whatever the word, besides the pair: no sample holds every word's.
 
     Every text is framed by spaces; an n-gram may begin or end with a space and
     has none inside.
@@ -74,10 +78,13 @@ def features(texts: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         words = np.add.reduceat(mixed, s) + (e - s).astype(np.uint32)
         of = np.searchsorted(ends, s, side="right") - 1
         yield _bucket(words, 1), of
-        back = [np.zeros(len(words), dtype=bool) for _ in range(2)]
-        for k, same in enumerate(back, 1):
-            same[k:] = (words[k:] == words[:-k]) & (of[k:] == of[:-k])
-        yield _bucket(back[0].astype(np.uint32) + np.uint32(2) * back[1], 2), of
+        for gap in (1, 2):
+            inside = np.flatnonzero(of[gap:] == of[:-gap])
+            left, right = words[inside], words[inside + gap]
+            repeated = inside[left == right]
+            if gap == 1:
+                yield _bucket(left * _K ^ right, 2), of[inside]
+            yield _bucket(np.full(len(repeated), gap, dtype=np.uint32), 5), of[repeated]
     text = np.repeat(np.arange(len(texts)), np.diff(ends)) if texts else np.zeros(0, np.int64)
     for n in NGRAMS:
         m = len(codes) - n + 1
@@ -158,9 +165,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
     found = (
         docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "key")
+        .groupBy("key", "label")
+        .agg(F.min("text").alias("text"))  # one text an id: never more than ``rows``
         .select("text", "label")
         .mapInPandas(_counted, "label int, buckets binary, share binary")
-        .limit(4 * rows)  # repeated documents aside, never more than rows
         .toArrow()
     )
     triples = [
