@@ -5,17 +5,21 @@ URL that is strictly earlier.  Its validators must agree with that response's;
 then the response's payload stands for it, with the headers that a 304 may
 update laid over the response's.
 
-The as-of join is cut by time: records fall into ``SLICES`` ranges of roughly
-equal numbers, a window looks back inside (URL, slice), and the last response
-of each (URL, slice), a maximum that combines before the shuffle, is carried to
-later slices.  A URL with a third of all records is thus spread over the slices.
+All records of one URL and instant have the same answer, so records first become
+instants, a maximum that combines before the shuffle.  The as-of join over these
+is cut by time: instants fall into ranges of roughly ``SLICE`` rows, a window
+looks back inside (URL, range), and the last response of each (URL, range) is
+carried to later ranges.  A URL with a third of all records is thus spread over
+the ranges, of which there are as many as the rows ask for.
 
 Defined results: ``status`` is ``resolved``; ``mismatch`` (validators differ);
 ``unvalidated`` (the revisit names none, or the response lacks the one named);
 ``orphan`` (no earlier response).  An ETag decides before Last-Modified; weak
 marks are ignored.  Of responses at one instant the larger record id is the
-latest.  Records without URL or time are orphans; repeated records are each
-resolved; payloads may be null or empty.
+latest, of repeated ids the one with the larger validators.  Records without URL
+or time are orphans, null kinds are no records; repeated records, null ids
+among them, are each resolved once; payloads, header maps and their values may be null, empty or
+long; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +29,8 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm._store import stored
 
-SLICES = 64
+#: Instants in a range of time, about.
+SLICE = 1 << 17
 #: Response headers that a 304 may update.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 #: Query parameters that name no content.
@@ -65,30 +70,27 @@ def merged_headers(response: Column, revisit: Column) -> Column:
     return F.map_concat(kept, over)
 
 
-def _latest_response(events: DataFrame) -> DataFrame:
-    """(record_id, match) of every revisit, where an earlier response exists."""
-    found = F.struct("ts", "record_id", "etag", "last_modified")
-    as_response = F.when(F.col("kind") == "response", found)
-    quantiles = events.agg(F.percentile_approx("ts", F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)]), 10_000)).first()[0]
-    bounds = sorted(set(quantiles or []))
-    slices = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("ts"))) if bounds else F.lit(0)
-    cut = events.withColumn("slice", slices)
-    own = Window.partitionBy("url", "slice").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    near = cut.withColumn("near", F.max(as_response).over(own)).where(F.col("kind") == "revisit")
-    last = cut.groupBy("url", "slice").agg(F.max(as_response).alias("last"))
+def _latest_responses(events: DataFrame) -> DataFrame:
+    """(url, ts, match): of every URL and instant, the last response before it, null if there is none."""
+    as_response = F.when(F.col("kind") == "response", F.struct("ts", "record_id", "etag", "last_modified", "row"))
+    instants = stored(events.groupBy("url", "ts").agg(F.max(as_response).alias("response")))
+    slices = -(-instants.count() // SLICE) or 1
+    cut = stored(instants.repartitionByRange(slices, "ts").withColumn("slice", F.spark_partition_id()))  # rises with ts
+    own = Window.partitionBy("url", "slice").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    near = cut.withColumn("near", F.max("response").over(own)).drop("response")
+    last = cut.groupBy("url", "slice").agg(F.max("response").alias("last"))
     before = Window.partitionBy("url").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.withColumn("far", F.max("last").over(before)).drop("last")
-    joined = near.join(carried, ["url", "slice"])
-    return joined.select("record_id", F.coalesce("near", "far").alias("match")).where(F.col("match").isNotNull())
+    return near.join(carried, ["url", "slice"]).select("url", "ts", F.coalesce("near", "far").alias("match"))
 
 
 def resolve(records: DataFrame) -> DataFrame:
     """A row for each revisit of ``records``.
 
     ``records``: record_id, url, ts (timestamp), kind (``response`` or
-    ``revisit``), headers (map, names in lower case), payload_digest; record_id
-    is unique.  Returned: record_id, url (canonical), status, response_id,
-    age_s, headers (merged, of resolved ones), payload_digest.
+    ``revisit``), headers (map, names in lower case), payload_digest.
+    Returned: record_id, url (canonical), status, response_id, age_s, headers
+    (merged, of resolved ones), payload_digest.
     """
     base = stored(
         records.select(
@@ -100,11 +102,12 @@ def resolve(records: DataFrame) -> DataFrame:
             _bare(F.col("headers")["etag"]).alias("etag"),
             F.col("headers")["last-modified"].alias("last_modified"),
             "payload_digest",
+            F.monotonically_increasing_id().alias("row"),  # fixed as it is written: tells repeated records apart
         )
     )
-    timed = base.where(F.col("ts").isNotNull() & (F.col("url") != "")).select("record_id", "url", "ts", "kind", "etag", "last_modified")
-    matched = _latest_response(timed)
-    revisits = base.where(F.col("kind") == "revisit").drop("kind", "payload_digest")
+    timed = base.where(F.col("ts").isNotNull() & (F.col("url") != "")).select("row", "record_id", "url", "ts", "kind", "etag", "last_modified")
+    matched = _latest_responses(timed).where(F.col("match").isNotNull())
+    revisits = base.where(F.col("kind") == "revisit").drop("kind", "payload_digest", "row")
     e, m = F.col("etag"), F.col("last_modified")
     r = F.col("match")
     status = (
@@ -113,19 +116,18 @@ def resolve(records: DataFrame) -> DataFrame:
         .when(m.isNotNull() & r["last_modified"].isNotNull(), F.when(m == r["last_modified"], "resolved").otherwise("mismatch"))
         .otherwise("unvalidated")
     )
-    judged = revisits.join(matched, "record_id", "left").select(
+    judged = revisits.join(matched, ["url", "ts"], "left").select(
         "record_id",
         "url",
         status.alias("status"),
         r["record_id"].alias("response_id"),
         ((F.col("ts") - r["ts"]) / 1_000_000).cast("long").alias("age_s"),
         F.col("headers").alias("own"),
+        r["row"].alias("row"),
     )
-    responses = base.where(F.col("kind") == "response").select(
-        F.col("record_id").alias("response_id"), F.col("headers").alias("theirs"), "payload_digest"
-    )
+    responses = base.where(F.col("kind") == "response").select("row", F.col("headers").alias("theirs"), "payload_digest")
     good = F.col("status") == "resolved"
-    return judged.join(responses, "response_id", "left").select(
+    return judged.join(responses, "row", "left").select(
         "record_id",
         "url",
         "status",
@@ -140,7 +142,8 @@ def crawl_log(pages: DataFrame) -> DataFrame:
     """A deterministic log of captures of ``pages``: a response, a later and an earlier revisit for each.
 
     The table has no revisits, so a page's id decides when it was fetched and
-    what its revisits declare.
+    what its revisits declare; a page without id was never fetched and gives no
+    record.
     """
     n = F.col("page_id")
     at = F.timestamp_seconds(F.lit(1_700_000_000) + (n * 7919) % 2_592_000)

@@ -275,7 +275,7 @@ def test_top_k_of_repeated_rows_few_rows_and_huge_components(spark):
 
 
 def test_revisits_equal_a_plain_search(spark, monkeypatch):
-    monkeypatch.setattr(warc, "SLICES", 5)
+    monkeypatch.setattr(warc, "SLICE", 5)
     rng = random.Random(9)
     recs = []
     for i in range(400):
@@ -312,6 +312,15 @@ def test_revisits_equal_a_plain_search(spark, monkeypatch):
     assert warc.resolve(df.limit(0)).count() == 0
 
 
+def test_repeated_revisits_are_each_resolved_once(spark):
+    at = "TIMESTAMP'2024-01-01 00:00:00'"
+    rows = [(1, "http://h/a", 0, "response", {"etag": "x"}, "p")] * 2 + [(1, "http://h/a", 0, "response", None, "q"), (2, "http://h/a", 9, "revisit", {"etag": "x"}, None), (2, "http://h/a", 9, "revisit", {"etag": "x"}, None)]
+    rows += [(None, "http://h/a", 9, "revisit", {"etag": None}, None), (None, "http://h/a", 9, "revisit", None, None), (3, "http://h/a", 0, "revisit", {"etag": "x"}, None), (4, None, 9, "revisit", {}, None), (5, "http://h/a", None, "revisit", {}, None), (6, "http://h/a", 9, None, {}, None)]
+    df = spark.createDataFrame(rows, "record_id long, url string, s int, kind string, headers map<string,string>, payload_digest string").selectExpr("*", f"{at} + make_dt_interval(0, 0, 0, s) AS ts", "1 AS row", "'x' AS match")
+    got = sorted(((r.record_id, r.status, r.response_id, r.payload_digest) for r in warc.resolve(df).collect()), key=str)
+    assert got == sorted([(2, "resolved", 1, "p"), (2, "resolved", 1, "p"), (None, "unvalidated", 1, None), (None, "unvalidated", 1, None), (3, "orphan", None, None), (4, "orphan", None, None), (5, "orphan", None, None)], key=str)
+
+
 def test_header_blocks(spark):
     row = spark.createDataFrame([("HTTP/1.1 200 OK\r\nETag: a\r\nServer : x\r\netag: b",)], "b string").select(warc.headers_of("b").alias("h")).first()
     assert row.h == {"etag": "b", "server": "x"}
@@ -476,6 +485,59 @@ def test_classifiers_on_the_held_out_fold(spark, module, name, threshold, rem):
     assert module.classify(df.limit(0), lab).count() == 0
 
 
+def test_quality_features_equal_a_plain_count():
+    texts = ["The cat the cat", "", "  a\tbb  ccc ", "x x y x"]
+    groups = list(quality.features(texts))
+    by_text = lambda g, t: g[0][g[1] == t]
+    words, pairs, twice, apart, three, four = groups
+    assert [len(by_text(words, t)) for t in range(4)] == [4, 0, 3, 4] and [len(by_text(pairs, t)) for t in range(4)] == [3, 0, 2, 3]
+    assert [len(by_text(twice, t)) for t in range(4)] == [0, 0, 0, 1] and [len(by_text(apart, t)) for t in range(4)] == [1, 0, 0, 1]
+    assert by_text(words, 0)[1] == by_text(words, 0)[3] != by_text(words, 0)[0] and by_text(words, 3)[0] == by_text(words, 3)[1]
+    grams = lambda t, n: [g for g in (f" {' '.join(t.split())} "[i : i + n] for i in range(len(" ".join(t.split())) + 3 - n)) if " " not in g[1:-1]]
+    assert [len(by_text(three, t)) for t in (0, 3)] == [len(grams(texts[t], 3)) for t in (0, 3)]
+    assert [len(by_text(four, t)) for t in (0, 3)] == [len(grams(texts[t], 4)) for t in (0, 3)]
+    alone = [by_text(g, 3) for g in groups]
+    assert all((a == b).all() for a, b in zip(alone, (g for g, _ in quality.features([texts[3]]))))
+
+
+def test_quality_training_equals_plain_gradient_steps(monkeypatch):
+    import math
+
+    for name, value in (("BUCKETS", 8), ("DIMENSION", 3), ("EPOCHS", 3)):
+        monkeypatch.setattr(quality, name, value)
+    rows = [(np.array([0, 2, 5]), np.array([0.2, 0.1, 0.3]), 1), (np.array([1, 2]), np.array([0.3, 0.3]), 0), (np.array([5, 7]), np.array([0.1, 0.5]), 1)]
+    rng = np.random.default_rng(7)
+    vectors = rng.uniform(-1 / 3, 1 / 3, (8, 3)).tolist()
+    layer, bias, step = [[0.0, 0.0] for _ in range(3)], [0.0, 0.0], 0
+    for _ in range(3):
+        for i in rng.permutation(3):
+            buckets, share, y = rows[i]
+            rate, step = 0.5 * (1 - step / 9), step + 1
+            hidden = [sum(s * vectors[b][d] for b, s in zip(buckets, share)) for d in range(3)]
+            z = [math.exp(sum(hidden[d] * layer[d][c] for d in range(3)) + bias[c]) for c in (0, 1)]
+            slope = [z[c] / sum(z) - (c == y) for c in (0, 1)]
+            back = [sum(layer[d][c] * slope[c] for c in (0, 1)) for d in range(3)]
+            for c in (0, 1):
+                bias[c] -= rate * slope[c]
+                for d in range(3):
+                    layer[d][c] -= rate * hidden[d] * slope[c]
+            for b, s in zip(buckets, share):
+                for d in range(3):
+                    vectors[b][d] -= rate * s * math.sqrt(len(buckets)) * back[d]
+    model = quality.train(rows)
+    assert np.allclose(model.weights, [sum(v[d] * (layer[d][1] - layer[d][0]) for d in range(3)) for v in vectors]) and math.isclose(model.bias, bias[1] - bias[0])
+
+
+def test_labelled_ids_that_repeat_give_one_example(spark):
+    docs, labels = labelled(random.Random(3), 80)
+    docs += [(i, "zz other text") for i in range(0, 80, 3)] + [(None, None)]
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    shuffled = [spark.createDataFrame(random.Random(s).sample(docs, len(docs)), "doc_id long, text string").selectExpr("*", "1 AS label", "'c' AS key", "2 AS words").repartition(3) for s in (1, 2)]
+    for module in (quality, toxicity):
+        a, b = (sorted(((r.doc_id, round(r.score, 9)) for r in module.classify(df, lab).collect()), key=str) for df in shuffled)
+        assert a == b and len(a) == len(docs)
+
+
 def test_block_max_search_equals_all_products():
     rng = np.random.default_rng(3)
     idf = rng.uniform(0.1, 3, 80)
