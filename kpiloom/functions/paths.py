@@ -30,6 +30,11 @@ def template_segments(template: str) -> list[tuple[str | None, str | None]]:
     return out
 
 
+def literal(template: str | None) -> bool:
+    """Whether a template has no variables: a path then meets it only by equality, as it is spelt."""
+    return template is not None and not variables(template)
+
+
 def expand(template: str, values: dict[str, str]) -> str:
     """The template with its variables filled in; a missing one is an error."""
     missing = [v for v in variables(template) if v not in values]
@@ -55,7 +60,10 @@ def extraction_segments(path: Column) -> Column:
 
 
 def matches(template: Column, path: Column) -> Column:
-    """Whether a path's segments meet a template given as an array of literals with nulls for wildcards."""
+    """Whether a path's segments meet a template given as an array of literals with nulls for wildcards.
+
+    For templates with a variable; a ``literal`` one is compared as a whole.
+    """
     s = segments(path)
     same = F.forall(F.zip_with(template, s, lambda t, x: t.isNull() | (t == x)), lambda ok: F.coalesce(ok, F.lit(False)))
     return (F.size(template) == F.size(s)) & same

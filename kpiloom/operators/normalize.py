@@ -2,7 +2,8 @@
 
 A scrape stays one row until the end: its series are an array, matching is done
 inside the row against the broadcast registry (its size is that of the YAML
-files), and only the counter delta shuffles, once, on the source.
+files), and only the counter delta shuffles, once, on the source: values and
+labels of the KPIs, while units, references and names come from the registry again.
 """
 
 from __future__ import annotations
@@ -45,12 +46,15 @@ def plans(spark, registry: Registry) -> DataFrame:
     return rows.groupBy("namespace", "vendor").agg(F.array_sort(F.collect_list(item), lambda a, b: a["ord"] - b["ord"]).alias("plan"))
 
 
-def split_handled(raw: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
-    """(records with their plan, failures with reason): known namespace, mapped vendor, supported protocol."""
-    spark = raw.sparkSession
+def _dimension(spark, registry: Registry) -> DataFrame:
     plan = plans(spark, registry)
     size = sum(len(ms) for n in registry.namespaces.values() for ms in n.mappings.values())
-    dim = F.broadcast(plan) if size <= BROADCAST_MAPPINGS else plan
+    return F.broadcast(plan) if size <= BROADCAST_MAPPINGS else plan
+
+
+def split_handled(raw: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
+    """(records with their plan, failures with reason): known namespace, mapped vendor, supported protocol."""
+    dim = _dimension(raw.sparkSession, registry)
     found = raw.withColumn("namespace", namespace(F.col("nf_type"), registry.prefix)).join(dim, ["namespace", "vendor"], "left")
     known = F.col("namespace").isin(registry.names()) if registry.names() else F.lit(False)
     reason = (
@@ -104,64 +108,81 @@ def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = No
     with_series = parsed(handled)
     malformed = with_series.where("parse_error IS NOT NULL").select("record_id", "namespace", *SOURCE, "timestamp", F.col("parse_error").alias("reason"))
 
-    def base(p: Column, hits: Column) -> Column:
-        value = combined(hits, p)
-        return F.struct(
-            p["kpi"].alias("kpi"), p["unit"].alias("unit"), p["spec_ref"].alias("spec_ref"),
-            F.coalesce(p["mapped"], F.lit(False)).alias("mapped"), p["metric"].alias("metric"),
-            (p["kind"] == "counter").alias("counter"), p["reset_aware"].alias("reset_aware"),
-            F.when(p["kind"] == "counter", F.coalesce(value, F.lit(0.0))).otherwise(value).alias("value"),
-            F.when(p["mapped"], extracted(hits, p)).alias("labels"),
-        )
+    def value(p: Column, hits: Column) -> Column:
+        found = combined(hits, p)
+        return F.when(p["kind"] == "counter", F.coalesce(found, F.lit(0.0))).otherwise(found)
+
+    def labels(p: Column, hits: Column) -> Column:
+        return F.when(p["mapped"], extracted(hits, p))
 
-    good = with_series.where("parse_error IS NULL").withColumn("hits", F.transform("plan", lambda p: matched(F.col("series"), p)))
-    good = good.withColumn("base", F.zip_with("plan", "hits", base)).drop("series", "plan", "hits")
+    good = with_series.where("parse_error IS NULL").drop("parse_error").withColumn("hits", F.transform("plan", lambda p: matched(F.col("series"), p)))
+    good = good.withColumns({"found": F.zip_with("plan", "hits", value), "found_labels": F.zip_with("plan", "hits", labels)}).drop("series", "plan", "hits")
     source = Window.partitionBy(*SOURCE).orderBy(*order)
-    before, before_at = F.lag("base").over(source), F.lag("timestamp").over(source)
+    before, before_at = F.lag("found").over(source), F.lag("timestamp").over(source)
     if ttl_seconds is not None:
         gap = F.col("timestamp").cast("double") - before_at.cast("double")
         before = F.when(F.coalesce(gap >= ttl_seconds, F.lit(False)), None).otherwise(before)
-    staged = good.withColumn("_before", before)
-    own = F.transform(
-        "base",
-        lambda b, i: b.withField(
-            "value", F.when(b["counter"], delta(b["value"], F.get(F.col("_before"), i)["value"], b["reset_aware"])).otherwise(b["value"])
-        ),
-    )
-    staged = staged.withColumn("base", own).drop("_before")
+    staged = good.withColumn("before", before).join(_dimension(raw.sparkSession, registry), ["namespace", "vendor"])
+
+    def base(p: Column, i: Column) -> Column:
+        now = F.get("found", i)
+        return F.struct(
+            p["kpi"].alias("kpi"), p["unit"].alias("unit"), p["spec_ref"].alias("spec_ref"), F.coalesce(p["mapped"], F.lit(False)).alias("mapped"), p["metric"].alias("metric"),
+            F.when(p["kind"] == "counter", delta(now, F.get("before", i), p["reset_aware"])).otherwise(now).alias("value"), F.get("found_labels", i).alias("labels"),
+        )
+
+    staged = staged.withColumn("base", F.transform("plan", base)).drop("plan", "found", "found_labels", "before")
     return _with_derived(staged, registry, refused.unionByName(malformed))
 
 
+def _levels(registry: Registry) -> list[list[tuple]]:
+    """The formulas by depth: those of one level depend on earlier ones only, so a level is one projection."""
+    depth: dict[tuple[str, str], int] = {}
+    levels: list[list[tuple]] = []
+    for ns, kpi, tree in registry.formulas():
+        at = max((depth.get((ns, d), -1) for d in kpi.depends_on), default=-1) + 1
+        depth[ns, kpi.name] = at
+        levels += [[] for _ in range(at + 1 - len(levels))]
+        levels[at].append((ns, kpi, tree))
+    return levels
+
+
+def _outcome(registry: Registry, ns: str, kpi, tree) -> Column:
+    """A derived KPI's value, or why it has none; null in other namespaces."""
+    broken = F.filter(F.array(*map(F.lit, kpi.depends_on)), lambda d: F.map_contains_key("failed", d))
+    first = F.try_element_at(broken, F.lit(1))
+    # names out of scope make the whole formula an error
+    unknown = [n for n in sorted(formula.names(tree)) if registry.kpi(ns, n) is None]
+    value = F.lit(float("nan")) if unknown else formula.to_column(tree, lambda n: F.try_element_at("values", F.lit(n)))
+    finite = formula.finite(value)
+    return F.when(
+        F.col("namespace") == ns,
+        F.struct(
+            F.lit(kpi.name).alias("kpi"), F.lit(kpi.unit).alias("unit"), F.lit(kpi.spec_ref).alias("spec_ref"),
+            F.when(first.isNull() & F.coalesce(finite, F.lit(False)), value).alias("value"),
+            F.when(first.isNotNull(), F.concat(F.lit("dependency failed: "), first)).when(value.isNull(), F.lit("unknown identifier")).when(~finite, F.lit(f"unknown identifier: {unknown[0]}" if unknown else "division by zero")).alias("reason"),
+            F.coalesce(F.try_element_at("failed", first), F.lit(False)).alias("unsupported"),
+        ),
+    )
+
+
 def _with_derived(staged: DataFrame, registry: Registry, failures: DataFrame) -> Normalized:
     ok = F.filter("base", lambda b: b["mapped"] & b["value"].isNotNull())
     bad = F.transform(F.filter("base", lambda b: ~b["mapped"] | b["value"].isNull()), lambda b: F.struct(b["kpi"].alias("key"), (~b["mapped"]).alias("value")))
     held = F.map_from_entries(F.transform(ok, lambda b: F.struct(b["kpi"].alias("key"), b["value"].alias("value"))))
     staged = staged.withColumns({"values": held, "failed": F.map_from_entries(bad)})
-    results = []
-    for ns, kpi, tree in registry.formulas():
-        here = F.col("namespace") == ns
-        broken = F.filter(F.array(*map(F.lit, kpi.depends_on)), lambda d: F.map_contains_key("failed", d))
-        first = F.try_element_at(broken, F.lit(1))
-        # names out of scope make the whole formula an error
-        unknown = [n for n in sorted(formula.names(tree)) if registry.kpi(ns, n) is None]
-        value = F.lit(float("nan")) if unknown else formula.to_column(tree, lambda n: F.try_element_at("values", F.lit(n)))
-        finite = formula.finite(value)
-        outcome = F.when(
-            here,
-            F.struct(
-                F.lit(kpi.name).alias("kpi"), F.lit(kpi.unit).alias("unit"), F.lit(kpi.spec_ref).alias("spec_ref"),
-                F.when(first.isNull() & F.coalesce(finite, F.lit(False)), value).alias("value"),
-                F.when(first.isNotNull(), F.concat(F.lit("dependency failed: "), first)).when(value.isNull(), F.lit("unknown identifier")).when(~finite, F.lit(f"unknown identifier: {unknown[0]}" if unknown else "division by zero")).alias("reason"),
-                F.coalesce(F.try_element_at("failed", first), F.lit(False)).alias("unsupported"),
-            ),
-        )
-        name = f"_d{len(results)}"
-        staged = staged.withColumn(name, outcome)
-        extra = F.when(here & F.col(f"{name}.value").isNotNull(), F.create_map(F.lit(kpi.name), F.col(f"{name}.value")))
-        lost = F.when(here & F.col(f"{name}.value").isNull(), F.create_map(F.lit(kpi.name), F.col(f"{name}.unsupported")))
-        none_v, none_f = F.create_map().cast("map<string,double>"), F.create_map().cast("map<string,boolean>")
-        staged = staged.withColumns({"values": F.map_concat("values", F.coalesce(extra, none_v)), "failed": F.map_concat("failed", F.coalesce(lost, none_f))})
-        results.append(F.col(name))
+    none_v, none_f = F.create_map().cast("map<string,double>"), F.create_map().cast("map<string,boolean>")
+    results: list[Column] = []
+    for level in _levels(registry):
+        named = {f"derived_{len(results) + i}": _outcome(registry, *f) for i, f in enumerate(level)}
+        staged = staged.withColumns(named)
+        extra, lost = [], []
+        for name, (ns, kpi, _) in zip(named, level, strict=True):
+            here, value = F.col("namespace") == ns, F.col(f"{name}.value")
+            extra.append(F.coalesce(F.when(here & value.isNotNull(), F.create_map(F.lit(kpi.name), value)), none_v))
+            lost.append(F.coalesce(F.when(here & value.isNull(), F.create_map(F.lit(kpi.name), F.col(f"{name}.unsupported"))), none_f))
+        staged = staged.withColumns({"values": F.map_concat("values", *extra), "failed": F.map_concat("failed", *lost)})
+        results += map(F.col, named)
     base = F.transform(
         "base",
         lambda b: F.struct(

@@ -56,32 +56,32 @@ _OF_METRIC = ("signup", "error", "purchase", "view")
 
 
 def raw_scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scrape for each instance and hour, as exposition text of the counters and the gauge seen in it."""
-    s = series(spark, sf_dir)
+    """A scrape for each instance and day, as exposition text of the counters and the gauge seen in it."""
+    s = series(spark, sf_dir).withColumn("day", F.floor(F.col("hour") / 24).cast("bigint"))
     last = lambda m, c: F.max_by(c, F.when(F.col("metric") == m, F.struct("ts", "event_id")))
     seen = lambda m: F.count_if(F.col("metric") == m) > 0
-    g = s.groupBy("inst", "vendor", "hour").agg(*[F.when(seen(m), last(m, "value" if m == "view" else "raw").cast("double")).alias(m) for m in _OF_METRIC])
+    g = s.groupBy("inst", "vendor", "day").agg(*[F.when(seen(m), last(m, "value" if m == "view" else "raw").cast("double")).alias(m) for m in _OF_METRIC])
     lines = []
     for i, m in enumerate(_OF_METRIC):
         name = F.create_map(*[x for v, n in _LINES.items() for x in (F.lit(v), F.lit(n[i]))])[F.col("vendor")]
         lines.append(F.when(F.col(m).isNotNull(), F.concat(name, F.lit(" "), F.col(m).cast("string"))))
     return g.select(
-        (F.col("inst") * 10_000_000 + F.col("hour")).cast("bigint").alias("record_id"), "vendor", F.lit("AMF").alias("nf_type"), F.col("inst").cast("string").alias("instance_id"),
+        (F.col("inst").cast("bigint") * 10_000_000 + F.col("day")).alias("record_id"), "vendor", F.lit("AMF").alias("nf_type"), F.col("inst").cast("string").alias("instance_id"),
         F.lit("").alias("endpoint"), F.encode(F.concat_ws("\n", *lines), "UTF-8").alias("payload"), F.lit("prometheus").alias("protocol"),
-        F.timestamp_seconds(F.col("hour") * 3600).alias("timestamp"), F.lit(None).cast("map<string,string>").alias("meta"), F.lit("v1").alias("schema_version"),
+        F.timestamp_seconds(F.col("day") * 86_400).alias("timestamp"), F.lit(None).cast("map<string,string>").alias("meta"), F.lit("v1").alias("schema_version"),
     )
 
 
 _NORMAL = f"""
 WITH {SERIES}, g AS (
-  SELECT inst, vendor, hour, inst * 10000000 + hour AS record_id,
+  SELECT inst, vendor, hour // 24 AS day, CAST(inst AS BIGINT) * 10000000 + hour // 24 AS record_id,
     CAST(arg_max(raw, struct_pack(t := ts, e := event_id)) FILTER (metric = 'signup') AS DOUBLE) AS att,
     CAST(arg_max(raw, struct_pack(t := ts, e := event_id)) FILTER (metric = 'error') AS DOUBLE) AS fail,
     CAST(arg_max(raw, struct_pack(t := ts, e := event_id)) FILTER (metric = 'purchase') AS DOUBLE) AS dereg,
     arg_max(value, struct_pack(t := ts, e := event_id)) FILTER (metric = 'view') AS ue
-  FROM series GROUP BY inst, vendor, hour
+  FROM series GROUP BY inst, vendor, hour // 24
 ), z AS (SELECT *, coalesce(att, 0) AS a, coalesce(fail, 0) AS f, coalesce(dereg, 0) AS d FROM g
-), l AS (SELECT *, lag(a) OVER w AS pa, lag(f) OVER w AS pf, lag(d) OVER w AS pd FROM z WINDOW w AS (PARTITION BY inst ORDER BY hour)
+), l AS (SELECT *, lag(a) OVER w AS pa, lag(f) OVER w AS pf, lag(d) OVER w AS pd FROM z WINDOW w AS (PARTITION BY inst ORDER BY day)
 ), v AS (SELECT *, CASE WHEN pa IS NULL OR a < pa THEN a ELSE a - pa END AS da, CASE WHEN pf IS NULL OR f < pf THEN f ELSE f - pf END AS df,
                 CASE WHEN pd IS NULL OR d < pd THEN d ELSE d - pd END AS dd FROM l)
 """
@@ -418,8 +418,8 @@ def latency_histogram(spark, sf_dir):
     return telemetry.histogram(e, ["event_type"], "value", (10.0, 50.0)).select("event_type", "le", "count", "total")
 
 
-@query("gauge_snapshot_latest", _NORMAL + """, u AS (SELECT inst, vendor, ue, hour FROM v WHERE ue IS NOT NULL)
-SELECT 'ran_amf_ue_connected_count' AS name, CAST(inst AS VARCHAR) AS nf_instance_id, vendor, round(arg_max(ue, hour), 6) AS value FROM u GROUP BY inst, vendor""")
+@query("gauge_snapshot_latest", _NORMAL + """, u AS (SELECT inst, vendor, ue, day FROM v WHERE ue IS NOT NULL)
+SELECT 'ran_amf_ue_connected_count' AS name, CAST(inst AS VARCHAR) AS nf_instance_id, vendor, round(arg_max(ue, day), 6) AS value FROM u GROUP BY inst, vendor""")
 def gauge_snapshot_latest(spark, sf_dir):
     g = sinks.latest_gauges(normalize(raw_scrapes(spark, sf_dir), registry()).records.where("kpi_name = 'ue.connected_count'"))
     return g.select("name", "nf_instance_id", "vendor", _r("value"))
@@ -567,12 +567,12 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     e = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
     return e.select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 8).cast("string").alias("inst"),
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("inst"),
         F.when(F.col("user_id") % 2 == 0, "310-260").otherwise("311-480").alias("plmn"), F.col("event_type").alias("metric"), (F.round(F.col("value") * 100) % 1000).alias("v"),
     )
 
 
-_STREAM = "e AS (SELECT event_id, ts, CAST(user_id % 8 AS VARCHAR) AS inst, CASE WHEN user_id % 2 = 0 THEN '310-260' ELSE '311-480' END AS plmn, event_type AS metric, round(value * 100) % 1000 AS v FROM events)"
+_STREAM = "e AS (SELECT event_id, ts, CAST(user_id AS VARCHAR) AS inst, CASE WHEN user_id % 2 = 0 THEN '310-260' ELSE '311-480' END AS plmn, event_type AS metric, round(value * 100) % 1000 AS v FROM events)"
 
 
 @query("stream_counter_state", f"""WITH {_STREAM}, l AS (SELECT *, lag(v) OVER (PARTITION BY inst, metric ORDER BY ts, event_id) AS p FROM e)

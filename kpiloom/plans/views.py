@@ -14,31 +14,34 @@ def seconds(ts: str | Column) -> Column:
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sample for each event: counters run over (inst, metric); one restarts every 50 samples."""
+    """A sample for each event: an instance a user, counters run over (inst, metric); one restarts every 5 samples.
+
+    Windows are taken by instance and metric, so their number grows with the data and none with the whole history.
+    """
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     key = Window.partitionBy("inst", "metric")
     order = key.orderBy("ts", "event_id")
     rows = e.select(
-        "event_id", "ts", (F.col("user_id") % 8).cast("int").alias("inst"), F.when(F.col("user_id") % 2 == 0, "310-260").otherwise("311-480").alias("plmn"),
+        "event_id", "ts", F.col("user_id").cast("int").alias("inst"), F.when(F.col("user_id") % 2 == 0, "310-260").otherwise("311-480").alias("plmn"),
         F.col("event_type").alias("metric"), F.get_json_object("props", "$.k").alias("k"), F.round(F.col("value") * 100).cast("bigint").alias("iv"), F.col("value"),
     )
     rows = rows.withColumn("vendor", F.element_at(F.array(*map(F.lit, VENDORS)), F.col("inst") % 3 + 1))
     rows = rows.withColumn("n", F.row_number().over(order) - 1).withColumn("raw", F.sum("iv").over(order))
-    block = Window.partitionBy("inst", "metric", F.floor(F.col("n") / 50)).orderBy("ts", "event_id")
+    block = Window.partitionBy("inst", "metric", F.floor(F.col("n") / 5)).orderBy("ts", "event_id")
     return rows.withColumn("raw_reset", F.sum("iv").over(block)).withColumn("hour", F.floor(seconds("ts") / 3600).cast("bigint"))
 
 
 SERIES = """
 s0 AS (
-  SELECT event_id, ts, CAST(user_id % 8 AS INTEGER) AS inst, CASE WHEN user_id % 2 = 0 THEN '310-260' ELSE '311-480' END AS plmn,
+  SELECT event_id, ts, CAST(user_id AS INTEGER) AS inst, CASE WHEN user_id % 2 = 0 THEN '310-260' ELSE '311-480' END AS plmn,
          event_type AS metric, json_extract_string(props, '$.k') AS k, CAST(round(value * 100) AS BIGINT) AS iv, value,
-         CASE user_id % 8 % 3 WHEN 0 THEN 'free5gc' WHEN 1 THEN 'open5gs' ELSE 'ericsson_enm' END AS vendor,
+         CASE user_id % 3 WHEN 0 THEN 'free5gc' WHEN 1 THEN 'open5gs' ELSE 'ericsson_enm' END AS vendor,
          CAST(floor(epoch(ts) / 3600) AS BIGINT) AS hour
   FROM events
 ), s1 AS (SELECT *, row_number() OVER (PARTITION BY inst, metric ORDER BY ts, event_id) - 1 AS n FROM s0
 ), series AS (
   SELECT *, CAST(sum(iv) OVER (PARTITION BY inst, metric ORDER BY ts, event_id) AS BIGINT) AS raw,
-         CAST(sum(iv) OVER (PARTITION BY inst, metric, n // 50 ORDER BY ts, event_id) AS BIGINT) AS raw_reset
+         CAST(sum(iv) OVER (PARTITION BY inst, metric, n // 5 ORDER BY ts, event_id) AS BIGINT) AS raw_reset
   FROM s1
 )"""
 

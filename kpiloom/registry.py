@@ -73,7 +73,7 @@ def _namespace(content: dict) -> Namespace:
         protocols[vendor] = v["protocol"]
         mappings[vendor] = {
             kpi: Mapping(
-                m.get("metric") or m.get("path") or m.get("template", ""),
+                m["template"] if paths.literal(m.get("template")) else m.get("metric") or m.get("path") or m.get("template", ""),
                 m["type"],
                 m.get("reset_aware", False),
                 m.get("strategy", "exact"),
@@ -151,11 +151,11 @@ class Registry:
 
     def mapping_dim(self, spark: SparkSession) -> DataFrame:
         rows = [
-            (ns, v, n.protocols[v], k, m.metric, m.kind, m.reset_aware, m.strategy, m.labels, [s for s, _ in t] if t else None, [x for _, x in t] if t else None, m.transform, m.extract)
+            (ns, v, n.protocols[v], k, m.metric, m.kind, m.reset_aware, "exact" if paths.literal(m.template) else m.strategy, m.labels, [s for s, _ in t] if t else None, [x for _, x in t] if t else None, m.transform, m.extract)
             for ns, n in self.namespaces.items()
             for v, ms in n.mappings.items()
             for k, m in ms.items()
-            for t in [paths.template_segments(m.template) if m.template else None]
+            for t in [paths.template_segments(m.template) if m.template and not paths.literal(m.template) else None]
         ]
         return spark.createDataFrame(
             rows,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -12,34 +13,40 @@ OUTPUT = "source string, kpi string, ts timestamp, seq long, value double, delta
 
 
 class Deltas(StatefulProcessor):
-    """First sample as it is, then differences; a decrease starts anew."""
+    """First sample as it is, then differences; a decrease starts anew if ``reset_aware``, a gap of ``ttl_seconds`` of event time always."""
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+    def __init__(self, reset_aware: bool = True, ttl_seconds: float | None = None):
+        self.reset_aware, self.ttl_seconds = reset_aware, ttl_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value double", self.ttl_ms)
+        self.last = handle.getValueState("last", "value double, ts timestamp")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(rows).sort_values(["ts", "seq"], kind="stable")
-        before = self.last.get()[0] if self.last.exists() else None
-        deltas, resets = [], []
-        for v in batch["value"]:
-            reset = before is not None and v < before
-            deltas.append(v if before is None or reset else v - before)
-            resets.append(reset)
-            before = v
-        self.last.update((float(before),))
-        yield batch.assign(delta=deltas, reset=resets)[["source", "kpi", "ts", "seq", "value", "delta", "reset"]]
+        batch = pd.concat(rows).sort_values(["ts", "seq"], kind="stable")  # one source's samples of a micro-batch
+        value, at = batch["value"].to_numpy(dtype=float), batch["ts"].to_numpy(dtype="datetime64[us]")
+        held = self.last.get() if self.last.exists() else None
+        before = np.concatenate([[np.nan if held is None else held[0]], value[:-1]])
+        if self.ttl_seconds is not None:
+            first = at[:1] if held is None else np.array([pd.Timestamp(held[1]).to_datetime64()], dtype="datetime64[us]")
+            gap = (at - np.concatenate([first, at[:-1]])) / np.timedelta64(1, "s")
+            before = np.where(gap >= self.ttl_seconds, np.nan, before)
+        reset = value < before  # false where there is none before
+        anew = np.isnan(before) | (reset if self.reset_aware else False)
+        self.last.update((float(value[-1]), batch["ts"].iloc[-1].to_pydatetime()))
+        yield batch.assign(delta=np.where(anew, value, value - before), reset=reset)[["source", "kpi", "ts", "seq", "value", "delta", "reset"]]
 
     def close(self) -> None:
         pass
 
 
-def stream_deltas(samples: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """``samples`` (source, kpi, ts, seq, value) with delta and reset; needs the RocksDB state store."""
+def stream_deltas(samples: DataFrame, reset_aware: bool = True, ttl_seconds: float | None = None) -> DataFrame:
+    """``samples`` (source, kpi, ts, seq, value) with delta and reset; needs the RocksDB state store.
+
+    A task holds one source's samples of a micro-batch; bound these by the
+    source's ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``.
+    """
     return samples.groupBy("source", "kpi").transformWithStateInPandas(
-        statefulProcessor=Deltas(ttl_ms), outputStructType=OUTPUT, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None"
+        statefulProcessor=Deltas(reset_aware, ttl_seconds), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
     )
 
 

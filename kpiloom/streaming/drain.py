@@ -17,7 +17,11 @@ def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     folder serves only where that is unset.
     """
     spark = stream.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kpiloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="kpiloom-")
     path = f"{base}/stream-{uuid.uuid4().hex}"
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
