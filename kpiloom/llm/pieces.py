@@ -55,8 +55,11 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
+#: The text that an arc reads, its length, its cost, the ids it writes.
+Arc = tuple[str, int, float, tuple[int, ...]]
+_START: Arc = ("", 0, 0.0, ())
 #: Parts kept with their ids, and pairs kept with their weights, in each Python worker.
-KEPT, KEPT_PAIRS = 60_000, 100_000
+KEPT, KEPT_PAIRS = 100_000, 200_000
 
 
 def _fields(buffer: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -137,10 +140,10 @@ class Transducer:
         self.bytes = [byte_ids.get(b, self.unknown) for b in range(256)] if spec.byte_fallback else None
         self.covered = {p for p in self.ids if len(p) == 1}
         self.dear = 10.0 - min((s for _, s, k in spec.pieces if k == NORMAL), default=0.0)  # what an uncovered character costs
-        #: Finds every arc (text read, its cost, ids written) that an input spells.
+        #: Finds every arc that an input spells.
         self.lexicon = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.lexicon.add_word(piece, (piece, 0.0 if spec.kind == BPE else self.cost[i], (i,)))
+            self.lexicon.add_word(piece, (piece, len(piece), 0.0 if spec.kind == BPE else self.cost[i], (i,)))
         self.lexicon.make_automaton()
         whole = sorted((p for p, _, k in spec.pieces if k == USER), key=len, reverse=True)
         self.whole = re.compile("(" + "|".join(map(re.escape, whole)) + ")") if whole else None
@@ -191,51 +194,51 @@ class Transducer:
         return found
 
     # -- shortest path ------------------------------------------------------
-    def fallback(self, char: str) -> tuple[str, float, tuple[int, ...]]:
+    def fallback(self, char: str) -> Arc:
         """The arc of a character that no piece covers."""
         ids = [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")] if self.bytes else [self.unknown]
-        return char, 0.0 if self.spec.kind == BPE else self.dear, tuple(ids)
+        return char, 1, 0.0 if self.spec.kind == BPE else self.dear, tuple(ids)
 
-    def shortest(self, part: str) -> list[tuple[str, float, tuple[int, ...]]]:
+    def shortest(self, part: str) -> list[Arc]:
         """Arcs along the shortest path through ``part``.
 
         Arcs are relaxed in order of the place where they end, and one state
         survives at each place: of a BPE model no other has finite cost, of a
-        unigram model pairs cost nothing, so only the cheapest matters.  No
-        weight is negative in a BPE model, so an arc from a place that costs as
-        much as its end is not weighed.
+        unigram model pairs cost nothing, so only the cheapest matters.
         """
         n = len(part)
         arcs = self.lexicon.iter(part)
         if not self.covered.issuperset(part):
             bare = [(k, self.fallback(c)) for k, c in enumerate(part) if c not in self.covered]
             arcs = sorted([*arcs, *bare], key=lambda arc: arc[0])
-        pairs = self.spec.kind == BPE
-        fits, pair_fits = self.fits, self.pair_fits
-        cost: list[float] = [0.0] + [INFINITE] * n
         best: list = [None] * (n + 1)
-        for at, arc in arcs:
-            text, weight, _ = arc
-            start, end = at + 1 - len(text), at + 1
-            step = cost[start] + weight
-            if step < cost[end]:
-                if pairs:
-                    before = best[start][0] if start else ""
-                    fit = fits.get((before, text))
-                    if not (pair_fits(before, text) if fit is None else fit):
-                        continue
-                cost[end], best[end] = step, arc
+        best[0] = _START
+        if self.spec.kind == BPE:  # costs are 0 or infinite: what is reached costs nothing, and no arc improves on it
+            fits, pair_fits = self.fits, self.pair_fits
+            for at, arc in arcs:
+                if best[at + 1] is None:
+                    before = best[at + 1 - arc[1]]
+                    if before is not None:
+                        fit = fits.get((before[0], arc[0]))
+                        if pair_fits(before[0], arc[0]) if fit is None else fit:
+                            best[at + 1] = arc
+        else:
+            cost = [0.0] + [INFINITE] * n
+            for at, arc in arcs:
+                step = cost[at + 1 - arc[1]] + arc[2]
+                if step < cost[at + 1]:
+                    cost[at + 1], best[at + 1] = step, arc
         out, end = [], n
         while end:
             out.append(best[end])
-            end -= len(best[end][0])
+            end -= best[end][1]
         return out[::-1]
 
     def part_ids(self, part: str) -> list[int]:
         if self.whole and self.whole.fullmatch(part):
             return [self.ids[part]]
         out: list[int] = []
-        for _, _, ids in self.shortest(part):
+        for *_, ids in self.shortest(part):
             if ids != (self.unknown,) or not out or out[-1] != self.unknown:
                 out += ids
         return out
