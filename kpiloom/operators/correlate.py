@@ -23,6 +23,9 @@ NAMES = {
 }
 
 
+BROADCAST_TICKS = 100_000
+
+
 def statistics(samples: DataFrame, by: list[str | Column], order: Column | None = None) -> DataFrame:
     """n, mean, sigma, peak and last of every series of NAMES in ``samples`` (metric, value), by group.
 
@@ -129,24 +132,69 @@ def samples(records: DataFrame, prefix: str = "ran.") -> DataFrame:
 
 
 def sliding(rows: DataFrame, length: str = "30 seconds", slide: str = "5 seconds", watermark: str | None = None) -> DataFrame:
-    """Statistics of epoch-aligned half-open windows; with a watermark also on streams."""
+    """Statistics of epoch-aligned half-open windows; with a watermark also on streams.
+
+    In batch, samples are summed up once for each slide; windows then merge
+    these sums, so no sample is copied to all windows that hold it.
+    """
     rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
-    if watermark:
-        rows = rows.withWatermark("ts", watermark)
-    stats = statistics(rows, [F.window("ts", length, slide).alias("w"), "plmn", "slice_id"])
+    if watermark or rows.isStreaming:
+        rows = rows.withWatermark("ts", watermark) if watermark else rows
+        stats = statistics(rows, [F.window("ts", length, slide).alias("w"), "plmn", "slice_id"])
+    else:
+        panes = _panes(rows.withColumn("pane", F.window("ts", slide)["start"]))
+        stats = _merged(panes.withColumn("w", F.explode(_windows_of(F.col("pane"), length, slide))))
     return stats.withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end")).drop("w")
 
 
+def _windows_of(pane: Column, length: str, slide: str) -> Column:
+    """The windows (start, end) that hold a pane; the length is a multiple of the slide."""
+    whole, part = F.expr(f"INTERVAL {length}"), F.expr(f"INTERVAL {slide}")
+    starts = F.sequence(pane - whole + part, pane, part)
+    return F.transform(starts, lambda s: F.struct(s.alias("start"), (s + whole).alias("end")))
+
+
+def _panes(rows: DataFrame) -> DataFrame:
+    """n, sum, mean, squared deviations, peak and last of every series of NAMES, by pane."""
+    out = []
+    for m in NAMES:
+        v = F.when(F.col("metric") == m, F.col("value"))
+        out += [
+            F.count(v).alias(f"{m}_n"), F.sum(v).alias(f"{m}_sum"), (F.var_pop(v) * F.count(v)).alias(f"{m}_dev"), F.max(v).alias(f"{m}_peak"),
+            F.max(F.when(v.isNotNull(), F.struct(F.struct("ts", "seq").alias("at"), v.alias("v")))).alias(f"{m}_last"),
+        ]
+    return rows.groupBy("pane", "plmn", "slice_id").agg(*out)
+
+
+def _merged(panes: DataFrame) -> DataFrame:
+    """``statistics`` of the panes in each window ``w``: deviations from a window's mean are those within panes and those of their means."""
+    out, columns = [], []
+    for m in NAMES:
+        n, total, dev = f"{m}_n", f"{m}_sum", f"{m}_dev"
+        out += [
+            F.sum(n).alias(n), F.sum(total).alias(total), F.sum(dev).alias(dev), F.max(f"{m}_peak").alias(f"{m}_peak"), F.max(f"{m}_last").alias(f"{m}_last"),
+            # the panes' means, spread around the window's, each counted as often as it has samples
+            F.sum(F.col(total) * F.col(total) / F.nullif(F.col(n), F.lit(0))).alias(f"{m}_between"),
+        ]
+        mean = F.col(total) / F.nullif(F.col(n), F.lit(0))
+        spread = F.col(dev) + F.greatest(F.col(f"{m}_between") - F.col(total) * mean, F.lit(0.0))
+        columns += [F.col(n), mean.alias(f"{m}_mean"), F.sqrt(spread / F.nullif(F.col(n), F.lit(0))).alias(f"{m}_sigma"), F.col(f"{m}_peak"), F.col(f"{m}_last.v").alias(f"{m}_last")]
+    return panes.groupBy("w", "plmn", "slice_id").agg(*out).select("w", "plmn", "slice_id", *columns)
+
+
 def trailing(rows: DataFrame, ticks: DataFrame, length_seconds: int = 30) -> DataFrame:
     """Statistics of the closed windows [tick - length, tick] for every tick (column ``tick``).
 
     A sample is copied to the ticks that see it by equi-join on the stretch of
     ``length`` it lies in, so the join never compares all ticks with all samples.
+    Up to ``BROADCAST_TICKS`` ticks go to the samples; more meet them by a
+    shuffle on the stretch.
     """
     second = lambda c: F.col(c).cast("timestamp").cast("double")
     stretch = lambda c: F.floor(second(c) / length_seconds)
     spread = ticks.select("tick", F.explode(F.array(stretch("tick"), stretch("tick") - 1)).alias("stretch"))
-    near = rows.withColumn("stretch", stretch("ts")).join(spread, "stretch")
+    few = ticks.limit(BROADCAST_TICKS + 1).count() <= BROADCAST_TICKS
+    near = rows.withColumn("stretch", stretch("ts")).join(F.broadcast(spread) if few else spread, "stretch")
     seen = near.where((second("ts") <= second("tick")) & (second("ts") >= second("tick") - length_seconds))
     stats = statistics(seen, ["tick", "plmn", "slice_id"])
     return stats.withColumn("window_end", F.col("tick").cast("timestamp")).withColumn(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import formula, paths
 from kpiloom.functions.transforms import compile_transform
-from kpiloom.operators import correlate, promql, simulate, sinks, telemetry
+from kpiloom.operators import alerts, correlate, promql, simulate, sinks, telemetry
 from kpiloom.operators.counters import with_deltas
 from kpiloom.operators.normalize import combined, normalize, split_handled
 from kpiloom.plans.views import SCRAPES, SERIES, WINDOWS, scrapes, seconds, series, window_samples
@@ -498,6 +498,97 @@ def promql_increase(spark, sf_dir):
     return rows.select("inst", "metric", F.floor(seconds("window_start") / 3600).cast("bigint").alias("hour"), F.col("increase").cast("double").alias("increase"))
 
 
+def _range_sql(value: str) -> str:
+    """Every window's samples, each with the one before it inside the window."""
+    return f"""WITH {SERIES}, m AS (
+  SELECT inst, metric, ts, event_id, raw_reset, unnest(range(CAST(ceil(epoch_us(ts) / 86400e6) AS BIGINT), CAST(ceil((epoch_us(ts) + 864000000000) / 86400e6) AS BIGINT))) * 86400 AS step FROM series
+), l AS (SELECT *, lag(raw_reset) OVER (PARTITION BY inst, metric, step ORDER BY ts, event_id) AS p FROM m)
+SELECT inst, metric, step, {value} FROM l WHERE p IS NOT NULL GROUP BY 1, 2, 3"""
+
+
+_RISE = "sum(CASE WHEN raw_reset < p THEN raw_reset ELSE raw_reset - p END)"
+
+
+@query("promql_increase_range", _range_sql(f"CAST({_RISE} AS DOUBLE) AS increase"))
+def promql_increase_range(spark, sf_dir):
+    return promql.increase_over(series(spark, sf_dir), ["inst", "metric"], 864_000, 86_400, "raw_reset", tie="event_id")
+
+
+@query("promql_rate_range", _range_sql(f"round({_RISE} / 864000.0, 9) AS rate"))
+def promql_rate_range(spark, sf_dir):
+    rows = promql.increase_over(series(spark, sf_dir), ["inst", "metric"], 864_000, 86_400, "raw_reset", tie="event_id")
+    return rows.select("inst", "metric", "step", F.round(F.col("increase") / 864_000, 9).alias("rate"))
+
+
+@query("promql_last_not_null", f"""WITH {SERIES} SELECT inst, metric, arg_max(iv, struct_pack(t := ts, e := event_id)) FILTER (k <> '3') AS value FROM series GROUP BY 1, 2
+HAVING count(*) FILTER (k <> '3') > 0""")
+def promql_last_not_null(spark, sf_dir):
+    s = series(spark, sf_dir).withColumns({"at": F.struct("ts", "event_id"), "iv": F.when(F.col("k") != "3", F.col("iv"))})
+    return promql.instant(s, ["inst", "metric"], "iv", "at").select("inst", "metric", "value")
+
+
+#: Telemetry of collectors that each live for 2,000 events, two seconds apart: (metric, its value or increment, counter).
+_SELF = (
+    ("collector_scrape_success", "CASE WHEN event_id // 200 % 4 = 0 THEN 0 ELSE 1 END", False),
+    ("collector_scrape_error_total", "CASE WHEN event_id // 500 % 2 = 0 THEN 1 ELSE 0 END", True),
+    ("normalizer_worker_queue_depth", "CASE WHEN event_id // 300 % 3 = 0 THEN 250 ELSE 10 END", False),
+    ("normalizer_worker_dispatch_skew", "event_id // 10 % 70", False),
+    ("dead_letter_total", "CASE WHEN event_id // 400 % 3 = 1 THEN 1 ELSE 0 END", True),
+    ("counter_store_errors_total", "CASE WHEN event_id % 90 = 0 THEN 2 ELSE 0 END", True),
+    ("counter_reset_total", "CASE WHEN event_id // 250 % 5 = 2 THEN 30 ELSE 0 END", True),
+    ("counter_ooo_total", "event_id // 100 % 20", True),
+    ("correlator_events_total", "CASE WHEN event_id % 700 = 0 THEN 1 ELSE 0 END", True),
+)
+_OF_RULE = "CASE event_id // 2000 % 3 WHEN 0 THEN 'RegistrationStorm' WHEN 1 THEN 'SessionDrop' ELSE 'RANCoreDivergence' END"
+
+
+def self_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline's own metrics as samples (metric, labels, ts, value), derived from the events' numbers."""
+    sql = lambda x: x.replace("//", "DIV")
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
+    each = F.array(*[F.struct(F.lit(m).alias("metric"), F.expr(sql(x)).cast("double").alias("x"), F.lit(c).alias("counter")) for m, x, c in _SELF])
+    rows = e.select("event_id", F.expr("event_id DIV 2000").alias("episode"), F.expr(sql(_OF_RULE)).alias("rule"), F.explode(each).alias("m")).select("event_id", "episode", "rule", "m.*")
+    total = F.sum("x").over(Window.partitionBy("metric", "episode").orderBy("event_id"))  # 2,000 rows at most
+    labels = F.create_map(F.lit("collector"), F.col("episode").cast("string"), F.lit("rule_name"), F.col("rule"))
+    return rows.select("metric", labels.alias("labels"), F.timestamp_seconds(F.col("event_id") * 2).alias("ts"), F.when(F.col("counter"), total).otherwise(F.col("x")).alias("value"))
+
+
+_ALERTS_SQL = "WITH x AS (" + " UNION ALL ".join(f"SELECT event_id, '{m}' AS metric, CAST({x} AS DOUBLE) AS x, {str(c).upper()} AS counter FROM events" for m, x, c in _SELF) + f"""
+), t AS (
+  SELECT metric, event_id // 2000 AS collector, {_OF_RULE} AS rule, event_id * 2 AS ts,
+         CASE WHEN counter THEN sum(x) OVER (PARTITION BY metric, event_id // 2000 ORDER BY event_id) ELSE x END AS value FROM x
+), r(alert, metric, f, w, op, threshold, hold, severity, rule) AS (VALUES
+  ('CollectorScrapeFailure', 'collector_scrape_success', 'instant', 300, '==', 0, 120, 'warning', NULL),
+  ('CollectorHighErrorRate', 'collector_scrape_error_total', 'rate', 300, '>', 0.1, 300, 'warning', NULL),
+  ('NormalizerQueueSaturated', 'normalizer_worker_queue_depth', 'instant', 300, '>', 200, 60, 'warning', NULL),
+  ('NormalizerHighSkew', 'normalizer_worker_dispatch_skew', 'instant', 300, '>', 50, 300, 'warning', NULL),
+  ('DeadLetterAccumulating', 'dead_letter_total', 'rate', 600, '>', 0, 600, 'warning', NULL),
+  ('StoreErrors', 'counter_store_errors_total', 'rate', 300, '>', 0, 120, 'critical', NULL),
+  ('CounterResetStorm', 'counter_reset_total', 'rate', 300, '>', 10, 60, 'warning', NULL),
+  ('OOOTelemetry', 'counter_ooo_total', 'rate', 300, '>', 5, 300, 'warning', NULL),
+  ('RegistrationStorm', 'correlator_events_total', 'increase', 300, '>', 0, 0, 'critical', 'RegistrationStorm'),
+  ('SessionDrop', 'correlator_events_total', 'increase', 300, '>', 0, 0, 'warning', 'SessionDrop'),
+  ('RANCoreDivergence', 'correlator_events_total', 'increase', 300, '>', 0, 0, 'warning', 'RANCoreDivergence')
+), m AS (
+  SELECT r.*, t.collector, t.rule AS of_rule, t.ts, t.value, unnest(range(CAST(ceil(t.ts / 30.0) AS BIGINT), CAST(ceil((t.ts + r.w) / 30.0) AS BIGINT))) * 30 AS step
+  FROM t JOIN r ON t.metric = r.metric AND (r.rule IS NULL OR r.rule = t.rule)
+), l AS (SELECT *, lag(value) OVER (PARTITION BY alert, collector, step ORDER BY ts) AS p FROM m
+), v AS (
+  SELECT alert, severity, op, threshold, hold, collector, of_rule, step,
+         CASE f WHEN 'instant' THEN arg_max(value, ts) WHEN 'rate' THEN sum(CASE WHEN value < p THEN value ELSE value - p END) / w ELSE sum(CASE WHEN value < p THEN value ELSE value - p END) END AS value,
+         count(p) + CASE f WHEN 'instant' THEN 1 ELSE 0 END AS enough
+  FROM l GROUP BY alert, severity, op, threshold, hold, f, w, collector, of_rule, step
+), h AS (SELECT *, step - 30 * row_number() OVER (PARTITION BY alert, collector ORDER BY step) AS island FROM v
+  WHERE enough > 0 AND CASE op WHEN '==' THEN value = threshold ELSE value > threshold END)
+SELECT alert, severity, 'collector=' || collector || ',rule_name=' || of_rule AS series, min(step) AS since, min(step) + hold AS fires_at, max(step) AS until, round(max(value), 6) AS peak
+FROM h GROUP BY alert, severity, collector, of_rule, hold, island HAVING max(step) - min(step) >= hold"""
+
+
+@query("alerts_shipped", _ALERTS_SQL)
+def alerts_shipped(spark, sf_dir):
+    return alerts.evaluate(self_telemetry(spark, sf_dir)).withColumn("peak", _r("peak"))
+
+
 @query("promql_instant", f"WITH {SERIES} SELECT inst, metric, arg_max(raw, struct_pack(t := ts, e := event_id)) AS value FROM series GROUP BY 1, 2")
 def promql_instant(spark, sf_dir):
     s = series(spark, sf_dir).withColumn("at", F.struct("ts", "event_id"))
