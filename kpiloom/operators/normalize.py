@@ -97,13 +97,8 @@ def extracted(hits: Column, p: Column) -> Column:
     return paths.merged_maps(F.coalesce(first["labels"], none), F.map_filter(by_rule, lambda _, v: v.isNotNull()), F.coalesce(captures, none))
 
 
-def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = None, order: tuple[str, ...] = ("timestamp", "record_id")) -> Normalized:
-    """Records, partial failures and total failures of raw scrapes.
-
-    An absent counter is 0 and goes into the counter's state as 0; an absent
-    gauge is a partial failure; a KPI without mapping is unsupported.  Deltas
-    follow ``order`` within a source.
-    """
+def prepared(raw: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
+    """(scrapes with ``found`` values and ``found_labels`` in the order of their plan, failures with reason); no state, so also on streams."""
     handled, refused = split_handled(raw, registry)
     with_series = parsed(handled)
     malformed = with_series.where("parse_error IS NOT NULL").select("record_id", "namespace", *SOURCE, "timestamp", F.col("parse_error").alias("reason"))
@@ -117,12 +112,12 @@ def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = No
 
     good = with_series.where("parse_error IS NULL").drop("parse_error").withColumn("hits", F.transform("plan", lambda p: matched(F.col("series"), p)))
     good = good.withColumns({"found": F.zip_with("plan", "hits", value), "found_labels": F.zip_with("plan", "hits", labels)}).drop("series", "plan", "hits")
-    source = Window.partitionBy(*SOURCE).orderBy(*order)
-    before, before_at = F.lag("found").over(source), F.lag("timestamp").over(source)
-    if ttl_seconds is not None:
-        gap = F.col("timestamp").cast("double") - before_at.cast("double")
-        before = F.when(F.coalesce(gap >= ttl_seconds, F.lit(False)), None).otherwise(before)
-    staged = good.withColumn("before", before).join(_dimension(raw.sparkSession, registry), ["namespace", "vendor"])
+    return good, refused.unionByName(malformed)
+
+
+def completed(staged: DataFrame, registry: Registry, failures: DataFrame) -> Normalized:
+    """Records and failures of ``prepared`` scrapes with ``before``, the values that their source had last."""
+    staged = staged.join(_dimension(staged.sparkSession, registry), ["namespace", "vendor"])
 
     def base(p: Column, i: Column) -> Column:
         now = F.get("found", i)
@@ -132,7 +127,23 @@ def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = No
         )
 
     staged = staged.withColumn("base", F.transform("plan", base)).drop("plan", "found", "found_labels", "before")
-    return _with_derived(staged, registry, refused.unionByName(malformed))
+    return _with_derived(staged, registry, failures)
+
+
+def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = None, order: tuple[str, ...] = ("timestamp", "record_id")) -> Normalized:
+    """Records, partial failures and total failures of raw scrapes.
+
+    An absent counter is 0 and goes into the counter's state as 0; an absent
+    gauge is a partial failure; a KPI without mapping is unsupported.  Deltas
+    follow ``order`` within a source.
+    """
+    good, failures = prepared(raw, registry)
+    source = Window.partitionBy(*SOURCE).orderBy(*order)
+    before, before_at = F.lag("found").over(source), F.lag("timestamp").over(source)
+    if ttl_seconds is not None:
+        gap = F.col("timestamp").cast("double") - before_at.cast("double")
+        before = F.when(F.coalesce(gap >= ttl_seconds, F.lit(False)), None).otherwise(before)
+    return completed(good.withColumn("before", before), registry, failures)
 
 
 def _levels(registry: Registry) -> list[list[tuple]]:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import urllib.request
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.sources.exposition import rendered, sanitised
+from kpiloom.sources.scrape import to_bus
 
 LABELS = ("vendor", "nf_type", "nf_instance_id", "plmn_id", "data_center", "slice_sst", "slice_sd", "cell_id")
 
@@ -46,6 +49,53 @@ def otlp(records: DataFrame) -> DataFrame:
     return records.select(F.to_json(point).alias("value"))
 
 
+def _requests(size: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), size):
+                metrics = b["value"].iloc[at : at + size]
+                body = f'{{"resourceMetrics":[{{"scopeMetrics":[{{"metrics":[{",".join(metrics)}]}}]}}]}}'
+                yield pd.DataFrame({"request": [body], "points": [len(metrics)]})
+
+    return run
+
+
+def otlp_requests(records: DataFrame, size: int = 512) -> DataFrame:
+    """(request, points): export requests of at most ``size`` points each."""
+    return otlp(records).mapInPandas(_requests(size), "request string, points int")
+
+
+def otlp_writer(endpoint: str, size: int = 512, headers: dict[str, str] | None = None, timeout: float = 10.0) -> Callable[[DataFrame, int], None]:
+    """A batch writer that posts ``otlp_requests`` to a collector's JSON endpoint, from the executors."""
+    sent = {"Content-Type": "application/json"} | (headers or {})
+
+    def post(rows: Iterator) -> None:
+        for r in rows:
+            with urllib.request.urlopen(urllib.request.Request(endpoint, r.request.encode(), sent), timeout=timeout):
+                pass
+
+    def write(batch: DataFrame, _: int) -> None:
+        otlp_requests(batch, size).foreachPartition(post)
+
+    return write
+
+
+def bus_writer(topic: str, kind: str = "file", prefix: str = "", **options) -> Callable[[DataFrame, int], None]:
+    """A batch writer that publishes rows as JSON messages: to Kafka where its connector is installed, else to a folder for each topic."""
+    name = f"{prefix}.{topic}" if prefix else topic
+    if kind not in ("kafka", "file"):
+        raise ValueError(f"unknown bus {kind!r}")
+
+    def write(batch: DataFrame, number: int) -> None:
+        messages = to_bus(batch)
+        if kind == "kafka":
+            messages.write.format("kafka").option("topic", name).options(**options).save()
+        else:  # a batch that is run again replaces itself
+            messages.write.mode("overwrite").text(f"{options['path']}/{name}/batch={number}")
+
+    return write
+
+
 def fan_out(writers: list[Callable[[DataFrame, int], None]], on_error: Callable[[str, Exception], None]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that gives each batch to every writer; one's error does not stop the others."""
 

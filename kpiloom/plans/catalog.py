@@ -434,28 +434,62 @@ def otlp_projection(spark, sf_dir):
     return rows.select(j("$.name").alias("name"), j("$.unit").alias("unit"), j(f"{point}.asDouble").cast("double").alias("value"), attributes.alias("attributes"))
 
 
-# -- simulator and certification ---------------------------------------------------
+# -- evidence, tables, verdicts over the events' telemetry -----------------------------
 
-def _ramp(override: float = 0.0) -> simulate.Scenario:
-    m = {"name": "m", "type": "gauge" if override else "counter", "baseline": 7.0, "rate_per_second": 10.0}
-    event = {"metric": "m", "start_sec": 30, "duration_sec": 20, "override": override, "rate_scale": 0 if override else 10}
-    return simulate.Scenario("ramp", 60, [{"vendor": "v", "type": "AMF", "instance_id": "i", "metrics": [m], "events": [event]}], [])
+_EVIDENCE = {
+    "RegistrationStorm": ("attempt_count:att_last", "mean:att_mean", "stddev:att_sigma", "success_rate:reg_rate_last"),
+    "SessionDrop": ("sessions:sess_last", "peak:sess_peak", "drop_ratio:(sess_peak - sess_last) / sess_peak", "success_rate:reg_rate_last"),
+    "RANCoreDivergence": ("gnb_throughput:gnb_last", "gnb_drop_ratio:(gnb_peak - gnb_last) / gnb_peak", "upf_throughput:upf_last", "upf_shift_ratio:abs(upf_last - upf_mean) / upf_mean"),
+}
+
+
+@query("rule_evidence", _HEAD + ", ev AS (" + " UNION ALL ".join(
+    f"SELECT '{rule}' AS rule_name, '{x.split(':')[0]}' AS name, plmn, w, CAST({x.split(':')[1]} AS DOUBLE) AS value FROM stats" for rule, parts in _EVIDENCE.items() for x in parts
+) + """) SELECT rule_name, plmn, '1:' || substr(plmn, 1, 3) AS slice_id, w, name, round(value, 4) AS value FROM fired JOIN ev USING (rule_name, plmn, w)""")
+def rule_evidence(spark, sf_dir):
+    sliced = window_samples(spark, sf_dir).withColumn("slice_id", correlate.slice_text(F.lit(1), F.left("plmn", F.lit(3))))
+    found = correlate.events(correlate.sliding(sliced, "24 hours", "1 hour"))
+    rows = found.select("rule_name", "plmn", "slice_id", F.floor(seconds("window_start") / 3600).cast("bigint").alias("w"), F.explode("evidence").alias("name", "value"))
+    return rows.withColumn("value", F.round("value", 4))
+
+
+@query("event_table", _HEAD + " SELECT w, rule_name, severity, plmn FROM fired ORDER BY w DESC, rule_name, plmn LIMIT 100")
+def event_table(spark, sf_dir):
+    """The dashboard's table: the 100 newest events, newest first."""
+    return _fired(spark, sf_dir).select("w", "rule_name", "severity", "plmn").orderBy(F.desc("w"), "rule_name", "plmn").limit(100)
 
 
-@query("sim_counter_ticks", "WITH t AS (SELECT unnest(range(0, 61)) AS tick) SELECT CAST(tick AS INTEGER) AS tick, 7.0 + 10.0 * tick + 90.0 * greatest(0, least(tick, 49) - 29) AS value FROM t")
+@query("sim_counter_ticks", f"""WITH {SERIES}, m AS (
+  SELECT inst, metric, ts, event_id, raw, unnest(range(CAST(ceil(epoch_us(ts) / 86400e6) AS BIGINT), CAST(ceil((epoch_us(ts) + 432000000000) / 86400e6) AS BIGINT))) * 86400 AS step FROM series
+) SELECT inst, metric, step, CAST(arg_max(raw, struct_pack(t := ts, e := event_id)) AS DOUBLE) AS value FROM m GROUP BY 1, 2, 3""")
 def sim_counter_ticks(spark, sf_dir):
-    return simulate.series(spark, [_ramp()]).select("tick", "value")
+    """Counters read at regular ticks: each one's last value, if it is less than five days old."""
+    return promql.at_steps(series(spark, sf_dir), ["inst", "metric"], 432_000, 86_400, "raw", tie="event_id")
 
 
-@query("sim_gauge_override", "WITH t AS (SELECT unnest(range(0, 61)) AS tick) SELECT CAST(tick AS INTEGER) AS tick, CASE WHEN tick >= 30 AND tick < 50 THEN 2000.0 ELSE 7.0 END AS value FROM t")
+@query("sim_gauge_override", f"""WITH {SERIES}, o AS (SELECT *, max(CASE WHEN metric = 'error' THEN ts END) OVER (PARTITION BY inst ORDER BY ts, event_id) AS since FROM series)
+SELECT event_id, CASE WHEN since IS NOT NULL AND epoch(ts) - epoch(since) < 21600 THEN 2000.0 ELSE value END AS value FROM o WHERE metric = 'view'""")
 def sim_gauge_override(spark, sf_dir):
-    return simulate.series(spark, [_ramp(2000.0)]).select("tick", "value")
+    """Gauges under an override that starts with an error of the same instance and lasts six hours."""
+    errors = F.max(F.when(F.col("metric") == "error", F.col("ts"))).over(Window.partitionBy("inst").orderBy("ts", "event_id"))
+    second = lambda c: F.col(c).cast("timestamp").cast("double")
+    rows = series(spark, sf_dir).withColumn("since", errors).where("metric = 'view'")
+    return rows.select("event_id", F.when(F.coalesce(second("ts") - second("since") < 21_600, F.lit(False)), 2000.0).otherwise(F.col("value")).alias("value"))
 
 
-@query("certify_matrix", """SELECT * FROM (VALUES ('RegistrationStorm', 'alarm_storm', CAST(3 AS BIGINT), CAST(3 AS BIGINT), TRUE), ('SessionDrop', 'slice_sla_breach', 1, 1, TRUE),
-('none', 'steady_state', 3, 3, TRUE)) x(rule, base, passed, total, ok)""")
+@query("certify_matrix", _HEAD + """, s AS (SELECT DISTINCT plmn FROM scrapes), e(rule, severity) AS (VALUES ('RegistrationStorm', 'critical'), ('SessionDrop', 'critical'), ('RANCoreDivergence', 'warning'))
+SELECT rule, 'network' AS base, count(*) FILTER (ok) AS passed, count(*) AS total, bool_and(ok) AS ok FROM (
+  SELECT rule, plmn, EXISTS (SELECT 1 FROM fired f WHERE f.plmn = s.plmn AND f.rule_name = e.rule AND f.severity = e.severity) AS ok FROM s, e) GROUP BY rule""")
 def certify_matrix(spark, sf_dir):
-    return simulate.matrix(simulate.certify(spark, simulate.Scenario.load_all(), registry())).select("rule", "base", "passed", "total", "ok")
+    """For each rule, how many networks show the event that is expected of them."""
+    found = _fired(spark, sf_dir).select("*", F.col("plmn").alias("scenario"), F.col("w").cast("int").alias("at_sec"))
+    wanted = ((0, "RegistrationStorm", "critical"), (1, "SessionDrop", "critical"), (2, "RANCoreDivergence", "warning"))
+    bounds = "map<string,struct<gt:double,lt:double,gte:double,lte:double,eq:double>>"
+    networks = scrapes(spark, sf_dir).select(F.col("plmn").alias("scenario"), F.col("plmn").alias("vendor")).distinct()
+    each = networks.withColumn("e", F.explode(F.array(*[F.struct(F.lit(i).alias("id"), F.lit(r).alias("rule"), F.lit(v).alias("severity")) for i, r, v in wanted])))
+    expected = each.select("scenario", "vendor", "e.*", F.lit(2_000_000_000).alias("within_seconds"), F.array().cast("array<string>").alias("affected"), F.create_map().cast(bounds).alias("evidence"))
+    results = simulate.assess(expected, found).withColumn("base", F.lit("network"))
+    return simulate.matrix(results).select("rule", "base", "passed", "total", "ok")
 
 
 @query("expected_vs_observed", _HEAD + """, e(id, rule, severity) AS (VALUES (0, 'SessionDrop', 'warning'), (1, 'SessionDrop', 'critical'), (2, 'RANCoreDivergence', NULL))

@@ -71,7 +71,7 @@ def general(value: Column) -> Column:
     rest = F.substr(digits, F.lit(2))
     written = F.concat(
         F.left(digits, F.lit(1)), F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""),
-        F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), 2, "0"),
+        F.when(e < 0, "e-").otherwise("e+"), F.when(F.abs(e) < 10, "0").otherwise(""), F.abs(e).cast("string"),
     )
     long = F.concat(digits, F.repeat(F.lit("0"), F.greatest(e + 1 - F.length(digits), F.lit(0))))
     fraction = F.substr(long, e + 2)

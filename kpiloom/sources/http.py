@@ -5,18 +5,20 @@
          .option("vendor", "open5gs").option("nf_type", "AMF").load()
 
 One partition an endpoint, so executors scrape in parallel.  A failed scrape is
-a row without payload, with its status and whether it timed out.
+a row without payload, with its status and whether it timed out.  ``readStream``
+scrapes once in each ``interval``; what a stream missed is not to be had later.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import urllib.error
 import urllib.request
 import zlib
 from collections.abc import Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from kpiloom.functions.transforms import seconds
 from kpiloom.schema import RAW
@@ -28,20 +30,20 @@ class Endpoint(InputPartition):
         self.url = url
 
 
-class ScrapeReader(DataSourceReader):
+class Scraper:
+    """What batch and stream readers share."""
+
     def __init__(self, options: dict[str, str]):
         self.options = dict(options)
         self.endpoints = [e.strip() for e in options.get("endpoints", "").split(",") if e.strip()]
         if not self.endpoints:
             raise ValueError("no endpoints")
         #: A scrape may take half the interval.
-        self.timeout = seconds(options.get("interval", "15s")) / 2
+        self.interval = seconds(options.get("interval", "15s"))
+        self.timeout = self.interval / 2
         if self.timeout <= 0:
             raise ValueError("interval must be positive")
 
-    def partitions(self) -> list[Endpoint]:
-        return [Endpoint(e) for e in self.endpoints]
-
     def read(self, partition: Endpoint) -> Iterator[tuple]:
         url, now = partition.url, dt.datetime.now(dt.timezone.utc)
         payload, status, timed_out = None, 0, False
@@ -62,6 +64,24 @@ class ScrapeReader(DataSourceReader):
         )
 
 
+class ScrapeReader(Scraper, DataSourceReader):
+    def partitions(self) -> list[Endpoint]:
+        return [Endpoint(e) for e in self.endpoints]
+
+
+class ScrapeStream(Scraper, DataSourceStreamReader):
+    """An offset is the number of the interval that now is; a batch scrapes every endpoint once, however many have passed."""
+
+    def initialOffset(self) -> dict:
+        return {"interval": int(time.time() // self.interval) - 1}
+
+    def latestOffset(self) -> dict:
+        return {"interval": int(time.time() // self.interval)}
+
+    def partitions(self, start: dict, end: dict) -> list[Endpoint]:
+        return [Endpoint(e) for e in self.endpoints] if end["interval"] > start["interval"] else []
+
+
 class ScrapeSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -72,3 +92,6 @@ class ScrapeSource(DataSource):
 
     def reader(self, schema) -> ScrapeReader:
         return ScrapeReader(self.options)
+
+    def streamReader(self, schema) -> ScrapeStream:
+        return ScrapeStream(self.options)
