@@ -123,16 +123,22 @@ def _as_records(spark, sf_dir):
     )
 
 
-_PAIRS = ", ".join(f"('{ns}', '{v}')" for ns, n in registry().namespaces.items() for v in n.mappings)
+#: Fixed values, written down from the mappings: (namespace, vendor, base KPIs with a mapping, without one).
+_PAIRS = """
+  ('ran.amf', 'free5gc', 4, 2), ('ran.amf', 'open5gs', 6, 0), ('ran.amf', 'ericsson_enm', 3, 3), ('ran.amf', 'nokia_enm', 3, 3),
+  ('ran.gnb', 'ericsson_enm', 4, 4), ('ran.gnb', 'oai', 8, 0),
+  ('ran.slice', 'ericsson_enm', 3, 2), ('ran.slice', 'free5gc', 5, 0), ('ran.slice', 'open5gs', 5, 0),
+  ('ran.smf', 'ericsson_enm', 3, 2), ('ran.smf', 'free5gc', 1, 4), ('ran.smf', 'open5gs', 5, 0),
+  ('ran.upf', 'ericsson_enm', 4, 2), ('ran.upf', 'open5gs', 6, 0)"""
 _RECORDS = f"""
-WITH m(namespace, vendor) AS (VALUES {_PAIRS}), r AS (
+WITH m(namespace, vendor, mapped, missing) AS (VALUES {_PAIRS}), r AS (
   SELECT event_id AS record_id, ['free5gc', 'open5gs', 'ericsson_enm', 'oai', 'unknown'][user_id % 5 + 1] AS vendor,
          'ran.' || CASE event_type WHEN 'click' THEN 'amf' WHEN 'error' THEN 'smf' WHEN 'purchase' THEN 'upf' WHEN 'signup' THEN 'gnb' ELSE 'nssf' END AS namespace,
          ['prometheus', 'gnmi', 'netconf'][event_id % 3 + 1] AS protocol FROM events)
 """
 
 
-@query("can_handle_semi", _RECORDS + "SELECT record_id, namespace, vendor FROM r WHERE (namespace, vendor) IN (SELECT (namespace, vendor) FROM m) AND protocol <> 'netconf'")
+@query("can_handle_semi", _RECORDS + "SELECT record_id, namespace, vendor FROM r WHERE EXISTS (SELECT 1 FROM m WHERE m.namespace = r.namespace AND m.vendor = r.vendor) AND protocol <> 'netconf'")
 def can_handle_semi(spark, sf_dir):
     return split_handled(_as_records(spark, sf_dir), registry())[0].select("record_id", "namespace", "vendor")
 
@@ -145,28 +151,21 @@ def unhandled_anti(spark, sf_dir):
     return split_handled(_as_records(spark, sf_dir), registry())[1].select("record_id", "vendor", "reason")
 
 
-def _values() -> str:
-    kpis = ", ".join(f"('{ns}', '{k}', {str(n.kpis[k].derived).upper()})" for ns, n in registry().namespaces.items() for k in n.order)
-    maps = ", ".join(f"('{ns}', '{v}', '{k}', '{m.kind}')" for ns, n in registry().namespaces.items() for v, ms in n.mappings.items() for k, m in ms.items())
-    return f"WITH kpi(namespace, kpi, derived) AS (VALUES {kpis}), mapping(namespace, vendor, kpi, kind) AS (VALUES {maps})"
-
-
-@query("kpi_mapping_outer", _values() + """
-SELECT k.namespace, v.vendor, k.kpi, m.kind FROM kpi k JOIN (SELECT DISTINCT namespace, vendor FROM mapping) v USING (namespace)
-LEFT JOIN mapping m ON m.namespace = k.namespace AND m.vendor = v.vendor AND m.kpi = k.kpi WHERE NOT k.derived""")
+@query("kpi_mapping_outer", _RECORDS + """SELECT namespace, vendor, count(*) AS records, CAST(sum(mapped) AS BIGINT) AS mapped, CAST(sum(missing) AS BIGINT) AS missing
+FROM r JOIN m USING (namespace, vendor) WHERE protocol <> 'netconf' GROUP BY 1, 2""")
 def kpi_mapping_outer(spark, sf_dir):
-    m = registry().mapping_dim(spark)
-    grid = registry().kpi_dim(spark).where("NOT derived").join(m.select("namespace", "vendor").distinct(), "namespace")
-    return grid.join(m.select("namespace", "vendor", "kpi", "kind"), ["namespace", "vendor", "kpi"], "left").select("namespace", "vendor", "kpi", "kind")
+    """Base KPIs that the scrapes of each namespace and vendor are asked for, with and without a mapping."""
+    handled = split_handled(_as_records(spark, sf_dir), registry())[0]
+    of_plan = handled.select("namespace", "vendor", F.size(F.filter("plan", lambda p: p["mapped"])).alias("with"), F.size(F.filter("plan", lambda p: p["mapped"].isNull())).alias("without"))
+    return of_plan.groupBy("namespace", "vendor").agg(F.count("*").alias("records"), F.sum("with").alias("mapped"), F.sum("without").alias("missing"))
 
 
-@query("unsupported_kpis", _values() + """
-SELECT k.namespace, v.vendor, count(*) AS unsupported FROM kpi k JOIN (SELECT DISTINCT namespace, vendor FROM mapping) v USING (namespace)
-WHERE NOT k.derived AND NOT EXISTS (SELECT 1 FROM mapping m WHERE m.namespace = k.namespace AND m.vendor = v.vendor AND m.kpi = k.kpi) GROUP BY 1, 2""")
+@query("unsupported_kpis", _RECORDS + """SELECT namespace, vendor, CAST(sum(missing) AS BIGINT) AS unsupported FROM r JOIN m USING (namespace, vendor) WHERE protocol = 'prometheus' AND missing > 0 GROUP BY 1, 2""")
 def unsupported_kpis(spark, sf_dir):
-    m = registry().mapping_dim(spark).select("namespace", "vendor", "kpi")
-    grid = registry().kpi_dim(spark).where("NOT derived").join(m.select("namespace", "vendor").distinct(), "namespace")
-    return grid.join(m, ["namespace", "vendor", "kpi"], "left_anti").groupBy("namespace", "vendor").agg(F.count("*").alias("unsupported"))
+    """Partial failures of scraped events for want of a mapping."""
+    scraped = _as_records(spark, sf_dir).where("protocol = 'prometheus'")
+    rows = normalize(scraped, registry()).partial.where("unsupported AND reason = 'no mapping'")
+    return rows.groupBy("namespace", "vendor").agg(F.count("*").alias("unsupported"))
 
 
 # -- matching ------------------------------------------------------------------
@@ -670,15 +669,21 @@ def subset_nfs(spark, sf_dir):
     return g.where(F.size(F.array_except(F.array(F.lit("click"), F.lit("error")), "seen")) == 0).select("inst")
 
 
-@query("sorted_namespaces", "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(registry().names())) + ") x(i, namespace)")
+@query("sorted_namespaces", _RECORDS + "SELECT CAST(row_number() OVER (ORDER BY namespace) - 1 AS INTEGER) AS i, namespace, count(*) AS records FROM r GROUP BY namespace")
 def sorted_namespaces(spark, sf_dir):
-    rows = registry().kpi_dim(spark).select("namespace").distinct().orderBy("namespace")
-    return rows.select((F.size(F.filter(F.array(*map(F.lit, registry().names())), lambda n: n < F.col("namespace")))).alias("i"), "namespace")
+    """Namespaces of the events in order; the window is over their names, of which a registry has a few."""
+    names = split_handled(_as_records(spark, sf_dir), registry())
+    rows = names[0].select("namespace").unionByName(names[1].select("namespace")).groupBy("namespace").agg(F.count("*").alias("records"))
+    return rows.select((F.row_number().over(Window.orderBy("namespace")) - 1).alias("i"), "namespace", "records")
 
 
-@query("sorted_collectors", "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(COLLECTORS.names())) + ") x(i, name)")
+@query("sorted_collectors", _RECORDS + """SELECT CAST(row_number() OVER (ORDER BY name) - 1 AS INTEGER) AS i, name, records FROM (
+SELECT vendor || '-' || substr(namespace, 5) AS name, count(*) AS records FROM r GROUP BY 1) WHERE name IN ('free5gc-amf', 'free5gc-smf', 'free5gc-upf', 'open5gs-amf', 'open5gs-smf', 'open5gs-upf')""")
 def sorted_collectors(spark, sf_dir):
-    return spark.createDataFrame([*enumerate(COLLECTORS.names())], "i int, name string")
+    """Events of the collectors that ship, in order of name."""
+    rows = _as_records(spark, sf_dir).groupBy(F.concat_ws("-", "vendor", F.lower("nf_type")).alias("name")).agg(F.count("*").alias("records"))
+    held = rows.where(F.col("name").isin(COLLECTORS.names()))
+    return held.select((F.row_number().over(Window.orderBy("name")) - 1).alias("i"), "name", "records")
 
 
 @query("distinct_vendors", f"WITH {SERIES} SELECT count(DISTINCT vendor) AS vendors FROM series")
