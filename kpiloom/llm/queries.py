@@ -211,3 +211,69 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
        coalesce(n_removed, 0) AS n_removed, sanitised_sha256
 FROM d LEFT JOIN s USING (row) LEFT JOIN cleaned USING (row)
 """
+
+
+def _any_case(word: str) -> str:
+    """A pattern of ASCII letters in either case."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_KEYWORDS = "|".join(["password", "passwd", "secret", "token"])
+_ASSIGN = f"""(?:{_any_case(_KEYWORDS)}|{_any_case("api")}_?{_any_case("key")})["'']?[ ]*[:=][ ]*["'']?([A-Za-z0-9+/_.=-]+)"""
+_ALLOWED = " OR ".join(
+    f"regexp_full_match(x, '{p}')"
+    for p in ("[0-9]+", "[A-Za-z]+", "[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}", "(?i).*(?:example|sample|dummy|placeholder|changeme|xxxx).*", "(?i).*(?:abcdefghij|0123456789).*", "[A-Za-z]+(?:[-_/][A-Za-z]+)+[0-9]{0,4}")
+)
+
+
+def _sql_runs(source: str, column: str, pattern: str, condition: str) -> str:
+    """DuckDB: (row, place, x) of the matches of ``pattern`` in a column of ``source`` (row, place, column), placed in the text."""
+    return f"""SELECT row, place + s AS place, x FROM (
+    SELECT row, place, unnest(list_transform(range(1, len(found) + 1), lambda i:
+             CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) AS BIGINT)
+             + coalesce(CAST(list_sum(list_transform(found[1:i - 1], lambda y: length(y))) AS BIGINT), 0))) AS s, unnest(found) AS x
+    FROM (SELECT row, place, regexp_extract_all({column}, '{pattern}') AS found, string_split_regex({column}, '{pattern}') AS gaps FROM {source})
+  ) WHERE {condition}"""
+
+
+def _sql_windows(kind: int) -> str:
+    """DuckDB: the windows over the threshold in the runs of a character class."""
+    c = secrets.CLASSES[kind]
+    return f"""SELECT row, {kind} AS class, place AS run, place + i AS start, place + i + w AS stop FROM (
+    SELECT *, unnest(range(0, length(x) - w + 1)) AS i FROM (SELECT *, least({c.window}, length(x)) AS w FROM run{kind})
+  ) WHERE log2(w) - list_sum(list_transform(list_distinct(string_split(substr(x, i + 1, w), '')), lambda ch:
+        (w - length(replace(substr(x, i + 1, w), ch, ''))) * log2(w - length(replace(substr(x, i + 1, w), ch, ''))))) / w
+    >= {c.threshold} * log2(w) / log2({c.window}) - 1e-9"""
+
+
+ORACLE_SQL["op6_secret_scan"] = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS row, doc_id, coalesce(text, '') AS text, 0 AS place FROM documents
+), m AS MATERIALIZED (
+  {_sql_matches("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 1)) >= 6")}
+  UNION ALL {_sql_matches("access", "AKIA[A-Z0-9]+", "length(m) >= 20")}
+  UNION ALL {_sql_matches("hex", "[0-9a-f]+", "length(m) >= 24")}
+), candidate AS MATERIALIZED (
+  {_sql_runs("d", "text", "[A-Za-z0-9+/_=-]+", f"length(x) >= {secrets.MIN_CANDIDATE} AND NOT ({_ALLOWED})")}
+), run0 AS MATERIALIZED ({_sql_runs("candidate", "x", "[0-9a-fA-F]+", f"length(x) >= {secrets.MIN_CANDIDATE} AND NOT ({_ALLOWED})")}
+), run1 AS MATERIALIZED ({_sql_runs("candidate", "x", "[A-Za-z0-9+/_=-]+", f"length(x) >= {secrets.MIN_CANDIDATE} AND NOT ({_ALLOWED})")}
+), hot AS (
+  {_sql_windows(0)}
+  UNION ALL {_sql_windows(1)}
+), cut AS (SELECT *, CASE WHEN start <= lag(stop) OVER (PARTITION BY row, class, run ORDER BY start) THEN 0 ELSE 1 END AS new FROM hot
+), island AS (SELECT *, sum(new) OVER (PARTITION BY row, class, run ORDER BY start) AS g FROM cut
+), entropy AS (
+  SELECT DISTINCT row, start, stop FROM (SELECT row, min(start) AS start, max(stop) AS stop FROM island GROUP BY row, class, run, g) e
+  WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.row = e.row AND m.start <= e.start AND e.stop <= m.stop)
+), every_ AS (SELECT row, kind, start, stop FROM m UNION ALL SELECT row, 'entropy', start, stop FROM entropy
+), s AS (
+  SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         count(*) FILTER (kind = 'entropy') AS n_entropy,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['assign', 'access', 'hex', 'entropy'], kind), stop) FILTER (kind <> 'entropy') AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['assign', 'access', 'hex', 'entropy'], kind), stop) AS spans
+  FROM every_ GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(n_entropy, 0) AS n_entropy,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN s USING (row)
+"""
