@@ -71,6 +71,18 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, bucket):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_null_repeated_and_long_rows(spark):
+    rng = random.Random(16)
+    long = prose(rng, 300_000)
+    rows = [(None, "a b c"), (None, "a b c"), (9, "A B C"), (4, "other words here"), (4, "a b c"), (None, "alone here now"), (7, long), (8, long + " x")]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, node long, component string")
+    got = sorted(((r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=str)
+    prints = [fingerprint_by_hand(t) for _, t in rows]
+    root = linked(prints, 2)
+    least = {r: min((k for (k, _), x in zip(rows, root) if x == r and k is not None), default=None) for r in root}
+    assert got == sorted(((k, f"{p:016x}", least[r]) for (k, _), p, r in zip(rows, prints, root)), key=str)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(5, i) for i in range(6, 40)]
