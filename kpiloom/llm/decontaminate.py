@@ -46,7 +46,9 @@ MASKS = ("111011011", "111000010111", "11110111", "11011000111", "1101010111", "
 #: Items of fewer tokens are sought by their parts.
 LONG = 15
 #: Bits of the filter for each seed, and limits of its size (a power of two): at most 32 MB are broadcast.
-BLOOM_RATIO, MIN_BLOOM_BITS, MAX_BLOOM_BITS = 16, 1 << 20, 1 << 28
+BLOOM_RATIO, MIN_BLOOM_BITS, MAX_BLOOM_BITS = 64, 1 << 20, 1 << 28
+#: A seed sets the bits that its hash names after each of these shifts: one position in 80,000 passes by chance.
+BLOOM_SHIFTS = (0, 12, 24, 36)
 MIN_MATCHED = 12
 MIN_OVERLAP = 0.8
 
@@ -107,7 +109,7 @@ def _item_rows(masks: Sequence[str], min_matched: int, min_overlap: float):
 
 def _bloom_words(seed_hashes: DataFrame, bits: int) -> np.ndarray:
     """The filter's 64-bit words; at most bits / 64 rows reach the driver."""
-    places = F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 32)))
+    places = F.explode(F.array(*[F.shiftrightunsigned("h", n) for n in BLOOM_SHIFTS]))
     rows = (
         seed_hashes.select(places.alias("p"))
         .select(F.expr(f"cast(p & {bits - 1} as int)").alias("p"))
@@ -125,8 +127,10 @@ def _in_bloom(words: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
         p = p & np.uint64(bits - 1)
         return (words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
 
-    found = np.flatnonzero(probe(h))
-    return found[probe(h[found] >> np.uint64(32))]
+    found = np.arange(len(h))
+    for n in BLOOM_SHIFTS:
+        found = found[probe(h[found] >> np.uint64(n))]
+    return found
 
 
 def _regions(masks: Sequence[str], lengths: Sequence[int], words, bits: int, context: int):
