@@ -147,7 +147,7 @@ WIDE_DISTANCE = 72
 #: Pairs meet if all minima of one of the bands agree: at similarity 0.8 with probability 1 - (1 - 0.8**4)**20 = 0.99997.
 BANDS, BAND = 20, 4
 #: Rounds of peeling at most; each only spares comparisons.
-PEELS = 6
+PEELS = 10
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _FACTORS = mixed(np.arange(1, BANDS * BAND + 1, dtype=np.uint64)) | np.uint64(1)
 _W = [f"w{i}" for i in range(4)]
@@ -242,7 +242,7 @@ def _peeled(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     A shingle is contested if sets of two components hold it.  A set of n
     shingles, c of them contested, has a similarity below 0.8 with all larger
     than 9/4 c - n, so it leaves the buckets that hold only such.  What leaves
-    makes other shingles uncontested: this is repeated while it removes much.
+    makes other shingles uncontested: this is repeated while it removes any.
     """
     live = members.select("node", "root").distinct().join(sets, "node").select("node", "root", "s")
     before = None
@@ -256,7 +256,7 @@ def _peeled(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         members = stored(may.join(_several_roots(may), "k"))
         live = left.join(members.select("node").distinct(), "node", "left_semi")
         now = members.count()
-        if not now or before is not None and now > 0.8 * before:
+        if now in (0, before):
             break
         before = now
     return members, live.select("node", "s")
