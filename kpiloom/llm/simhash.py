@@ -148,6 +148,8 @@ WIDE_DISTANCE = 72
 BANDS, BAND = 20, 4
 #: Rounds of peeling at most; each only spares comparisons.
 PEELS = 10
+#: Classes of shingles by which the pairs that are left are told apart.
+CLASSES = 32
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _FACTORS = mixed(np.arange(1, BANDS * BAND + 1, dtype=np.uint64)) | np.uint64(1)
 _W = [f"w{i}" for i in range(4)]
@@ -262,23 +264,28 @@ def _peeled(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, live.select("node", "s")
 
 
-def _across(members: DataFrame, contested: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of one bucket and different components that the bucket's pivot does not tell apart.
+def _across(members: DataFrame, contested: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one bucket and different components whose sets may share enough.
 
-    Of what two sets share, at most the lesser of their shares with the pivot
-    lies inside it, and at most the lesser of their other contested shingles
-    outside.
+    Contested shingles fall into ``CLASSES`` by hash.  Two sets share no more of
+    a class than the smaller number that either has of it; pairs whose sum over
+    the classes is too small for a similarity of 0.8 are left out.
     """
-    pivot = pivots.join(sets.select(F.col("node").alias("one"), F.col("s").alias("p")), "one").select("k", "p")
-    inside = F.size(F.array_intersect("s", "p")).alias("inside")
-    measured = stored(
-        members.join(contested, "node").join(pivot, "k").select("k", "node", "root", "n", inside, (F.col("c") - F.size(F.array_intersect("s", "p"))).alias("outside"))
-    )
+
+    @F.pandas_udf("array<int>")
+    def by_class(sets: pd.Series) -> pd.Series:
+        return pd.Series([np.bincount(np.asarray(x, dtype=np.int64) % CLASSES, minlength=CLASSES).astype(np.int32) for x in sets])
+
+    names = [f"c{j}" for j in range(CLASSES)]
+    counted = contested.select("node", by_class("s").alias("v")).select("node", *[F.get("v", F.lit(j)).alias(c) for j, c in enumerate(names)])
+    measured = stored(members.join(counted, "node").select("k", "node", "root", "n", *names))
     count = measured.groupBy("k", "root").count()
     main = count.groupBy("k").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
     minority = measured.join(main, "k").where("root <> main").drop("main")
-    x, y = (t.select("k", *[F.col(c).alias(f"{c}_{i}") for c in ("node", "root", "n", "inside", "outside")]) for i, t in enumerate((minority, measured)))
-    bound = F.least("inside_0", "inside_1") + F.least("outside_0", "outside_1")
+    x, y = (t.select("k", *[F.col(c).alias(f"{c}_{i}") for c in ("node", "root", "n", *names)]) for i, t in enumerate((minority, measured)))
+    bound = F.lit(0)
+    for c in names:
+        bound = bound + F.least(f"{c}_0", f"{c}_1")
     met = x.join(y, "k").where((F.col("root_0") != F.col("root_1")) & (9 * bound >= 4 * (F.col("n_0") + F.col("n_1"))))
     return met.select(F.col("node_0").alias("a"), F.col("node_1").alias("b"))
 
@@ -290,7 +297,7 @@ def wide_components(nodes: DataFrame, shingles) -> DataFrame:
     pivot, and is compared with all: of a group of near copies this connects
     nearly all members, in one comparison each.  Among the rest, sets that no
     set of another component can resemble are peeled off, and the pairs that
-    neither this nor the distances from the pivot rule out are compared.  So no
+    neither this nor their contested shingles by class rule out are compared.  So no
     pair that shares a key and is similar stays apart, and no bucket forms all
     pairs of its members.
     """
@@ -307,7 +314,7 @@ def wide_components(nodes: DataFrame, shingles) -> DataFrame:
     members, contested = _peeled(placed.join(_several_roots(placed), "k"), sets)
     if members.isEmpty():
         return roots
-    more = _similar(_close(_across(members, contested, pivots, sets), nodes), sets)
+    more = _similar(_close(_across(members, contested), nodes), sets)
     return stored(components(links.unionByName(stored(more))))
 
 
