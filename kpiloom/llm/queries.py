@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpiloom.llm import decontaminate, langid, pieces, pii, quality, secrets, simhash, topk, toxicity, warc
+from kpiloom.llm import decontaminate, dual_tree, langid, pieces, pii, prefix_trie, quality, secrets, sharding, simhash, topk, toxicity, warc
 from kpiloom.llm._store import small_batches
 
 
@@ -62,6 +63,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, _table(spark, sf_dir, "labels"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = sharding.sharded(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
+    return docs.select(
+        "doc_id", sharding.byte_size(F.col("text")).alias("size"), sharding.checksum(F.col("text")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.turn_lists(_table(spark, sf_dir, "conversations"), group=5, head=9))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.cluster(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=16, rounds=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc_revisits": op2_warc_revisits,
@@ -73,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_sharding": op11_sharding,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -277,3 +297,79 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN s USING (row)
 """
+
+
+#: DuckDB: the 256 remainders of a byte, for CRC-32 (polynomial 0xEDB88320).
+_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, b:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def _sql_crc32(text: str, table: str) -> str:
+    """DuckDB: unsigned CRC-32 of a text's UTF-8 bytes; ``table`` holds _CRC_TABLE."""
+    return f"""xor(4294967295, list_reduce([4294967295] || list_transform(regexp_extract_all(hex({text}), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+    lambda c, b: xor(c >> 8, {table}[xor(c, b) % 256 + 1])))"""
+
+
+ORACLE_SQL["op11_sharding"] = f"""
+WITH d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {_sql_crc32("coalesce(text, '')", "t")} AS text_crc32
+  FROM documents, (SELECT {_CRC_TABLE} AS t)
+), p AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS LAST, text_crc32, size) AS place,
+         sum(size) OVER (ORDER BY doc_id NULLS LAST, text_crc32, size ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total FROM d
+), s AS (SELECT *, least(7, CAST(((2 * upto - size) * 8) // (2 * total) AS INTEGER)) AS shard FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(place - min(place) OVER (PARTITION BY shard) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
+
+ORACLE_SQL["op12_conversation_trie"] = f"""
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv, turn, strlen(coalesce(text, '')) AS n, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS label
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv, list({{'l': label, 'n': n}} ORDER BY turn NULLS FIRST, label) AS own, {_sql_crc32("CAST(conv AS VARCHAR)", "any_value(c.t)")} % 9 AS h
+  FROM t, (SELECT {_CRC_TABLE} AS t) c GROUP BY conv
+), made AS (
+  SELECT o.conv, coalesce(b.own[1:o.h], []) || o.own[o.h + 1:] AS turns FROM own o LEFT JOIN own b ON b.conv = o.conv - o.conv % 5
+), prefix AS (
+  SELECT conv, d, len(turns) AS size, list_transform(turns[1:d], lambda x: x.l) AS path, CASE WHEN d > 0 THEN turns[d].n ELSE 0 END AS n
+  FROM made, LATERAL (SELECT unnest(range(0, len(turns) + 1)) AS d)
+), node AS (
+  SELECT path, min(conv) AS conv_id, any_value(d) AS depth, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+         sha256(coalesce(string_agg(CAST(conv AS VARCHAR), ',' ORDER BY conv) FILTER (size = d), '')) AS ends_sha256
+  FROM prefix GROUP BY path
+), child AS (SELECT path[1:len(path) - 1] AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1
+), under AS (
+  SELECT n.path[1:a.d] AS path, n.saved, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM node n LEFT JOIN child c USING (path), LATERAL (SELECT unnest(range(0, n.depth + 1)) AS d) a
+), rolled AS (SELECT path, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves FROM under GROUP BY path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(c.n, 0) AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n JOIN rolled USING (path) LEFT JOIN child c USING (path) LEFT JOIN node p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
+
+
+def _sql_round(i: int) -> str:
+    """DuckDB: the assignment ``a`` of round ``i`` to centroids ``c``, and the centroids after it."""
+    return f"""
+), a{i} AS MATERIALIZED (
+  SELECT row, v, arg_min(k, (dist, k)) AS k, min(dist) AS dist FROM (
+    SELECT p.row, p.v, c.k, CAST(list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS dist FROM p, c{i} c
+  ) GROUP BY row, v
+), m{i} AS (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM (
+    SELECT k, j, CAST(sum(v[j]) AS BIGINT) AS s, count(*) AS n FROM a{i}, LATERAL (SELECT unnest(range(1, 65)) AS j) GROUP BY k, j) GROUP BY k
+), c{i + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (k)"""
+
+
+ORACLE_SQL["op13_centroids"] = f"""
+WITH p AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(64 * CAST(x AS DOUBLE)) >= {dual_tree.LIMIT})) = 0
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS INTEGER) AS k, v FROM p WHERE vec_id IS NOT NULL
+  QUALIFY k < 16{"".join(map(_sql_round, range(4)))}
+), t AS (SELECT k, CAST(sum(dist) AS BIGINT) AS cluster_inertia, CAST(sum(sum(dist)) OVER () AS BIGINT) AS inertia FROM a3 GROUP BY k)
+SELECT p.vec_id, a.k AS cluster, a.dist AS distance, t.cluster_inertia, t.inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a3 a JOIN p USING (row) JOIN t USING (k) JOIN c3 c USING (k)
+"""
