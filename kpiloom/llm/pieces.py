@@ -329,9 +329,10 @@ def encode_documents(docs: DataFrame, text: str = "text", ids: str = "ids", mode
             for lo, hi in slices(b[text].tolist()):
                 part = b.iloc[lo:hi]
                 found = [np.frombuffer(t.encode_packed(x), dtype="<i4") for x in part[text]]
-                yield part.drop(columns=[text]).assign(**{ids: found})
+                yield part.drop(columns=[text]).assign(**{ids: found})[schema.names]
 
-    schema = T.StructType([f for f in docs.schema if f.name not in (text, ids)] + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    # names are told apart as Spark does, without case
+    schema = T.StructType([f for f in docs.schema if f.name.lower() not in (text.lower(), ids.lower())] + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return kept.drop(ids).mapInPandas(run, schema)
 
 

@@ -3,14 +3,15 @@
 Every text gets a 64-bit fingerprint.  It is cut into segments of 23, 23 and 18
 bits.  Fingerprints that differ in at most 2 bits agree on one whole segment,
 and the next segment differs in at most 2 bits, so they share one of its Golay
-keys: (whole segment, key of the next) is a join key.  Pairs of a bucket are
-verified by counting bits.
+keys: (whole segment, key of the next) is a join key.  Members of a bucket are
+verified in linear time.
 
 Equal fingerprints are merged before anything is joined, so groups of copies
-cost one row.  Pairs are formed only in buckets of at most ``BUCKET``
-fingerprints; those of fuller buckets meet by another exact way: each emits its
-65 words within one bit, and every word links its fingerprints to the smallest
-of them, which is linear in their number.
+cost one row.  Fingerprints that share a bucket with another are candidates.
+They are verified without forming the pairs of a bucket, however full: two
+fingerprints differ in at most 2 bits if and only if a word lies within one bit
+of both, so each candidate meets the others at its 65 words, of which none has
+more than 65 fingerprints.
 
 Defined results: null and empty texts have fingerprint zero and are linked like
 any others; repeated rows are kept; rows with a null key are linked too and
@@ -24,16 +25,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm import golay
-from kpiloom.llm._store import stored
+from kpiloom.llm._store import free_name, stored
 from kpiloom.llm._tokens import mixed
 from kpiloom.llm.components import components
 
 BITS, DISTANCE, SEED = 64, 2, 42
-BUCKET = 16
 _CUTS = (0, 23, 46, 64)
 
 
@@ -100,21 +100,11 @@ def _ball(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b) of fingerprints ``fp`` that differ in at most 2 bits: enough of them to connect all such pairs."""
     keyed = distinct.select("fp").mapInPandas(_bucket_keys, "k long, fp long")
-    full = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-    keyed = stored(keyed.join(full, "k"))
-    light = keyed.where(F.col("n") <= BUCKET)
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE
-    pairs = (
-        light.select("k", F.col("fp").alias("a"))
-        .join(light.select("k", F.col("fp").alias("b")), "k")
-        .where((F.col("a") < F.col("b")) & near)
-        .select("a", "b")
-    )
-    crowded = keyed.where(F.col("n") > BUCKET).select("fp").distinct()
-    words = stored(crowded.mapInPandas(_ball, "w long, fp long"))
-    first = words.groupBy("w").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    stars = words.join(first, "w").where("fp <> b").select(F.col("fp").alias("a"), "b")
-    return pairs.unionByName(stars).distinct()
+    full = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
+    candidates = keyed.join(full, "k").select("fp").distinct()
+    words = candidates.mapInPandas(_ball, "w long, fp long")
+    least = F.min("fp").over(Window.partitionBy("w"))  # of 65 fingerprints at most
+    return words.select(F.col("fp").alias("a"), least.alias("b")).where("a <> b").distinct()
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
@@ -148,8 +138,6 @@ WIDE_DISTANCE = 72
 BANDS, BAND = 20, 4
 #: Rounds of peeling at most; each only spares comparisons.
 PEELS = 10
-#: Classes of shingles by which the pairs that are left are told apart.
-CLASSES = 32
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _FACTORS = mixed(np.arange(1, BANDS * BAND + 1, dtype=np.uint64)) | np.uint64(1)
 _W = [f"w{i}" for i in range(4)]
@@ -182,15 +170,20 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return keys
 
 
-def set_name(hashes: np.ndarray) -> int:
-    """A hash of a set of shingles."""
-    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
+def set_name(hashes: np.ndarray) -> bytes:
+    """128 bits that stand for a set of shingles."""
+    return xxhash.xxh128_digest(hashes.tobytes(), SEED)
+
+
+def text_name(text: Column) -> Column:
+    """128 bits that stand for a text."""
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def wide_prints(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """(key, content, node, n, w0..w3, keys) of every row; content is a hash of the text, node one of its set of n shingles."""
 
-    @F.pandas_udf("node long, n long, w0 long, w1 long, w2 long, w3 long, keys array<long>")
+    @F.pandas_udf("node binary, n long, w0 long, w1 long, w2 long, w3 long, keys array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             nodes, sizes, bits, keys = [], [], [], []
@@ -201,10 +194,10 @@ def wide_prints(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 bits.append(wide_fingerprint(found))
                 keys.append(band_keys(found).view(np.int64))
             w = np.array(bits, dtype=np.uint64).reshape(-1, 4).view(np.int64)
-            yield pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "n": sizes, **{f"w{i}": w[:, i] for i in range(4)}, "keys": keys})
+            yield pd.DataFrame({"node": nodes, "n": sizes, **{f"w{i}": w[:, i] for i in range(4)}, "keys": keys})
 
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(key).alias("key"), F.xxhash64(t).alias("content"), run(t).alias("p")).select("key", "content", "p.*")
+    return docs.select(F.col(key).alias("key"), text_name(t).alias("content"), run(t).alias("p")).select("key", "content", "p.*")
 
 
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -265,29 +258,27 @@ def _peeled(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _across(members: DataFrame, contested: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of one bucket and different components whose sets may share enough.
+    """Pairs (a, b) of members of different components whose sets may have a similarity of 0.8 or more.
 
-    Contested shingles fall into ``CLASSES`` by hash.  Two sets share no more of
-    a class than the smaller number that either has of it; pairs whose sum over
-    the classes is too small for a similarity of 0.8 are left out.
+    Of two such sets each shares 4/5 of its shingles with the other, all of them
+    contested.  So with the contested shingles in one order of all, rarest
+    first, both hold one of those that are left of each set when the last 4/5 n
+    are put aside, and pairs meet at these only.
     """
-
-    @F.pandas_udf("array<int>")
-    def by_class(sets: pd.Series) -> pd.Series:
-        return pd.Series([np.bincount(np.asarray(x, dtype=np.int64) % CLASSES, minlength=CLASSES).astype(np.int32) for x in sets])
-
-    names = [f"c{j}" for j in range(CLASSES)]
-    counted = contested.select("node", by_class("s").alias("v")).select("node", *[F.get("v", F.lit(j)).alias(c) for j, c in enumerate(names)])
-    measured = stored(members.join(counted, "node").select("k", "node", "root", "n", *names))
-    count = measured.groupBy("k", "root").count()
-    main = count.groupBy("k").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    minority = measured.join(main, "k").where("root <> main").drop("main")
-    x, y = (t.select("k", *[F.col(c).alias(f"{c}_{i}") for c in ("node", "root", "n", *names)]) for i, t in enumerate((minority, measured)))
-    bound = F.lit(0)
-    for c in names:
-        bound = bound + F.least(f"{c}_0", f"{c}_1")
-    met = x.join(y, "k").where((F.col("root_0") != F.col("root_1")) & (9 * bound >= 4 * (F.col("n_0") + F.col("n_1"))))
-    return met.select(F.col("node_0").alias("a"), F.col("node_1").alias("b"))
+    sizes = members.select("node", "root", "n").distinct()
+    one = stored(contested.select("node", F.explode("s").alias("h")))
+    often = one.groupBy("h").agg(F.count("*").alias("often"))
+    ranked = one.join(often, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "h"))).alias("s"))
+    few = F.size("s") - F.ceil(F.col("n") * 4 / 5 - 1e-6).cast("int") + 1
+    rare = ranked.join(sizes, "node").where(few > 0).select("node", "root", "n", F.explode(F.slice("s", F.lit(1), few)).alias("x"))
+    rare = stored(rare.select("node", "root", "n", F.col("x.h").alias("h")))
+    count = rare.groupBy("h", "root").count()
+    main = count.groupBy("h").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
+    met = rare.join(main, "h")
+    x = met.where("root <> main").select("h", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
+    y = met.select("h", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
+    close = (F.col("ra") != F.col("rb")) & (5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb"))
+    return x.join(y, "h").where(close).select("a", "b").distinct()
 
 
 def wide_components(nodes: DataFrame, shingles) -> DataFrame:
@@ -296,8 +287,8 @@ def wide_components(nodes: DataFrame, shingles) -> DataFrame:
     In each bucket the member that shares its keys with the most others is the
     pivot, and is compared with all: of a group of near copies this connects
     nearly all members, in one comparison each.  Among the rest, sets that no
-    set of another component can resemble are peeled off, and the pairs that
-    neither this nor their contested shingles by class rule out are compared.  So no
+    set of another component can resemble are peeled off, and pairs of what is
+    left that share one of their rarest contested shingles are compared.  So no
     pair that shares a key and is similar stays apart, and no bucket forms all
     pairs of its members.
     """
@@ -340,14 +331,15 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
 
         first = nodes.join(wanted, "node").select("node", "first.content")
         t = F.coalesce(F.col(text), F.lit(""))
-        texts = docs.select(F.xxhash64(t).alias("content"), t.alias("t")).join(first, "content")
+        texts = docs.select(text_name(t).alias("content"), t.alias("t")).join(first, "content")
         return texts.groupBy("node").agg(F.min("t").alias("t")).select("node", run("t").alias("s"))
 
     roots = wide_components(nodes, shingles)
     rooted = nodes.select("node", "first").join(roots, "node", "left")
     chosen = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("f")).select("f.key", "f.content")
-    kept = stored(chosen.select(F.col("key").alias("_kept_key"), F.col("content").alias("_kept_content")))
-    same = F.col(key).eqNullSafe(F.col("_kept_key")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_kept_content"))
+    names = [free_name(f"kept_{c}", docs.columns) for c in ("key", "content")]
+    kept = stored(chosen.toDF(*names))
+    same = F.col(key).eqNullSafe(F.col(names[0])) & (text_name(F.coalesce(F.col(text), F.lit(""))) == F.col(names[1]))
     out = docs.join(kept, same, "left_semi")
     repeated = prints.groupBy("key", "content").count().where("count > 1").select("key", "content")
     if repeated.join(chosen, (repeated["key"].eqNullSafe(chosen["key"])) & (repeated["content"] == chosen["content"]), "left_semi").isEmpty():

@@ -55,9 +55,7 @@ def linked(prints, distance):
     return [find(i) for i in range(len(prints))]
 
 
-@pytest.mark.parametrize("bucket", [16, 1])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, bucket):
-    monkeypatch.setattr(simhash, "BUCKET", bucket)
+def test_near_duplicates_equal_brute_force(spark):
     rng = random.Random(2)
     base = [prose(rng, rng.randint(1, 60)) for _ in range(40)]
     texts = base + [t + rng.choice(["", " x", "!"]) for t in base] + ["", None, "One", "one", "ÄB ÄB", "äb äb"]
@@ -71,6 +69,29 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, bucket):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_full_buckets_are_linked_without_their_pairs(spark):
+    rng = np.random.default_rng(4)
+    flips = np.uint64(1) << rng.integers(0, 64, (6000, 4)).astype(np.uint64)
+    near = np.bitwise_xor.reduce(np.where(rng.random((6000, 4)) < 0.7, flips, 0), axis=1) ^ np.uint64(0x0123456789ABCDEF)
+    prints = np.unique(np.concatenate([near, rng.integers(0, 1 << 63, 300).astype(np.uint64)]))
+    df = spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "fp long")
+    got = {(r.a, r.b) for r in simhash.links(df).collect()}
+    assert all((a ^ b).bit_count() <= 2 for a, b in ((a % 2**64, b % 2**64) for a, b in got)) and len(got) < 65 * len(prints)
+    root = {int(x): int(x) for x in prints.view(np.int64)}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in got:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    held = np.array([find(int(x)) for x in prints.view(np.int64)])
+    for i, p in enumerate(prints):  # every pair within 2 bits is connected
+        assert (held[np.bitwise_count(prints ^ p) <= 2] == held[i]).all()
+
+
 def test_near_duplicates_of_null_repeated_and_long_rows(spark):
     rng = random.Random(16)
     long = prose(rng, 300_000)
@@ -104,6 +125,13 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in out) == list(range(12))
 
 
+def test_one_of_each_with_clashing_columns(spark):
+    rows = [(1, "a b c d e f g", 1, "k", "c", 2), (2, "a b c d e f g", 1, "k", "c", 2), (3, "h i j k l m n", 1, "k", "c", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_key int, Kept_Content string, content string, node int")
+    out = simhash.one_of_each(df)
+    assert out.columns == df.columns and {r.doc_id for r in out.collect()} == {1, 3}
+
+
 @pytest.mark.parametrize("peels", [6, 1])
 def test_similar_texts_are_linked_by_exact_similarity(spark, monkeypatch, peels):
     monkeypatch.setattr(simhash, "PEELS", peels)

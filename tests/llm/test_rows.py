@@ -121,6 +121,12 @@ def test_the_mark_comes_back_as_a_space(both):
         assert ours.encode(text) == theirs.encode(text) and ours.decode(ours.encode(text)) == text.replace("▁", " ")
 
 
+def test_encoding_replaces_a_column_of_its_name(spark):
+    df = spark.createDataFrame([(1, "ab cd", 5), (2, None, 6)], "doc_id long, text string, Ids int")
+    out = pieces.encode_documents(df)
+    assert out.columns == ["doc_id", "ids"] and {r.doc_id: len(r.ids) > 0 for r in out.collect()} == {1: True, 2: False}
+
+
 def test_piece_digest_keeps_every_row(spark):
     docs = spark.createDataFrame(ODD, DOCS)
     rows = pieces.digest(docs).collect()
