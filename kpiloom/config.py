@@ -28,7 +28,7 @@ class Config:
     listen: str = ":8080"
     otlp_endpoint: str | None = None
     otlp_headers: dict[str, str] = field(default_factory=dict)
-    otlp_batch: int = 512
+    otlp_batch: int = 100
 
     @staticmethod
     def load(path: str | Path) -> Config:
@@ -54,7 +54,7 @@ class Config:
         return Config(
             content["schema_dir"], collectors, seconds(redis.get("key_ttl", "120s")),
             seconds((windows or {}).get("window_size", "30s")), seconds((windows or {}).get("eval_interval", "5s")), windows is not None,
-            (output.get("prometheus") or {}).get("listen") or ":8080", otlp and otlp["endpoint"], dict((otlp or {}).get("headers") or {}), int((otlp or {}).get("batch_size") or 512),
+            (output.get("prometheus") or {}).get("listen") or ":8080", otlp and otlp["endpoint"], dict((otlp or {}).get("headers") or {}), int((otlp or {}).get("batch_size") or 100),
         )
 
 

@@ -8,9 +8,11 @@ with a third of all samples costs its tasks no more than their own rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,52 +136,77 @@ def samples(records: DataFrame, prefix: str = "ran.") -> DataFrame:
 def sliding(rows: DataFrame, length: str = "30 seconds", slide: str = "5 seconds", watermark: str | None = None) -> DataFrame:
     """Statistics of epoch-aligned half-open windows; with a watermark also on streams.
 
-    In batch, samples are summed up once for each slide; windows then merge
-    these sums, so no sample is copied to all windows that hold it.
+    Samples are summed up once for each pane, of the greatest length that both
+    the window and the slide are multiples of; windows then merge panes, so no
+    sample is copied to all windows that hold it.  On streams these are two
+    stateful aggregations, one after the other, and append mode gives a window
+    once the watermark has passed it and removes what it held.
     """
     rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    whole, part = micros(length), micros(slide)
+    pane = math.gcd(whole, part)  # bounds of windows are bounds of panes
     if watermark or rows.isStreaming:
         rows = rows.withWatermark("ts", watermark) if watermark else rows
-        stats = statistics(rows, [F.window("ts", length, slide).alias("w"), "plmn", "slice_id"])
+        panes = _panes(rows, F.window("ts", f"{pane} microseconds").alias("pane"))
+        stats = _merged(panes, F.window(F.window_time("pane"), length, slide).alias("w"))
     else:
-        panes = _panes(rows.withColumn("pane", F.window("ts", slide)["start"]))
-        stats = _merged(panes.withColumn("w", F.explode(_windows_of(F.col("pane"), length, slide))))
+        at = F.unix_micros("ts")
+        panes = _panes(rows, (at - F.pmod(at, F.lit(pane))).alias("pane"))
+        stats = _merged(panes.withColumn("w", F.explode(_windows_of(F.col("pane"), pane, whole, part))), F.col("w"))
     return stats.withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end")).drop("w")
 
 
-def _windows_of(pane: Column, length: str, slide: str) -> Column:
-    """The windows (start, end) that hold a pane; the length is a multiple of the slide."""
-    whole, part = F.expr(f"INTERVAL {length}"), F.expr(f"INTERVAL {slide}")
-    starts = F.sequence(pane - whole + part, pane, part)
-    return F.transform(starts, lambda s: F.struct(s.alias("start"), (s + whole).alias("end")))
+def micros(interval: str) -> int:
+    """A length of time in microseconds."""
+    return pd.Timedelta(interval) // pd.Timedelta("1us")
 
 
-def _panes(rows: DataFrame) -> DataFrame:
-    """n, sum, mean, squared deviations, peak and last of every series of NAMES, by pane."""
+def _windows_of(pane: Column, size: int, whole: int, part: int) -> Column:
+    """The windows (start, end) that hold a pane of ``size`` microseconds; they start at multiples of ``part``."""
+    first = pane + size - whole
+    starts = F.sequence(first + F.pmod(-first, F.lit(part)), pane, F.lit(part))
+    return F.transform(starts, lambda s: F.struct(F.timestamp_micros(s).alias("start"), F.timestamp_micros(s + whole).alias("end")))
+
+
+def _panes(rows: DataFrame, pane: Column) -> DataFrame:
+    """n, mean, squared deviations, peak and last of every series of NAMES, by pane."""
     out = []
     for m in NAMES:
         v = F.when(F.col("metric") == m, F.col("value"))
         out += [
-            F.count(v).alias(f"{m}_n"), F.sum(v).alias(f"{m}_sum"), (F.var_pop(v) * F.count(v)).alias(f"{m}_dev"), F.max(v).alias(f"{m}_peak"),
+            F.count(v).alias(f"{m}_n"), F.avg(v).alias(f"{m}_mean"), (F.var_pop(v) * F.count(v)).alias(f"{m}_dev"), F.max(v).alias(f"{m}_peak"),
             F.max(F.when(v.isNotNull(), F.struct(F.struct("ts", "seq").alias("at"), v.alias("v")))).alias(f"{m}_last"),
         ]
-    return rows.groupBy("pane", "plmn", "slice_id").agg(*out)
+    return rows.groupBy(pane, "plmn", "slice_id").agg(*out)
+
+
+def _spread(m: str, mean: Column) -> Callable[[Column, Column], Column]:
+    """Adds a pane's squared deviations from a window's mean."""
+
+    def add(total: Column, pane: Column) -> Column:
+        off = pane[f"{m}_mean"] - mean
+        return total + F.coalesce(pane[f"{m}_dev"] + pane[f"{m}_n"] * off * off, F.lit(0.0))
+
+    return add
 
 
-def _merged(panes: DataFrame) -> DataFrame:
-    """``statistics`` of the panes in each window ``w``: deviations from a window's mean are those within panes and those of their means."""
-    out, columns = [], []
+def _merged(panes: DataFrame, window: Column) -> DataFrame:
+    """``statistics`` of the panes in each ``window``, as ``w``.
+
+    The squared deviations from a window's mean are those within panes and those
+    of the panes' means from it, taken in a second pass over the few panes of a
+    window; sums of squares would cancel where values are large.
+    """
+    held = F.struct(*[F.col(f"{m}_{x}").alias(f"{m}_{x}") for m in NAMES for x in ("n", "mean", "dev")])
+    totals = [a for m in NAMES for a in (F.sum(f"{m}_n").alias(f"{m}_n"), F.sum(F.col(f"{m}_mean") * F.col(f"{m}_n")).alias(f"{m}_total"), F.max(f"{m}_peak").alias(f"{m}_peak"), F.max(f"{m}_last").alias(f"{m}_last"))]
+    windows = panes.groupBy(window, "plmn", "slice_id").agg(F.collect_list(held).alias("panes"), *totals)
+    columns = []
     for m in NAMES:
-        n, total, dev = f"{m}_n", f"{m}_sum", f"{m}_dev"
-        out += [
-            F.sum(n).alias(n), F.sum(total).alias(total), F.sum(dev).alias(dev), F.max(f"{m}_peak").alias(f"{m}_peak"), F.max(f"{m}_last").alias(f"{m}_last"),
-            # the panes' means, spread around the window's, each counted as often as it has samples
-            F.sum(F.col(total) * F.col(total) / F.nullif(F.col(n), F.lit(0))).alias(f"{m}_between"),
-        ]
-        mean = F.col(total) / F.nullif(F.col(n), F.lit(0))
-        spread = F.col(dev) + F.greatest(F.col(f"{m}_between") - F.col(total) * mean, F.lit(0.0))
-        columns += [F.col(n), mean.alias(f"{m}_mean"), F.sqrt(spread / F.nullif(F.col(n), F.lit(0))).alias(f"{m}_sigma"), F.col(f"{m}_peak"), F.col(f"{m}_last.v").alias(f"{m}_last")]
-    return panes.groupBy("w", "plmn", "slice_id").agg(*out).select("w", "plmn", "slice_id", *columns)
+        n = F.nullif(F.col(f"{m}_n"), F.lit(0))
+        mean = F.col(f"{m}_total") / n
+
+        columns += [F.col(f"{m}_n"), mean.alias(f"{m}_mean"), F.sqrt(F.aggregate("panes", F.lit(0.0), _spread(m, mean)) / n).alias(f"{m}_sigma"), F.col(f"{m}_peak"), F.col(f"{m}_last.v").alias(f"{m}_last")]
+    return windows.select("w", "plmn", "slice_id", *columns)
 
 
 def trailing(rows: DataFrame, ticks: DataFrame, length_seconds: int = 30) -> DataFrame:

@@ -25,11 +25,15 @@ BROADCAST_MAPPINGS = 20_000
 
 @dataclass
 class Normalized:
-    """``records`` (facts), ``partial`` (a KPI failed) and ``failures`` (a whole scrape failed)."""
+    """``records`` (facts), ``partial`` (a KPI failed) and ``failures`` (a whole scrape failed).
+
+    ``outcomes`` has the rows of the first two in one pass, told apart by ``kind``.
+    """
 
     records: DataFrame
     partial: DataFrame
     failures: DataFrame
+    outcomes: DataFrame
 
 
 def namespace(nf_type: Column, prefix: str) -> Column:
@@ -68,10 +72,8 @@ def split_handled(raw: DataFrame, registry: Registry) -> tuple[DataFrame, DataFr
 
 def parsed(handled: DataFrame) -> DataFrame:
     """``handled`` with ``series``, and ``parse_error`` where a payload is malformed."""
-    text = handled.where("protocol = 'prometheus'").withColumn("series", exposition.series(F.col("payload"))).withColumn("parse_error", F.lit(None).cast("string"))
-    binary = handled.where("protocol = 'gnmi'").withColumn("_g", gnmi.series(F.col("payload")))
-    binary = binary.withColumn("series", F.col("_g.series")).withColumn("parse_error", F.col("_g.error")).drop("_g")
-    return text.unionByName(binary).drop("payload")
+    read = [handled.where(F.col("protocol") == k).withColumn("_p", f(F.col("payload"))) for k, f in (("prometheus", exposition.parsed), ("gnmi", gnmi.series))]
+    return read[0].unionByName(read[1]).withColumns({"series": F.col("_p.series"), "parse_error": F.col("_p.error")}).drop("_p", "payload")
 
 
 def matched(series: Column, p: Column) -> Column:
@@ -205,18 +207,26 @@ def _with_derived(staged: DataFrame, registry: Registry, failures: DataFrame) ->
     none = F.lit(None)
     derived = F.filter(F.array(*results), lambda d: d.isNotNull()) if results else None
     every = base if derived is None else F.concat(base, F.transform(derived, lambda d: d.withField("labels", none.cast("map<string,string>")).withField("raw", none.cast("string"))))
-    rows = staged.select("record_id", "namespace", *SOURCE, "timestamp", "meta", "schema_version", F.explode(every).alias("k"))
+    late = F.col("late") if "late" in staged.columns else F.lit(False)
+    rows = staged.select("record_id", "namespace", *SOURCE, "timestamp", "meta", "schema_version", late.alias("late"), F.explode(every).alias("k"))
     # non-finite base values cannot be told from failures downstream, so they are failures
-    usable = F.col("k.value").isNotNull() & formula.finite(F.col("k.value"))
-    records = rows.where(usable).select(
-        "record_id", "namespace", F.col("k.kpi").alias("kpi_name"), F.col("k.value").alias("value"), F.col("k.unit").alias("unit"), "timestamp",
+    usable = F.coalesce(F.col("k.value").isNotNull() & formula.finite(F.col("k.value")), F.lit(False))
+    kind = F.when(F.col("late"), "late").when(usable, "record").otherwise("partial")
+    reason = F.when(F.col("late"), "out of order").when(~usable, F.coalesce("k.reason", F.lit("value is not finite")))
+    outcomes = rows.select(
+        kind.alias("kind"), "record_id", "namespace", *SOURCE, F.col("k.kpi").alias("kpi_name"), F.col("k.value").alias("value"), F.col("k.unit").alias("unit"), "timestamp",
         attributes().alias("attributes"), F.col("k.labels").alias("labels"), F.col("k.spec_ref").alias("spec_ref"), "schema_version",
+        F.col("k.raw").alias("raw"), reason.alias("reason"), F.col("k.unsupported").alias("unsupported"),
     )
-    partial = rows.where(~F.coalesce(usable, F.lit(False))).select(
-        "record_id", "namespace", *SOURCE, "timestamp", F.col("k.kpi").alias("kpi_name"), F.col("k.raw").alias("raw"),
-        F.coalesce("k.reason", F.lit("value is not finite")).alias("reason"), F.col("k.unsupported").alias("unsupported"),
-    )
-    return Normalized(records, partial, failures)
+    return Normalized(records_of(outcomes), partial_of(outcomes), failures, outcomes)
+
+
+def records_of(outcomes: DataFrame) -> DataFrame:
+    return outcomes.where("kind = 'record'").select("record_id", "namespace", "kpi_name", "value", "unit", "timestamp", "attributes", "labels", "spec_ref", "schema_version")
+
+
+def partial_of(outcomes: DataFrame) -> DataFrame:
+    return outcomes.where("kind = 'partial'").select("record_id", "namespace", *SOURCE, "timestamp", "kpi_name", "raw", "reason", "unsupported")
 
 
 def attributes() -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import urllib.request
 from collections.abc import Callable, Iterator
 
@@ -37,42 +38,75 @@ def exposition_lines(gauges: DataFrame) -> DataFrame:
     return gauges.select(rendered(F.col("name"), labels, F.col("value")).alias("line"))
 
 
+def otlp_attributes() -> Column:
+    """A record's attributes as OTLP key-values; those of slice and cell only where there is one (an array of JSON objects)."""
+    a = F.col("attributes")
+    s, c = a["slice_id"], a["cell_id"]
+    # fixed values: the names that collectors know
+    named = [
+        ("nf.type", a["nf_type"], None), ("nf.vendor", a["vendor"], None), ("nf.instance_id", a["nf_instance_id"], None), ("network.plmn_id", a["plmn_id"], None),
+        ("network.data_center", a["data_center"], None), ("network.slice.sst", s["sst"].cast("string"), s), ("network.slice.sd", s["sd"], s), ("network.cell.id", c["global_cell_id"], c),
+    ]
+    pair = lambda k, v: F.struct(F.lit(k).alias("key"), F.struct(F.coalesce(v, F.lit("")).alias("stringValue")).alias("value"))
+    return F.filter(F.array(*[pair(k, v) if of is None else F.when(of.isNotNull(), pair(k, v)) for k, v, of in named]), lambda e: e.isNotNull())
+
+
 def otlp(records: DataFrame) -> DataFrame:
-    """Gauge data points as OTLP-shaped JSON: slice and cell attributes only where there is one."""
-    columns = {k: c for k, c in zip(LABELS, label_columns(), strict=True)}
-    every = F.array(*[F.struct(F.lit(k).alias("key"), c.alias("value")) for k, c in columns.items()])
-    kept = F.filter(every, lambda e: (e["value"] != "") | ~e["key"].isin("slice_sst", "slice_sd", "cell_id"))
-    point = F.struct(
-        F.concat_ws(".", "namespace", "kpi_name").alias("name"), F.col("unit"), F.col("spec_ref").alias("description"),
-        F.struct(F.array(F.struct(F.col("value").alias("asDouble"), (F.unix_micros("timestamp") * 1000).cast("string").alias("timeUnixNano"), kept.alias("attributes"))).alias("dataPoints")).alias("gauge"),
+    """Each record as the JSON of an OTLP gauge with one data point."""
+    at = F.format_string("%d000", F.unix_micros("timestamp"))
+    point = F.struct(otlp_attributes().alias("attributes"), at.alias("timeUnixNano"), F.col("value").alias("asDouble"))
+    metric = F.struct(
+        F.concat_ws(".", "namespace", "kpi_name").alias("name"), F.col("spec_ref").alias("description"), F.col("unit"),
+        F.struct(F.array(point).alias("dataPoints")).alias("gauge"),
     )
-    return records.select(F.to_json(point).alias("value"))
+    return records.select(F.to_json(metric).alias("value"))
 
 
 def _requests(size: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def request(metrics: list[str]) -> pd.DataFrame:
+        body = f'{{"resourceMetrics":[{{"resource":{{}},"scopeMetrics":[{{"scope":{{}},"metrics":[{",".join(metrics)}]}}]}}]}}'
+        return pd.DataFrame({"request": [body], "points": [len(metrics)]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[str] = []
         for b in batches:
-            for at in range(0, len(b), size):
-                metrics = b["value"].iloc[at : at + size]
-                body = f'{{"resourceMetrics":[{{"scopeMetrics":[{{"metrics":[{",".join(metrics)}]}}]}}]}}'
-                yield pd.DataFrame({"request": [body], "points": [len(metrics)]})
+            held += b["value"].tolist()
+            while len(held) >= size:
+                yield request(held[:size])
+                held = held[size:]
+        if held:
+            yield request(held)
 
     return run
 
 
-def otlp_requests(records: DataFrame, size: int = 512) -> DataFrame:
-    """(request, points): export requests of at most ``size`` points each."""
+#: Data points in an export request.
+OTLP_BATCH = 100
+
+
+def otlp_requests(records: DataFrame, size: int = OTLP_BATCH) -> DataFrame:
+    """(request, points): export requests of ``size`` points each; a partition's last may have fewer."""
     return otlp(records).mapInPandas(_requests(size), "request string, points int")
 
 
-def otlp_writer(endpoint: str, size: int = 512, headers: dict[str, str] | None = None, timeout: float = 10.0) -> Callable[[DataFrame, int], None]:
-    """A batch writer that posts ``otlp_requests`` to a collector's JSON endpoint, from the executors."""
+def otlp_writer(endpoint: str, size: int = OTLP_BATCH, headers: dict[str, str] | None = None, timeout: float = 10.0, retries: int = 3) -> Callable[[DataFrame, int], None]:
+    """A batch writer that posts ``otlp_requests`` to a collector's JSON endpoint, from the executors.
+
+    A request that fails is sent again by itself, so one refusal does not repeat
+    the requests before it.
+    """
     sent = {"Content-Type": "application/json"} | (headers or {})
 
     def post(rows: Iterator) -> None:
         for r in rows:
-            with urllib.request.urlopen(urllib.request.Request(endpoint, r.request.encode(), sent), timeout=timeout):
-                pass
+            for attempt in range(retries + 1):
+                try:
+                    with urllib.request.urlopen(urllib.request.Request(endpoint, r.request.encode(), sent), timeout=timeout):
+                        break
+                except OSError:
+                    if attempt == retries:
+                        raise
+                    time.sleep(0.1 * 2**attempt)
 
     def write(batch: DataFrame, _: int) -> None:
         otlp_requests(batch, size).foreachPartition(post)

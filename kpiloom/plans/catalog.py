@@ -260,6 +260,18 @@ def absent_gauge_error(spark, sf_dir):
     return normalize(raw_scrapes(spark, sf_dir), registry()).partial.where("kpi_name = 'ue.connected_count'").select("record_id", "reason")
 
 
+@query("malformed_scrapes", _NORMAL.replace("AS d FROM g", "AS d FROM g WHERE record_id % 5 <> 3") + """
+SELECT record_id, 'registration.attempt_count' AS what, da AS value FROM v UNION ALL SELECT record_id, 'unreadable', NULL FROM g WHERE record_id % 5 = 3""")
+def malformed_scrapes(spark, sf_dir):
+    """Every fifth scrape is an error page: it fails, and the counters go on from the scrape before it."""
+    page = F.encode(F.lit("<html><body>502 Bad Gateway</body></html>\n"), "UTF-8")
+    raw = raw_scrapes(spark, sf_dir).withColumn("payload", F.when(F.col("record_id") % 5 == 3, page).otherwise(F.col("payload")))
+    found = normalize(raw, registry())
+    good = found.records.where("kpi_name = 'registration.attempt_count'").select("record_id", F.col("kpi_name").alias("what"), "value")
+    bad = found.failures.where("reason LIKE 'no sample in the payload%'").select("record_id", F.lit("unreadable").alias("what"), F.lit(None).cast("double").alias("value"))
+    return good.unionByName(bad)
+
+
 # -- counters ------------------------------------------------------------------
 
 _LAG = "lag({0}) OVER (PARTITION BY inst, metric ORDER BY ts, event_id)"
@@ -354,6 +366,20 @@ def window_stats(spark, sf_dir):
     )
 
 
+_WIDE = f"""WITH {SERIES}, s AS (SELECT plmn, CAST(floor(epoch(ts)) AS BIGINT) AS t, 1e9 + iv % 7 AS value FROM series WHERE metric = 'signup')
+SELECT plmn, w, count(*) AS att_n, round(avg(value - 1e9), 4) AS att_mean, round(stddev_pop(value - 1e9), 4) AS att_sigma
+FROM s, LATERAL (SELECT unnest(range((t - 30 * 3600 + 7 * 3600) // (7 * 3600), t // (7 * 3600) + 1)) * 7 * 3600 AS w) WHERE w <= t AND t < w + 30 * 3600 GROUP BY plmn, w"""
+
+
+@query("window_stats_uneven", _WIDE)
+def window_stats_uneven(spark, sf_dir):
+    """Windows whose slide does not divide their length, over values whose squares would lose their last digits."""
+    s = series(spark, sf_dir).where("metric = 'signup'")
+    rows = s.select("plmn", F.lit("").alias("slice_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), F.lit("att").alias("metric"), (F.lit(1e9) + F.col("iv") % 7).alias("value"))
+    stats = correlate.sliding(rows, "30 hours", "7 hours")
+    return stats.select("plmn", seconds("window_start").alias("w"), "att_n", F.round(F.col("att_mean") - 1e9, 4).alias("att_mean"), F.round("att_sigma", 4).alias("att_sigma"))
+
+
 def _rule(key: str, name: str) -> None:
     @query(key, _HEAD + f" SELECT rule_name, severity, nf, plmn, w FROM fired WHERE rule_name = '{name}'")
     def run(spark, sf_dir):
@@ -424,13 +450,24 @@ def gauge_snapshot_latest(spark, sf_dir):
     return g.select("name", "nf_instance_id", "vendor", _r("value"))
 
 
-@query("otlp_projection", _NORMAL + " SELECT 'ran.amf.registration.attempt_count' AS name, 'count' AS unit, da AS value, 5 AS attributes FROM v")
+_OTLP = """, o AS (
+  SELECT record_id, 'ran.amf.registration.attempt_count' AS name, 'count' AS unit, da AS value,
+         {'nf.type': 'AMF', 'nf.vendor': vendor, 'nf.instance_id': CAST(inst AS VARCHAR), 'network.plmn_id': '', 'network.data_center': ''} AS a FROM v)
+SELECT name, unit, value, u.key AS key, u.value AS attribute FROM o, LATERAL (SELECT unnest([
+  {'key': 'nf.type', 'value': a['nf.type']}, {'key': 'nf.vendor', 'value': a['nf.vendor']}, {'key': 'nf.instance_id', 'value': a['nf.instance_id']},
+  {'key': 'network.plmn_id', 'value': a['network.plmn_id']}, {'key': 'network.data_center', 'value': a['network.data_center']}]) AS u)"""
+
+
+@query("otlp_projection", _NORMAL + _OTLP)
 def otlp_projection(spark, sf_dir):
-    rows = sinks.otlp(normalize(raw_scrapes(spark, sf_dir), registry()).records.where("kpi_name = 'registration.attempt_count'"))
-    j = lambda p: F.get_json_object("value", p)
-    point = "$.gauge.dataPoints[0]"
-    attributes = F.size(F.from_json(j(f"{point}.attributes"), "array<struct<key:string>>"))
-    return rows.select(j("$.name").alias("name"), j("$.unit").alias("unit"), j(f"{point}.asDouble").cast("double").alias("value"), attributes.alias("attributes"))
+    """Every attribute of every exported data point, read back from the requests."""
+    rows = sinks.otlp_requests(normalize(raw_scrapes(spark, sf_dir), registry()).records.where("kpi_name = 'registration.attempt_count'"))
+    point = "struct<attributes:array<struct<key:string,value:struct<stringValue:string>>>,timeUnixNano:string,asDouble:double>"
+    metric = f"struct<name:string,unit:string,gauge:struct<dataPoints:array<{point}>>>"
+    sent = F.from_json("request", f"resourceMetrics array<struct<scopeMetrics:array<struct<metrics:array<{metric}>>>>>")
+    metrics = rows.select(F.explode(sent["resourceMetrics"][0]["scopeMetrics"][0]["metrics"]).alias("m"))
+    points = metrics.select("m.name", "m.unit", F.explode("m.gauge.dataPoints").alias("p"))
+    return points.select("name", "unit", F.col("p.asDouble").alias("value"), F.explode("p.attributes").alias("a")).select("name", "unit", "value", "a.key", F.col("a.value.stringValue").alias("attribute"))
 
 
 # -- evidence, tables, verdicts over the events' telemetry -----------------------------
@@ -705,21 +742,26 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STREAM = "e AS (SELECT event_id, ts, CAST(user_id AS VARCHAR) AS inst, CASE WHEN user_id % 2 = 0 THEN '310-260' ELSE '311-480' END AS plmn, event_type AS metric, round(value * 100) % 1000 AS v FROM events)"
 
 
+_RELEASED = "(SELECT max(ts) - INTERVAL 60 SECOND FROM e)"
+
+
 @query("stream_counter_state", f"""WITH {_STREAM}, l AS (SELECT *, lag(v) OVER (PARTITION BY inst, metric ORDER BY ts, event_id) AS p FROM e)
-SELECT event_id, CASE WHEN p IS NULL OR v < p THEN v ELSE v - p END AS delta, coalesce(v < p, FALSE) AS reset FROM l""")
+SELECT event_id, CASE WHEN p IS NULL OR v < p THEN v ELSE v - p END AS delta, coalesce(v < p, FALSE) AS reset, FALSE AS late FROM l WHERE ts <= {_RELEASED}""")
 def stream_counter_state(spark, sf_dir):
+    """Deltas of a stream whose samples arrive in the order of the file: those that event time has passed by the delay, in order of time."""
     rows = _event_stream(spark, sf_dir).select(F.col("inst").alias("source"), F.col("metric").alias("kpi"), "ts", F.col("event_id").alias("seq"), F.col("v").alias("value"))
-    return drained(stream_deltas(rows)).select(F.col("seq").alias("event_id"), "delta", "reset")
+    return drained(stream_deltas(rows, delay="60 seconds")).select(F.col("seq").alias("event_id"), "delta", "reset", "late")
 
 
 @query("stream_sliding_rules", f"""WITH {_STREAM}, m AS (SELECT e.*, w.w FROM e, LATERAL (SELECT unnest(range(CAST(floor(epoch(ts) / 3600) AS BIGINT) - 23, CAST(floor(epoch(ts) / 3600) AS BIGINT) + 1)) AS w) w)
-SELECT plmn, w, count(*) FILTER (metric = 'signup') AS att_n, round(avg(v) FILTER (metric = 'signup'), 4) AS att_mean, max(v) FILTER (metric = 'click') AS gnb_peak FROM m GROUP BY 1, 2""")
+SELECT plmn, w, count(*) FILTER (metric = 'signup') AS att_n, round(avg(v) FILTER (metric = 'signup'), 4) AS att_mean, max(v) FILTER (metric = 'click') AS gnb_peak FROM m WHERE to_timestamp((w + 24) * 3600)::TIMESTAMP <= (SELECT max(ts) - INTERVAL 1 DAY FROM e) GROUP BY 1, 2""")
 def stream_sliding_rules(spark, sf_dir):
+    """The windows that the watermark has closed, each given once."""
     names = F.create_map(*map(F.lit, ("signup", "att", "error", "reg_rate", "purchase", "sess", "click", "gnb", "view", "upf")))
     rows = _event_stream(spark, sf_dir).select("plmn", F.lit("").alias("slice_id"), "ts", F.col("event_id").alias("seq"), names[F.col("metric")].alias("metric"), F.col("v").alias("value"))
     stats = correlate.sliding(rows, "24 hours", "1 hour", watermark="1 day")
     hour = F.floor(seconds("window_start") / 3600).cast("bigint").alias("w")
-    return drained(stats, "complete").select("plmn", hour, "att_n", F.round("att_mean", 4).alias("att_mean"), "gnb_peak")
+    return drained(stats).select("plmn", hour, "att_n", F.round("att_mean", 4).alias("att_mean"), "gnb_peak")
 
 
 @query("gnmi_decode", "SELECT event_id, '/gnb/' || event_type AS path, CAST(user_id % 8 AS VARCHAR) AS id, value FROM events")

@@ -16,21 +16,28 @@ _TYPE = re.compile(r"#\s*TYPE\s+(\S+)\s+(\S+)", re.ASCII)
 _ESCAPE = re.compile(r'\\([\\n"])')
 _NUMBER = re.compile(r"[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|inf|infinity|nan)", re.IGNORECASE | re.ASCII)
 _FAMILY = re.compile("_(?:sum|count|bucket)$")
-_ARROW = pa.list_(
-    pa.struct([("seq", pa.int32()), ("name", pa.string()), ("labels", pa.map_(pa.string(), pa.string())), ("value", pa.float64()), ("type", pa.string())])
-)
+_SAMPLE = pa.struct([("seq", pa.int32()), ("name", pa.string()), ("labels", pa.map_(pa.string(), pa.string())), ("value", pa.float64()), ("type", pa.string())])
+_ARROW = pa.struct([("series", pa.list_(_SAMPLE)), ("error", pa.string())])
 
 
-def samples(text: str) -> list[tuple]:
-    """(seq, name, labels, value, type) of the samples that are kept, in one pass over the lines and one over the samples."""
+def read(text: str) -> tuple[list[tuple], str | None]:
+    """The samples that are kept, (seq, name, labels, value, type) each, and why the text cannot be read.
+
+    One pass over the lines and one over the samples.  A text is unreadable if
+    it has lines other than comments, and none of them is a sample.
+    """
     types: dict[str, str] = {}
-    found = []
+    found, other = [], None
     for line in re.split("\r?\n", text):
         if line.startswith("#"):
             if head := _TYPE.match(line):
                 types.setdefault(head[1], head[2].lower())
         elif sample := _LINE.fullmatch(line):
             found.append(sample.groups())
+        elif line.strip():
+            other = other or line
+    if other and not found:
+        return [], f"no sample in the payload: {other[:80]}"
     out = []
     for seq, (name, block, value) in enumerate(found):
         own, family = types.get(name), _FAMILY.sub("", name)
@@ -41,12 +48,23 @@ def samples(text: str) -> list[tuple]:
         unescape = lambda m: "\n" if m[1] == "n" else m[1]
         labels = {k: _ESCAPE.sub(unescape, v) for k, v in _LABEL.findall(block)} if block else None
         out.append((seq, name, labels and list(labels.items()) or (None if labels is None else []), float(value), of_family if grouped else own or "untyped"))
-    return out
+    return out, None
+
+
+def samples(text: str) -> list[tuple]:
+    """The samples of ``read``."""
+    return read(text)[0]
 
 
 def _parsed(payloads: pa.Array) -> pa.Array:
-    texts = (p.decode("utf-8", "replace") if p else "" for p in payloads.to_pylist())
-    return pa.array([[dict(zip(("seq", "name", "labels", "value", "type"), s, strict=True)) for s in samples(t)] for t in texts], type=_ARROW)
+    found = [read(p.decode("utf-8", "replace") if p else "") for p in payloads.to_pylist()]
+    names = ("seq", "name", "labels", "value", "type")
+    return pa.array([{"series": [dict(zip(names, s, strict=True)) for s in kept], "error": error} for kept, error in found], type=_ARROW)
+
+
+def parsed(payload: Column) -> Column:
+    """``series`` of a payload, and ``error`` where it cannot be read: a struct."""
+    return F.arrow_udf(_parsed, f"series {SERIES}, error string")(payload.cast("binary"))
 
 
 def series(payload: Column) -> Column:
@@ -56,7 +74,7 @@ def series(payload: Column) -> Column:
     summaries only ``_sum`` and ``_count`` are kept.  Lines that are no samples
     are skipped.  Time is linear in the text's length.
     """
-    return F.arrow_udf(_parsed, SERIES)(payload.cast("binary"))
+    return parsed(payload)["series"]
 
 
 def general(value: Column) -> Column:

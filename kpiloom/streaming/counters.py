@@ -2,51 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-OUTPUT = "source string, kpi string, ts timestamp, seq long, value double, delta double, reset boolean"
+from kpiloom.streaming.ordering import InOrder, total
+
+OUTPUT = "source string, kpi string, ts timestamp, seq long, value double, delta double, reset boolean, late boolean"
 
 
-class Deltas(StatefulProcessor):
+class Deltas(InOrder):
     """First sample as it is, then differences; a decrease starts anew if ``reset_aware``, a gap of ``ttl_seconds`` of event time always."""
 
-    def __init__(self, reset_aware: bool = True, ttl_seconds: float | None = None):
-        self.reset_aware, self.ttl_seconds = reset_aware, ttl_seconds
+    payload, kept = {"value": "double"}, {"value": "double"}
+
+    def __init__(self, reset_aware: bool = True, delay: str = "10 seconds", grace: str = "0 seconds", ttl_seconds: float | None = None):
+        super().__init__(delay, grace, ttl_seconds)
+        self.reset_aware = reset_aware
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value double, ts timestamp")
+    def step(self, before, sample):
+        value = sample[2]
+        if before is None:
+            return (value,), (value, False, False)
+        reset = value < before[0]
+        return (value,), (value if reset and self.reset_aware else value - before[0], reset, False)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(rows).sort_values(["ts", "seq"], kind="stable")  # one source's samples of a micro-batch
-        value, at = batch["value"].to_numpy(dtype=float), batch["ts"].to_numpy(dtype="datetime64[us]")
-        held = self.last.get() if self.last.exists() else None
-        before = np.concatenate([[np.nan if held is None else held[0]], value[:-1]])
-        if self.ttl_seconds is not None:
-            first = at[:1] if held is None else np.array([pd.Timestamp(held[1]).to_datetime64()], dtype="datetime64[us]")
-            gap = (at - np.concatenate([first, at[:-1]])) / np.timedelta64(1, "s")
-            before = np.where(gap >= self.ttl_seconds, np.nan, before)
-        reset = value < before  # false where there is none before
-        anew = np.isnan(before) | (reset if self.reset_aware else False)
-        self.last.update((float(value[-1]), batch["ts"].iloc[-1].to_pydatetime()))
-        yield batch.assign(delta=np.where(anew, value, value - before), reset=reset)[["source", "kpi", "ts", "seq", "value", "delta", "reset"]]
+    def missed(self, sample):
+        return None, False, True
 
-    def close(self) -> None:
-        pass
+    def rows(self, key, samples, found):
+        ts = pd.to_datetime(pd.Series([s[0] for s in samples]), unit="us")
+        out = pd.DataFrame({"source": key[0], "kpi": key[1], "ts": ts, "seq": [s[1] for s in samples], "value": [s[2] for s in samples]})
+        return out.assign(delta=pd.Series([f[0] for f in found], dtype=float), reset=[f[1] for f in found], late=[f[2] for f in found])
 
 
-def stream_deltas(samples: DataFrame, reset_aware: bool = True, ttl_seconds: float | None = None) -> DataFrame:
-    """``samples`` (source, kpi, ts, seq, value) with delta and reset; needs the RocksDB state store.
+def stream_deltas(samples: DataFrame, reset_aware: bool = True, ttl_seconds: float | None = None, delay: str = "10 seconds", grace: str = "0 seconds") -> DataFrame:
+    """``samples`` (source, kpi, ts, seq, value) with delta, reset and late; needs the RocksDB state store.
 
-    A task holds one source's samples of a micro-batch; bound these by the
-    source's ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``.
+    What has arrived within ``delay`` of the newest time seen is put in order
+    first.  A task holds one source's samples of a micro-batch; bound these by
+    the source's ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``.
     """
-    return samples.groupBy("source", "kpi").transformWithStateInPandas(
-        statefulProcessor=Deltas(reset_aware, ttl_seconds), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+    marked = samples.withWatermark("ts", total(delay, grace))
+    return marked.groupBy("source", "kpi").transformWithStateInPandas(
+        statefulProcessor=Deltas(reset_aware, delay, grace, ttl_seconds), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
     )
 
 

@@ -30,27 +30,90 @@ def scrape(attempts, failures, users):
     return f'open5gs_amf_registration_total{{status="attempted"}} {attempts}\nopen5gs_amf_registration_total{{status="failed"}} {failures}\n{gauge}'
 
 
-def test_streams_give_the_batch_s_records_and_events(spark, tmp_path):
+NOW = {"availableNow": True}
+
+
+def ran(spark, source, out, **options):
+    stream = spark.readStream.schema(RAW).parquet(source)
+    for q in runner.normalised(stream, Registry.load(), out, trigger=NOW, **options):
+        q.awaitTermination()
+
+
+def outcome_rows(df):
+    return sorted(map(str, df.select("record_id", "kpi_name", "value", "labels", "attributes").collect()))
+
+
+def test_streams_give_the_batch_s_records_and_events_in_any_order_of_arrival(spark, tmp_path):
     source, out = str(tmp_path / "raw"), str(tmp_path / "out")
-    first = [(i, f"i{i % 2}", 1_700_000_000 + 5 * i, scrape(10 * i, i, None if i == 3 else 7)) for i in range(8)]
-    later = [(8, "i0", 1_700_000_045, scrape(5, 1, 9)), (9, "i1", 1_700_000_050, scrape(900, 800, 9)), (10, "i1", 1_700_000_055, "")]
+    first = [(i, f"i{i % 2}", 1_700_000_000 + 5 * i, scrape(10 * i, i, None if i == 3 else 7)) for i in (0, 1, 4, 3, 6, 7)]
+    second = [(i, f"i{i % 2}", 1_700_000_000 + 5 * i, scrape(10 * i, i, 7)) for i in (5, 2)]  # within the allowed delay of the newest
+    third = [(8, "i0", 1_700_000_045, scrape(5, 1, 9)), (9, "i1", 1_700_000_050, scrape(900, 800, 9)), (10, "i1", 1_700_000_055, "<html>\n"), (11, "i1", 1_700_000_060, scrape(910, 800, 9))]
+    flush = [(99, "flush", 1_700_001_000, "")]
+    for rows in (first, second, third, flush):
+        raw(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        ran(spark, source, out, delay="30 seconds")
+    whole = normalize(spark.read.schema(RAW).parquet(source).where("record_id <> 99"), Registry.load())
+    assert outcome_rows(runner.records(spark, out)) == outcome_rows(whole.records)
+    assert runner.partial(spark, out).count() == whole.partial.count()
+    assert [r.record_id for r in spark.read.parquet(f"{out}/failures").collect()] == [10]
     seen = []
-    for rows in (first, later):
+    runner.exported(runner.records(spark, out, streaming=True), "count", lambda b, n: seen.append(b.count()), out, trigger=NOW).awaitTermination()
+    assert sum(seen) == whole.records.count()
+    runner.correlated(spark, out, "60 seconds", "30 seconds", trigger=NOW).awaitTermination()
+    assert all(r.plmn == "1-1" for r in runner.events(spark, out).collect())
+    runner.published(runner.records(spark, out, streaming=True), "records", str(tmp_path / "bus"), trigger=NOW).awaitTermination()
+    assert spark.read.text(str(tmp_path / "bus" / "records")).count() == sum(seen)
+
+
+@pytest.mark.parametrize("written", [True, False])
+def test_a_batch_that_runs_again_is_handed_over_once(spark, tmp_path, written):
+    """The query stops before its last batch is committed: after the sink's log has it (written), or before."""
+    source, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    bus, seen = str(tmp_path / "bus"), []
+
+    def downstream():
+        runner.correlated(spark, out, "60 seconds", "30 seconds", trigger=NOW).awaitTermination()
+        runner.exported(runner.records(spark, out, streaming=True), "seen", lambda b, n: seen.extend(r.record_id for r in b.where("kpi_name = 'ue.connected_count'").collect()), out, trigger=NOW).awaitTermination()
+        runner.published(runner.records(spark, out, streaming=True), "records", bus, trigger=NOW).awaitTermination()
+
+    for k in range(2):
+        rows = [(100 * k + i, "i", 1_700_000_000 + 200 * k + 5 * i, scrape(10 * i, i, 7)) for i in range(5)]
         raw(spark, rows).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(RAW).parquet(source)
-        for q in runner.normalised(stream, Registry.load(), out, [lambda b, n: seen.append(b.count())], trigger={"availableNow": True}):
-            q.awaitTermination()
-    whole = normalize(spark.read.schema(RAW).parquet(source), Registry.load())
-    columns = ("record_id", "kpi_name", "value", "labels", "attributes")
-    want = sorted(map(str, whole.records.select(*columns).collect()))
-    assert sorted(map(str, spark.read.schema(runner.RECORDS).parquet(f"{out}/records").select(*columns).collect())) == want
-    assert sum(seen) == len(want)
-    assert spark.read.parquet(f"{out}/partial").count() == whole.partial.count()
-    found = []
-    writers = [lambda b, n: found.extend(b.collect()), sinks.bus_writer("events", path=str(tmp_path / "bus"))]
-    runner.correlated(spark, out, writers, "60 seconds", "30 seconds", trigger={"availableNow": True}).awaitTermination()
-    assert all(r.plmn == "1-1" for r in found)
-    assert spark.read.text(f"{tmp_path}/bus/events").count() == len(found)
+        ran(spark, source, out)
+        downstream()
+        last = lambda folder: max((p for p in folder.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+        for folder in [tmp_path / "out" / "checkpoints" / "outcomes" / "commits"] + ([] if written else [tmp_path / "out" / "outcomes" / "_spark_metadata"]):
+            gone = last(folder)
+            gone.unlink()
+            crc = folder / f".{gone.name}.crc"
+            if crc.exists():
+                crc.unlink()
+        ran(spark, source, out)
+        downstream()
+    got = [r.record_id for r in runner.records(spark, out).where("kpi_name = 'ue.connected_count'").collect()]
+    assert sorted(got) == sorted(set(got)) == [0, 1, 2, 3, 4, 100, 101, 102]  # what the newest has not passed yet is held
+    assert sorted(set(seen)) == sorted(got)
+    assert spark.read.text(f"{bus}/records").where("value LIKE '%ue.connected_count%'").count() >= len(got)
+    if written:  # readers never saw a batch that was not finished
+        assert sorted(seen) == sorted(got) and spark.read.text(f"{bus}/records").where("value LIKE '%ue.connected_count%'").count() == len(got)
+
+
+def test_what_a_writer_will_not_take_is_put_aside_and_the_rest_goes_on(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    calls, taken = [], []
+
+    def flaky(batch, number):
+        calls.append(number)
+        if number == 0 or calls.count(number) < 2:
+            raise RuntimeError("down")
+        taken.append(batch.count())
+
+    for n in (3, 4):
+        spark.range(n).coalesce(1).write.mode("append").parquet(source)
+        runner.exported(spark.readStream.schema("id long").parquet(source), "flaky", flaky, out, retries=1, pause=0, trigger=NOW).awaitTermination()
+    assert taken == [4] and calls == [0, 0, 1, 1]
+    dead = runner.dead_letters(spark, out, "flaky").collect()
+    assert len(dead) == 3 and all("down" in r.dead_reason and r.batch == 0 for r in dead)
 
 
 def test_configuration(tmp_path):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from kpiloom.operators import sinks
@@ -12,25 +15,55 @@ SCHEMA = "source string, kpi string, ts timestamp, seq long, value double"
 
 
 def write(spark, path, rows):
-    spark.createDataFrame(rows, "source string, kpi string, s long, seq long, value double").select("source", "kpi", F.timestamp_seconds("s").alias("ts"), "seq", "value").coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame(rows, "source string, kpi string, s long, seq long, value double").select("source", "kpi", F.timestamp_seconds(F.col("s") + 1_000_000).alias("ts"), "seq", "value").coalesce(1).write.mode("append").parquet(path)
 
 
-def run(spark, path, out, checkpoint):
-    stream = stream_deltas(spark.readStream.schema(SCHEMA).parquet(path))
+def run(spark, path, out, checkpoint, **options):
+    stream = stream_deltas(spark.readStream.schema(SCHEMA).parquet(path), **options)
     query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def test_counter_state_survives_restarts_and_equals_the_batch(spark, tmp_path):
+def deltas(df):
+    return {(r.source, r.seq): (r.delta, r.reset) for r in df.where("source <> 'flush' AND NOT late").collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_deltas_equal_the_batch_in_any_order_of_arrival(spark, tmp_path, seed):
+    source, out, checkpoint = (str(tmp_path / p) for p in ("in", "out", "cp"))
+    rng = random.Random(seed)
+    rows = [("ab"[i % 2], "k", 5 * i, i, float(rng.choice([100, 110, 120, 130, 5]) + i)) for i in range(24)]
+    arrival = sorted(rows, key=lambda r: r[2] + rng.uniform(0, 30))
+    for part in (arrival[:9], arrival[9:16], arrival[16:]):
+        write(spark, source, part)
+        run(spark, source, out, checkpoint, delay="40 seconds", ttl_seconds=60)
+    write(spark, source, [("flush", "k", 10_000, 99, 0.0)])
+    run(spark, source, out, checkpoint, delay="40 seconds", ttl_seconds=60)
+    batch = with_deltas(spark.read.schema(SCHEMA).parquet(source), ["source", "kpi"], ["ts", "seq"], ttl_seconds=60)
+    assert deltas(spark.read.parquet(out)) == deltas(batch)
+
+
+def test_counter_state_survives_restarts_flags_late_samples_and_expires(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / p) for p in ("in", "out", "cp"))
-    write(spark, source, [("a", "k", 0, 1, 10.0), ("b", "k", 0, 2, 5.0), ("a", "k", 5, 3, 15.0)])
-    run(spark, source, out, checkpoint)
-    write(spark, source, [("a", "k", 9, 4, 3.0), ("b", "k", 9, 5, 9.0)])
-    run(spark, source, out, checkpoint)
-    got = {(r.source, r.seq): (r.delta, r.reset) for r in spark.read.parquet(out).collect()}
-    batch = with_deltas(spark.read.schema(SCHEMA).parquet(source), ["source", "kpi"], ["ts", "seq"])
-    assert got == {(r.source, r.seq): (r.delta, r.reset) for r in batch.collect()}
-    assert got["a", 4] == (3.0, True)
+
+    def states():
+        return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "last").load().count()
+
+    for rows in ([("a", "k", 0, 1, 10.0), ("b", "k", 0, 2, 5.0), ("a", "k", 5, 3, 15.0)], [("b", "k", 30, 5, 9.0), ("a", "k", 30, 6, 3.0)]):
+        write(spark, source, rows)
+        run(spark, source, out, checkpoint, delay="10 seconds", grace="1 hour", ttl_seconds=100)
+    write(spark, source, [("a", "k", 4, 4, 12.0)])  # after the one at 5 s was released
+    run(spark, source, out, checkpoint, delay="10 seconds", grace="1 hour", ttl_seconds=100)
+    assert states() == 2
+    write(spark, source, [("c", "k", 60, 7, 1.0)])
+    run(spark, source, out, checkpoint, delay="10 seconds", grace="1 hour", ttl_seconds=100)
+    got = {(r.source, r.seq): (r.delta, r.reset, r.late) for r in spark.read.parquet(out).collect()}
+    assert got["a", 1] == (10.0, False, False) and got["a", 3] == (5.0, False, False) and got["a", 6] == (3.0, True, False)
+    assert got["b", 5] == (4.0, False, False) and got["a", 4] == (None, False, True)
+    for at in (10_000, 20_000):
+        write(spark, source, [("d", "k", at, at, 1.0)])
+        run(spark, source, out, checkpoint, delay="10 seconds", grace="1 hour", ttl_seconds=100)
+    assert states() == 1  # a, b and c have long been silent
 
 
 def test_fan_out_goes_on_after_an_error(spark):
