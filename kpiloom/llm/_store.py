@@ -45,7 +45,7 @@ def free_name(name: str, columns: Iterable[str]) -> str:
 
 
 #: Rows and bytes at most in a batch of texts that goes to Python.
-TEXT_BATCH, TEXT_BYTES = 1000, 8 << 20
+TEXT_BATCH, TEXT_BYTES = 1000, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
