@@ -138,6 +138,8 @@ WIDE_DISTANCE = 72
 BANDS, BAND = 20, 4
 #: Rounds of peeling at most; each only spares comparisons.
 PEELS = 10
+#: Classes of shingles by which the pairs that are left are told apart.
+CLASSES = 64
 _SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _FACTORS = mixed(np.arange(1, BANDS * BAND + 1, dtype=np.uint64)) | np.uint64(1)
 _W = [f"w{i}" for i in range(4)]
@@ -232,53 +234,73 @@ def _several_roots(members: DataFrame) -> DataFrame:
 
 
 def _peeled(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (k, node, root, n, c) that may yet be similar to one of another component, and their contested shingles (node, s).
+    """Members (k, node, root, n) that may yet be similar to one of another component, and their contested shingles (node, s).
 
     A shingle is contested if sets of two components hold it.  A set of n
-    shingles, c of them contested, has a similarity below 0.8 with all larger
-    than 9/4 c - n, so it leaves the buckets that hold only such.  What leaves
-    makes other shingles uncontested: this is repeated while it removes any.
+    shingles shares 4/5 n of them or more with any that is similar, so sets with
+    fewer contested ones leave.  What leaves makes other shingles uncontested:
+    this is repeated while it removes any, set by set; only then are the buckets
+    of those that are left looked at again.
     """
-    live = members.select("node", "root").distinct().join(sets, "node").select("node", "root", "s")
+    live = members.select("node", "root", "n").distinct().join(sets, "node").select("node", "root", "n", "s")
     before = None
     for _ in range(PEELS):
-        one = live.select("node", "root", F.explode("s").alias("h"))
+        one = live.select("node", "root", "n", F.explode("s").alias("h"))
         contested = one.groupBy("h").agg((F.min("root") < F.max("root")).alias("contested")).where("contested").select("h")
-        left = stored(one.join(contested, "h").groupBy("node", "root").agg(F.collect_list("h").alias("s")))
-        counted = members.drop("c").join(left.select("node", F.size("s").alias("c")), "node")
-        bounded = counted.join(counted.groupBy("k").agg(F.min("n").alias("least")), "k")
-        may = bounded.where(9 * F.col("c") >= 4 * (F.col("n") + F.col("least"))).drop("least")
-        members = stored(may.join(_several_roots(may), "k"))
-        live = left.join(members.select("node").distinct(), "node", "left_semi")
-        now = members.count()
+        left = one.join(contested, "h").groupBy("node", "root", "n").agg(F.collect_list("h").alias("s"))
+        live = stored(left.where(5 * F.size("s") >= 4 * F.col("n")))
+        now = live.count()
         if now in (0, before):
             break
         before = now
-    return members, live.select("node", "s")
+    may = members.join(live.select("node"), "node", "left_semi")
+    members = stored(may.join(_several_roots(may), "k"))
+    return members, live.join(members.select("node").distinct(), "node", "left_semi").select("node", "s")
 
 
-def _across(members: DataFrame, contested: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of different components whose sets may have a similarity of 0.8 or more.
+def _rarely_met(members: DataFrame, contested: DataFrame) -> DataFrame:
+    """(node) of members that share one of their rarest contested shingles with a member of another component.
 
-    Of two such sets each shares 4/5 of its shingles with the other, all of them
-    contested.  So with the contested shingles in one order of all, rarest
-    first, both hold one of those that are left of each set when the last 4/5 n
-    are put aside, and pairs meet at these only.
+    Of two sets of similarity 0.8 or more each shares 4/5 of its shingles with
+    the other, all of them contested.  So with the contested shingles in one
+    order of all, rarest first, both hold one of those that are left of each set
+    when the last 4/5 n are put aside.
     """
-    sizes = members.select("node", "root", "n").distinct()
     one = stored(contested.select("node", F.explode("s").alias("h")))
     often = one.groupBy("h").agg(F.count("*").alias("often"))
     ranked = one.join(often, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "h"))).alias("s"))
     few = F.size("s") - F.ceil(F.col("n") * 4 / 5 - 1e-6).cast("int") + 1
-    rare = ranked.join(sizes, "node").where(few > 0).select("node", "root", "n", F.explode(F.slice("s", F.lit(1), few)).alias("x"))
-    rare = stored(rare.select("node", "root", "n", F.col("x.h").alias("h")))
-    count = rare.groupBy("h", "root").count()
-    main = count.groupBy("h").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
-    met = rare.join(main, "h")
-    x = met.where("root <> main").select("h", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-    y = met.select("h", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-    close = (F.col("ra") != F.col("rb")) & (5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb"))
-    return x.join(y, "h").where(close).select("a", "b").distinct()
+    rare = ranked.join(members.select("node", "root", "n").distinct(), "node").where(few > 0).select("node", "root", F.explode(F.slice("s", F.lit(1), few)).alias("x"))
+    rare = stored(rare.select("node", "root", F.col("x.h").alias("h")))
+    met = rare.groupBy("h").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").select("h")
+    return rare.join(met, "h").select("node").distinct()
+
+
+def _across(members: DataFrame, contested: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one bucket and different components whose sets may share enough.
+
+    Contested shingles fall into ``CLASSES`` by hash.  Two sets share no more of
+    a class than the smaller number that either has of it; pairs whose sum over
+    the classes is too small for a similarity of 0.8 are left out.
+    """
+
+    @F.pandas_udf("array<int>")
+    def by_class(sets: pd.Series) -> pd.Series:
+        return pd.Series([np.bincount(np.asarray(x, dtype=np.int64) % CLASSES, minlength=CLASSES).astype(np.int32) for x in sets])
+
+    members = members.join(_rarely_met(members, contested), "node", "left_semi")
+    names = [f"c{j}" for j in range(CLASSES)]
+    counted = contested.select("node", by_class("s").alias("v")).select("node", *[F.get("v", F.lit(j)).alias(c) for j, c in enumerate(names)])
+    measured = stored(members.join(counted, "node").select("k", "node", "root", "n", *names))
+    count = measured.groupBy("k", "root").count()
+    main = count.groupBy("k").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    minority = measured.join(main, "k").where("root <> main").drop("main")
+    x, y = (t.select("k", *[F.col(c).alias(f"{c}_{i}") for c in ("node", "root", "n", *names)]) for i, t in enumerate((minority, measured)))
+    bound = F.lit(0)
+    for c in names:
+        bound = bound + F.least(f"{c}_0", f"{c}_1")
+    met = x.join(y, "k").where((F.col("root_0") != F.col("root_1")) & (9 * bound >= 4 * (F.col("n_0") + F.col("n_1"))))
+    return met.select(F.col("node_0").alias("a"), F.col("node_1").alias("b"))
 
 
 def wide_components(nodes: DataFrame, shingles) -> DataFrame:
@@ -287,10 +309,11 @@ def wide_components(nodes: DataFrame, shingles) -> DataFrame:
     In each bucket the member that shares its keys with the most others is the
     pivot, and is compared with all: of a group of near copies this connects
     nearly all members, in one comparison each.  Among the rest, sets that no
-    set of another component can resemble are peeled off, and pairs of what is
-    left that share one of their rarest contested shingles are compared.  So no
-    pair that shares a key and is similar stays apart, and no bucket forms all
-    pairs of its members.
+    set of another component can resemble are peeled off, as are those that share
+    none of their rarest contested shingles with one, and the pairs that their
+    contested shingles by class do not rule out are compared.  So no pair that
+    shares a key and is similar stays apart, and no bucket forms all pairs of its
+    members.
     """
     keyed = nodes.select("node", "n", F.explode("keys").alias("k"))
     size = keyed.groupBy("k").agg(F.count("*").alias("held")).where("held > 1")
