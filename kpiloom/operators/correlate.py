@@ -9,34 +9,31 @@ with a third of all samples costs its tasks no more than their own rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NAMES = {
-    "att": ("amf", "registration.attempt_count"),
-    "reg_rate": ("amf", "registration.success_rate"),
-    "sess": ("smf", "session.active_count"),
-    "gnb": ("gnb", "throughput.downlink_bps"),
-    "upf": ("upf", "throughput.downlink_bps"),
-}
+from kpiloom.operators.rules import Rule, Rules
 
+SHIPPED = Rules.load()
+#: Series of the shipped rules: name to (namespace, KPI).
+NAMES = SHIPPED.series
+RULES = SHIPPED.rules
 
 BROADCAST_TICKS = 100_000
 
 
-def statistics(samples: DataFrame, by: list[str | Column], order: Column | None = None) -> DataFrame:
-    """n, mean, sigma, peak and last of every series of NAMES in ``samples`` (metric, value), by group.
+def statistics(samples: DataFrame, by: list[str | Column], order: Column | None = None, names: Iterable[str] = NAMES) -> DataFrame:
+    """n, mean, sigma, peak and last of every series of ``names`` in ``samples`` (metric, value), by group.
 
     ``last`` is the last in ``order`` (time, then arrival); sigma is the
     population's; an empty series has n 0 and nulls.
     """
     order = order if order is not None else F.struct("ts", "seq")
     out = []
-    for m in NAMES:
+    for m in names:
         v = F.when(F.col("metric") == m, F.col("value"))
         out += [
             F.count(v).alias(f"{m}_n"), F.avg(v).alias(f"{m}_mean"), F.stddev_pop(v).alias(f"{m}_sigma"), F.max(v).alias(f"{m}_peak"),
@@ -45,64 +42,12 @@ def statistics(samples: DataFrame, by: list[str | Column], order: Column | None
     return samples.groupBy(*by).agg(*out)
 
 
-@dataclass(frozen=True)
-class Rule:
-    """A condition over a window's statistics, with what it reports."""
-
-    name: str
-    severity: str
-    affected: tuple[str, ...]
-    condition: Callable[[], Column]
-    evidence: Callable[[], dict[str, Column]]
-
-
-def _ratio(a: Column, b: Column) -> Column:
-    """a / b, and 0 where b is not positive."""
-    return F.when(b > 0, a / b).otherwise(0.0)
-
-
-def _storm() -> Column:
-    enough = (F.col("att_n") >= 4) & (F.col("reg_rate_n") >= 2) & (F.col("att_sigma") > 0)
-    return enough & (F.col("att_last") > F.col("att_mean") + 3 * F.col("att_sigma")) & (F.col("reg_rate_last") < 0.9)
-
-
-def _session_fall() -> Column:
-    return _ratio(F.col("sess_peak") - F.col("sess_last"), F.col("sess_peak"))
-
-
-def _session_drop() -> Column:
-    enough = (F.col("sess_n") >= 2) & (F.col("reg_rate_n") >= 1) & (F.col("sess_peak") > 0)
-    return enough & (_session_fall() > 0.20) & (F.col("reg_rate_last") >= 0.9)
-
-
-def _gnb_fall() -> Column:
-    return _ratio(F.col("gnb_peak") - F.col("gnb_last"), F.col("gnb_peak"))
-
-
-def _upf_shift() -> Column:
-    return _ratio(F.abs(F.col("upf_last") - F.col("upf_mean")), F.col("upf_mean"))
-
-
-def _divergence() -> Column:
-    return (F.col("gnb_n") >= 2) & (F.col("upf_n") >= 2) & (_gnb_fall() > 0.30) & (_upf_shift() < 0.10)
-
-
-RULES = [
-    Rule("RegistrationStorm", "critical", ("AMF",), _storm, lambda: {
-        "attempt_count": F.col("att_last"), "mean": F.col("att_mean"), "stddev": F.col("att_sigma"), "success_rate": F.col("reg_rate_last")}),
-    Rule("SessionDrop", "warning", ("SMF",), _session_drop, lambda: {
-        "sessions": F.col("sess_last"), "peak": F.col("sess_peak"), "drop_ratio": _session_fall(), "success_rate": F.col("reg_rate_last")}),
-    Rule("RANCoreDivergence", "warning", ("gNB",), _divergence, lambda: {
-        "gnb_throughput": F.col("gnb_last"), "gnb_drop_ratio": _gnb_fall(), "upf_throughput": F.col("upf_last"), "upf_shift_ratio": _upf_shift()}),
-]
-
-
-def events(stats: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+def events(stats: DataFrame, rules: Iterable[Rule] = RULES) -> DataFrame:
     """An event for every window and rule whose condition holds; nothing is de-duplicated."""
     found = F.array(
         *[
             F.when(
-                F.coalesce(r.condition(), F.lit(False)),
+                r.condition(),
                 F.struct(
                     F.lit(r.name).alias("rule_name"), F.lit(r.severity).alias("severity"), F.array(*map(F.lit, r.affected)).alias("affected_nfs"),
                     F.create_map(*[x for k, v in r.evidence().items() for x in (F.lit(k), v.cast("double"))]).alias("evidence"),
@@ -120,20 +65,20 @@ def slice_text(sst: Column, sd: Column) -> Column:
     return F.when(sst.isNull(), "").otherwise(F.concat_ws(":", sst.cast("string"), F.coalesce(sd, F.lit(""))))
 
 
-def samples(records: DataFrame, prefix: str = "ran.") -> DataFrame:
+def samples(records: DataFrame, prefix: str = "ran.", names: Mapping[str, tuple[str, str]] = NAMES) -> DataFrame:
     """Window samples (plmn, slice_id, metric, ts, seq, value) of normalised records."""
-    metric = F.lit(None).cast("string")
-    for m, (ns, kpi) in NAMES.items():
-        metric = F.when((F.col("namespace") == prefix + ns) & (F.col("kpi_name") == kpi), m).otherwise(metric)
+    # one KPI may go by several names
+    named = [F.when((F.col("namespace") == prefix + ns) & (F.col("kpi_name") == kpi), m) for m, (ns, kpi) in names.items()]
     s = F.col("attributes.slice_id")
-    rows = records.select(
-        F.col("attributes.plmn_id").alias("plmn"), slice_text(s["sst"], s["sd"]).alias("slice_id"), metric.alias("metric"),
+    wanted = records.where(F.col("kpi_name").isin(sorted({kpi for _, kpi in names.values()})))
+    rows = wanted.select(
+        F.col("attributes.plmn_id").alias("plmn"), slice_text(s["sst"], s["sd"]).alias("slice_id"), F.explode(F.array_compact(F.array(*named))).alias("metric"),
         F.col("timestamp").alias("ts"), F.col("record_id").alias("seq"), "value",
     )
-    return rows.where("metric IS NOT NULL")
+    return rows
 
 
-def sliding(rows: DataFrame, length: str = "30 seconds", slide: str = "5 seconds", watermark: str | None = None) -> DataFrame:
+def sliding(rows: DataFrame, length: str = "30 seconds", slide: str = "5 seconds", watermark: str | None = None, names: Iterable[str] = NAMES) -> DataFrame:
     """Statistics of epoch-aligned half-open windows; with a watermark also on streams.
 
     Samples are summed up once for each pane, of the greatest length that both
@@ -147,12 +92,12 @@ def sliding(rows: DataFrame, length: str = "30 seconds", slide: str = "5 seconds
     pane = math.gcd(whole, part)  # bounds of windows are bounds of panes
     if watermark or rows.isStreaming:
         rows = rows.withWatermark("ts", watermark) if watermark else rows
-        panes = _panes(rows, F.window("ts", f"{pane} microseconds").alias("pane"))
-        stats = _merged(panes, F.window(F.window_time("pane"), length, slide).alias("w"))
+        panes = _panes(rows, F.window("ts", f"{pane} microseconds").alias("pane"), names)
+        stats = _merged(panes, F.window(F.window_time("pane"), length, slide).alias("w"), names)
     else:
         at = F.unix_micros("ts")
-        panes = _panes(rows, (at - F.pmod(at, F.lit(pane))).alias("pane"))
-        stats = _merged(panes.withColumn("w", F.explode(_windows_of(F.col("pane"), pane, whole, part))), F.col("w"))
+        panes = _panes(rows, (at - F.pmod(at, F.lit(pane))).alias("pane"), names)
+        stats = _merged(panes.withColumn("w", F.explode(_windows_of(F.col("pane"), pane, whole, part))), F.col("w"), names)
     return stats.withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end")).drop("w")
 
 
@@ -168,10 +113,10 @@ def _windows_of(pane: Column, size: int, whole: int, part: int) -> Column:
     return F.transform(starts, lambda s: F.struct(F.timestamp_micros(s).alias("start"), F.timestamp_micros(s + whole).alias("end")))
 
 
-def _panes(rows: DataFrame, pane: Column) -> DataFrame:
-    """n, mean, squared deviations, peak and last of every series of NAMES, by pane."""
+def _panes(rows: DataFrame, pane: Column, names: Iterable[str]) -> DataFrame:
+    """n, mean, squared deviations, peak and last of every series, by pane."""
     out = []
-    for m in NAMES:
+    for m in names:
         v = F.when(F.col("metric") == m, F.col("value"))
         out += [
             F.count(v).alias(f"{m}_n"), F.avg(v).alias(f"{m}_mean"), (F.var_pop(v) * F.count(v)).alias(f"{m}_dev"), F.max(v).alias(f"{m}_peak"),
@@ -190,18 +135,18 @@ def _spread(m: str, mean: Column) -> Callable[[Column, Column], Column]:
     return add
 
 
-def _merged(panes: DataFrame, window: Column) -> DataFrame:
+def _merged(panes: DataFrame, window: Column, names: Iterable[str]) -> DataFrame:
     """``statistics`` of the panes in each ``window``, as ``w``.
 
     The squared deviations from a window's mean are those within panes and those
     of the panes' means from it, taken in a second pass over the few panes of a
     window; sums of squares would cancel where values are large.
     """
-    held = F.struct(*[F.col(f"{m}_{x}").alias(f"{m}_{x}") for m in NAMES for x in ("n", "mean", "dev")])
-    totals = [a for m in NAMES for a in (F.sum(f"{m}_n").alias(f"{m}_n"), F.sum(F.col(f"{m}_mean") * F.col(f"{m}_n")).alias(f"{m}_total"), F.max(f"{m}_peak").alias(f"{m}_peak"), F.max(f"{m}_last").alias(f"{m}_last"))]
+    held = F.struct(*[F.col(f"{m}_{x}").alias(f"{m}_{x}") for m in names for x in ("n", "mean", "dev")])
+    totals = [a for m in names for a in (F.sum(f"{m}_n").alias(f"{m}_n"), F.sum(F.col(f"{m}_mean") * F.col(f"{m}_n")).alias(f"{m}_total"), F.max(f"{m}_peak").alias(f"{m}_peak"), F.max(f"{m}_last").alias(f"{m}_last"))]
     windows = panes.groupBy(window, "plmn", "slice_id").agg(F.collect_list(held).alias("panes"), *totals)
     columns = []
-    for m in NAMES:
+    for m in names:
         n = F.nullif(F.col(f"{m}_n"), F.lit(0))
         mean = F.col(f"{m}_total") / n
 
@@ -209,7 +154,7 @@ def _merged(panes: DataFrame, window: Column) -> DataFrame:
     return windows.select("w", "plmn", "slice_id", *columns)
 
 
-def trailing(rows: DataFrame, ticks: DataFrame, length_seconds: int = 30) -> DataFrame:
+def trailing(rows: DataFrame, ticks: DataFrame, length_seconds: int = 30, names: Iterable[str] = NAMES) -> DataFrame:
     """Statistics of the closed windows [tick - length, tick] for every tick (column ``tick``).
 
     A sample is copied to the ticks that see it by equi-join on the stretch of
@@ -223,7 +168,7 @@ def trailing(rows: DataFrame, ticks: DataFrame, length_seconds: int = 30) -> Dat
     few = ticks.limit(BROADCAST_TICKS + 1).count() <= BROADCAST_TICKS
     near = rows.withColumn("stretch", stretch("ts")).join(F.broadcast(spread) if few else spread, "stretch")
     seen = near.where((second("ts") <= second("tick")) & (second("ts") >= second("tick") - length_seconds))
-    stats = statistics(seen, ["tick", "plmn", "slice_id"])
+    stats = statistics(seen, ["tick", "plmn", "slice_id"], names=names)
     return stats.withColumn("window_end", F.col("tick").cast("timestamp")).withColumn(
         "window_start", (F.col("tick").cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(length_seconds)))
     ).drop("tick")

@@ -18,6 +18,31 @@ def histogram(rows: DataFrame, keys: list[str], value: str, buckets: tuple[float
     return counts.select(*keys, F.explode(bound).alias("x"), "total", "sum").select(*keys, "x.le", "x.count", "total", "sum")
 
 
+def quantiles(buckets: DataFrame, keys: list[str], wanted: tuple[float, ...]) -> DataFrame:
+    """(keys, quantile, value): quantiles of cumulative buckets (``le``, ``count``), those of all series of a key added up.
+
+    A value lies between its bucket's bounds in proportion to its rank; the
+    lowest bucket begins at 0 where its bound is positive, else it gives its
+    bound, and the infinite one gives the highest finite bound.  Null without
+    any value.  Buckets are added up before a key's few bounds come together.
+    """
+    bound = F.when(F.col("le") == "+Inf", float("inf")).otherwise(F.col("le").cast("double"))
+    merged = buckets.groupBy(*keys, bound.alias("le")).agg(F.sum("count").alias("count"))
+    rows = merged.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("le", "count"))).alias("b")).withColumn("quantile", F.explode(F.array(*map(F.lit, wanted))))
+    rank = F.col("quantile") * F.element_at("b", -1)["count"]
+    rows = rows.withColumn("rank", rank).withColumn("i", F.size(F.filter("b", lambda x: x["count"] < F.col("rank"))))
+    hit, below = F.get("b", F.col("i")), F.get("b", F.col("i") - 1)
+    low, less = F.coalesce(below["le"], F.lit(0.0)), F.coalesce(below["count"], F.lit(0))
+    value = (
+        F.when(F.element_at("b", -1)["count"] == 0, None)
+        .when(hit["le"] == float("inf"), below["le"])
+        .when(below.isNull() & (hit["le"] <= 0), hit["le"])
+        .when(hit["count"] == less, hit["le"])
+        .otherwise(low + (hit["le"] - low) * (F.col("rank") - less) / (hit["count"] - less))
+    )
+    return rows.select(*keys, "quantile", value.alias("value"))
+
+
 def counts(records: DataFrame, partial: DataFrame, failures: DataFrame) -> DataFrame:
     """(vendor, metric, count) of records, partial failures (unsupported KPIs aside) and total failures."""
     parts = [

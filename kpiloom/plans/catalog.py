@@ -13,6 +13,8 @@ from kpiloom.functions.transforms import compile_transform
 from kpiloom.operators import alerts, correlate, promql, simulate, sinks, telemetry
 from kpiloom.operators.counters import with_deltas
 from kpiloom.operators.normalize import combined, normalize, split_handled
+from kpiloom.operators.rules import SHIPPED as SHIPPED_RULES
+from kpiloom.operators.rules import Rules
 from kpiloom.plans.views import SCRAPES, SERIES, WINDOWS, scrapes, seconds, series, window_samples
 from kpiloom.registry import Registry
 from kpiloom.sources import exposition, gnmi
@@ -443,6 +445,19 @@ def latency_histogram(spark, sf_dir):
     return telemetry.histogram(e, ["event_type"], "value", (10.0, 50.0)).select("event_type", "le", "count", "total")
 
 
+@query("latency_quantiles", """
+WITH b AS (SELECT event_type, le, count(*) FILTER (value <= le) AS c FROM events, (VALUES (5.0), (10.0), (25.0), (50.0), (100.0), (250.0), (1e308)) x(le) GROUP BY 1, 2
+), r AS (SELECT *, coalesce(lag(c) OVER w, 0) AS less, coalesce(lag(le) OVER w, 0.0) AS low, max(c) OVER (PARTITION BY event_type) AS total FROM b WINDOW w AS (PARTITION BY event_type ORDER BY le)
+), h AS (SELECT event_type, q, min_by(struct_pack(le := le, c := c, less := less, low := low, total := total), le) AS x
+         FROM r, (VALUES (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) y(q) WHERE c >= q * total GROUP BY 1, 2)
+SELECT event_type, q AS quantile,
+  round(CASE WHEN x.le > 1e300 THEN CAST(x.low AS DOUBLE) WHEN x.c = x.less THEN x.le ELSE x.low + (x.le - x.low) * (q * x.total - x.less) / (x.c - x.less) END, 6) AS value FROM h""")
+def latency_quantiles(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    of_series = telemetry.histogram(e, ["event_type", "user_id"], "value", (5.0, 10.0, 25.0, 50.0, 100.0, 250.0))
+    return telemetry.quantiles(of_series, ["event_type"], (0.5, 0.9, 0.99)).select("event_type", "quantile", _r("value"))
+
+
 @query("gauge_snapshot_latest", _NORMAL + """, u AS (SELECT inst, vendor, ue, day FROM v WHERE ue IS NOT NULL)
 SELECT 'ran_amf_ue_connected_count' AS name, CAST(inst AS VARCHAR) AS nf_instance_id, vendor, round(arg_max(ue, day), 6) AS value FROM u GROUP BY inst, vendor""")
 def gauge_snapshot_latest(spark, sf_dir):
@@ -479,6 +494,25 @@ _EVIDENCE = {
 }
 
 
+@query("rules_from_files", _NORMAL + """
+, x AS (SELECT inst, day, ue, CASE WHEN vendor <> 'ericsson_enm' THEN dd END AS dereg, CASE WHEN da > 0 THEN (da - df) / da ELSE 0 END AS rate FROM v
+), m AS (SELECT x.*, w.w FROM x, LATERAL (SELECT unnest(range(x.day - 6, x.day + 1)) AS w) w
+), st AS (SELECT inst, w, count(ue) AS ue_n, max(ue) AS ue_peak, arg_max(ue, day) AS ue_last, count(dereg) AS dereg_n, avg(dereg) AS dereg_mean,
+                 arg_max(dereg, day) AS dereg_last, arg_max(rate, day) AS rate_last FROM m GROUP BY inst, w)
+SELECT 'ConnectedUserFall' AS rule_name, 'warning' AS severity, CAST(inst AS VARCHAR) AS plmn, w, round(ue_last, 6) AS observed, round((ue_peak - ue_last) / ue_peak, 6) AS measure
+FROM st WHERE ue_n >= 2 AND ue_last < 0.5 * ue_peak
+UNION ALL SELECT 'DeregistrationSurge', 'critical', CAST(inst AS VARCHAR), w, round(dereg_last, 6), round(dereg_mean, 6)
+FROM st WHERE dereg_n >= 2 AND dereg_last > 1.25 * dereg_mean AND rate_last < 0.9""")
+def rules_from_files(spark, sf_dir):
+    """The shipped rules and a user's, over windows of seven days of normalised scrapes; each instance stands for a network."""
+    rules = Rules.load(SHIPPED_RULES, SHIPPED_RULES.with_name("capacity.yaml"))
+    raw = raw_scrapes(spark, sf_dir).withColumn("meta", F.create_map(F.lit("plmn"), F.col("instance_id")))
+    samples = correlate.samples(normalize(raw, registry()).records, registry().prefix, rules.series)
+    found = correlate.events(correlate.sliding(samples, "7 days", "1 day", names=rules.series), rules.rules)
+    day = F.floor(seconds("window_start") / 86_400).cast("bigint")
+    return found.select("rule_name", "severity", "plmn", day.alias("w"), _r(F.col("evidence")["observed"], "observed"), _r(F.col("evidence")["measure"], "measure"))
+
+
 @query("rule_evidence", _HEAD + ", ev AS (" + " UNION ALL ".join(
     f"SELECT '{rule}' AS rule_name, '{x.split(':')[0]}' AS name, plmn, w, CAST({x.split(':')[1]} AS DOUBLE) AS value FROM stats" for rule, parts in _EVIDENCE.items() for x in parts
 ) + """) SELECT rule_name, plmn, '1:' || substr(plmn, 1, 3) AS slice_id, w, name, round(value, 4) AS value FROM fired JOIN ev USING (rule_name, plmn, w)""")

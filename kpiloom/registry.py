@@ -12,6 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from kpiloom.functions import formula, paths
 
 SHIPPED = Path(__file__).parent / "registry"
+#: Each key of a file with the other spelling that it may have.
+TOP = {"vendors": "mappings", "version": "schema_version", "namespace": None, "nf_type": None, "spec": None, "kpis": None, "gnmi_paths": None}
+VENDOR = {"protocol": "source_protocol", "metrics": None}
+MAPPING = {
+    "metric": "prometheus_metric", "path": "gnmi_path", "template": "source_template", "strategy": "label_match_strategy", "extract": "label_extract",
+    "labels": None, "type": None, "reset_aware": None, "transform": None,
+}
 
 
 class RegistryError(ValueError):
@@ -55,8 +62,31 @@ class Namespace:
     mappings: dict[str, dict[str, Mapping]]
 
 
+def _spelt(where: str, content: dict, keys: dict[str, str | None]) -> dict:
+    """``content`` under our keys; a key that is not known, or given in both spellings, is an error."""
+    ours = {other or key: key for key, other in keys.items()} | {key: key for key in keys}
+    out = {}
+    for key, value in content.items():
+        if key not in ours:
+            raise RegistryError(f"{where}: unknown key {key!r}")
+        if ours[key] in out:
+            raise RegistryError(f"{where}: {ours[key]!r} is given twice")
+        out[ours[key]] = value
+    return out
+
+
+def _extraction(rules: dict | list) -> dict[str, int]:
+    """Label to number of its segment; a list has an item with ``segment`` and ``label`` for each."""
+    return {r["label"]: r["segment"] for r in rules} if isinstance(rules, list) else rules
+
+
 def _namespace(content: dict) -> Namespace:
-    name = content["namespace"]
+    name = content.get("namespace")
+    if not name:
+        raise RegistryError("a registry file without namespace")
+    content = _spelt(name, content, TOP)
+    if "vendors" not in content:
+        raise RegistryError(f"{name}: no mappings")
     kpis = {}
     for k in content["kpis"]:
         if not k.get("spec_ref"):
@@ -69,7 +99,8 @@ def _namespace(content: dict) -> Namespace:
             if d not in kpis:
                 raise RegistryError(f"{name}/{k.name}: depends on unknown {d}")
     protocols, mappings = {}, {}
-    for vendor, v in (content.get("vendors") or {}).items():
+    for vendor, v in (content["vendors"] or {}).items():
+        v = _spelt(f"{name}/{vendor}", v, VENDOR)
         protocols[vendor] = v["protocol"]
         mappings[vendor] = {
             kpi: Mapping(
@@ -80,9 +111,10 @@ def _namespace(content: dict) -> Namespace:
                 m.get("labels", {}),
                 m.get("template"),
                 m.get("transform"),
-                m.get("extract", {}),
+                _extraction(m.get("extract", {})),
             )
-            for kpi, m in v["metrics"].items()
+            for kpi, given in v["metrics"].items()
+            for m in [_spelt(f"{name}/{vendor}/{kpi}", given, MAPPING)]
         }
     return Namespace(name, content.get("version", ""), kpis, _ordered(name, kpis), protocols, mappings)
 
@@ -113,11 +145,22 @@ class Registry:
 
     @staticmethod
     def load(directory: str | Path = SHIPPED, prefix: str = "ran.") -> Registry:
-        """Every ``*.yaml`` of a directory; of one namespace the last file counts, and no file is an error."""
+        """Every ``*.yaml`` of a directory; of one namespace the last file counts, and no file is an error.
+
+        Namespaces may be written out with their prefix (``net.core.amf``); all
+        files then have the same one, and it takes the place of ``prefix``.
+        """
         files = sorted(Path(directory).glob("*.yaml"))
         if not files:
             raise RegistryError(f"no registry files in {directory}")
-        return Registry((_namespace(yaml.safe_load(f.read_text())) for f in files), prefix)
+        found = [_namespace(yaml.safe_load(f.read_text()) or {}) for f in files]
+        prefixes = {n.name[: n.name.rfind(".") + 1] for n in found}
+        if len(prefixes) > 1:
+            raise RegistryError(f"namespaces with different prefixes: {sorted(prefixes)}")
+        own = prefixes.pop()
+        for n in found:
+            n.name = n.name.removeprefix(own)
+        return Registry(found, own or prefix)
 
     def kpi(self, namespace: str, name: str) -> Kpi | None:
         n = self.namespaces.get(namespace)

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kpiloom.operators import correlate
 from kpiloom.operators.normalize import SOURCE, completed, partial_of, prepared, records_of
+from kpiloom.operators.rules import Rules
 from kpiloom.registry import Registry
 from kpiloom.schema import ATTRIBUTES, EVENT
 from kpiloom.sources.scrape import to_bus
@@ -110,10 +111,10 @@ def events(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame
     return (spark.readStream if streaming else spark.read).schema(EVENT).parquet(_made(spark, f"{path}/events"))
 
 
-def correlated(spark: SparkSession, path: str, length: str = "30 seconds", slide: str = "5 seconds", late: str = "10 seconds", prefix: str = "ran.", trigger: dict | None = None) -> StreamingQuery:
+def correlated(spark: SparkSession, path: str, length: str = "30 seconds", slide: str = "5 seconds", late: str = "10 seconds", prefix: str = "ran.", trigger: dict | None = None, rules: Rules = correlate.SHIPPED) -> StreamingQuery:
     """Starts the query from the records to ``path``/events, an event for each window and rule that fires."""
-    samples = correlate.samples(records(spark, path, streaming=True), prefix)
-    found = correlate.events(correlate.sliding(samples, length, slide, watermark=late))
+    samples = correlate.samples(records(spark, path, streaming=True), prefix, rules.series)
+    found = correlate.events(correlate.sliding(samples, length, slide, late, rules.series), rules.rules)
     return _to_files(found, path, "events", trigger or {"processingTime": slide})
 
 

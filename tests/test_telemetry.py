@@ -189,7 +189,7 @@ def test_storm_needs_eleven_samples(spark, n, fires):
 
 def test_registry_rules(tmp_path):
     def load(kpis):
-        (tmp_path / "x.yaml").write_text(__import__("yaml").safe_dump({"namespace": "x", "kpis": kpis}))
+        (tmp_path / "x.yaml").write_text(__import__("yaml").safe_dump({"namespace": "x", "kpis": kpis, "vendors": {}}))
         return Registry.load(tmp_path)
 
     a = {"name": "a", "spec_ref": "s"}
@@ -206,6 +206,28 @@ def test_registry_rules(tmp_path):
     assert sum(len(n.kpis) for n in shipped.namespaces.values()) == 36
 
 
+def test_registry_files_in_both_spellings(tmp_path):
+    kpis = "kpis: [{name: a, unit: u, spec_ref: r, description: d, derived: false}, {name: b, unit: u, spec_ref: r}, {name: c, unit: u, spec_ref: r}]\n"
+    ours, other = tmp_path / "ours", tmp_path / "other"
+    for folder, text in (
+        (ours, "namespace: amf\nversion: v1\n" + kpis + "vendors: {v: {protocol: prometheus, metrics: {a: {metric: m, type: counter, reset_aware: true, strategy: sum_by, labels: {x: y}}, b: {template: '/p/{{.I}}', type: gauge, extract: {i: 1}}, c: {path: /q, type: gauge}}}}\n"),
+        (other, "namespace: net.core.amf\nnf_type: AMF\nschema_version: v1\nspec: s\n" + kpis + "mappings: {v: {source_protocol: prometheus, metrics: {a: {prometheus_metric: m, type: counter, reset_aware: true, label_match_strategy: sum_by, labels: {x: y}}, b: {source_template: '/p/{{.I}}', type: gauge, label_extract: [{segment: 1, label: i}]}, c: {gnmi_path: /q, type: gauge}}}}\n"),
+    ):
+        folder.mkdir()
+        (folder / "amf.yaml").write_text(text)
+    a, b = Registry.load(ours), Registry.load(other)
+    assert (a.prefix, b.prefix) == ("ran.", "net.core.") and b.names() == ["net.core.amf"]
+    assert a.namespaces["ran.amf"] == b.namespaces["net.core.amf"] and len(b.namespaces["net.core.amf"].mappings["v"]) == 3
+    for bad, why in (("kpis: []", "no mappings"), ("kpis: []\nmappngs: {}", "unknown key"), ("kpis: []\nvendors: {}\nmappings: {}", "twice"), (kpis + "vendors: {v: {protocol: gnmi, metrics: {a: {pth: /x, type: gauge}}}}", "unknown key 'pth'")):
+        (other / "amf.yaml").write_text(f"namespace: net.core.amf\n{bad}\n")
+        with pytest.raises(RegistryError, match=why):
+            Registry.load(other)
+    (other / "amf.yaml").write_text("namespace: a.x\nkpis: []\nvendors: {}\n")
+    (other / "smf.yaml").write_text("namespace: b.y\nkpis: []\nvendors: {}\n")
+    with pytest.raises(RegistryError, match="different prefixes"):
+        Registry.load(other)
+
+
 def test_rule_metrics_exist_in_the_registry():
     r = Registry.load()
     assert all(r.kpi(f"ran.{ns}", k) for ns, k in correlate.NAMES.values())
