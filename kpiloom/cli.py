@@ -1,10 +1,12 @@
-"""Command line: ``python -m kpiloom.cli run|matrix|list-scenarios|add-vendor|version``."""
+"""Command line: ``python -m kpiloom.cli serve|run|matrix|list-scenarios|add-vendor|version``."""
 
 from __future__ import annotations
 
 import argparse
 import json
+import signal
 import sys
+import threading
 from pathlib import Path
 
 import yaml
@@ -23,6 +25,25 @@ def _session():
     return SparkSession.builder.appName("kpiloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
+def serve(args: argparse.Namespace) -> int:
+    """Runs the pipeline of a configuration file until a signal, or for ``--seconds``."""
+    from kpiloom.config import Config
+    from kpiloom.operators.rules import SHIPPED as RULES
+    from kpiloom.operators.rules import Rules
+    from kpiloom.streaming.service import Service
+
+    config, rules = Config.load(args.config), Rules.load(RULES, *args.rules)
+    stopped = threading.Event()
+    for s in (signal.SIGINT, signal.SIGTERM):
+        signal.signal(s, lambda *_: stopped.set())
+    if args.seconds is not None:
+        timer = threading.Timer(args.seconds, stopped.set)
+        timer.daemon = True
+        timer.start()
+    Service(_session(), config, args.path, rules, args.delay, args.grace, args.pace).run(stopped, args.patience)
+    return 0
+
+
 def run(args: argparse.Namespace) -> int:
     """Certifies one scenario file; exit code 1 if an expectation fails, whatever the output format."""
     rows = [r.asDict() for r in certify(_session(), [Scenario.load(args.scenario)], Registry.load(args.registry)).collect()]
@@ -59,10 +80,11 @@ def scaffold(registry: Path, scenarios: Path, namespace: str, vendor: str) -> li
     written = []
     file = registry / f"{namespace}.yaml"
     content = yaml.safe_load(file.read_text())
-    if vendor not in content.setdefault("vendors", {}):
+    vendors = content.setdefault("mappings" if "mappings" in content else "vendors", {})
+    if vendor not in vendors:
         base = [k for k in content["kpis"] if "formula" not in k]
         kind = lambda k: "counter" if "count" in k["unit"] else "gauge"
-        content["vendors"][vendor] = {
+        vendors[vendor] = {
             "protocol": "prometheus",
             "metrics": {k["name"]: {"metric": f"TODO_{vendor}_{k['name'].replace('.', '_')}", "type": kind(k), "reset_aware": kind(k) == "counter"} for k in base},
         }
@@ -86,6 +108,16 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="kpiloom")
     parser.add_argument("--registry", default=str(REGISTRY))
     commands = parser.add_subparsers(dest="command", required=True)
+    service = commands.add_parser("serve")
+    service.add_argument("config")
+    service.add_argument("--path", required=True, help="folder for records, events, state and progress; all executors share it")
+    service.add_argument("--rules", nargs="*", default=[], help="rule files beside the shipped one")
+    service.add_argument("--seconds", type=float)
+    service.add_argument("--patience", type=float, default=30.0, help="seconds that running batches get when the service stops")
+    service.add_argument("--delay", default="10 seconds")
+    service.add_argument("--grace", default="1 minute")
+    service.add_argument("--pace", default="5 seconds")
+    service.set_defaults(call=serve)
     one = commands.add_parser("run")
     one.add_argument("scenario")
     one.add_argument("--output", choices=("text", "json"), default="text")
