@@ -8,6 +8,7 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 _UNITS = {"ns": 1e-9, "us": 1e-6, "µs": 1e-6, "ms": 1e-3, "s": 1.0, "m": 60.0, "h": 3600.0}
+_RATIO = re.compile(r"ratio\(\s*(\d+)\s*,\s*(\d+)\s*\)")
 _DURATION = re.compile(r"(\d+\.?\d*|\.\d+)(ns|us|µs|ms|s|m|h)")
 
 
@@ -23,7 +24,8 @@ def compile_transform(text: str | None, value: Column, partition: list[Column],
     """The transform as a column over the series that ``partition`` and ``order`` give.
 
     ``delta`` and ``rate`` take the first sample as it is; ``rate`` divides by
-    the duration written, not by the time that passed.
+    the duration written, not by the time that passed; ``ratio`` is null where
+    ``failure`` has a reason.
     """
     name = (text or "identity").strip()
     window = Window.partitionBy(*partition).orderBy(*order)
@@ -34,8 +36,16 @@ def compile_transform(text: str | None, value: Column, partition: list[Column],
         return value - F.coalesce(before, F.lit(0.0))
     if m := re.fullmatch(r"rate\((.+)\)", name):
         return F.when(before.isNull(), value).otherwise((value - before) / F.lit(seconds(m[1])))
-    if m := re.fullmatch(r"ratio\(\s*(\d+)\s*,\s*(\d+)\s*\)", name):
+    if m := _RATIO.fullmatch(name):
         whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         a, b = (F.nth_value(value, int(i) + 1).over(whole) for i in m.groups())
         return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
     raise ValueError(f"unknown transform: {text!r}")
+
+
+def failure(text: str | None, partition: list[Column]) -> Column:
+    """Why a transform has no value over a series: an index of ``ratio`` beyond its samples; null where it has one."""
+    if not (m := _RATIO.fullmatch((text or "").strip())):
+        return F.lit(None).cast("string")
+    n = F.count(F.lit(1)).over(Window.partitionBy(*partition))
+    return F.when(n <= max(map(int, m.groups())), F.concat(F.lit(f"index of ratio({m[1]},{m[2]}) out of range for "), n.cast("string"), F.lit(" values")))

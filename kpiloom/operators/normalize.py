@@ -1,9 +1,9 @@
 """Raw scrapes to canonical KPI records; failures are rows.
 
-A scrape stays one row until the end: its series are an array, matching is done
-inside the row against the broadcast registry (its size is that of the YAML
-files), and only the counter delta shuffles, once, on the source: values and
-labels of the KPIs, while units, references and names come from the registry again.
+A scrape stays one row until the end: the series that its KPIs read are found
+while its payload is decoded, by an index of the registry (its size is that of
+the YAML files), and only the counter delta shuffles, once, on the source: values
+and labels of the KPIs, while units, references and names come from the registry again.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import formula, paths
+from kpiloom.operators import series_index
 from kpiloom.operators.counters import delta
 from kpiloom.registry import Registry
-from kpiloom.sources import exposition, gnmi
 
 SOURCE = ("vendor", "nf_type", "instance_id")
 #: A registry of up to so many mappings is broadcast.
@@ -70,19 +70,6 @@ def split_handled(raw: DataFrame, registry: Registry) -> tuple[DataFrame, DataFr
     return found.where("failure IS NULL").drop("failure"), found.where("failure IS NOT NULL").select("record_id", "namespace", *SOURCE, "timestamp", F.col("failure").alias("reason"))
 
 
-def parsed(handled: DataFrame) -> DataFrame:
-    """``handled`` with ``series``, and ``parse_error`` where a payload is malformed."""
-    read = [handled.where(F.col("protocol") == k).withColumn("_p", f(F.col("payload"))) for k, f in (("prometheus", exposition.parsed), ("gnmi", gnmi.series))]
-    return read[0].unionByName(read[1]).withColumns({"series": F.col("_p.series"), "parse_error": F.col("_p.error")}).drop("_p", "payload")
-
-
-def matched(series: Column, p: Column) -> Column:
-    """The series that a plan item reads, in order: by template, else by name and label superset."""
-    by_template = F.filter(series, lambda s: paths.matches(p["template"], s["name"]))
-    by_name = F.filter(series, lambda s: (s["name"] == p["metric"]) & paths.superset(s["labels"], p["labels"]))
-    return F.when(p["template"].isNotNull(), by_template).otherwise(by_name)
-
-
 def combined(hits: Column, p: Column) -> Column:
     """One value of the matching series: their sum for ``sum_by``, else the first."""
     total = F.aggregate(hits, F.lit(0.0), lambda a, s: a + s["value"])
@@ -96,14 +83,16 @@ def extracted(hits: Column, p: Column) -> Column:
     by_rule = F.transform_values(F.coalesce(p["extract"], F.create_map().cast("map<string,int>")), lambda _, i: F.when(i >= 0, F.try_element_at(paths.extraction_segments(name), i + 1)))
     caught = F.filter(F.zip_with(p["captures"], paths.segments(name), lambda k, v: F.struct(k.alias("key"), v.alias("value"))), lambda e: e["key"].isNotNull())
     captures = F.when(p["template"].isNotNull(), F.map_from_entries(caught))
-    return paths.merged_maps(F.coalesce(first["labels"], none), F.map_filter(by_rule, lambda _, v: v.isNotNull()), F.coalesce(captures, none))
+    own = F.coalesce(first["labels"], none)
+    plain = first.isNull() | (p["template"].isNull() & (F.coalesce(F.size(p["extract"]), F.lit(0)) <= 0))
+    return F.when(plain, own).otherwise(paths.merged_maps(own, F.map_filter(by_rule, lambda _, v: v.isNotNull()), F.coalesce(captures, none)))
 
 
 def prepared(raw: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
     """(scrapes with ``found`` values and ``found_labels`` in the order of their plan, failures with reason); no state, so also on streams."""
     handled, refused = split_handled(raw, registry)
-    with_series = parsed(handled)
-    malformed = with_series.where("parse_error IS NOT NULL").select("record_id", "namespace", *SOURCE, "timestamp", F.col("parse_error").alias("reason"))
+    read = handled.withColumn("_read", series_index.hits(registry, F.col("namespace"), F.col("vendor"), F.col("protocol"), F.col("payload"))).drop("payload")
+    malformed = read.where("_read.error IS NOT NULL").select("record_id", "namespace", *SOURCE, "timestamp", F.col("_read.error").alias("reason"))
 
     def value(p: Column, hits: Column) -> Column:
         found = combined(hits, p)
@@ -112,8 +101,8 @@ def prepared(raw: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
     def labels(p: Column, hits: Column) -> Column:
         return F.when(p["mapped"], extracted(hits, p))
 
-    good = with_series.where("parse_error IS NULL").drop("parse_error").withColumn("hits", F.transform("plan", lambda p: matched(F.col("series"), p)))
-    good = good.withColumns({"found": F.zip_with("plan", "hits", value), "found_labels": F.zip_with("plan", "hits", labels)}).drop("series", "plan", "hits")
+    good = read.where("_read.error IS NULL").withColumn("hits", F.col("_read.hits"))
+    good = good.withColumns({"found": F.zip_with("plan", "hits", value), "found_labels": F.zip_with("plan", "hits", labels)}).drop("_read", "plan", "hits")
     return good, refused.unionByName(malformed)
 
 
@@ -148,53 +137,75 @@ def normalize(raw: DataFrame, registry: Registry, ttl_seconds: float | None = No
     return completed(good.withColumn("before", before), registry, failures)
 
 
-def _levels(registry: Registry) -> list[list[tuple]]:
-    """The formulas by depth: those of one level depend on earlier ones only, so a level is one projection."""
+def _levels(registry: Registry) -> list[list[dict[str, tuple]]]:
+    """The formulas by depth, those of one level depending on earlier ones only; of a level, one a namespace in each place."""
     depth: dict[tuple[str, str], int] = {}
-    levels: list[list[tuple]] = []
+    levels: list[dict[str, list[tuple]]] = []
     for ns, kpi, tree in registry.formulas():
         at = max((depth.get((ns, d), -1) for d in kpi.depends_on), default=-1) + 1
         depth[ns, kpi.name] = at
-        levels += [[] for _ in range(at + 1 - len(levels))]
-        levels[at].append((ns, kpi, tree))
-    return levels
+        levels += [{} for _ in range(at + 1 - len(levels))]
+        levels[at].setdefault(ns, []).append((kpi, tree))
+    return [[{ns: fs[i] for ns, fs in level.items() if i < len(fs)} for i in range(max(map(len, level.values())))] for level in levels]
+
+
+def _by_namespace(branches: dict[str, Column]) -> Column:
+    """The branch of the row's namespace, null in others."""
+    out = F
+    for ns, value in branches.items():
+        out = out.when(F.col("namespace") == ns, value)
+    return out
+
 
+@dataclass
+class _Place:
+    """Where a KPI's value is, and whether it has none because the vendor does not report it."""
+
+    value: Column
+    unsupported: Column
+
+
+def _value(registry: Registry, places: dict[str, _Place], ns: str, tree) -> Column:
+    """A formula over the values known so far; NaN if it has a name that its namespace lacks."""
+    if any(registry.kpi(ns, n) is None for n in formula.names(tree)):
+        return F.lit(float("nan"))
+    return formula.to_column(tree, lambda n: places[n].value if n in places else F.lit(None).cast("double"))
 
-def _outcome(registry: Registry, ns: str, kpi, tree) -> Column:
-    """A derived KPI's value, or why it has none; null in other namespaces."""
-    broken = F.filter(F.array(*map(F.lit, kpi.depends_on)), lambda d: F.map_contains_key("failed", d))
-    first = F.try_element_at(broken, F.lit(1))
-    # names out of scope make the whole formula an error
+
+def _outcome(registry: Registry, places: dict[str, _Place], ns: str, kpi, tree, value: Column) -> Column:
+    """A derived KPI's value, or why it has none: the first dependency that failed, else what is wrong with the value."""
+    reason, unsupported = F, F
+    for d in kpi.depends_on:
+        reason = reason.when(places[d].value.isNull(), f"dependency failed: {d}")
+        unsupported = unsupported.when(places[d].value.isNull(), places[d].unsupported)
     unknown = [n for n in sorted(formula.names(tree)) if registry.kpi(ns, n) is None]
-    value = F.lit(float("nan")) if unknown else formula.to_column(tree, lambda n: F.try_element_at("values", F.lit(n)))
-    finite = formula.finite(value)
-    return F.when(
-        F.col("namespace") == ns,
-        F.struct(
-            F.lit(kpi.name).alias("kpi"), F.lit(kpi.unit).alias("unit"), F.lit(kpi.spec_ref).alias("spec_ref"),
-            F.when(first.isNull() & F.coalesce(finite, F.lit(False)), value).alias("value"),
-            F.when(first.isNotNull(), F.concat(F.lit("dependency failed: "), first)).when(value.isNull(), F.lit("unknown identifier")).when(~finite, F.lit(f"unknown identifier: {unknown[0]}" if unknown else "division by zero")).alias("reason"),
-            F.coalesce(F.try_element_at("failed", first), F.lit(False)).alias("unsupported"),
-        ),
+    reason = reason.when(value.isNull(), "unknown identifier").when(~formula.finite(value), f"unknown identifier: {unknown[0]}" if unknown else "division by zero")
+    return F.struct(
+        F.lit(kpi.name).alias("kpi"), F.lit(kpi.unit).alias("unit"), F.lit(kpi.spec_ref).alias("spec_ref"), F.when(reason.isNull(), value).alias("value"),
+        reason.alias("reason"), F.coalesce(unsupported, F.lit(False)).alias("unsupported"),
     )
 
 
 def _with_derived(staged: DataFrame, registry: Registry, failures: DataFrame) -> Normalized:
-    ok = F.filter("base", lambda b: b["mapped"] & b["value"].isNotNull())
-    bad = F.transform(F.filter("base", lambda b: ~b["mapped"] | b["value"].isNull()), lambda b: F.struct(b["kpi"].alias("key"), (~b["mapped"]).alias("value")))
-    held = F.map_from_entries(F.transform(ok, lambda b: F.struct(b["kpi"].alias("key"), b["value"].alias("value"))))
-    staged = staged.withColumns({"values": held, "failed": F.map_from_entries(bad)})
-    none_v, none_f = F.create_map().cast("map<string,double>"), F.create_map().cast("map<string,boolean>")
+    """Formulas read values by position: base KPIs from arrays, derived ones from the columns of earlier levels."""
+    staged = staged.withColumns({"values": F.transform("base", lambda b: F.when(b["mapped"], b["value"])), "unmapped": F.transform("base", lambda b: ~b["mapped"])})
+    places = {
+        ns: {k: _Place(F.get("values", F.lit(i)), F.get("unmapped", F.lit(i))) for i, k in enumerate(k for k in n.order if not n.kpis[k].derived)}
+        for ns, n in registry.namespaces.items()
+    }
     results: list[Column] = []
     for level in _levels(registry):
-        named = {f"derived_{len(results) + i}": _outcome(registry, *f) for i, f in enumerate(level)}
-        staged = staged.withColumns(named)
-        extra, lost = [], []
-        for name, (ns, kpi, _) in zip(named, level, strict=True):
-            here, value = F.col("namespace") == ns, F.col(f"{name}.value")
-            extra.append(F.coalesce(F.when(here & value.isNotNull(), F.create_map(F.lit(kpi.name), value)), none_v))
-            lost.append(F.coalesce(F.when(here & value.isNull(), F.create_map(F.lit(kpi.name), F.col(f"{name}.unsupported"))), none_f))
-        staged = staged.withColumns({"values": F.map_concat("values", *extra), "failed": F.map_concat("failed", *lost)})
+        first = len(results)
+        values = {f"value_{first + i}": _by_namespace({ns: _value(registry, places[ns], ns, tree) for ns, (_, tree) in of.items()}) for i, of in enumerate(level)}
+        staged = staged.withColumns(values)
+        named = {
+            f"derived_{first + i}": _by_namespace({ns: _outcome(registry, places[ns], ns, kpi, tree, F.col(f"value_{first + i}")) for ns, (kpi, tree) in of.items()})
+            for i, of in enumerate(level)
+        }
+        staged = staged.withColumns(named).drop(*values)
+        for name, of in zip(named, level, strict=True):
+            for ns, (kpi, _) in of.items():
+                places[ns][kpi.name] = _Place(F.col(f"{name}.value"), F.col(f"{name}.unsupported"))
         results += map(F.col, named)
     base = F.transform(
         "base",

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import formula, paths
-from kpiloom.functions.transforms import compile_transform
+from kpiloom.functions.transforms import compile_transform, failure
 from kpiloom.operators import alerts, correlate, promql, simulate, sinks, telemetry
 from kpiloom.operators.counters import with_deltas
-from kpiloom.operators.normalize import combined, normalize, split_handled
+from kpiloom.operators.normalize import combined, extracted, normalize, split_handled
 from kpiloom.operators.rules import SHIPPED as SHIPPED_RULES
 from kpiloom.operators.rules import Rules
 from kpiloom.plans.views import SCRAPES, SERIES, WINDOWS, scrapes, seconds, series, window_samples
-from kpiloom.registry import Registry
+from kpiloom.registry import Kpi, Mapping, Namespace, Registry
 from kpiloom.sources import exposition, gnmi
 from kpiloom.sources.scrape import COLLECTORS, error_class
 from kpiloom.streaming.counters import stream_deltas
@@ -236,13 +236,39 @@ def template_match(spark, sf_dir):
 @query("template_label_extract", _PATHS + " SELECT event_id, 'Instance=' || inst || ',NF=' || metric || ',seg=' || inst AS labels FROM p WHERE f <> 2")
 def template_label_extract(spark, sf_dir):
     names = F.array(*[F.lit(v) for _, v in paths.template_segments(_TEMPLATE)])
+    item = F.struct(_template().alias("template"), names.alias("captures"), F.create_map(F.lit("seg"), F.lit(3)).alias("extract"))
+    hits = F.array(F.struct(F.col("path").alias("name"), F.lit(None).cast("map<string,string>").alias("labels")))
     rows = _paths(spark, sf_dir).where(paths.matches(_template(), F.col("path")))
-    caught = F.filter(F.zip_with(names, paths.segments(F.col("path")), lambda k, v: F.struct(k.alias("key"), v.alias("value"))), lambda e: e["key"].isNotNull())
-    seg = F.create_map(F.lit("seg"), F.try_element_at(paths.extraction_segments(F.col("path")), F.lit(4)))
-    labels = paths.merged_maps(seg, F.map_from_entries(caught))
+    labels = extracted(hits, item)
     return rows.select("event_id", F.array_join(F.transform(F.array_sort(F.map_entries(labels)), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("labels"))
 
 
+_PARTS = 12
+
+
+def _many_templates() -> Registry:
+    """A vendor with a template for each kind of event and part: literal segments tell them apart, the instance is captured."""
+    kpis = {f"{m}.part{j}": Kpi(f"{m}.part{j}", "count", "-") for m in _OF_METRIC for j in range(_PARTS)}
+    found = {k: Mapping("", "gauge", template=f"pm:{k.replace('.', ':')}:{{{{.Instance}}}}:value") for k in kpis}
+    return Registry([Namespace("amf", "1", kpis, list(kpis), {"parts": "prometheus"}, {"parts": found})])
+
+
+@query("template_trie", f"""WITH {SERIES} SELECT CAST(inst AS BIGINT) * 10000000 + hour // 24 AS record_id, metric || '.part' || event_id % {_PARTS} AS kpi_name, CAST(inst AS VARCHAR) AS instance,
+  CAST(arg_min(iv, struct_pack(t := ts, e := event_id)) AS DOUBLE) AS value
+FROM series WHERE metric IN {_OF_METRIC} GROUP BY inst, hour // 24, metric, event_id % {_PARTS}""")
+def template_trie(spark, sf_dir):
+    """Scrapes whose series are told apart by templates; of two series that meet one, the first in the payload counts."""
+    s = series(spark, sf_dir).withColumn("day", F.floor(F.col("hour") / 24).cast("bigint"))
+    line = F.concat(F.lit("pm:"), "metric", F.lit(":part"), (F.col("event_id") % _PARTS).cast("string"), F.lit(":"), F.col("inst").cast("string"), F.lit(":value "), F.col("iv").cast("string"))
+    lines = F.array_sort(F.collect_list(F.struct("ts", "event_id", line.alias("line"))))
+    raw = s.groupBy("inst", "day").agg(F.array_join(F.transform(lines, lambda e: e["line"]), "\n").alias("text")).select(
+        (F.col("inst").cast("bigint") * 10_000_000 + F.col("day")).alias("record_id"), F.lit("parts").alias("vendor"), F.lit("AMF").alias("nf_type"), F.col("inst").cast("string").alias("instance_id"),
+        F.lit("").alias("endpoint"), F.encode("text", "UTF-8").alias("payload"), F.lit("prometheus").alias("protocol"), F.timestamp_seconds(F.col("day") * 86_400).alias("timestamp"),
+        F.lit(None).cast("map<string,string>").alias("meta"), F.lit("v1").alias("schema_version"),
+    )
+    return normalize(raw, _many_templates()).records.select("record_id", "kpi_name", F.col("labels")["Instance"].alias("instance"), "value")
+
+
 @query("path_split", _PATHS + " SELECT event_id, CASE f WHEN 2 THEN 3 ELSE 5 END AS n, 'pm' AS first FROM p")
 def path_split(spark, sf_dir):
     s = paths.extraction_segments(F.col("path"))
@@ -333,6 +359,13 @@ _transform("ratio(0,1)", "coalesce(first(value) OVER w / nullif(nth_value(value,
 ORACLE["transform_ratio"] += " WINDOW w AS (PARTITION BY inst, metric ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
 
 
+@query("transform_ratio_error", f"""WITH {SERIES} SELECT inst, metric, 'index of ratio(0,9) out of range for ' || count(*) || ' values' AS reason
+FROM series GROUP BY inst, metric HAVING count(*) <= 9""")
+def transform_ratio_error(spark, sf_dir):
+    rows = series(spark, sf_dir).withColumn("reason", failure("ratio(0,9)", [F.col("inst"), F.col("metric")]))
+    return rows.where("reason IS NOT NULL").select("inst", "metric", "reason").distinct()
+
+
 # -- formulas ------------------------------------------------------------------
 
 def _formula(name: str, text: str, sql: str) -> None:

@@ -16,8 +16,8 @@ _TYPE = re.compile(r"#\s*TYPE\s+(\S+)\s+(\S+)", re.ASCII)
 _ESCAPE = re.compile(r'\\([\\n"])')
 _NUMBER = re.compile(r"[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|inf|infinity|nan)", re.IGNORECASE | re.ASCII)
 _FAMILY = re.compile("_(?:sum|count|bucket)$")
-_SAMPLE = pa.struct([("seq", pa.int32()), ("name", pa.string()), ("labels", pa.map_(pa.string(), pa.string())), ("value", pa.float64()), ("type", pa.string())])
-_ARROW = pa.struct([("series", pa.list_(_SAMPLE)), ("error", pa.string())])
+SAMPLE = pa.struct([("seq", pa.int32()), ("name", pa.string()), ("labels", pa.map_(pa.string(), pa.string())), ("value", pa.float64()), ("type", pa.string())])
+_ARROW = pa.struct([("series", pa.list_(SAMPLE)), ("error", pa.string())])
 
 
 def read(text: str) -> tuple[list[tuple], str | None]:

@@ -11,11 +11,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kpiloom.functions import formula, paths
-from kpiloom.functions.transforms import compile_transform, seconds
+from kpiloom.functions.transforms import compile_transform, failure, seconds
 from kpiloom.operators import correlate
 from kpiloom.operators.counters import with_deltas
 from kpiloom.operators.normalize import normalize
-from kpiloom.registry import Registry, RegistryError
+from kpiloom.operators.series_index import VendorIndex
+from kpiloom.registry import Mapping, Registry, RegistryError
 from kpiloom.schema import RAW
 from kpiloom.sources import exposition, gnmi
 from kpiloom.sources.scrape import COLLECTORS, Collector
@@ -240,3 +241,62 @@ def test_collectors():
             Collector("v", "AMF", **bad)
     with pytest.raises(KeyError):
         COLLECTORS.get("nope")
+
+
+def _by_hand(mappings, series):
+    """Every mapping against every series."""
+    out = []
+    for m in mappings:
+        if m is None:
+            out.append([])
+        elif m.template and not paths.literal(m.template):
+            wanted = [s for s, _ in paths.template_segments(m.template)]
+            out.append([s for s in series if len(paths.split_path(s[1])) == len(wanted) and all(w in (None, x) for w, x in zip(wanted, paths.split_path(s[1]), strict=True))])
+        else:
+            out.append([s for s in series if s[1] == m.metric and all(dict(s[2] or ()).get(k, "") == v for k, v in m.labels.items())])
+    return out
+
+
+SEGMENT = st.sampled_from(["a", "b", "c"])
+TEMPLATE = st.lists(SEGMENT | st.just("{{.V}}"), min_size=1, max_size=3).map(":".join)
+LABELS = st.dictionaries(st.sampled_from(["k", "l"]), st.sampled_from(["", "x"]))
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.none() | TEMPLATE.map(lambda t: Mapping(t, "gauge", template=t)) | st.builds(lambda n, ls: Mapping(n, "gauge", labels=ls), SEGMENT, LABELS), max_size=8),
+    st.lists(st.tuples(st.lists(SEGMENT, min_size=1, max_size=3).map(":".join), st.none() | LABELS.map(lambda d: list(d.items()))), max_size=12),
+)
+def test_index_finds_what_every_pair_gives(mappings, named):
+    series = [(i, name, labels, 1.0, "untyped") for i, (name, labels) in enumerate(named)]
+    assert VendorIndex(mappings).hits(series) == _by_hand(mappings, series)
+
+
+class Counted(str):
+    """A name that counts how often it is hashed."""
+
+    hashed = 0
+
+    def __hash__(self):
+        Counted.hashed += 1
+        return super().__hash__()
+
+
+def test_probes_of_an_index_do_not_grow_with_the_mappings():
+    series = [(i, Counted(f"m{i}"), None, float(i), "gauge") for i in range(5000)]
+    probes = []
+    for n in (5, 500):
+        index = VendorIndex([Mapping(f"m{i}", "gauge") for i in range(n)] + [Mapping("", "gauge", template=f"t:{i}:{{{{.V}}}}") for i in range(n)])
+        Counted.hashed = 0
+        found = index.hits(series)
+        probes.append(Counted.hashed)
+        assert [len(f) for f in found] == [1] * n + [0] * n
+    assert probes == [5000, 5000]
+    paths_of = [(i, f"t:{i % 500}:x{i}", None, float(i), "gauge") for i in range(5000)]
+    assert [len(f) for f in index.hits(paths_of)] == [0] * 500 + [10] * 500
+
+
+def test_transform_failure_is_a_reason(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int")
+    found = rows.select("k", failure("ratio(0, 1)", [F.col("k")]).alias("r"), failure("delta", [F.col("k")]).alias("none")).distinct().collect()
+    assert {(r.k, r.r, r.none) for r in found} == {("a", None, None), ("b", "index of ratio(0,1) out of range for 1 values", None)}
