@@ -119,11 +119,11 @@ def series(payload: Column) -> Column:
     return run(payload)
 
 
-def _field(number: int, content: bytes) -> bytes:
-    return bytes([number << 3 | 2]) + _varint(len(content)) + content
+def field(number: int, content: bytes) -> bytes:
+    return bytes([number << 3 | 2]) + varint(len(content)) + content
 
 
-def _varint(n: int) -> bytes:
+def varint(n: int) -> bytes:
     out = b""
     while n > 127:
         out += bytes([n & 127 | 128])
@@ -138,12 +138,12 @@ def encode(updates: list[tuple[str, dict[str, str], float]], prefix: str = "") -
         parts = [p for p in text.split("/") if p]
         out = b""
         for i, p in enumerate(parts):
-            pairs = b"".join(_field(2, _field(1, k.encode()) + _field(2, v.encode())) for k, v in keys.items()) if i == len(parts) - 1 else b""
-            out += _field(3, _field(1, p.encode()) + pairs)
+            pairs = b"".join(field(2, field(1, k.encode()) + field(2, v.encode())) for k, v in keys.items()) if i == len(parts) - 1 else b""
+            out += field(3, field(1, p.encode()) + pairs)
         return out
 
-    note = _field(2, path(prefix, {})) if prefix else b""
+    note = field(2, path(prefix, {})) if prefix else b""
     for text, keys, value in updates:
         typed = bytes([14 << 3 | 1]) + struct.pack("<d", value)
-        note += _field(4, _field(1, path(text, keys)) + _field(3, typed))
-    return _field(1, note)
+        note += field(4, field(1, path(text, keys)) + field(3, typed))
+    return field(1, note)

@@ -23,6 +23,7 @@ from kpiloom.registry import Registry
 from kpiloom.schema import RAW
 from kpiloom.sources.http import ScrapeSource
 from kpiloom.sources.scrape import Collector, landed
+from kpiloom.sources.subscribe import SubscriptionSource
 from kpiloom.streaming import runner
 
 LANDED = f"{RAW}, status int, timed_out boolean"
@@ -35,7 +36,7 @@ class ServiceError(RuntimeError):
 
 
 def collected(spark: SparkSession, collector: Collector) -> DataFrame:
-    """A collector's stream: scrapes of its endpoint, or the files of its ``landing`` folder where it is subscribed."""
+    """A collector's stream: scrapes of its endpoint, a subscription to it, or the files of its ``landing`` folder where it has one."""
     extra = collector.extra
     if collector.protocol == "prometheus":
         spark.dataSource.register(ScrapeSource)
@@ -45,8 +46,13 @@ def collected(spark: SparkSession, collector: Collector) -> DataFrame:
         rows = spark.readStream.format(ScrapeSource.name()).options(**options).load()
     elif "landing" in extra:
         rows = landed(spark, extra["landing"], collector, streaming=True).withColumns({"status": F.lit(200), "timed_out": F.lit(False)})
+    elif collector.endpoint.rpartition(":")[2].isdigit() and "/" not in collector.endpoint:
+        spark.dataSource.register(SubscriptionSource)
+        options = {"endpoints": collector.endpoint, "paths": ",".join(collector.paths), "vendor": collector.vendor, "nf_type": collector.nf_type, "interval": collector.interval}
+        options |= {k: str(extra[k]) for k in ("instance_id", "sample_interval") if k in extra}
+        rows = spark.readStream.format(SubscriptionSource.name()).options(**options).load()
     else:
-        raise ConfigError(f"{collector.name}: a subscription needs a landing folder")
+        raise ConfigError(f"{collector.name}: a subscription needs host:port or a landing folder")
     known = [x for k in META if k in extra for x in (F.lit(k), F.lit(str(extra[k])))]
     return rows.withColumn("meta", F.create_map(*known)) if known else rows
 
