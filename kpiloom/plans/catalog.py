@@ -20,7 +20,7 @@ from kpiloom.registry import Kpi, Mapping, Namespace, Registry
 from kpiloom.sources import exposition, gnmi
 from kpiloom.sources.scrape import COLLECTORS, error_class
 from kpiloom.streaming.counters import stream_deltas
-from kpiloom.streaming.drain import drained
+from kpiloom.streaming.drain import drained, with_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -821,14 +821,15 @@ def stream_counter_state(spark, sf_dir):
 
 
 @query("stream_sliding_rules", f"""WITH {_STREAM}, m AS (SELECT e.*, w.w FROM e, LATERAL (SELECT unnest(range(CAST(floor(epoch(ts) / 3600) AS BIGINT) - 23, CAST(floor(epoch(ts) / 3600) AS BIGINT) + 1)) AS w) w)
-SELECT plmn, w, count(*) FILTER (metric = 'signup') AS att_n, round(avg(v) FILTER (metric = 'signup'), 4) AS att_mean, max(v) FILTER (metric = 'click') AS gnb_peak FROM m WHERE to_timestamp((w + 24) * 3600)::TIMESTAMP <= (SELECT max(ts) - INTERVAL 1 DAY FROM e) GROUP BY 1, 2""")
+SELECT plmn, w, count(*) FILTER (metric = 'signup') AS att_n, round(avg(v) FILTER (metric = 'signup'), 4) AS att_mean, max(v) FILTER (metric = 'click') AS gnb_peak FROM m GROUP BY 1, 2""")
 def stream_sliding_rules(spark, sf_dir):
-    """The windows that the watermark has closed, each given once."""
+    """Every window once: as the watermark closes it, the last ones when the stream ends."""
     names = F.create_map(*map(F.lit, ("signup", "att", "error", "reg_rate", "purchase", "sess", "click", "gnb", "view", "upf")))
     rows = _event_stream(spark, sf_dir).select("plmn", F.lit("").alias("slice_id"), "ts", F.col("event_id").alias("seq"), names[F.col("metric")].alias("metric"), F.col("v").alias("value"))
+    rows, end = with_end(rows)
     stats = correlate.sliding(rows, "24 hours", "1 hour", watermark="1 day")
     hour = F.floor(seconds("window_start") / 3600).cast("bigint").alias("w")
-    return drained(stats).select("plmn", hour, "att_n", F.round("att_mean", 4).alias("att_mean"), "gnb_peak")
+    return drained(stats, end=end).select("plmn", hour, "att_n", F.round("att_mean", 4).alias("att_mean"), "gnb_peak")
 
 
 @query("gnmi_decode", "SELECT event_id, '/gnb/' || event_type AS path, CAST(user_id % 8 AS VARCHAR) AS id, value FROM events")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.operators import sinks
 from kpiloom.operators.counters import with_deltas
+from kpiloom.plans import catalog
 from kpiloom.streaming.counters import stream_deltas
 
 SCHEMA = "source string, kpi string, ts timestamp, seq long, value double"
@@ -66,6 +67,16 @@ def test_counter_state_survives_restarts_flags_late_samples_and_expires(spark, t
     assert states() == 1  # a, b and c have long been silent
 
 
+def test_windows_of_a_stream_are_all_given(spark):
+    sf = "/root/testdata/sf0.001"
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+    held = e.select((F.col("user_id") % 2).alias("p"), F.explode(F.sequence(hour - 23, hour)).alias("w"), "event_type")
+    want = held.groupBy("p", "w").agg(F.count_if(F.col("event_type") == "signup").alias("n")).collect()
+    got = catalog.stream_sliding_rules(spark, sf).collect()
+    assert sorted((r.plmn, r.w, r.att_n) for r in got) == sorted((("310-260", "311-480")[r.p], r.w, r.n) for r in want)
+
+
 def test_fan_out_goes_on_after_an_error(spark):
     seen, errors = [], []
 
