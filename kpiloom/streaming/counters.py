@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from kpiloom.streaming.ordering import InOrder, total
+from kpiloom.streaming.ordering import InOrder, in_order, total
 
 OUTPUT = "source string, kpi string, ts timestamp, seq long, value double, delta double, reset boolean, late boolean"
 
@@ -13,6 +13,7 @@ OUTPUT = "source string, kpi string, ts timestamp, seq long, value double, delta
 class Deltas(InOrder):
     """First sample as it is, then differences; a decrease starts anew if ``reset_aware``, a gap of ``ttl_seconds`` of event time always."""
 
+    sources = {"source": "string", "kpi": "string"}
     payload, kept = {"value": "double"}, {"value": "double"}
 
     def __init__(self, reset_aware: bool = True, delay: str = "10 seconds", grace: str = "0 seconds", ttl_seconds: float | None = None):
@@ -29,9 +30,9 @@ class Deltas(InOrder):
     def missed(self, sample):
         return None, False, True
 
-    def rows(self, key, samples, found):
+    def rows(self, keys, samples, found):
         ts = pd.to_datetime(pd.Series([s[0] for s in samples]), unit="us")
-        out = pd.DataFrame({"source": key[0], "kpi": key[1], "ts": ts, "seq": [s[1] for s in samples], "value": [s[2] for s in samples]})
+        out = pd.DataFrame({"source": [k[0] for k in keys], "kpi": [k[1] for k in keys], "ts": ts, "seq": [s[1] for s in samples], "value": [s[2] for s in samples]})
         return out.assign(delta=pd.Series([f[0] for f in found], dtype=float), reset=[f[1] for f in found], late=[f[2] for f in found])
 
 
@@ -39,13 +40,10 @@ def stream_deltas(samples: DataFrame, reset_aware: bool = True, ttl_seconds: flo
     """``samples`` (source, kpi, ts, seq, value) with delta, reset and late; needs the RocksDB state store.
 
     What has arrived within ``delay`` of the newest time seen is put in order
-    first.  A task holds one source's samples of a micro-batch; bound these by
-    the source's ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``.
+    first.  A task holds the samples of one group of sources (``ordering.GROUPS``)
+    of a micro-batch; bound these by the source's ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``.
     """
-    marked = samples.withWatermark("ts", total(delay, grace))
-    return marked.groupBy("source", "kpi").transformWithStateInPandas(
-        statefulProcessor=Deltas(reset_aware, delay, grace, ttl_seconds), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
-    )
+    return in_order(samples.withWatermark("ts", total(delay, grace)), Deltas(reset_aware, delay, grace, ttl_seconds), OUTPUT)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

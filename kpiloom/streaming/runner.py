@@ -30,7 +30,7 @@ from kpiloom.registry import Registry
 from kpiloom.schema import ATTRIBUTES, EVENT
 from kpiloom.sources.scrape import to_bus
 from kpiloom.streaming.counters import ROCKSDB
-from kpiloom.streaming.ordering import InOrder, total
+from kpiloom.streaming.ordering import InOrder, in_order, total
 
 Writer = Callable[[DataFrame, int], None]
 OUTCOMES = (
@@ -44,6 +44,8 @@ class LastValues(InOrder):
     """Gives each scrape the values of its source's last one, in order of time."""
 
     at, number = "timestamp", "record_id"
+    sources = dict.fromkeys(SOURCE, "string")
+    chunk = 10  # a scrape is large
     payload, kept = {"counters": "array<double>", "rest": "string"}, {"found": "array<double>"}
 
     def step(self, before, sample):
@@ -52,9 +54,9 @@ class LastValues(InOrder):
     def missed(self, sample):
         return None, True
 
-    def rows(self, key, samples, found):
+    def rows(self, keys, samples, found):
         times = pd.to_datetime(pd.Series([s[0] for s in samples]), unit="us")
-        out = pd.DataFrame({**dict(zip(SOURCE, key, strict=True)), "timestamp": times, "record_id": [s[1] for s in samples]})
+        out = pd.DataFrame({**dict(zip(SOURCE, map(list, zip(*keys, strict=True)), strict=True)), "timestamp": times, "record_id": [s[1] for s in samples]})
         return out.assign(before=pd.Series([f[0] for f in found], dtype=object), late=[f[1] for f in found], rest=[s[3] for s in samples])
 
 
@@ -64,9 +66,9 @@ def with_last_values(good: DataFrame, ttl_seconds: float | None = None, delay: s
     # gauges may lack a value; what they had last is not used
     counters = F.transform("found", lambda x: F.coalesce(x, F.lit(0.0)))
     packed = good.select(*SOURCE, "timestamp", "record_id", counters.alias("counters"), F.to_json(F.struct(*rest.names)).alias("rest"))
-    staged = packed.withWatermark("timestamp", total(delay, grace)).groupBy(*SOURCE).transformWithStateInPandas(
-        statefulProcessor=LastValues(delay, grace, ttl_seconds), outputMode="Append", timeMode="EventTime",
-        outputStructType="vendor string, nf_type string, instance_id string, timestamp timestamp, record_id long, before array<double>, late boolean, rest string",
+    staged = in_order(
+        packed.withWatermark("timestamp", total(delay, grace)), LastValues(delay, grace, ttl_seconds),
+        "vendor string, nf_type string, instance_id string, timestamp timestamp, record_id long, before array<double>, late boolean, rest string",
     )
     return staged.withColumn("rest", F.from_json("rest", rest)).select(*SOURCE, "timestamp", "record_id", "before", "late", "rest.*")
 

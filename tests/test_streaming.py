@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from kpiloom.operators import sinks
 from kpiloom.operators.counters import with_deltas
 from kpiloom.plans import catalog
-from kpiloom.streaming.counters import stream_deltas
+from kpiloom.streaming.counters import Deltas, stream_deltas
 
 SCHEMA = "source string, kpi string, ts timestamp, seq long, value double"
 
@@ -67,6 +69,60 @@ def test_counter_state_survives_restarts_flags_late_samples_and_expires(spark, t
     assert states() == 1  # a, b and c have long been silent
 
 
+class Counted:
+    """A list state, or the handle of a group, that counts its calls."""
+
+    def __init__(self):
+        self.values, self.calls, self.states = [], 0, {}
+
+    def getListState(self, name, schema):
+        return self.states.setdefault(name, Counted())
+
+    def _call(self, values=None):
+        self.calls += 1
+        if values is not None:
+            self.values = list(values)
+
+    def registerTimer(self, at):
+        self._call()
+
+    def exists(self):
+        self._call()
+        return bool(self.values)
+
+    def get(self):
+        self._call()
+        return iter(self.values)
+
+    def put(self, values):
+        self._call(values)
+
+    def appendList(self, values):
+        self._call(self.values + values)
+
+    def clear(self):
+        self._call([])
+
+
+def test_calls_of_state_do_not_follow_the_sources():
+    handle, processor = Counted(), Deltas(delay="10 seconds", ttl_seconds=60)
+    processor.init(handle)
+    sources, seq = [f"s{i % 500}" for i in range(2000)], list(range(2000))
+    rng = random.Random(4)
+    rng.shuffle(seq)
+    batch = pd.DataFrame({"source": [sources[i] for i in seq], "kpi": "k", "ts": pd.to_datetime([i // 500 for i in seq], unit="s"), "seq": seq, "value": [float(i) for i in seq]})
+    clock = SimpleNamespace(getCurrentWatermarkInMs=lambda: 3_000)
+    assert list(processor.handleInputRows((1,), iter([batch[:900], batch[900:]]), clock)) == []
+    out = pd.concat(processor.handleExpiredTimer((1,), clock, None))
+    assert len(out) == 2000 and (out.delta[out.seq >= 500] == 500).all() and (out.delta[out.seq < 500] == out.value[out.seq < 500]).all()
+    late = pd.concat(processor.handleInputRows((1,), iter([batch[:2].assign(seq=-1, ts=pd.to_datetime([0, 0], unit="s"))]), clock))
+    assert list(late.late) == [True, True]
+    assert len(handle.states["last"].values) == 500
+    assert handle.calls + sum(s.calls for s in handle.states.values()) < 20
+    list(processor.handleExpiredTimer((1,), SimpleNamespace(getCurrentWatermarkInMs=lambda: 63_000), None))
+    assert handle.states["last"].values == []
+
+
 def test_windows_of_a_stream_are_all_given(spark):
     sf = "/root/testdata/sf0.001"
     e = spark.read.parquet(f"{sf}/events.parquet")
