@@ -67,6 +67,7 @@ def evaluate(telemetry: DataFrame, rules: Sequence[Alert] = ALERTS, step: int =
     """(alert, severity, series, since, fires_at, until, peak) of every stretch in which a rule held long enough.
 
     Rules with one function and window share one pass over their metrics.
+    Stretches are found where a series was put in order, so hits are not moved.
     """
     rows = telemetry.withColumn("series", series_key(F.col("labels")))
     found = None
@@ -74,7 +75,7 @@ def evaluate(telemetry: DataFrame, rules: Sequence[Alert] = ALERTS, step: int =
         group = [r for r in rules if (r.function, r.window) == (function, window)]
         own = rows.where(F.col("metric").isin(sorted({r.metric for r in group})))
         keys = ["metric", "series", "labels_key"]
-        own = own.withColumn("labels_key", F.to_json("labels"))  # a map is no grouping key
+        own = own.withColumn("labels_key", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("labels")))))  # a map is no grouping key
         if function == "instant":
             values = promql.at_steps(own, keys, window, step)
         else:
@@ -89,9 +90,9 @@ def evaluate(telemetry: DataFrame, rules: Sequence[Alert] = ALERTS, step: int =
             )
             for r in group
         ]
-        hits = values.select("series", "step", "value", F.explode(F.filter(F.array(*named), lambda x: x.isNotNull())).alias("r")).select("series", "step", "value", "r.*")
-        found = hits if found is None else found.unionByName(hits)
-    order = Window.partitionBy("alert", "series").orderBy("step")
-    islands = found.withColumn("island", F.col("step") - F.row_number().over(order) * step)
-    spans = islands.groupBy("alert", "severity", "series", "hold", "island").agg(F.min("step").alias("since"), F.max("step").alias("until"), F.max("value").alias("peak"))
-    return spans.where("until - since >= hold").select("alert", "severity", "series", "since", (F.col("since") + F.col("hold")).alias("fires_at"), "until", "peak")
+        hits = values.select(*keys, "step", "value", F.explode(F.filter(F.array(*named), lambda x: x.isNotNull())).alias("r")).select(*keys, "step", "value", "r.*")
+        order = Window.partitionBy(*keys, "alert").orderBy("step")
+        islands = hits.withColumn("island", F.col("step") - F.row_number().over(order) * step)
+        spans = islands.groupBy(*keys, "alert", "severity", "hold", "island").agg(F.min("step").alias("since"), F.max("step").alias("until"), F.max("value").alias("peak"))
+        found = spans if found is None else found.unionByName(spans)
+    return found.where("until - since >= hold").select("alert", "severity", "series", "since", (F.col("since") + F.col("hold")).alias("fires_at"), "until", "peak")

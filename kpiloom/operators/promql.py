@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Samples in a task that puts series in order.
+TASK_ROWS = 250_000
+
+
+def dealt(samples: DataFrame, keys: list[str]) -> DataFrame:
+    """``samples`` by ``keys`` in tasks of about ``TASK_ROWS``, whatever their number.
+
+    Adaptive execution joins partitions by their compressed size; samples of a
+    series compress so well that a task would get millions, and sort them in
+    memory as they are.
+    """
+    spark = samples.sparkSession
+    return samples.repartition(max(math.ceil(samples.count() / TASK_ROWS), spark.sparkContext.defaultParallelism), *keys)
+
 
 def instant(samples: DataFrame, keys: list[str], value: str = "value", ts: str = "ts") -> DataFrame:
     """The last value of each series that is not null."""
@@ -45,7 +61,7 @@ def increase_over(samples: DataFrame, keys: list[str], window: int, step: int, v
     order = Window.partitionBy(*keys).orderBy(ts, *([tie] if tie else []))
     now, before, before_at = F.col(value), F.lag(value).over(order), F.lag(_micros(ts)).over(order)
     change = F.when(now < before, now).otherwise(now - before).cast("double")
-    rows = samples.select(*keys, change.alias("change"), _micros(ts).alias("at"), before_at.alias("before_at"))
+    rows = dealt(samples, keys).select(*keys, change.alias("change"), _micros(ts).alias("at"), before_at.alias("before_at"))
     spread = rows.select(*keys, "change", F.explode(_steps(F.col("at"), F.col("before_at") + window * 1_000_000, step)).alias("step"))
     return spread.groupBy(*keys, "step").agg(F.sum("change").alias("increase"))
 
@@ -53,7 +69,7 @@ def increase_over(samples: DataFrame, keys: list[str], window: int, step: int, v
 def at_steps(samples: DataFrame, keys: list[str], lookback: int, step: int, value: str = "value", ts: str = "ts", tie: str | None = None) -> DataFrame:
     """(keys, step, value): at every ``step`` seconds the last value that is not null, if it is less than ``lookback`` seconds old."""
     order = Window.partitionBy(*keys).orderBy(ts, *([tie] if tie else []))
-    held = samples.where(F.col(value).isNotNull())
+    held = dealt(samples, keys).where(F.col(value).isNotNull())
     rows = held.select(*keys, F.col(value).cast("double").alias("value"), _micros(ts).alias("at"), F.lead(_micros(ts)).over(order).alias("next_at"))
     until = F.least(F.col("at") + lookback * 1_000_000, F.coalesce("next_at", F.col("at") + lookback * 1_000_000))
     return rows.select(*keys, "value", F.explode(_steps(F.col("at"), until, step)).alias("step"))

@@ -682,12 +682,14 @@ _OF_RULE = "CASE event_id // 2000 % 3 WHEN 0 THEN 'RegistrationStorm' WHEN 1 THE
 def self_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline's own metrics as samples (metric, labels, ts, value), derived from the events' numbers."""
     sql = lambda x: x.replace("//", "DIV")
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
-    each = F.array(*[F.struct(F.lit(m).alias("metric"), F.expr(sql(x)).cast("double").alias("x"), F.lit(c).alias("counter")) for m, x, c in _SELF])
-    rows = e.select("event_id", F.expr("event_id DIV 2000").alias("episode"), F.expr(sql(_OF_RULE)).alias("rule"), F.explode(each).alias("m")).select("event_id", "episode", "rule", "m.*")
-    total = F.sum("x").over(Window.partitionBy("metric", "episode").orderBy("event_id"))  # 2,000 rows at most
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.expr("event_id DIV 2000").alias("episode"))
+    so_far = Window.partitionBy("episode").orderBy("event_id")  # 2,000 rows at most
+    each = [F.expr(sql(x)).cast("double") for _, x, _ in _SELF]
+    wide = promql.dealt(e, ["episode"]).select("event_id", "episode", F.expr(sql(_OF_RULE)).alias("rule"), *[(F.sum(x).over(so_far) if c else x).alias(m) for x, (m, _, c) in zip(each, _SELF, strict=True)])
+    rows = wide.withColumn("metric", F.explode(F.array(*[F.lit(m) for m, _, _ in _SELF])))
+    value = F.coalesce(*[F.when(F.col("metric") == m, F.col(m)) for m, _, _ in _SELF])
     labels = F.create_map(F.lit("collector"), F.col("episode").cast("string"), F.lit("rule_name"), F.col("rule"))
-    return rows.select("metric", labels.alias("labels"), F.timestamp_seconds(F.col("event_id") * 2).alias("ts"), F.when(F.col("counter"), total).otherwise(F.col("x")).alias("value"))
+    return rows.select("metric", labels.alias("labels"), F.timestamp_seconds(F.col("event_id") * 2).alias("ts"), value.alias("value"))
 
 
 _ALERTS_SQL = "WITH x AS (" + " UNION ALL ".join(f"SELECT event_id, '{m}' AS metric, CAST({x} AS DOUBLE) AS x, {str(c).upper()} AS counter FROM events" for m, x, c in _SELF) + f"""

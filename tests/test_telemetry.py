@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions import formula, paths
 from kpiloom.functions.transforms import compile_transform, failure, seconds
-from kpiloom.operators import correlate
+from kpiloom.operators import correlate, promql
 from kpiloom.operators.counters import with_deltas
 from kpiloom.operators.normalize import normalize
 from kpiloom.operators.series_index import VendorIndex
@@ -300,3 +300,10 @@ def test_transform_failure_is_a_reason(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int")
     found = rows.select("k", failure("ratio(0, 1)", [F.col("k")]).alias("r"), failure("delta", [F.col("k")]).alias("none")).distinct().collect()
     assert {(r.k, r.r, r.none) for r in found} == {("a", None, None), ("b", "index of ratio(0,1) out of range for 1 values", None)}
+
+
+def test_series_are_put_in_order_in_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(promql, "TASK_ROWS", 1000, raising=False)
+    rows = spark.range(40_000).selectExpr("CAST(id DIV 20 AS string) AS s", "timestamp_seconds(id % 20 * 10) AS ts", "CAST(id AS double) AS value")
+    for out in (promql.increase_over(rows, ["s"], 60, 30), promql.at_steps(rows, ["s"], 60, 30)):
+        assert out.select(F.spark_partition_id().alias("p")).distinct().count() >= 35
