@@ -130,6 +130,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 # -- similar documents: sets of five-word shingles with a Jaccard similarity of 0.8 or more -----------
 
+#: Words in a shingle of the fingerprint whose Golay keys choose pairs.
+PRINT_WORDS = 3
 WIDE = 256
 #: Sets of Jaccard similarity 0.8 have cosine 8/9, so a bit differs with probability acos(8/9) / pi = 0.151
 #: (up to 0.19 in sets of a few shingles).  Pairs of that similarity are within this distance but for one in 10,000.
@@ -183,20 +185,21 @@ def text_name(text: Column) -> Column:
 
 
 def wide_prints(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(key, content, node, n, w0..w3, keys) of every row; content is a hash of the text, node one of its set of n shingles."""
+    """(key, content, node, fp, n, w0..w3, keys) of every row; content is a hash of the text, fp its fingerprint, node a hash of its set of n shingles."""
 
-    @F.pandas_udf("node binary, n long, w0 long, w1 long, w2 long, w3 long, keys array<long>")
+    @F.pandas_udf("node binary, fp long, n long, w0 long, w1 long, w2 long, w3 long, keys array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            nodes, sizes, bits, keys = [], [], [], []
+            nodes, prints, sizes, bits, keys = [], [], [], [], []
             for t in texts:
+                prints.append(fingerprint(shingle_hashes(t, PRINT_WORDS)))
                 found = shingle_set(t, words)
                 nodes.append(set_name(found))
                 sizes.append(len(found))
                 bits.append(wide_fingerprint(found))
                 keys.append(band_keys(found).view(np.int64))
             w = np.array(bits, dtype=np.uint64).reshape(-1, 4).view(np.int64)
-            yield pd.DataFrame({"node": nodes, "n": sizes, **{f"w{i}": w[:, i] for i in range(4)}, "keys": keys})
+            yield pd.DataFrame({"node": nodes, "fp": np.array(prints, dtype=np.uint64).view(np.int64), "n": sizes, **{f"w{i}": w[:, i] for i in range(4)}, "keys": keys})
 
     t = F.coalesce(F.col(text), F.lit(""))
     return docs.select(F.col(key).alias("key"), text_name(t).alias("content"), run(t).alias("p")).select("key", "content", "p.*")
@@ -303,9 +306,21 @@ def _across(members: DataFrame, contested: DataFrame) -> DataFrame:
     return met.select(F.col("node_0").alias("a"), F.col("node_1").alias("b"))
 
 
+def golay_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b) of nodes whose fingerprints ``fp`` differ in at most 2 bits, by their Golay keys: enough of them to connect all such nodes."""
+    ones = stored(nodes.groupBy("fp").agg(F.min("node").alias("one")))
+    same = nodes.join(ones, "fp").where("node <> one").select(F.col("node").alias("a"), F.col("one").alias("b"))
+    x, y = (ones.select(F.col("fp").alias(c), F.col("one").alias(f"node_{c}")) for c in "ab")
+    near = links(ones).join(x, "a").join(y, "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return same.unionByName(near)
+
+
 def wide_components(nodes: DataFrame, shingles) -> DataFrame:
     """(node, root) of nodes that pairs of Jaccard similarity 0.8 or more connect; ``shingles`` gives the sets of a table's nodes.
 
+    Nodes that ``golay_pairs`` finds are compared first.  At a similarity of 0.8
+    most fingerprints are further apart, so bands of minima give further buckets.
+
     In each bucket the member that shares its keys with the most others is the
     pivot, and is compared with all: of a group of near copies this connects
     nearly all members, in one comparison each.  Among the rest, sets that no
@@ -318,32 +333,35 @@ def wide_components(nodes: DataFrame, shingles) -> DataFrame:
     keyed = nodes.select("node", "n", F.explode("keys").alias("k"))
     size = keyed.groupBy("k").agg(F.count("*").alias("held")).where("held > 1")
     keyed = stored(keyed.join(size, "k"))
-    sets = stored(shingles(keyed.select("node").distinct()))
+    golay = stored(golay_pairs(nodes))
+    sought = keyed.select("node").unionByName(golay.select(F.col("a").alias("node"))).unionByName(golay.select(F.col("b").alias("node")))
+    sets = stored(shingles(sought.distinct()))
     met = keyed.groupBy("node").agg(F.sum("held").alias("met"))
     pivots = stored(keyed.join(met, "node").groupBy("k").agg(F.max_by("node", F.struct("met", "node")).alias("one")))
     members = keyed.select("k", "node", "n").join(pivots, "k").where("node <> one")
-    links = stored(_similar(_close(members.select(F.col("node").alias("a"), F.col("one").alias("b")), nodes), sets))
-    roots = stored(components(links))
+    pairs = _close(members.select(F.col("node").alias("a"), F.col("one").alias("b")), nodes).unionByName(golay)
+    similar = stored(_similar(pairs, sets))
+    roots = stored(components(similar))
     placed = members.drop("one").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     members, contested = _peeled(placed.join(_several_roots(placed), "k"), sets)
     if members.isEmpty():
         return roots
     more = _similar(_close(_across(members, contested), nodes), sets)
-    return stored(components(links.unionByName(stored(more))))
+    return stored(components(similar.unionByName(stored(more))))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
     """``docs`` with one row of each group of similar texts: the one with the smallest key.
 
     Texts are linked if their sets of ``words``-word shingles have a Jaccard
-    similarity of 0.8 or more, and groups are connected.  Bands of minima and
-    256-bit fingerprints only choose the pairs whose sets are compared.  A null
+    similarity of 0.8 or more, and groups are connected.  Golay keys of the
+    fingerprints, bands of minima and 256-bit fingerprints only choose the pairs whose sets are compared.  A null
     key counts as larger than any; of rows with equal key and text one stays.
     """
     prints = stored(wide_prints(docs, key, text, words))
     order = F.struct(F.col("key").isNull().alias("last"), "key", "content")
     nodes = stored(
-        prints.groupBy("node").agg(F.min(order).alias("first"), F.min("n").alias("n"), *[F.min(w).alias(w) for w in _W], F.min("keys").alias("keys"))
+        prints.groupBy("node").agg(F.min(order).alias("first"), F.min("fp").alias("fp"), F.min("n").alias("n"), *[F.min(w).alias(w) for w in _W], F.min("keys").alias("keys"))
     )
 
     def shingles(wanted: DataFrame) -> DataFrame:

@@ -152,6 +152,16 @@ def test_similar_texts_are_linked_by_exact_similarity(spark, monkeypatch, peels)
     assert {r.doc_id for r in out} == want and len(out) == len(want)
 
 
+def test_pairs_by_golay_keys_of_the_fingerprints_are_compared(spark):
+    word = 0x0F0F_3355_77AA_1234
+    sets = {"a": range(100), "b": range(100), "c": range(2, 102), "d": range(50, 150), "e": range(500, 600)}
+    prints = {"a": word, "b": word, "c": word ^ (1 << 40 | 1 << 3), "d": word ^ 1, "e": word ^ (7 << 20)}  # d is near but not similar
+    nodes = spark.createDataFrame([(k.encode(), prints[k], 100, 0, 0, 0, 0, []) for k in sets], "node binary, fp long, n long, w0 long, w1 long, w2 long, w3 long, keys array<long>")
+    held = spark.createDataFrame([(k.encode(), list(v)) for k, v in sets.items()], "node binary, s array<long>")
+    roots = simhash.wide_components(nodes, lambda wanted: held.join(wanted, "node"))
+    assert {(bytes(r.node), bytes(r.root)) for r in roots.collect()} == {(b"a", b"a"), (b"b", b"a"), (b"c", b"a")}
+
+
 def clouds(rng):
     """Texts that differ from a few base texts in anything from one word to a third of all; some clouds share half a text."""
     shared = prose(rng, 70).split()
